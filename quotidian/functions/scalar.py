@@ -18,20 +18,23 @@ def parse_run_date(text: str | None = None) -> date:
 
 
 def to_number(value: Column | str) -> Column:
-    """Double, or NULL where the value is not a finite-or-infinite number.
+    """Double, or NULL where the value is no number.
 
     Spark also accepts Java's type suffixes (``1d``, ``2.5f``) and the text ``nan``; neither is a
     price, so both become NULL.
     """
     column = as_column(value)
     number = column.try_cast("double")
-    java_suffix = column.cast("string").rlike(r"[0-9.]\s*[dDfF]\s*$")
-    return F.when(~F.coalesce(java_suffix, F.lit(False)) & ~F.isnan(number), number)
+    text = F.lower(F.rtrim(column.cast("string")))
+    java_suffix = F.endswith(text, F.lit("d")) | (
+        F.endswith(text, F.lit("f")) & ~F.endswith(text, F.lit("inf"))
+    )
+    return F.when(number.isNotNull() & ~F.isnan(number) & ~java_suffix, number)
 
 
-def to_whole_number(value: Column | str) -> Column:
-    """Nullable bigint, ties rounded to the even neighbour."""
-    return F.bround(to_number(value), 0).try_cast("bigint")
+def whole_number(number: Column) -> Column:
+    """Nullable bigint of a double, ties rounded to the even neighbour."""
+    return F.rint(number).try_cast("bigint")
 
 
 def to_day(value: Column | str) -> Column:

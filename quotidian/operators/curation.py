@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotidian import schemas
 from quotidian.functions import scalar
@@ -27,11 +28,17 @@ def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def coerce_prices(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Raw rows in the curated types. What is no number or no date becomes NULL."""
     require_columns(raw, schemas.DAILY_PRICES.names)
+
+    def number(name: str) -> Column:
+        if isinstance(raw.schema[name].dataType, T.StringType):
+            return scalar.to_number(name)
+        return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+
     return raw.select(
         scalar.to_day("date").alias("date"),
         F.col("ticker").cast("string").alias("ticker"),
-        *[scalar.to_number(c).alias(c) for c in ("open", "high", "low", "close")],
-        scalar.to_whole_number("volume").alias("volume"),
+        *[number(c).alias(c) for c in ("open", "high", "low", "close")],
+        scalar.whole_number(number("volume")).alias("volume"),
         F.col("source").cast("string").alias("source"),
         *keep,
     )

@@ -1,4 +1,4 @@
-"""Checks on curated prices, all of them from one aggregate."""
+"""Checks on curated prices."""
 
 from __future__ import annotations
 
@@ -49,47 +49,56 @@ def row_conditions() -> dict[str, Column]:
     }
 
 
-def check_counts(prices: DataFrame) -> DataFrame:
-    """One row of counts.
+def row_counts(prices: DataFrame) -> DataFrame:
+    """One row with the counts that look at single rows: a plain scan, nothing to shuffle."""
+    return prices.agg(
+        *[F.count_if(cond).alias(name) for name, cond in row_conditions().items()],
+        *[F.count_if(F.col(c) < schemas.MIN_PRICE).alias(f"{c}_small") for c in PRICE_COLUMNS],
+        *[F.count(c).alias(f"{c}_known") for c in PRICE_COLUMNS],
+    )
 
-    Rows are first reduced to one per (ticker, date), where copies of a key meet; everything else
-    is summed from there. A change overnight is judged between the extremes of neighbouring dates,
-    which for one row per date is the plain change and for copies does not depend on their order.
+
+def key_counts(prices: DataFrame) -> DataFrame:
+    """One row with the counts that compare rows of a ticker.
+
+    Rows are first reduced to one per (ticker, date), where copies of a key meet. A change overnight
+    is judged between the extremes of neighbouring dates, which for one row per date is the plain
+    change and for copies does not depend on their order.
     """
-    conditions = row_conditions()
     per_bar = prices.groupBy("ticker", "date").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min("close").alias("close_low"),
-        F.max("close").alias("close_high"),
-        *[F.count_if(cond).alias(name) for name, cond in conditions.items()],
-        *[F.count_if(F.col(c) < schemas.MIN_PRICE).alias(f"{c}_small") for c in PRICE_COLUMNS],
-        *[F.count(c).alias(f"{c}_known") for c in PRICE_COLUMNS],
+        F.min("close").alias("lowest"),
+        F.max("close").alias("highest"),
     )
     window = rolling.by_ticker()
-    rise = F.try_divide(F.col("close_high"), F.lag("close_low", 1).over(window)) - 1
-    fall = 1 - F.try_divide(F.col("close_low"), F.lag("close_high", 1).over(window))
-    jumps = per_bar.withColumn("rise", rise).withColumn("fall", fall)
-    overnight = (F.col("rise") > schemas.MAX_OVERNIGHT_CHANGE) | (
-        F.col("fall") > schemas.MAX_OVERNIGHT_CHANGE
-    )
-
-    def total(column: Column | str) -> Column:
-        return F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
-
-    per_ticker = jumps.groupBy("ticker").agg(
-        total("n").alias("total_rows"),
-        total(F.when(F.col("n") > 1, F.col("n"))).alias("duplicate_ticker_date"),
-        F.count_if(overnight).alias("overnight_change"),
-        *[total(name).alias(name) for name in conditions],
-        *[total(f"{c}_small").alias(f"{c}_small") for c in PRICE_COLUMNS],
-        *[total(f"{c}_known").alias(f"{c}_known") for c in PRICE_COLUMNS],
+    rise = F.try_divide(F.col("highest"), F.lag("lowest", 1).over(window)) - 1
+    fall = 1 - F.try_divide(F.col("lowest"), F.lag("highest", 1).over(window))
+    limit = schemas.MAX_OVERNIGHT_CHANGE
+    per_ticker = (
+        per_bar.withColumn("rise", rise)
+        .withColumn("fall", fall)
+        .groupBy("ticker")
+        .agg(
+            F.sum("n").alias("total_rows"),
+            F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("duplicate_ticker_date"),
+            F.count_if((F.col("rise") > limit) | (F.col("fall") > limit)).alias("overnight_change"),
+        )
     )
-    totals = [c for c in per_ticker.columns if c != "ticker"]
     return per_ticker.agg(
-        *[total(c).alias(c) for c in totals], F.count("ticker").alias("unique_tickers")
+        *[
+            F.coalesce(F.sum(c), F.lit(0)).alias(c)
+            for c in ("total_rows", "duplicate_ticker_date", "overnight_change")
+        ],
+        F.count("ticker").alias("unique_tickers"),
     )
 
 
+def check_counts(prices: DataFrame) -> DataFrame:
+    """One row with all counts: two rows with complementary columns, merged."""
+    parts = row_counts(prices).unionByName(key_counts(prices), allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
+
+
 def quality_report(prices: DataFrame) -> DataFrame:
     """(check, severity, bad_rows, failed, total_rows, unique_tickers), one row per check.
 

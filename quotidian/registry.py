@@ -21,7 +21,7 @@ from quotidian.operators.features import (
     ticker_features,
 )
 from quotidian.operators.positions import generate_positions
-from quotidian.operators.scoring import normalize_to_zscore, score_signals, to_mart
+from quotidian.operators.scoring import normalize_to_zscore, score_signals
 from quotidian.plans import backfill, daily, marts
 from quotidian.session import scratch_dir
 from quotidian.sources import catalog, filings, lake as lake_io, prices, universe, warehouse
@@ -379,12 +379,13 @@ def positions_by_date(spark, folder):
 
 @query
 def price_history(spark, folder):
-    return prices.price_history(warehouse.supplier_bars(spark, folder), TICKER)
+    return prices.price_history(warehouse.supplier_bars(spark, folder, TICKER), TICKER)
 
 
 @query
 def ticker_feature_values(spark, folder):
-    own = ticker_features(supplier_features(spark, folder), TICKER)
+    bars = warehouse.supplier_bars(spark, folder, TICKER)
+    own = ticker_features(price_features_as_of(bars, SUPPLIER_AS_OF, SUPPLIER_LOOKBACK), TICKER)
     return rounded(own, *schemas.PRICE_FEATURE_COLUMNS)
 
 
@@ -457,7 +458,7 @@ def overview_short_fallback(spark, folder):
 
 @query
 def vol_bands(spark, folder):
-    bars = warehouse.supplier_bars(spark, folder)
+    bars = warehouse.supplier_bars(spark, folder, TICKER)
     features = price_features_as_of(bars, SUPPLIER_AS_OF, SUPPLIER_LOOKBACK)
     return rounded(marts.volatility_bands(bars, features, TICKER), "upper_band", "lower_band")
 

@@ -49,11 +49,22 @@ def bars_by(trades: DataFrame, key: str, order: Column) -> DataFrame:
     )
 
 
-def supplier_bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Curated daily prices with suppliers as tickers."""
-    bars = bars_by(table(spark, folder, "lineitem"), "l_suppkey", trade_order())
+def supplier_bars(spark: SparkSession, folder: str, ticker: str | None = None) -> DataFrame:
+    """Curated daily prices with suppliers as tickers, of one ticker if given.
+
+    For all tickers the names are joined to the bars, which are fewer than the trades. For one the
+    join comes first and keeps its trades alone.
+    """
+    lines = table(spark, folder, "lineitem")
     names = table(spark, folder, "supplier").select("s_suppkey", F.col("s_name").alias("ticker"))
-    return bars.join(names, bars["l_suppkey"] == names["s_suppkey"]).select(
+    if ticker is not None:
+        wanted = names.where(F.col("ticker") == ticker)
+        trades = lines.join(wanted, lines["l_suppkey"] == wanted["s_suppkey"])
+        bars = bars_by(trades, "ticker", trade_order())
+    else:
+        bars = bars_by(lines, "l_suppkey", trade_order())
+        bars = bars.join(names, bars["l_suppkey"] == names["s_suppkey"])
+    return bars.select(
         "date", "ticker", "open", "high", "low", "close", "volume",
         F.lit(schemas.PRICE_SOURCE).alias("source"),
     )
@@ -88,9 +99,9 @@ QUOTE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_exten
 
 
 def raw_quotes(spark: SparkSession, folder: str) -> DataFrame:
-    """Uncurated price rows, one per order line, as text and with the faults curation is there for:
-    several rows per ticker and day, opens and volumes that are no numbers, volumes ending in .5,
-    negative volumes, closes outside the day's range, highs below lows."""
+    """Uncurated price rows, one per order line, with the faults curation is there for: several rows
+    per ticker and day, opens and volumes as text that is not always a number, volumes ending in
+    .5, negative volumes, closes outside the day's range, highs below lows."""
     names = table(spark, folder, "supplier").select("s_suppkey", F.col("s_name").alias("ticker"))
     lines = table(spark, folder, "lineitem")
     price = trade_price()
@@ -98,9 +109,9 @@ def raw_quotes(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_shipdate").alias("date"),
         "ticker",
         F.when(F.col("l_returnflag") == "R", "n/a").otherwise(price.cast("string")).alias("open"),
-        (price * (F.lit(0.98) + F.col("l_tax"))).cast("string").alias("high"),
-        (price * (F.lit(1.0) - F.col("l_discount"))).cast("string").alias("low"),
-        price.cast("string").alias("close"),
+        (price * (F.lit(0.98) + F.col("l_tax"))).alias("high"),
+        (price * (F.lit(1.0) - F.col("l_discount"))).alias("low"),
+        price.alias("close"),
         F.when(F.col("l_returnflag") == "N", "")
         .otherwise((F.col("l_quantity") - 10.5).cast("string"))
         .alias("volume"),
