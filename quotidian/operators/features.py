@@ -37,14 +37,15 @@ def price_features_as_of(
     as_of: date,
     lookback_days: int = schemas.FEATURE_LOOKBACK_DAYS,
     min_rows: int = schemas.MIN_HISTORY_ROWS,
+    shared: bool = False,
 ) -> DataFrame:
     """The features of every ticker's last bar in the lookback, dated ``as_of``.
 
     The lookback holds both of its end dates. Tickers with fewer than ``min_rows`` bars in it are
     left out; a ticker without a bar on ``as_of`` itself is carried forward from its last one.
 
-    The result is one row per ticker and usually feeds several branches (cross-section
-    statistics, long side, short side), so it ends in a shuffle that those branches share.
+    ``shared`` is for results that feed several branches of one plan, as scores and books do: see
+    ``shared_by_branches``.
     """
     window = rolling.by_ticker()
     since = as_of - timedelta(days=lookback_days)
@@ -54,11 +55,19 @@ def price_features_as_of(
         .withColumn("bar_no", F.row_number().over(window))
         .withColumn("next_date", F.lead("date", 1).over(window))
     )
-    return (
-        bars.where(F.col("next_date").isNull() & (F.col("bar_no") >= min_rows))
-        .select("ticker", F.lit(as_of).cast("date").alias("date"), VOL, MOM, REV)
-        .repartition("ticker")
+    latest = bars.where(F.col("next_date").isNull() & (F.col("bar_no") >= min_rows)).select(
+        "ticker", F.lit(as_of).cast("date").alias("date"), VOL, MOM, REV
     )
+    return shared_by_branches(latest) if shared else latest
+
+
+def shared_by_branches(rows: DataFrame) -> DataFrame:
+    """The same rows behind a shuffle that all branches of a plan read.
+
+    Spark runs equal shuffles once. Without this one, each branch would sort and window the bars
+    again; with it they are windowed once and the far fewer resulting rows are shuffled.
+    """
+    return rows.hint("rebalance", F.col("ticker"))
 
 
 def price_features_panel(
@@ -68,6 +77,7 @@ def price_features_panel(
     min_rows: int = schemas.MIN_HISTORY_ROWS,
     first: date | None = None,
     last: date | None = None,
+    shared: bool = False,
 ) -> DataFrame:
     """``price_features_as_of`` for every date of ``dates`` at once.
 
@@ -101,11 +111,12 @@ def price_features_panel(
         .withColumn("rev_from", F.lag("date", schemas.MEAN_REVERSION_WINDOW - 1).over(window))
     )
     until = F.least(F.date_sub("next_date", 1), F.date_add("gate_date", lookback_days))
-    spans = (
-        bars.withColumn("until", until)
-        .where(F.col("gate_date").isNotNull() & (F.col("until") >= F.col("date")))
-        .withColumn("as_of", F.explode(F.sequence("date", "until")))
+    spans = bars.withColumn("until", until).where(
+        F.col("gate_date").isNotNull() & (F.col("until") >= F.col("date"))
     )
+    if shared:
+        spans = shared_by_branches(spans)
+    spans = spans.withColumn("as_of", F.explode(F.sequence("date", "until")))
     # One row per calendar day at most: DateType itself bounds what is broadcast.
     wanted = F.broadcast(dates.select(F.col("date").alias("as_of")).distinct())
     oldest = F.date_sub("as_of", lookback_days)

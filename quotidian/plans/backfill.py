@@ -70,7 +70,9 @@ def build_dates(
     bounds them) to get their empty partition, which also clears rows of an earlier run.
     """
     daily = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
-    features = price_features_panel(daily, dates, lookback_days, first=start, last=end)
+    features = price_features_panel(
+        daily, dates, lookback_days, first=start, last=end, shared=True
+    )
     staged = scratch_dir(spark, "scores")
     to_mart(score_signals(features)).write.partitionBy("date").parquet(staged)
     scores = lake_io.read_table(spark, staged, schemas.SIGNAL_SCORES)

@@ -100,7 +100,7 @@ def build_day(
     The book is made from the stored scores, so the features behind them are computed once.
     """
     daily = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
-    features = price_features_as_of(daily, run_date, lookback_days)
+    features = price_features_as_of(daily, run_date, lookback_days, shared=True)
     scores = to_mart(score_signals(features, fundamentals))
     lake_io.overwrite_date(scores, lake.signal_scores, run_date)
 

@@ -223,17 +223,18 @@ def mean_reversion_z(spark, folder):
     return rounded(rolling.mean_reversion_zscore(bars), "mean_reversion_zscore_5d")
 
 
-def supplier_features(spark, folder) -> DataFrame:
+def supplier_features(spark, folder, shared: bool = False) -> DataFrame:
     bars = warehouse.supplier_bars(spark, folder)
-    return price_features_as_of(bars, SUPPLIER_AS_OF, SUPPLIER_LOOKBACK)
+    return price_features_as_of(bars, SUPPLIER_AS_OF, SUPPLIER_LOOKBACK, shared=shared)
 
 
 def brand_features(spark, folder) -> DataFrame:
     return price_features_as_of(warehouse.brand_bars(spark, folder), BRAND_AS_OF)
 
 
-def brand_panel(spark, folder) -> DataFrame:
-    return price_features_panel(warehouse.brand_bars(spark, folder), raw_dates(spark, folder))
+def brand_panel(spark, folder, shared: bool = False) -> DataFrame:
+    bars = warehouse.brand_bars(spark, folder)
+    return price_features_panel(bars, raw_dates(spark, folder), shared=shared)
 
 
 def gapped_panel(spark, folder) -> DataFrame:
@@ -298,11 +299,11 @@ def zscore_by_sector(spark, folder):
 
 
 def supplier_scores(spark, folder) -> DataFrame:
-    return score_signals(supplier_features(spark, folder))
+    return score_signals(supplier_features(spark, folder, shared=True))
 
 
 def brand_scores(spark, folder) -> DataFrame:
-    return score_signals(brand_panel(spark, folder))
+    return score_signals(brand_panel(spark, folder, shared=True))
 
 
 @query
@@ -312,7 +313,8 @@ def signal_scores(spark, folder):
 
 @query
 def signal_scores_with_fundamentals(spark, folder):
-    scores = score_signals(supplier_features(spark, folder), supplier_fundamentals(spark, folder))
+    features = supplier_features(spark, folder, shared=True)
+    scores = score_signals(features, supplier_fundamentals(spark, folder))
     return rounded(
         scores, *Z_COLUMNS, "yoy_revenue_growth_proxy", "yoy_revenue_growth_proxy_zscore", "signal_score"
     )
@@ -401,7 +403,8 @@ def ticker_score(spark, folder):
 
 @query
 def sector_exposure(spark, folder):
-    return marts.sector_exposure(supplier_book(spark, folder), warehouse.universe(spark, folder))
+    book, names = supplier_book(spark, folder), warehouse.universe(spark, folder)
+    return marts.sector_exposure(book, names, SUPPLIER_AS_OF)
 
 
 @query
@@ -427,13 +430,14 @@ def available_sectors(spark, folder):
 def overview_side(spark, folder, side: str) -> DataFrame:
     book, names = supplier_book(spark, folder), warehouse.universe(spark, folder)
     return rounded(
-        marts.candidates_from_positions(book, names, side, sector=SECTOR), "signal_score"
+        marts.candidates_from_positions(book, names, side, SUPPLIER_AS_OF, SECTOR), "signal_score"
     )
 
 
 def fallback_side(spark, folder, side: str) -> DataFrame:
     scores, names = supplier_scores(spark, folder), warehouse.universe(spark, folder)
-    return rounded(marts.candidates_from_scores(scores, names, side, sector=SECTOR), "signal_score")
+    day = marts.candidates_from_scores(scores, names, side, SUPPLIER_AS_OF, SECTOR)
+    return rounded(day, "signal_score")
 
 
 @query
