@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quotidian import schemas
 from quotidian.functions import scalar
 from quotidian.operators.positions import bottom_per_date, top_per_date
-from quotidian.sources.prices import price_history
+from quotidian.sources.prices import last_bars
 from quotidian.sources.universe import enrich
 
 SIDES = ("long", "short")
@@ -152,7 +152,7 @@ def volatility_bands(
     prices: DataFrame, features: DataFrame, ticker: str, bars: int = schemas.HISTORY_BARS
 ) -> DataFrame:
     """Price history with bands one volatility above and below; NULL bands without a volatility."""
-    history = price_history(prices, ticker, bars).withColumn("ticker", F.lit(ticker))
+    history = last_bars(prices.select("ticker", "date", "close"), ticker, bars)
     width = features.where(F.col("ticker") == ticker).select(
         "ticker", scalar.band_width("realized_vol_20d").alias("width")
     )

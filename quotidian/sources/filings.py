@@ -15,7 +15,8 @@ from quotidian.operators.curation import prefer_filing_type
 def list_filings(spark: SparkSession, root: str) -> DataFrame:
     """One manifest row per file under ``root/<ticker>/<filing type>/…``.
 
-    Only names are listed: the file contents are not among the columns read.
+    Only names are listed: the file contents are not among the columns read. Files of zero bytes, as
+    a broken download leaves them, do not show up.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)

@@ -104,7 +104,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 def dates_with_files(spark: SparkSession, path: str) -> DataFrame:
     """(date) of every partition or daily file that has at least one data file, also one without
-    rows. Names that are no dates are ignored. Lists files; opens none."""
+    rows. Names that are no dates are ignored. Lists files; reads no data."""
     try:
         files = (
             spark.read.format("binaryFile")

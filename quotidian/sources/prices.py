@@ -97,12 +97,12 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
+def last_bars(prices: DataFrame, ticker: str, bars: int = schemas.HISTORY_BARS) -> DataFrame:
+    """The last ``bars`` rows of a ticker, in no order."""
+    return prices.where(F.col("ticker") == ticker).orderBy(F.desc("date")).limit(bars)
+
+
 def price_history(prices: DataFrame, ticker: str, bars: int = schemas.HISTORY_BARS) -> DataFrame:
     """The last ``bars`` bars of a ticker in chronological order."""
-    return (
-        prices.where(F.col("ticker") == ticker)
-        .select("date", "open", "high", "low", "close", "volume")
-        .orderBy(F.desc("date"))
-        .limit(bars)
-        .orderBy("date")
-    )
+    recent = last_bars(prices, ticker, bars)
+    return recent.select("date", "open", "high", "low", "close", "volume").orderBy("date")
