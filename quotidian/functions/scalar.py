@@ -25,10 +25,9 @@ def to_number(value: Column | str) -> Column:
     """
     column = as_column(value)
     number = column.try_cast("double")
-    text = F.lower(F.rtrim(column.cast("string")))
-    java_suffix = F.endswith(text, F.lit("d")) | (
-        F.endswith(text, F.lit("f")) & ~F.endswith(text, F.lit("inf"))
-    )
+    last = F.substring(F.rtrim(column.cast("string")), -1, 1)
+    # "inf" ends in a suffix letter too, but is a number.
+    java_suffix = last.isin("d", "D", "f", "F") & (F.abs(number) != float("inf"))
     return F.when(number.isNotNull() & ~F.isnan(number) & ~java_suffix, number)
 
 

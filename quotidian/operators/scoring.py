@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,23 +17,28 @@ def zscores(
 ) -> DataFrame:
     """Adds ``<value>_zscore``: distance from the group's mean in its sample deviations.
 
-    NULL values stay NULL and do not count; a group of one, or without spread, gives NULL.
+    NULL values stay NULL and do not count; a group of one, or without spread, gives NULL, and so
+    does a row without a group.
 
     The statistics are an aggregate joined back rather than a window, because one date may hold the
     whole table and a window would put it into one task. Grouped by a date the statistics have at
     most one row per calendar day, which bounds the broadcast; for other groupings Spark decides.
     """
-    stats = df.groupBy(group_col).agg(
+    stats = df.groupBy(F.col(group_col).alias("__group")).agg(
         *[F.avg(c).alias(f"__{c}_mean") for c in value_cols],
         *[F.stddev_samp(c).alias(f"__{c}_std") for c in value_cols],
     )
     if isinstance(df.schema[group_col].dataType, T.DateType):
         stats = F.broadcast(stats)
-    scaled = [
-        F.try_divide(F.col(c) - F.col(f"__{c}_mean"), F.col(f"__{c}_std")).alias(f"{c}{suffix}")
-        for c in value_cols
-    ]
-    return df.join(stats, group_col, "left").select(*df.columns, *scaled)
+    # A null-safe match adds no "is not null" to the statistics' branch, so that both branches stay
+    # equal and Spark runs what is below them once.
+    joined = df.join(stats, F.col(group_col).eqNullSafe(F.col("__group")), "left")
+
+    def scaled(c: str) -> Column:
+        z = F.try_divide(F.col(c) - F.col(f"__{c}_mean"), F.col(f"__{c}_std"))
+        return F.when(F.col(group_col).isNotNull(), z).alias(f"{c}{suffix}")
+
+    return joined.select(*df.columns, *[scaled(c) for c in value_cols])
 
 
 def normalize_to_zscore(
@@ -44,7 +49,7 @@ def normalize_to_zscore(
     return scaled.withColumnRenamed(f"{value_col}_zscore", out) if out else scaled
 
 
-def mean_of_available(columns: Sequence[str]):
+def mean_of_available(columns: Sequence[str]) -> Column:
     """Mean over the non-null columns of a row; NULL if there is none."""
     total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in columns), F.lit(0.0))
     present = sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))

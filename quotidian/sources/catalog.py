@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotidian import schemas
+from quotidian.sources import lake as lake_io
+from quotidian.sources.lake import Lake
+
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 
 
@@ -108,3 +112,39 @@ def table_or_empty(
     if table_exists(spark, table, database):
         return spark.table(f"{database}.{table}" if database else table)
     return spark.createDataFrame([], schema)
+
+
+def lake_tables(lake: Lake) -> dict[tuple[str, str], tuple[str, T.StructType, tuple[str, ...]]]:
+    """(schema, table) to (location, columns, partition columns) of everything a lake stores."""
+    return {
+        ("raw", "prices"): (lake.raw_prices, schemas.RAW_PRICES, ("date",)),
+        ("raw", "filings"): (lake.raw_filings, schemas.QUARTERLY_FUNDAMENTALS, ("year", "quarter")),
+        ("curated", "daily_prices"): (lake.daily_prices, schemas.DAILY_PRICES, ("date",)),
+        ("curated", "quarterly_fundamentals"): (
+            lake.quarterly_fundamentals, schemas.QUARTERLY_FUNDAMENTALS, ("year", "quarter"),
+        ),
+        ("marts", "signal_scores"): (lake.signal_scores, schemas.SIGNAL_SCORES, ("date",)),
+        ("marts", "positions"): (lake.positions, schemas.POSITIONS, ("date",)),
+    }
+
+
+def register_lake(spark: SparkSession, lake: Lake) -> None:
+    """Makes a lake's tables known as ``raw.*``, ``curated.*`` and ``marts.*`` for SQL.
+
+    The tables are external: registering or dropping them leaves their files alone. Layers that
+    were never written are empty tables. Partitions are picked up from the folders; register again
+    after a run has added some.
+    """
+    for (schema, name), (path, columns, partition_by) in lake_tables(lake).items():
+        known = lake_io.read_table(spark, path, columns)
+        fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in known.schema)
+        by = ", ".join(quoted(c) for c in partition_by)
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(schema)}")
+        table = f"{quoted(schema)}.{quoted(name)}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        location = path.replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY ({by}) LOCATION '{location}'"
+        )
+        if lake_io.is_written(spark, path):
+            spark.catalog.recoverPartitions(f"{schema}.{name}")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quotidian import schemas
 from quotidian.functions import scalar
 from quotidian.operators.curation import prefer_filing_type
+from quotidian.sources.lake import or_empty
 
 
 def list_filings(spark: SparkSession, root: str) -> DataFrame:
@@ -44,13 +45,13 @@ def build_manifest(spark: SparkSession, root: str, run_date: date) -> DataFrame:
 def read_manifests(spark: SparkSession, root: str, run_date: date | None = None) -> DataFrame:
     """Raw manifests (``year=/quarter=`` partitions), of one quarter if a run date is given.
 
-    A file called ``manifest.parquet`` is a summary of the others and is left out.
+    A file called ``manifest.parquet`` is a summary of the others and is left out. Empty if nothing
+    was written.
     """
-    rows = (
-        spark.read.schema(schemas.QUARTERLY_FUNDAMENTALS)
-        .option("ignoreCorruptFiles", True)
-        .parquet(root)
-        .where(F.col("_metadata.file_name") != "manifest.parquet")
+    reader = spark.read.schema(schemas.QUARTERLY_FUNDAMENTALS).option("ignoreCorruptFiles", True)
+    summary = F.col("_metadata.file_name") == "manifest.parquet"
+    rows = or_empty(
+        spark, lambda: reader.parquet(root).where(~summary), schemas.QUARTERLY_FUNDAMENTALS
     )
     if run_date is not None:
         rows = rows.where(

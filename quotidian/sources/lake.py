@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -87,14 +87,35 @@ def overwrite_date(df: DataFrame, path: str, day: date, sort_by: Sequence[str] =
     )
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table in its schema plus any further columns; typed and empty if nothing was written."""
+NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def or_empty(
+    spark: SparkSession, read: Callable[[], DataFrame], schema: T.StructType
+) -> DataFrame:
+    """What ``read`` gives, or a typed empty table where nothing was written yet."""
+    try:
+        return read()
+    except AnalysisException as exc:
+        if exc.getCondition() not in NOTHING_WRITTEN:
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether there is any Parquet file below the path."""
     try:
-        stored = spark.read.option("mergeSchema", True).parquet(path)
+        spark.read.parquet(path)
     except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return spark.createDataFrame([], schema)
-        raise
+        if exc.getCondition() not in NOTHING_WRITTEN:
+            raise
+        return False
+    return True
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table in its schema plus any further columns; typed and empty if nothing was written."""
+    stored = or_empty(spark, lambda: spark.read.option("mergeSchema", True).parquet(path), schema)
     known = [
         (F.col(f.name) if f.name in stored.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema
@@ -105,19 +126,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def dates_with_files(spark: SparkSession, path: str) -> DataFrame:
     """(date) of every partition or daily file that has at least one data file, also one without
     rows. Names that are no dates are ignored. Lists files; reads no data."""
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .load(path)
-        )
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], T.StructType([schemas.DAILY_PRICES["date"]]))
-    days = files.select(scalar.day_from_path("path").alias("date"))
-    return days.dropna().distinct()
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+    )
+    paths = or_empty(
+        spark,
+        lambda: files.load(path).select("path"),
+        T.StructType([T.StructField("path", T.StringType())]),
+    )
+    return paths.select(scalar.day_from_path("path").alias("date")).dropna().distinct()
 
 
 def dates_done(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -7,9 +7,11 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotidian import schemas
 from quotidian.functions import scalar
+from quotidian.sources.lake import or_empty
 
 DATE_NAMES = ("date", "datetime")
 
@@ -70,22 +72,32 @@ def last_at_or_before(
     )
 
 
+RAW_WITH_ORDER = T.StructType([
+    *schemas.RAW_PRICES.fields,
+    T.StructField("file_time", T.TimestampType()),
+    T.StructField("file_path", T.StringType()),
+])
+
+
 def read_raw(spark: SparkSession, root: str, skip_unreadable: bool = True) -> DataFrame:
-    """The raw layer, a ``date=`` partitioned table, with its ingest order.
+    """The raw layer, a ``date=`` partitioned table, with its ingest order; empty if never written.
 
     Unreadable files are skipped, as a bad download must not stop a day. ``file_time`` and
     ``file_path`` order rows by when their files were written.
     """
-    return (
+    reader = (
         spark.read.schema(schemas.RAW_PRICES)
         .option("ignoreCorruptFiles", skip_unreadable)
         .option("ignoreMissingFiles", skip_unreadable)
-        .parquet(root)
-        .select(
-            *schemas.RAW_PRICES.names,
-            F.col("_metadata.file_modification_time").alias("file_time"),
-            F.col("_metadata.file_path").alias("file_path"),
-        )
+    )
+    order = (
+        F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_path").alias("file_path"),
+    )
+    return or_empty(
+        spark,
+        lambda: reader.parquet(root).select(*schemas.RAW_PRICES.names, *order),
+        RAW_WITH_ORDER,
     )
 
 
