@@ -75,7 +75,7 @@ def build_dates(
     )
     staged = scratch_dir(spark, "scores")
     to_mart(score_signals(features)).write.partitionBy("date").parquet(staged)
-    scores = lake_io.read_table(spark, staged, schemas.SIGNAL_SCORES)
+    scores = lake_io.read_scores(spark, staged)
     book = lake_io.conform(generate_positions(scores), schemas.POSITIONS)
 
     lake_io.overwrite_partitions(scores, lake.signal_scores)

@@ -104,7 +104,7 @@ def build_day(
     scores = to_mart(score_signals(features, fundamentals))
     lake_io.overwrite_date(scores, lake.signal_scores, run_date)
 
-    stored = lake_io.read_table(spark, lake.signal_scores, schemas.SIGNAL_SCORES)
+    stored = lake_io.read_scores(spark, lake.signal_scores)
     book = generate_positions(stored, run_date)
     lake_io.overwrite_date(
         lake_io.conform(book, schemas.POSITIONS), lake.positions, run_date, ["position_type", "rank"]

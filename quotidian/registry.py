@@ -569,5 +569,5 @@ def backfill_build(spark, folder):
     backfill.backfill(
         spark, lake, WEEK_END, WEEK_START, run_curation=False, run_features=True
     )
-    stored = lake_io.read_table(spark, lake.signal_scores, schemas.SIGNAL_SCORES)
+    stored = lake_io.read_scores(spark, lake.signal_scores)
     return rounded(stored, *Z_COLUMNS, "signal_score")

@@ -136,8 +136,9 @@ def register_lake(spark: SparkSession, lake: Lake) -> None:
     after a run has added some.
     """
     for (schema, name), (path, columns, partition_by) in lake_tables(lake).items():
-        known = lake_io.read_table(spark, path, columns)
-        fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in known.schema)
+        if columns is schemas.SIGNAL_SCORES:
+            columns = lake_io.read_scores(spark, path).schema
+        fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in columns)
         by = ", ".join(quoted(c) for c in partition_by)
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(schema)}")
         table = f"{quoted(schema)}.{quoted(name)}"

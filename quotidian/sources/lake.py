@@ -114,7 +114,17 @@ def is_written(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table in its schema plus any further columns; typed and empty if nothing was written."""
+    """The table in its schema, without opening files to find it; typed and empty if nothing was
+    written."""
+    return or_empty(spark, lambda: spark.read.schema(schema).parquet(path), schema).select(
+        *schema.names
+    )
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """The scores, whose width may differ by date: the mart's columns, then any further z-scores
+    and fundamentals that some date has."""
+    schema = schemas.SIGNAL_SCORES
     stored = or_empty(spark, lambda: spark.read.option("mergeSchema", True).parquet(path), schema)
     known = [
         (F.col(f.name) if f.name in stored.columns else F.lit(None)).cast(f.dataType).alias(f.name)

@@ -70,7 +70,7 @@ def test_scores_may_gain_columns(spark, tmp_path):
     wide = spark.createDataFrame([("A", D2, 1.0, 2.0)], "ticker string, date date, signal_score double, x_zscore double")
     lake_io.overwrite_date(base, path, D1)
     lake_io.overwrite_date(wide, path, D2)
-    df = lake_io.read_table(spark, path, schemas.SIGNAL_SCORES)
+    df = lake_io.read_scores(spark, path)
     assert df.columns == [*schemas.SIGNAL_SCORES.names, "x_zscore"]
     assert {r["date"]: r["x_zscore"] for r in df.collect()} == {D1: None, D2: 2.0}
 

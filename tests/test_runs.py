@@ -38,7 +38,7 @@ def table(spark, path, schema):
 
 def marts_of(spark, lake):
     return (
-        table(spark, lake.signal_scores, schemas.SIGNAL_SCORES),
+        sorted((tuple(r) for r in lake_io.read_scores(spark, lake.signal_scores).collect()), key=str),
         table(spark, lake.positions, schemas.POSITIONS),
     )
 
