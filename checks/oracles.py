@@ -407,6 +407,11 @@ ORACLES: dict[str, str] = {
     "ticker_score_date": f"""
         WITH {BRAND_SCORES}
         SELECT coalesce(max(date) FILTER (ticker = '{BRAND}'), max(date)) AS date FROM scores""",
+    "ticker_features_latest": f"""
+        WITH {BRAND_PANEL}
+        SELECT {FEATURE_COLUMNS} FROM features
+        WHERE ticker = '{BRAND}'
+          AND date = (SELECT max(date) FROM features WHERE ticker = '{BRAND}')""",
     "ticker_score": f"""
         WITH {SUPPLIER_SCORES}
         SELECT ticker, date, {r6("signal_score", "signal_score")},

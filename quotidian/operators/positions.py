@@ -43,8 +43,12 @@ def generate_positions(
 ) -> DataFrame:
     """Top ``n_longs`` and bottom ``n_shorts`` of each date (or of ``as_of``) among scored tickers.
 
-    With fewer scored tickers than both sides need, some are long and short at once.
+    With fewer scored tickers than both sides need, some are long and short at once. Signals without
+    a date or a score column give an empty book.
     """
+    if not {"ticker", "date", signal_col} <= set(signals.columns):
+        book = signals.sparkSession.createDataFrame([], schemas.POSITIONS)
+        return book.withColumnRenamed("signal_score", signal_col)
     scored = signals.where(F.col(signal_col).isNotNull()).select("ticker", "date", signal_col)
     if as_of is not None:
         scored = scored.where(F.col("date") == F.lit(as_of))

@@ -143,12 +143,17 @@ def validate_daily_prices(prices: DataFrame, fail_on_error: bool = True) -> dict
     Runs one job and brings back one row per check. With ``fail_on_error`` the first failed error
     check raises.
     """
-    missing = [c for c in REQUIRED if c not in prices.columns]
-    if missing:
-        message = f"Missing required columns: {missing}"
+    try:
+        _with_required(prices)
+    except ValidationError as exc:
+        tickers = F.count_distinct("ticker") if "ticker" in prices.columns else F.lit(0)
+        total, unique = prices.agg(F.count(F.lit(1)), tickers).first()
+        stats = {"total_rows": total, "unique_tickers": unique}
+        if total == 0:
+            return {"valid": True, "errors": [], "warnings": ["Empty DataFrame"], "stats": stats}
         if fail_on_error:
-            raise ValidationError(message)
-        return {"valid": False, "errors": [message], "warnings": [], "stats": {}}
+            raise
+        return {"valid": False, "errors": [str(exc)], "warnings": [], "stats": stats}
 
     report = quality_report(prices).collect()
     stats = {

@@ -6,7 +6,6 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from quotidian import schemas
 from quotidian.operators import curation
@@ -36,13 +35,13 @@ def in_ingest_windows(
 
 
 def with_enough_history(dates: DataFrame, min_dates: int = schemas.MIN_HISTORY_ROWS) -> DataFrame:
-    """The dates that have at least ``min_dates`` other dates before them.
-
-    The one window without a partition: its input is one row per calendar day.
-    """
+    """The dates that have at least ``min_dates`` other dates before them: those after the
+    ``min_dates``-th, which a top-n finds without ordering all of them in one task."""
     distinct = dates.select("date").distinct()
-    earlier = F.row_number().over(Window.orderBy("date")) - 1
-    return distinct.withColumn("earlier", earlier).where(F.col("earlier") >= min_dates).select("date")
+    if min_dates < 1:
+        return distinct
+    earliest = distinct.orderBy("date").limit(min_dates)
+    return distinct.where(F.col("date") > earliest.agg(F.max("date")).scalar())
 
 
 def dates_to_process(

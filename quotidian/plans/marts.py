@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quotidian import schemas
 from quotidian.functions import scalar
+from quotidian.operators.features import price_features_as_of, price_features_panel
 from quotidian.operators.positions import bottom_per_date, top_per_date
 from quotidian.sources.prices import last_bars
 from quotidian.sources.universe import enrich
@@ -184,16 +185,33 @@ def feature_breakdown(features: DataFrame) -> DataFrame:
     )
 
 
+def features_of_ticker(
+    prices: DataFrame,
+    scores: DataFrame,
+    ticker: str,
+    as_of: date | None = None,
+    lookback_days: int = schemas.FEATURE_LOOKBACK_DAYS,
+) -> DataFrame:
+    """A ticker's features as of a date, by default its latest score date, else the latest of all.
+
+    The default date is found inside the plan: features are asked for on a calendar of one date.
+    """
+    own = prices.where(F.col("ticker") == ticker)
+    if as_of is not None:
+        return price_features_as_of(own, as_of, lookback_days)
+    return price_features_panel(own, latest_score_date(scores, ticker), lookback_days)
+
+
 def single_name(
     prices: DataFrame,
     scores: DataFrame,
-    features: DataFrame,
     ticker: str,
     as_of: date | None = None,
+    lookback_days: int = schemas.FEATURE_LOOKBACK_DAYS,
 ) -> dict[str, DataFrame]:
     """Price history with bands, score, and feature breakdown of one ticker. The history is always
     the latest one, whatever the date."""
-    own = features.where(F.col("ticker") == ticker)
+    own = features_of_ticker(prices, scores, ticker, as_of, lookback_days)
     return {
         "prices": volatility_bands(prices, own, ticker),
         "score": ticker_score(scores, ticker, as_of),

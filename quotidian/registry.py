@@ -396,6 +396,15 @@ def ticker_score_date(spark, folder):
     return marts.latest_score_date(brand_scores(spark, folder), BRAND)
 
 
+@query
+def ticker_features_latest(spark, folder):
+    """A brand's features on its own latest score date."""
+    own = marts.features_of_ticker(
+        warehouse.brand_bars(spark, folder), brand_scores(spark, folder), BRAND
+    )
+    return rounded(own, *schemas.PRICE_FEATURE_COLUMNS)
+
+
 @query
 def ticker_score(spark, folder):
     return rounded(marts.ticker_score(supplier_scores(spark, folder), TICKER), "signal_score")

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 
@@ -134,8 +134,29 @@ def test_breakdown_lists_known_features_with_labels(spark):
     assert all(r["description"] for r in got)
 
 
-def test_single_name(spark, scores, prices):
-    got = marts.single_name(prices({}), scores, features(spark, ("A", D2, 0.3, 0.1, 0.2), ("B", D2, 1.0, 1.0, 1.0)), "A")
-    assert got["prices"].count() == 1
-    assert got["score"].first()["signal_score"] == 1.0
+@pytest.fixture
+def long_history(prices):
+    days = [D2 - timedelta(days=i) for i in range(80)]
+    return prices(*[
+        {"ticker": t, "date": d, "close": 10.0 + (d.toordinal() * 7) % 5} for t in "AB" for d in days
+    ])
+
+
+def test_features_of_a_ticker_on_its_latest_score_date(scores, long_history):
+    early = scores.where("not (ticker = 'A' and date = '2024-06-28')")
+    got = marts.features_of_ticker(long_history, early, "A").collect()
+    assert [(r["ticker"], r["date"]) for r in got] == [("A", D1)]
+    asked = marts.features_of_ticker(long_history, early, "A", D1).collect()
+    assert got[0]["realized_vol_20d"] == pytest.approx(asked[0]["realized_vol_20d"])
+    assert got[0]["momentum_60d"] == pytest.approx(asked[0]["momentum_60d"])
+    assert marts.features_of_ticker(long_history, early, "nobody").count() == 0
+    assert marts.features_of_ticker(long_history, early.limit(0), "A").count() == 0
+
+
+@pytest.mark.parametrize("as_of", [None, D1])
+def test_single_name(scores, long_history, as_of):
+    got = marts.single_name(long_history, scores, "A", as_of)
+    assert got["prices"].count() == 60
+    assert got["prices"].where("upper_band > close and lower_band < close").count() == 60
+    assert got["score"].first()["signal_score"] == (1.0 if as_of is None else 0.5)
     assert got["features"].count() == 3

@@ -43,11 +43,14 @@ def test_nested_loops_only_over_the_statistics_of_one_date(plans):
                 assert "__momentum_60d_mean" in plan, name
 
 
-def test_unpartitioned_windows_only_over_calendars(plans):
-    allowed = {"dates_with_history", "dates_to_process"}
+def test_unpartitioned_windows_only_over_a_cut_book(plans):
+    # A literal date leaves a window without a partition; it then sees the top n alone.
     for name, plan in plans.items():
-        whole = re.findall(r"Window \[row_number\(\) windowspecdefinition\(date ", plan)
-        assert not whole or name in allowed, name
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if re.search(r"Window \[row_number\(\) windowspecdefinition\((signal_score|date) ", line):
+                below = " ".join(lines[i + 1:i + 6])
+                assert "TakeOrderedAndProject" in below or "WindowGroupLimit" in below or "from_end <=" in below, (name, line)
 
 
 def test_lookback_reaches_the_scan(plans):

@@ -57,6 +57,13 @@ def test_empty_signals(spark):
     assert df.count() == 0
 
 
+@pytest.mark.parametrize("absent", ["date", "signal_score"])
+def test_missing_columns_give_an_empty_book(spark, absent):
+    df = generate_positions(signals(spark, {"A": 1.0}).drop(absent))
+    assert df.columns == ["ticker", "date", "position_type", "signal_score", "rank"]
+    assert df.count() == 0
+
+
 def test_other_signal_column(spark):
     df = signals(spark, {"A": 1.0}).withColumnRenamed("signal_score", "alpha")
     assert generate_positions(df, signal_col="alpha").columns[3] == "alpha"

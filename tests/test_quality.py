@@ -76,6 +76,9 @@ def test_missing_columns(prices):
         validate_daily_prices(df)
     result = validate_daily_prices(df, fail_on_error=False)
     assert not result["valid"] and len(result["errors"]) == 1
+    assert result["stats"] == {"total_rows": 1, "unique_tickers": 1}
+    assert validate_daily_prices(df.limit(0))["valid"]
+    assert validate_daily_prices(df.drop("ticker"), fail_on_error=False)["stats"]["unique_tickers"] == 0
 
 
 def test_empty_input_is_valid_with_a_warning(prices):

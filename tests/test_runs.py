@@ -174,6 +174,15 @@ def test_backfill_without_data(spark, lake):
     assert marts_of(spark, lake) == ([], [])
 
 
+@pytest.mark.parametrize("n, kept", [(60, 0), (61, 1), (70, 10), (3, 0)])
+def test_enough_history(spark, n, kept):
+    days = [(END - timedelta(days=2 * i),) for i in range(n)]
+    df = spark.createDataFrame(days + days, "date date")
+    got = sorted(r["date"] for r in backfill.with_enough_history(df).collect())
+    assert got == sorted(d for d, in days)[n - kept:] if kept else got == []
+    assert backfill.with_enough_history(df, 0).count() == n
+
+
 def test_anchors():
     a, b = date(2024, 1, 1), date(2024, 12, 31)
     expected = [date(2024, 1, 6), date(2024, 5, 5), date(2024, 9, 2), date(2024, 12, 31)]

@@ -87,6 +87,12 @@ def test_zscores_have_mean_zero_and_deviation_one(spark):
         assert row["m"] == pytest.approx(0, abs=1e-9) and row["s"] == pytest.approx(1)
 
 
+def test_no_feature_columns_give_an_empty_result(spark):
+    df = spark.createDataFrame([("A", D1)], "ticker string, date date")
+    assert score_signals(df).columns == ["ticker", "date", "signal_score"]
+    assert score_signals(df).count() == 0
+
+
 def test_mart_form_has_all_columns(spark):
     empty = spark.createDataFrame([], "ticker string, date date, signal_score double, extra double")
     assert to_mart(empty).columns == [*schemas.SIGNAL_SCORES.names, "extra"]
