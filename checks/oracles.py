@@ -337,7 +337,10 @@ ORACLES: dict[str, str] = {
     "dates_with_history": f"""
         WITH days AS ({RAW_DATES})
         SELECT date FROM days d WHERE (SELECT count(*) FROM days e WHERE e.date < d.date) >= 60""",
-    "curate_prices": f"SELECT * FROM ({CURATED}) WHERE date = DATE '{BRAND_AS_OF}'",
+    "curate_prices": f"""
+        SELECT * FROM ({CURATED})
+        WHERE date = (SELECT coalesce(max(date) FILTER (date = DATE '{BRAND_AS_OF}'), max(date))
+                      FROM ({RAW_DATES}))""",
     "curate_prices_fallback": f"""
         SELECT * FROM ({CURATED})
         WHERE date = (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)""",
