@@ -18,17 +18,20 @@ def parse_run_date(text: str | None = None) -> date:
 
 
 def to_number(value: Column | str) -> Column:
-    """Double, or NULL where the value is no number.
+    """Double, or NULL where the text is no decimal number.
 
-    Spark also accepts Java's type suffixes (``1d``, ``2.5f``) and the text ``nan``; neither is a
-    price, so both become NULL.
+    Spark's cast takes more than that: Java's type suffixes (``1d``, ``2.5f``), hexadecimal floats,
+    and exponents too large for a double, which become infinite. Those and ``nan`` are NULL here;
+    a spelt-out infinity is kept.
     """
     column = as_column(value)
     number = column.try_cast("double")
-    last = F.substring(F.rtrim(column.cast("string")), -1, 1)
-    # "inf" ends in a suffix letter too, but is a number.
-    java_suffix = last.isin("d", "D", "f", "F") & (F.abs(number) != float("inf"))
-    return F.when(number.isNotNull() & ~F.isnan(number) & ~java_suffix, number)
+    text = F.rtrim(column.cast("string"), F.lit(" \t\r\n\f"))
+    last = F.substring(text, -1, 1)
+    hexadecimal = F.contains(text, F.lit("x")) | F.contains(text, F.lit("X"))
+    spelt_infinity = (F.abs(number) == float("inf")) & last.isin("f", "F", "y", "Y")
+    finite = (F.abs(number) < float("inf")) & ~last.isin("d", "D", "f", "F") & ~hexadecimal
+    return F.when(finite | spelt_infinity, number)
 
 
 def whole_number(number: Column) -> Column:

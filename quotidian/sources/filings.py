@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,25 +22,36 @@ def list_filings(spark: SparkSession, root: str) -> DataFrame:
     a broken download leaves them, do not show up.
     """
     files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(root)
         .select("path", "modificationTime")
     )
-    below = F.regexp_extract("path", r"/([^/]+)/(10-[^/]+)/.+$", 0)
-    return files.select(
-        F.regexp_extract(below, r"^/([^/]+)/", 1).alias("ticker"),
-        F.regexp_extract(below, r"^/[^/]+/([^/]+)/", 1).alias("filing_type"),
+    folder = re.sub(r"^[a-z0-9+.-]+:/*|^\./", "", root.rstrip("/"))
+    below = F.regexp_extract("path", rf"\Q{folder}\E/([^/]+/[^/]+)/.+$", 1)
+    parts = F.split(below, "/")
+    return files.where(below != "").select(
+        parts[0].alias("ticker"),
+        parts[1].alias("filing_type"),
         F.col("modificationTime").alias("download_time"),
         F.col("path").alias("file_path"),
         F.lit(schemas.FILING_SOURCE).alias("source"),
-    ).where(F.col("ticker") != "")
+    )
 
 
-def build_manifest(spark: SparkSession, root: str, run_date: date) -> DataFrame:
-    """The quarter's manifest with its partition columns; annual reports only where a ticker has no
-    quarterly one. Typed and empty without files."""
-    listed = prefer_filing_type(list_filings(spark, root))
-    return listed.withColumn("year", F.lit(run_date.year)).withColumn(
-        "quarter", F.lit(scalar.quarter_label_of(run_date))
+def build_manifest(
+    spark: SparkSession,
+    root: str,
+    run_date: date,
+    priority: Sequence[str] = schemas.FILING_PRIORITY,
+) -> DataFrame:
+    """The quarter's manifest with its partition columns; by default annual reports only where a
+    ticker has no quarterly one. Typed and empty without files."""
+    listed = or_empty(spark, lambda: list_filings(spark, root), schemas.MANIFEST)
+    return (
+        prefer_filing_type(listed, priority)
+        .withColumn("year", F.lit(run_date.year))
+        .withColumn("quarter", F.lit(scalar.quarter_label_of(run_date)))
     )
 
 

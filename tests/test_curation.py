@@ -1,9 +1,12 @@
+import random
 from datetime import date, datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from quotidian import schemas
+from quotidian.functions import scalar
 from quotidian.operators import curation
 
 D1, D2, D3 = date(2024, 6, 26), date(2024, 6, 27), date(2024, 6, 28)
@@ -24,12 +27,28 @@ def test_missing_columns_raise(spark):
 @pytest.mark.parametrize("text, number", [
     ("2", 2.0), (" 2.5 ", 2.5), ("1e3", 1000.0), ("", None), ("x", None), (None, None),
     ("nan", None), ("1d", None), ("2.5f", None), ("3D ", None), ("inf", float("inf")),
+    ("-Infinity", float("-inf")), ("1e400", None), ("0x1p3", None), ("4d\t", None), ("\t4 ", 4.0),
 ])
 def test_text_to_number(spark, text, number):
     got = curation.coerce_prices(raw(spark, (D1, "A", text, "1", 1))).first()
     assert got["close"] == number
 
 
+def test_random_text_parses_as_in_pandas(spark):
+    rng = random.Random(1)
+    letters = "0123456789" * 2 + ".eE+-dDfF naixINFtyp_,\t"
+    texts = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(20000)})
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["n"] for r in df.select("t", scalar.to_number("t").alias("n")).collect()}
+    expected = pd.to_numeric(pd.Series(texts, dtype=object), errors="coerce")
+    for text, number in zip(texts, expected):
+        if pd.isna(number):
+            # pandas also gives up on a zero with an exponent too large for a double.
+            assert got[text] is None or got[text] == 0, text
+        else:
+            assert got[text] == pytest.approx(number, rel=1e-12), text
+
+
 def test_nan_in_a_number_column_becomes_null(spark):
     df = raw(spark, (D1, "A", "1", "1", 1)).withColumn("close", F.lit(float("nan")))
     assert curation.coerce_prices(df).first()["close"] is None

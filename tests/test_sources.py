@@ -86,6 +86,10 @@ def test_manifest_of_downloaded_files(spark, tmp_path):
     write(f"{root}/AAA/10-K/0002/full-submission.txt", "k")
     write(f"{root}/BRK.B/10-K/0003/full-submission.txt", "k")
     write(f"{root}/stray.txt", "?")
+    write(f"{root}/AAA/8-K/0009/x.txt", "e")
+    assert filings.list_filings(spark, f"file:{root}/").count() == 5
+    assert [r["filing_type"] for r in filings.build_manifest(spark, root, D, ["8-K"]).collect()] == ["8-K"]
+    assert filings.build_manifest(spark, f"{root}/none", D).count() == 0
     manifest = filings.build_manifest(spark, root, D)
     rows = manifest.collect()
     assert sorted((r["ticker"], r["filing_type"]) for r in rows) == [("AAA", "10-Q"), ("AAA", "10-Q"), ("BRK.B", "10-K")]
