@@ -25,6 +25,7 @@ SEVERITY = {
     "overnight_change": "warning",
 }
 
+# The report's texts.
 MESSAGES = {
     "high_below_low": "Found {n} rows where high < low",
     "close_outside_range": "Found {n} rows where close is outside [low, high] range",

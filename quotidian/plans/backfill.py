@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotidian import schemas
-from quotidian.operators import curation
+from quotidian.operators import curation, quality
 from quotidian.operators.features import price_features_panel
 from quotidian.operators.positions import generate_positions
 from quotidian.operators.scoring import score_signals, to_mart
-from quotidian.plans.daily import INGEST_ORDER, append_raw_prices
+from quotidian.plans.daily import INGEST_ORDER, append_raw_prices, curate_filings_of
 from quotidian.session import scratch_dir
 from quotidian.sources import lake as lake_io
 from quotidian.sources import prices
@@ -100,11 +100,12 @@ def backfill(
     run_features: bool = False,
     skip_existing: bool = True,
     lookback_days: int = schemas.FEATURE_LOOKBACK_DAYS,
-) -> None:
+) -> dict | None:
     """Ingests (if a landing folder is given), curates and builds every date of the range.
 
     The bounds may come in either order. With ``skip_existing`` dates that already have scores or
-    positions are left alone. Features need enough raw dates before their date.
+    positions are left alone. Features need enough raw dates before their date. Returns the
+    quality report on what was curated; findings do not stop the run.
     """
     end_date = end_date or target_date
     start, end = min(target_date, end_date), max(target_date, end_date)
@@ -118,19 +119,26 @@ def backfill(
     # Listed before anything is written, as the writes below change what is done.
     chosen = [r["date"] for r in dates_to_process(available, done, start, end).collect()]
     if not chosen:
-        return
+        return None
     dates = spark.createDataFrame([(d,) for d in chosen], "date date")
 
+    report = None
     if run_curation:
         raw = prices.read_raw(spark, lake.raw_prices).where(
             F.col("date").between(F.lit(start), F.lit(end))
         )
         wanted = raw.join(F.broadcast(dates), "date", "left_semi")
         lake_io.overwrite_partitions(curation.curate_all_dates(wanted, INGEST_ORDER), lake.daily_prices)
+        curate_filings_of(spark, lake, chosen)
+        stored = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
+        report = quality.validate_daily_prices(
+            stored.join(F.broadcast(dates), "date", "left_semi"), fail_on_error=False
+        )
 
     if run_features:
         ready = dates.join(with_enough_history(available), "date", "left_semi")
         build_dates(spark, lake, ready, start, end, lookback_days)
+    return report
 
 
 def anchors(start: date, end: date, step_days: int = schemas.INGEST_WINDOW_DAYS) -> list[date]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,9 +42,15 @@ def ingest_prices(spark: SparkSession, lake: Lake, landing: str, run_date: date)
     return prices.last_at_or_before(window, run_date)
 
 
-def ingest_filings(spark: SparkSession, lake: Lake, downloads: str, run_date: date) -> None:
+def ingest_filings(
+    spark: SparkSession,
+    lake: Lake,
+    downloads: str,
+    run_date: date,
+    priority: Sequence[str] = schemas.FILING_PRIORITY,
+) -> None:
     """The manifest of the quarter's downloads into the raw layer."""
-    manifest = filings.build_manifest(spark, downloads, run_date)
+    manifest = filings.build_manifest(spark, downloads, run_date, priority)
     lake_io.overwrite_partitions(
         manifest, lake.raw_filings, ["year", "quarter"], ["ticker", "filing_type"]
     )
@@ -69,9 +76,9 @@ def curate_prices_day(spark: SparkSession, lake: Lake, run_date: date) -> dict |
     return {"date": day, **report}
 
 
-def curate_filings_quarter(spark: SparkSession, lake: Lake, run_date: date) -> None:
-    """Replaces the curated fundamentals of the run date's quarter."""
-    manifest = filings.read_manifests(spark, lake.raw_filings, run_date)
+def curate_filings_of(spark: SparkSession, lake: Lake, days: Sequence[date]) -> None:
+    """Replaces the curated fundamentals of the days' quarters, all in one job."""
+    manifest = filings.read_manifests(spark, lake.raw_filings, days)
     lake_io.overwrite_partitions(
         curation.curate_filings(manifest),
         lake.quarterly_fundamentals,
@@ -84,7 +91,7 @@ def curate_day(spark: SparkSession, lake: Lake, run_date: date, with_filings: bo
     """Prices, then the quarter's filings."""
     report = curate_prices_day(spark, lake, run_date)
     if with_filings:
-        curate_filings_quarter(spark, lake, run_date)
+        curate_filings_of(spark, lake, [run_date])
     return report
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import operator
 import re
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,8 +57,8 @@ def build_manifest(
     )
 
 
-def read_manifests(spark: SparkSession, root: str, run_date: date | None = None) -> DataFrame:
-    """Raw manifests (``year=/quarter=`` partitions), of one quarter if a run date is given.
+def read_manifests(spark: SparkSession, root: str, days: Sequence[date] = ()) -> DataFrame:
+    """Raw manifests (``year=/quarter=`` partitions), only of the days' quarters if any are given.
 
     A file called ``manifest.parquet`` is a summary of the others and is left out. Empty if nothing
     was written.
@@ -66,9 +68,8 @@ def read_manifests(spark: SparkSession, root: str, run_date: date | None = None)
     rows = or_empty(
         spark, lambda: reader.parquet(root).where(~summary), schemas.QUARTERLY_FUNDAMENTALS
     )
-    if run_date is not None:
-        rows = rows.where(
-            (F.col("year") == run_date.year)
-            & (F.col("quarter") == scalar.quarter_label_of(run_date))
-        )
-    return rows
+    quarters = sorted({(d.year, scalar.quarter_label_of(d)) for d in days})
+    if not quarters:
+        return rows
+    wanted = [(F.col("year") == y) & (F.col("quarter") == q) for y, q in quarters]
+    return rows.where(reduce(operator.or_, wanted))

@@ -48,7 +48,9 @@ def filled(spark, tmp_path_factory):
     """A lake with all dates curated and no marts."""
     root = tmp_path_factory.mktemp("filled")
     lake = Lake(f"{root}/lake")
-    backfill.backfill(spark, lake, END - timedelta(days=94), END, landing=land(f"{root}/landing"))
+    report = backfill.backfill(
+        spark, lake, END - timedelta(days=94), END, landing=land(f"{root}/landing"))
+    assert report["valid"] and report["stats"] == {"total_rows": 570, "unique_tickers": 6}
     return lake
 
 
@@ -170,10 +172,23 @@ def test_backfill_clears_a_date_that_is_now_empty(spark, filled, tmp_path):
 
 
 def test_backfill_without_data(spark, lake):
-    backfill.backfill(spark, lake, END, run_features=True)
+    assert backfill.backfill(spark, lake, END, run_features=True) is None
     assert marts_of(spark, lake) == ([], [])
 
 
+def test_backfill_curates_the_filings_of_its_quarters(spark, lake, tmp_path):
+    for run_date in (date(2024, 3, 29), END):
+        folder = f"{tmp_path}/{run_date}/A/10-Q/1"
+        os.makedirs(folder)
+        with open(f"{folder}/x.txt", "w") as file:
+            file.write("filing")
+        daily.ingest_filings(spark, lake, f"{tmp_path}/{run_date}", run_date)
+    landing = land(f"{tmp_path}/landing", days=95)
+    backfill.backfill(spark, lake, date(2024, 3, 29), date(2024, 4, 2), landing=landing)
+    rows = lake_io.read_table(spark, lake.quarterly_fundamentals, schemas.QUARTERLY_FUNDAMENTALS)
+    assert sorted(r["quarter"] for r in rows.collect()) == ["Q1", "Q2"]
+
+
 @pytest.mark.parametrize("n, kept", [(60, 0), (61, 1), (70, 10), (3, 0)])
 def test_enough_history(spark, n, kept):
     days = [(END - timedelta(days=2 * i),) for i in range(n)]
@@ -206,7 +221,7 @@ def test_filings_run(spark, lake, tmp_path):
             file.write("filing")
     for _ in range(2):
         daily.ingest_filings(spark, lake, f"{tmp_path}/dl", END)
-        daily.curate_filings_quarter(spark, lake, END)
+        daily.curate_day(spark, lake, END)
     rows = lake_io.read_table(spark, lake.quarterly_fundamentals, schemas.QUARTERLY_FUNDAMENTALS).collect()
     assert sorted((r["ticker"], r["filing_type"], r["year"], r["quarter"]) for r in rows) == [
         ("A", "10-Q", 2024, "Q2"), ("B", "10-K", 2024, "Q2")]

@@ -109,8 +109,10 @@ def test_manifest_summary_file_is_left_out(spark, tmp_path):
     rows = spark.createDataFrame([("A", "10-Q", None, "/a", "s")], schemas.MANIFEST).toPandas()
     rows.to_parquet(f"{part}/A.parquet")
     rows.to_parquet(f"{part}/manifest.parquet")
-    assert filings.read_manifests(spark, f"{tmp_path}/m", D).count() == 1
-    assert filings.read_manifests(spark, f"{tmp_path}/m", date(2024, 7, 1)).count() == 0
+    assert filings.read_manifests(spark, f"{tmp_path}/m", [D, date(2023, 1, 1)]).count() == 1
+    assert filings.read_manifests(spark, f"{tmp_path}/m", [date(2024, 7, 1)]).count() == 0
+    assert filings.read_manifests(spark, f"{tmp_path}/m").count() == 1
+    assert filings.read_manifests(spark, f"{tmp_path}/none").count() == 0
 
 
 def test_unreadable_raw_files_are_skipped(spark, tmp_path):
