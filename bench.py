@@ -23,7 +23,7 @@ HEADLINE = (
     "dq_report",
     "realized_vol",
     "price_features_asof",
-    "price_features_panel_all",
+    "price_features_panel",
     "price_features_gaps",
     "zscore_by_date",
     "signal_scores_with_fundamentals",

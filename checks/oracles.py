@@ -324,6 +324,19 @@ ORACLES: dict[str, str] = {
             FROM lineitem)
         SELECT CAST(hi - INTERVAL (k * 120) DAY AS DATE) AS date
         FROM span, range(0, 1000) t(k) WHERE hi - INTERVAL (k * 120) DAY >= lo""",
+    "landed_prices": """
+        SELECT CAST(l_shipdate AS DATE) AS date,
+               CASE WHEN l_returnflag <> 'R' THEN l_extendedprice / l_quantity END AS open,
+               (l_extendedprice / l_quantity) * (0.98 + l_tax) AS high,
+               (l_extendedprice / l_quantity) * (1.0 - l_discount) AS low,
+               l_extendedprice / l_quantity AS close,
+               CASE WHEN l_returnflag <> 'N' THEN l_quantity - 10.5 END AS volume,
+               s_name AS ticker, 'stooq' AS source
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
+    "dates_from_paths": """
+        SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS date,
+               count(*) AS files
+        FROM orders GROUP BY 1""",
     "available_raw_dates": f"""
         SELECT date, strftime(date, '%Y/%m/%d') AS day_path, CAST(year(date) AS INTEGER) AS year,
                'Q' || quarter(date) AS quarter
@@ -364,7 +377,7 @@ ORACLES: dict[str, str] = {
     "mean_reversion_z": rolling_query("mean_reversion_zscore_5d"),
     "price_features_asof": f"WITH {SUPPLIER_FEATURES} SELECT {FEATURE_COLUMNS} FROM features",
     "price_features_brand": f"WITH {BRAND_FEATURES} SELECT {FEATURE_COLUMNS} FROM features",
-    "price_features_panel_all": f"WITH {BRAND_PANEL} SELECT {FEATURE_COLUMNS} FROM features",
+    "price_features_panel": f"WITH {BRAND_PANEL} SELECT {FEATURE_COLUMNS} FROM features",
     "price_features_gaps": f"""
         WITH {features_panel(OPENS, SUPPLIER_LOOKBACK)} SELECT {FEATURE_COLUMNS} FROM features""",
     "yoy_growth": f"""
@@ -405,7 +418,7 @@ ORACLES: dict[str, str] = {
     "price_history": f"""
         SELECT date, open, high, low, close, volume FROM ({SUPPLIER_BARS})
         WHERE ticker = '{TICKER}' ORDER BY date DESC LIMIT 60""",
-    "ticker_feature_values": f"""
+    "ticker_features": f"""
         WITH {SUPPLIER_FEATURES} SELECT {FEATURE_COLUMNS} FROM features WHERE ticker = '{TICKER}'""",
     "ticker_score_date": f"""
         WITH {BRAND_SCORES}

@@ -43,7 +43,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Registers a function under its name; a trailing underscore keeps it off an operator's."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -106,6 +107,38 @@ def ingest_anchor_dates(spark, folder):
     return span.select(F.explode(steps).alias("date"))
 
 
+@query
+def landed_prices(spark, folder):
+    """Quotes under a landed file's column names, in the raw schema."""
+    quotes = warehouse.raw_quotes(spark, folder)
+    landed = quotes.select(
+        F.col("close").alias("Close"),
+        F.col("date").alias("DateTime"),
+        F.col("volume").alias("VOLUME"),
+        F.col("open").alias("Open"),
+        F.col("high").alias("high"),
+        F.col("low").alias("LOW"),
+        "ticker",
+    )
+    return prices.normalise_landed(landed)
+
+
+@query
+def dates_from_paths(spark, folder):
+    """The dates that file names stand for, in all layouts; some names are no dates."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    status = F.col("o_orderstatus")
+    path = (
+        F.when(F.col("o_orderpriority") == "5-LOW", "/marts/scores/latest.parquet")
+        .when(status == "F", F.format_string("/marts/scores/date=%s/part-0.parquet", day))
+        .when(status == "O", F.format_string("/raw/%s/A.parquet", scalar.day_path("o_orderdate")))
+        .otherwise(F.format_string("/marts/positions/%s.parquet", day))
+    )
+    paths = warehouse.table(spark, folder, "orders").select(path.alias("path"))
+    days = paths.groupBy(scalar.day_from_path("path").alias("date"))
+    return days.agg(F.count(F.lit(1)).alias("files"))
+
+
 def raw_dates(spark, folder) -> DataFrame:
     lines = warehouse.table(spark, folder, "lineitem")
     return lines.select(F.to_date("l_shipdate").alias("date")).distinct()
@@ -254,7 +287,7 @@ def price_features_brand(spark, folder):
 
 
 @query
-def price_features_panel_all(spark, folder):
+def price_features_panel_(spark, folder):
     return rounded(brand_panel(spark, folder), *schemas.PRICE_FEATURE_COLUMNS)
 
 
@@ -385,7 +418,7 @@ def price_history(spark, folder):
 
 
 @query
-def ticker_feature_values(spark, folder):
+def ticker_features_(spark, folder):
     bars = warehouse.supplier_bars(spark, folder, TICKER)
     own = ticker_features(price_features_as_of(bars, SUPPLIER_AS_OF, SUPPLIER_LOOKBACK), TICKER)
     return rounded(own, *schemas.PRICE_FEATURE_COLUMNS)

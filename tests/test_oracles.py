@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 # The brands have too few bars at the smallest scale for their 60-row gate.
 LARGER = "/root/testdata/sf0.01"
 NEED_LARGER = {
-    "price_features_brand", "price_features_panel_all", "signal_scores_panel", "positions_panel",
+    "price_features_brand", "price_features_panel", "signal_scores_panel", "positions_panel",
     "scores_enriched_latest", "available_dates", "ticker_features_latest", "ticker_score_date", "daily_build",
     "backfill_build",
 }
