@@ -55,8 +55,11 @@ def price_features_as_of(
         .withColumn("bar_no", F.row_number().over(window))
         .withColumn("next_date", F.lead("date", 1).over(window))
     )
+    # No bar is later than as_of, so the greatest of both is as_of. A plain literal would be folded
+    # into the join with the date's statistics, which would then have no key left to join on.
+    dated = F.greatest(F.col("date"), F.lit(as_of)).alias("date")
     latest = bars.where(F.col("next_date").isNull() & (F.col("bar_no") >= min_rows)).select(
-        "ticker", F.lit(as_of).cast("date").alias("date"), VOL, MOM, REV
+        "ticker", dated, VOL, MOM, REV
     )
     return shared_by_branches(latest) if shared else latest
 

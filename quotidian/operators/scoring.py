@@ -64,14 +64,15 @@ def score_signals(
 ) -> DataFrame:
     """(ticker, date, one z-score per feature, signal_score), the equal-weight mean of the z-scores.
 
-    Without any feature column the result is empty. With fundamentals given, their columns are joined on (ticker, date), kept, and scored among the
-    tickers that have price features. Only z-scores made here enter the mean, whatever other
-    columns are called.
+    Without any feature column the result is empty. With fundamentals given, their columns are
+    joined on (ticker, date), kept, and scored among the tickers that have price features. Only
+    z-scores made here enter the mean, whatever other columns are called.
     """
     keys = ["ticker", "date"]
     features = list(feature_cols or [c for c in price_features.columns if c not in keys])
     if not features:
-        return price_features.select(*keys, F.lit(None).cast("double").alias("signal_score")).limit(0)
+        no_score = F.lit(None).cast("double").alias("signal_score")
+        return price_features.select(*keys, no_score).limit(0)
     table = price_features.select(*keys, *features)
     extra: list[str] = []
     if as_of is not None:
