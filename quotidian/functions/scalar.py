@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def as_column(value: Column | str) -> Column:
@@ -17,21 +19,42 @@ def parse_run_date(text: str | None = None) -> date:
     return datetime.strptime(text, "%Y-%m-%d").date() if text else date.today()
 
 
-def to_number(value: Column | str) -> Column:
-    """Double, or NULL where the text is no decimal number.
+def parse_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles, NULL where a text is no decimal number; all others as they are.
 
-    Spark's cast takes more than that: Java's type suffixes (``1d``, ``2.5f``), hexadecimal floats,
-    and exponents too large for a double, which become infinite. Those and ``nan`` are NULL here;
-    a spelt-out infinity is kept.
+    Spark's cast takes more than decimal numbers: Java's type suffixes (``1d``, ``2.5f``),
+    hexadecimal floats, and exponents too large for a double, which become infinite. Those and
+    ``nan`` are NULL here; a spelt-out infinity is kept.
+
+    Casting a text that is no number costs far more than casting one that is. Texts that cannot be
+    numbers by their last character are not cast; the casts are columns of their own before they
+    are judged, so that each is done once.
     """
-    column = as_column(value)
-    number = column.try_cast("double")
-    text = F.rtrim(column.cast("string"), F.lit(" \t\r\n\f"))
-    last = F.substring(text, -1, 1)
-    hexadecimal = F.contains(text, F.lit("x")) | F.contains(text, F.lit("X"))
-    spelt_infinity = (F.abs(number) == float("inf")) & last.isin("f", "F", "y", "Y")
-    finite = (F.abs(number) < float("inf")) & ~last.isin("d", "D", "f", "F") & ~hexadecimal
-    return F.when(finite | spelt_infinity, number)
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    endings = df.select(
+        *df.columns,
+        *[F.substring(F.rtrim(c, F.lit(" \t\r\n\f")), -1, 1).alias(f"__{c}_last") for c in texts],
+    )
+    cast = endings.select(
+        "*",
+        *[
+            F.when(F.col(f"__{c}_last").isin(*"0123456789.fFyY"), F.col(c))
+            .try_cast("double")
+            .alias(f"__{c}_number")
+            for c in texts
+        ],
+    )
+
+    def number(c: str) -> Column:
+        if c not in texts:
+            return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        value, last = F.col(f"__{c}_number"), F.col(f"__{c}_last")
+        hexadecimal = F.contains(c, F.lit("x")) | F.contains(c, F.lit("X"))
+        finite = (F.abs(value) < float("inf")) & ~last.isin("f", "F") & ~hexadecimal
+        spelt_infinity = (F.abs(value) == float("inf")) & last.isin("f", "F", "y", "Y")
+        return F.when(finite | spelt_infinity, value)
+
+    return cast.select(*[number(c).alias(c) if c in columns else c for c in df.columns])
 
 
 def whole_number(number: Column) -> Column:

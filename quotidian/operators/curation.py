@@ -7,11 +7,12 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quotidian import schemas
 from quotidian.functions import scalar
 
+PRICES = ("open", "high", "low", "close")
+
 
 class MissingColumns(ValueError):
     """A table lacks columns its operator needs."""
@@ -28,17 +29,13 @@ def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def coerce_prices(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Raw rows in the curated types. What is no number or no date becomes NULL."""
     require_columns(raw, schemas.DAILY_PRICES.names)
-
-    def number(name: str) -> Column:
-        if isinstance(raw.schema[name].dataType, T.StringType):
-            return scalar.to_number(name)
-        return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
-
-    return raw.select(
+    columns = dict.fromkeys([*schemas.DAILY_PRICES.names, *keep])
+    numbers = scalar.parse_numbers(raw.select(*columns), [*PRICES, "volume"])
+    return numbers.select(
         scalar.to_day("date").alias("date"),
         F.col("ticker").cast("string").alias("ticker"),
-        *[number(c).alias(c) for c in ("open", "high", "low", "close")],
-        scalar.whole_number(number("volume")).alias("volume"),
+        *PRICES,
+        scalar.whole_number(F.col("volume")).alias("volume"),
         F.col("source").cast("string").alias("source"),
         *keep,
     )
@@ -70,13 +67,14 @@ def ingest_order(order_by: Sequence[str], columns: Sequence[str]) -> Column:
 
 def keep_last(
     rows: DataFrame,
-    keys: Sequence[str] = ("ticker", "date"),
+    keys: Sequence[str] = ("date", "ticker"),
     order_by: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key, the last in ingest order.
 
     An aggregate, so that copies of a hot key collapse before the shuffle; a window would send all
-    of them to one task.
+    of them to one task. Spark sorts by the keys in their order for it, and tells dates apart by
+    their sort prefix, but not texts that begin alike; hence the date first.
     """
     values = [c for c in rows.columns if c not in keys]
     last = F.max(ingest_order(order_by, [c for c in values if c not in order_by]))

@@ -39,9 +39,10 @@ def normalise_landed(
     if date_col is None:
         raise NoDateColumn(f"No date column among {landed.columns}")
     lowered = landed.toDF(*["date" if c == date_col else c.lower() for c in landed.columns])
-    return lowered.select(
+    values = ("open", "high", "low", "close", "volume")
+    return scalar.parse_numbers(lowered, values).select(
         scalar.to_day("date").alias("date"),
-        *[scalar.to_number(c).alias(c) for c in ("open", "high", "low", "close", "volume")],
+        *values,
         scalar.as_column(ticker).cast("string").alias("ticker"),
         F.lit(source).alias("source"),
     )

@@ -39,7 +39,7 @@ def test_random_text_parses_as_in_pandas(spark):
     letters = "0123456789" * 2 + ".eE+-dDfF naixINFtyp_,\t"
     texts = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(20000)})
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = {r["t"]: r["n"] for r in df.select("t", scalar.to_number("t").alias("n")).collect()}
+    got = {r["t"]: r["n"] for r in scalar.parse_numbers(df.withColumn("n", F.col("t")), ["n"]).collect()}
     expected = pd.to_numeric(pd.Series(texts, dtype=object), errors="coerce")
     for text, number in zip(texts, expected):
         if pd.isna(number):
