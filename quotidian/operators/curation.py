@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotidian import schemas
 from quotidian.functions import scalar
@@ -53,11 +54,14 @@ def keep_run_date(rows: DataFrame, run_date: date) -> DataFrame:
 def keep_partition_dates(rows: DataFrame, partition_col: str) -> DataFrame:
     """``keep_run_date`` for every landing partition at once, each by its own date.
 
-    The choice is one row per partition date, so a calendar bounds its broadcast.
+    Partitions named by dates are at most one per calendar day, which bounds the broadcast of the
+    choice; for other names Spark decides.
     """
     own = F.max(F.when(F.col("date") == F.col(partition_col), F.col("date")))
     target = rows.groupBy(partition_col).agg(F.coalesce(own, F.max("date")).alias("date"))
-    return rows.join(F.broadcast(target), [partition_col, "date"], "left_semi")
+    if isinstance(rows.schema[partition_col].dataType, T.DateType):
+        target = F.broadcast(target)
+    return rows.join(target, [partition_col, "date"], "left_semi")
 
 
 def ingest_order(order_by: Sequence[str], columns: Sequence[str]) -> Column:

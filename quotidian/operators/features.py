@@ -121,7 +121,7 @@ def price_features_panel(
         spans = shared_by_branches(spans)
     spans = spans.withColumn("as_of", F.explode(F.sequence("date", "until")))
     # One row per calendar day at most: DateType itself bounds what is broadcast.
-    wanted = F.broadcast(dates.select(F.col("date").alias("as_of")).distinct())
+    wanted = F.broadcast(dates.select(F.col("date").cast("date").alias("as_of")).distinct())
     oldest = F.date_sub("as_of", lookback_days)
 
     def inside(value: str, since: str) -> Column:

@@ -111,6 +111,13 @@ def test_every_partition_keeps_its_own_date_or_its_latest(spark):
     assert {(r["date"], r["ticker"]) for r in got} == {(D2, "A"), (D3, "B")}
 
 
+def test_partitions_may_be_named_by_text(spark):
+    df = raw(spark, (D1, "A", "1", "1", 1), (D2, "A", "2", "1", 1), (D3, "B", "3", "1", 1))
+    landed = df.withColumn("batch", F.when(F.col("ticker") == "B", "2024-07-01").otherwise("2024-06-26"))
+    got = curation.curate_price_partitions(landed, "batch").collect()
+    assert {(r["date"], r["ticker"]) for r in got} == {(D1, "A"), (D3, "B")}
+
+
 def test_later_partition_wins_on_a_shared_date(spark):
     df = raw(spark, (D1, "A", "1", "1", 9), (D1, "A", "2", "1", 1))
     landed = df.withColumn(
