@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotidian.llm import importance, simhash
-from quotidian.llm.queries import table
+from quotidian.llm import bitplane, fmindex, importance, mixing, simhash
+from quotidian.llm.queries import table, tokenizer_path
 from quotidian.llm.scratch import saved
 
 
@@ -23,9 +23,27 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.keep_one(docs, shingle=3, distance=2)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words of benchmark windows are cut out; every document stays."""
+    return fmindex.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.emit(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in the shared folder, and what was read back from them."""
+    return bitplane.write_and_read(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality classifier", quality_classifier),
     ("SimHash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", mixing_sources),
+    ("token-ID / binary output", token_output),
 ]
 
 #: Weights learned from all texts, XXH64 and byte-pair encoding have no form in SQL; tests/llm has

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotidian.llm import importance, simhash
+from quotidian.llm import bitplane, fmindex, importance, mixing, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,12 +17,33 @@ def op1_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_fm_index_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return fmindex.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
+
+
+def op7_systematic_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_bit_plane_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return bitplane.write_and_read(table(spark, folder, "documents"), tokenizer_path())
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, distance=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_importance_resampling, op9_simhash_near_dedup)
+    f.__name__: f for f in (
+        op1_importance_resampling, op3_fm_index_decontamination, op7_systematic_sampling, op8_bit_plane_token_files,
+        op9_simhash_near_dedup,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_systematic_sampling": mixing.SQL}
