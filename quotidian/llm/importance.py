@@ -1,7 +1,7 @@
 """Quality classifier by importance resampling.
 
-Two generative models of hashed n-grams are counted over all documents: one of the target (rows labelled
-good and not toxic), one of the raw text. A document's log weight is the sum of log p(target) / p(raw)
+Two generative models of hashed n-grams are counted: one of the raw text, over all documents, and one of
+the target, over at most FIT_ROWS of the rows labelled good and not toxic. A document's log weight is the sum of log p(target) / p(raw)
 over its n-grams, divided by the root of their number so that length alone decides nothing. The documents
 kept are a Gumbel top-k sample: the k largest of log weight plus Gumbel noise, with k the number of
 documents whose weight passes the cut that errs least on the labelled rows.
@@ -30,6 +30,9 @@ BUCKETS = 1 << 20
 BLOCK = 1 << 14
 SIGNS = byte_class(bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum()))
 PREFIXES = (4, 5, 6)
+#: Labelled good documents that the target model is counted on, taken by a hash of their ids: bounds what
+#: is broadcast (8 bytes each), so that no text is shuffled.
+FIT_ROWS = 200_000
 #: Pseudo-count, and the expected count at which a bucket's ratio gets half its weight.
 SMOOTH, TRUST = 0.5, 40.0
 #: Scale of the Gumbel noise, in spreads of the labelled rows' weights.
@@ -61,8 +64,9 @@ def ngrams(texts: Texts, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray
 def count_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """2 x buckets: n-grams of all documents, and of those labelled good and not toxic."""
     good = (labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL")
-            .select(F.col("doc_id").alias("_good_id")).distinct())
-    rows = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_good_id"), "left").select(
+            .select(F.col("doc_id").alias("_good_id")).distinct()
+            .orderBy(F.xxhash64("_good_id"), "_good_id").limit(FIT_ROWS))
+    rows = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("_good_id"), "left").select(
         "text", F.col("_good_id").isNotNull().cast("long").alias("good"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
