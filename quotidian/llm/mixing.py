@@ -114,7 +114,7 @@ SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS k,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS at,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS place,
          text
   FROM documents
 ), sources AS (
@@ -135,7 +135,7 @@ WITH sized AS (
          CASE WHEN f.source_size > 0 THEN f.target / f.source_size ELSE 0.0 END AS rate,
          ('0x' || substr(md5('42|' || s.k), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS off,
          row_number() OVER (PARTITION BY s.k
-           ORDER BY length(bin(size)) * 8 + (size >> greatest(length(bin(size)) - 3, 0)::INT), at, doc_id, size) - 1 AS i
+           ORDER BY length(bin(size)) * 8 + (size >> greatest(length(bin(size)) - 3, 0)::INT), place, doc_id, size) - 1 AS i
   FROM sized s JOIN filled f ON s.k = f.k
 )
 SELECT doc_id, size, source_size, target,
