@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotidian.llm.scratch import saved
+
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "42"
 #: Documents per hash range and size class, at most about this many.
@@ -60,53 +62,59 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def with_copies(docs: DataFrame) -> DataFrame:
-    """The columns of docs and _size, source_size, target and _copies.
+def sized(docs: DataFrame) -> DataFrame:
+    """docs with what their place in the mix depends on: size, source key, size class, place by hash, and a
+    digest of the text that orders rows of one doc_id."""
+    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
+    bits = F.bin("_size")
+    return docs.withColumn("_size", size).withColumns({
+        "_key": _source_key(F.col("source")),
+        "_class": F.length(bits) * 8 + F.conv(F.substring(bits, 1, 3), 2, 10).cast("int"),
+        "_at": _unit(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
+        "_digest": F.xxhash64("text"),
+    })
+
+
+def with_copies(rows: DataFrame, slim: DataFrame) -> DataFrame:
+    """rows, as from sized(), with source_size, target and _copies. slim: the same rows; only their place
+    columns are read from it, for the sums over whole sources.
 
     Size: words of the whole text, null and empty ones have none. Rows without a doc_id are ordered as if
     it were empty. Repeated rows are separate documents. Sources without words have the target zero and
     are not emitted. An empty table gives no rows.
     """
-    buckets = max(1, -(-docs.count() // BUCKET_ROWS))
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    bits = F.bin("_size")
-    rows = (
-        docs.withColumn("_size", size)
-        .withColumn("_key", _source_key(F.col("source")))
-        .withColumn("_class", F.length(bits) * 8 + F.conv(F.substring(bits, 1, 3), 2, 10).cast("int"))
-        .withColumn("_at", _unit(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-        .withColumn("_range", F.floor(F.col("_at") * buckets / F.lit(4294967296.0)))
-    )
+    buckets = max(1, -(-slim.count() // BUCKET_ROWS))
+    within = F.floor(F.col("_at") * buckets / F.lit(4294967296.0))
     bucket = ["_key", "_class", "_range"]
-    slim = rows.groupBy(*bucket).agg(F.count("*").alias("n"), F.sum("_size").alias("size"), F.first("source").alias("source"))
+    counts = saved(slim.withColumn("_range", within).groupBy(*bucket).agg(
+        F.count("*").alias("n"), F.sum("_size").alias("size"), F.first("source").alias("source")), "mix-buckets")
     ahead = Window.partitionBy("_key").orderBy("_class", "_range").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        slim.withColumn("_ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
-        .drop("n", "size", "source")
-        .join(targets(slim.select("source", "_key", "size")), "_key")
-    )
-    inside = Window.partitionBy(*bucket).orderBy("_at", "doc_id", "_size", F.xxhash64("text"))
+    placed = counts.select(*bucket, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_ahead")).join(
+        targets(counts.select("source", "_key", "size")), "_key")
+    inside = Window.partitionBy(*bucket).orderBy("_at", "doc_id", "_size", "_digest")
     i = F.col("_ahead") + F.row_number().over(inside) - 1
-    numbered = rows.join(placed, bucket).withColumn("_i", i)
     crossed = F.floor(F.col("_offset") + F.col("_rate") * (F.col("_i") + 1)) - F.floor(
         F.col("_offset") + F.col("_rate") * F.col("_i"))
-    return numbered.select(
-        *[F.col(c) for c in docs.columns], "_size", "source_size", "target",
-        F.least(crossed, F.lit(MOST)).cast("long").alias("_copies"),
-    )
+    return rows.withColumn("_range", within).join(placed, bucket).withColumn("_i", i).withColumn(
+        "_copies", F.least(crossed, F.lit(MOST)).cast("int"))
+
+
+def _slim(docs: DataFrame) -> DataFrame:
+    return saved(sized(docs).select("doc_id", "source", "_size", "_key", "_class", "_at", "_digest"), "mix-sizes")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row; taken counts the words of all its copies."""
-    return with_copies(docs.select("doc_id", "source", "text")).select(
+    slim = _slim(docs)
+    return with_copies(slim, slim).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target",
         (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
 def emit(docs: DataFrame) -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
-    return with_copies(docs).where("_copies > 0").withColumn(
-        "_nth", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
+    return with_copies(sized(docs), _slim(docs)).where("_copies > 0").withColumn(
+        "_nth", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
 
 
 #: The same order, targets and boundaries in the other engine.
