@@ -13,20 +13,19 @@ import numpy as np
 
 from quotidian.llm.text import Texts, mix
 
-K = 20
-_MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+K = 24
+_MUL = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
-def _names(data: np.ndarray) -> np.ndarray:
-    """A 64-bit name of the K bytes from every place on, as far as they are there."""
-    n = len(data) - K + 1
-    if n <= 0:
+def fixed_names(data: np.ndarray, at: np.ndarray | None, size: int) -> np.ndarray:
+    """A 64-bit name of the `size` bytes (8 or more) from each place on; from every place if none is given."""
+    if len(data) < size:
         return np.zeros(0, np.uint64)
-    quads = np.ndarray(n + 8, "<u8", data, 0, (1,))
-    halves = np.ndarray(n, "<u4", data, 16, (1,))
-    total = quads[:n] * _MUL[0]
-    total += quads[8:] * _MUL[1]
-    total += halves * _MUL[2]
+    quads = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), 0, (1,))
+    n = len(data) - size + 1
+    total = np.full(n if at is None else len(at), size, np.uint64)
+    for k, begin in enumerate([*range(0, size - 8, 8), size - 8]):
+        total += (quads[begin : begin + n] if at is None else quads[at + begin]) * _MUL[k]
     return mix(total)
 
 
@@ -45,10 +44,9 @@ def anchors(texts: Texts, window: int) -> tuple[np.ndarray, np.ndarray]:
     size = len(texts.data)
     if size < window:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    names = _names(np.ascontiguousarray(texts.data))
+    names = fixed_names(texts.data, None, K)
     width = window - K + 1
     least = _slide(names, width, np.minimum)  # of the window that begins at each place
-    fits = np.ones(size + 1, bool)
     ends = texts.bounds[1:]
     # Windows that would cross the end of their text are no windows.
     change = np.zeros(size + 2, np.int32)
