@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import fresh
+from quotidian.llm.scratch import fresh, stream_texts
 from quotidian.llm.text import Texts, byte_class, column, hash_words, pieces, texts_of
 
 #: Ids of a block, and of a chunk before it is closed.
@@ -29,7 +29,7 @@ BLOCK = 1 << 14
 CHUNK = 1 << 16
 END = 2
 #: Bytes of text whose distinct pieces are encoded together, and bytes per call of the tokenizer.
-TEXT, CALL = 16 << 20, 1 << 16
+TEXT, CALL = 4 << 20, 1 << 16
 #: Stretches that a worker remembers: about 40 bytes each.
 KNOWN = 1_500_000
 
@@ -210,7 +210,7 @@ def write_files(docs: DataFrame, path: str, tokenizer_path: str, end: int = END,
         if open_docs:
             yield close(shard)
 
-    rows.mapInArrow(run, FILES).write.option("parquet.block.size", str(16 << 20)).parquet(path)
+    stream_texts(rows).mapInArrow(run, FILES).write.option("parquet.block.size", str(16 << 20)).parquet(path)
 
 
 ARROW = pa.schema([
@@ -255,7 +255,7 @@ def read_digests(files: DataFrame) -> DataFrame:
                     pa.array([zlib.crc32(ids[e - s : e].tobytes()) for s, e in zip(sizes, ends)], pa.int64()),
                 ], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return stream_texts(files).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write_and_read(docs: DataFrame, tokenizer_path: str, kind: str = "byte", path: str | None = None) -> DataFrame:

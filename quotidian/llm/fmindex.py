@@ -22,11 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotidian.llm.scratch import stream_texts
 from quotidian.llm.text import ALNUM, Texts, Words, column, hash_grams, hash_words, pieces, texts_of, words_of
 
 WINDOW = 10
 #: Bytes of benchmark text that are broadcast at once.
 BLOCK_BYTES = 16 << 20
+#: Bytes of text that one index is built over.
+SHARD = 4 << 20
 #: Every so many positions of a shard, the suffix array is kept.
 SAMPLE = 8
 
@@ -237,14 +240,14 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, limit:
         "_hits": F.array().cast("array<int>"), "_items": F.array().cast("array<string>")})
     for block in blocks_of(benchmark, width, limit):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        plain = plain.mapInArrow(_searcher(shared), plain.schema)
+        plain = stream_texts(plain).mapInArrow(_searcher(shared), plain.schema)
     return plain
 
 
 def _searcher(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
+            for piece, texts in pieces(batch, "text", SHARD):
                 words, hit, items = find(texts, shared.value)
                 old_hits, old_items = column(piece, "_hits"), column(piece, "_items")
                 hits, found = [], []
@@ -280,7 +283,7 @@ def report(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
+            for piece, texts in pieces(batch, "text", SHARD):
                 counts = words_of(texts.lower(), ALNUM).counts
                 spans = column(piece, "_hits").to_pylist()
                 items = [sorted(set(x)) for x in column(piece, "_items").to_pylist()]
@@ -292,7 +295,7 @@ def report(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFr
                     pa.array([n > 0 for n in n_hit], pa.bool_()),
                 ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    return found.mapInArrow(
+    return stream_texts(found).mapInArrow(
         run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
@@ -332,7 +335,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
+            for piece, texts in pieces(batch, "text", SHARD):
                 cleaned = clean(texts, [b.value for b in blocks])
                 if cleaned:
                     values = column(piece, "text").to_pylist()
@@ -342,7 +345,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFr
                     piece = piece.set_column(at, piece.schema.field(at), pa.array(values, piece.schema.field(at).type))
                 yield piece
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = stream_texts(docs).mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(kind)))

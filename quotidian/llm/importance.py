@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import saved
+from quotidian.llm.scratch import saved, stream_texts
 from quotidian.llm.text import ALNUM, byte_class, column, hash_grams, hash_words, ints, mix, pieces, sums, words_of
 from quotidian.llm.text import Texts
 
@@ -94,7 +94,7 @@ def count_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
 
     kind = "block int, counts binary"
     out = np.zeros((2, buckets), np.int64)
-    for row in rows.mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).collect():
+    for row in stream_texts(rows).mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).collect():
         part = np.frombuffer(row["counts"], "<i8").reshape(2, -1)
         out[:, row["block"] * BLOCK : row["block"] * BLOCK + part.shape[1]] = part
     return out
@@ -130,7 +130,7 @@ def with_weight(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [column(piece, "doc_id"), pa.array(weights(texts, shared.value))], ["doc_id", "log_weight"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, log_weight double")
+    return stream_texts(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, log_weight double")
 
 
 def best_cut(scored: DataFrame, labels: DataFrame, bins: int = 2048) -> tuple[float, float]:
@@ -219,4 +219,4 @@ def keep_sampled(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFr
                 key = key_of(weights(texts, shared.value), ints(piece, "doc_id"), scale, seed)
                 yield piece.filter(pa.array(key >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return stream_texts(docs).mapInArrow(run, docs.schema)

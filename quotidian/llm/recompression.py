@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotidian.llm.scratch import stream_texts
 from quotidian.llm.seen import seen, told
 from quotidian.llm.text import NOT_BLANK, Texts, Words, column, hash_grams, hash_words, mix, pieces, words_of
 
@@ -202,7 +203,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFr
                     pa.array([k.decode() for k in kept], pa.string()),
                 ], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
-    return repeats(docs, window, rounds).mapInArrow(
+    return stream_texts(repeats(docs, window, rounds)).mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 

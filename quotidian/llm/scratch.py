@@ -28,3 +28,14 @@ def saved(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     path = fresh(df.sparkSession, purpose)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of an Arrow batch on its way to a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def stream_texts(df: DataFrame) -> DataFrame:
+    """df, to be handed to mapInArrow. Ten thousand texts a batch, Spark's default, are tens of megabytes,
+    which the JVM holds several times over; here a batch ends after BATCH_BYTES or its first row beyond."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df

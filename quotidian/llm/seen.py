@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotidian.llm.scratch import stream_texts
 from quotidian.llm.text import Texts, column, ints, pieces
 
 #: (piece, texts) -> (number of the text, name) of every entry
@@ -103,7 +104,7 @@ def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFram
         return pa.concat_tables([settled.cast(_ANSWER), mine])
 
     return (
-        docs.mapInArrow(pack, _ROW).groupBy("bucket").applyInArrow(compare, "doc_id long, names binary")
+        stream_texts(docs).mapInArrow(pack, _ROW).groupBy("bucket").applyInArrow(compare, "doc_id long, names binary")
         .groupBy("doc_id").agg(F.collect_list("names").alias("names"))
     )
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import saved
+from quotidian.llm.scratch import saved, stream_texts
 from quotidian.llm.text import LOWER, NOT_BLANK, Texts, ints, pieces, words_of
 
 #: Fingerprints that one task gathers under one probed value.
@@ -143,7 +143,7 @@ def with_fingerprint(docs: DataFrame, shingle: int, text: str = "text", id_col:
                     [rows.column(0), pa.array(fingerprints(texts, shingle).view(np.int64))], ["doc_id", "fp"]
                 )
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+    return stream_texts(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))).mapInArrow(
         run, "doc_id long, fp long"
     )
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotidian.llm.anchors import K, anchors, contexts, fixed_names
+from quotidian.llm.scratch import stream_texts
 from quotidian.llm.seen import seen, told
 from quotidian.llm.text import Texts, column, hash_words, ints, pieces
 
@@ -172,7 +173,7 @@ def crowded_anchors(docs: DataFrame, window: int) -> np.ndarray:
                 found, count = np.unique(pairs, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], ["name", "n"])
 
-    counted = chosen.select("text").mapInArrow(run, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    counted = stream_texts(chosen.select("text")).mapInArrow(run, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
     rows = counted.where(F.col("n") >= CROWD).select("name").collect()
     return np.sort(np.array([r["name"] for r in rows], np.int64).view(np.uint64))
 
@@ -310,7 +311,7 @@ def spans_to_remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pa.concat_tables([done, mine])
 
     return (
-        second.mapInArrow(send, "bucket int, doc_id long, spans binary, docs binary, begins binary, names binary, "
+        stream_texts(second).mapInArrow(send, "bucket int, doc_id long, spans binary, docs binary, begins binary, names binary, "
                                 "sizes binary, blob binary")
         .groupBy("bucket").applyInArrow(sort, "doc_id long, spans binary")
         .groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
@@ -347,7 +348,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 ], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     plain = docs.select("doc_id", "text")
-    return plain.join(spans_to_remove(docs, window), "doc_id", "left").mapInArrow(
+    return stream_texts(plain.join(spans_to_remove(docs, window), "doc_id", "left")).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 

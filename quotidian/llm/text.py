@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text per piece.
-PIECE = 4 << 20
+PIECE = 2 << 20
 
 _rng = np.random.default_rng(20240628)
 _ODD = _rng.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
