@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotidian.llm import bitplane, fmindex, importance, mixing, recompression, simhash, suffixes
+from quotidian.llm import bitplane, ctw, fmindex, importance, mixing, neighbours, recompression, simhash, suffixes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_fm_index_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return fmindex.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
 
 
+def op4_stable_projection_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), step=50, k=5)
+
+
 def op5_suffix_bucket_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.digests(table(spark, folder, "documents"), window=50)
 
@@ -47,10 +51,15 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, distance=2)
 
 
+def op10_context_tree_weighting(spark: SparkSession, folder: str) -> DataFrame:
+    return ctw.score(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_importance_resampling, op3_fm_index_decontamination, op5_suffix_bucket_dedup, op6_recompression_dedup,
-        op7_systematic_sampling, op8_bit_plane_token_files, op9_simhash_near_dedup,
+        op1_importance_resampling, op3_fm_index_decontamination, op4_stable_projection_neighbours,
+        op5_suffix_bucket_dedup, op6_recompression_dedup, op7_systematic_sampling, op8_bit_plane_token_files,
+        op9_simhash_near_dedup, op10_context_tree_weighting,
     )
 }
 

@@ -17,7 +17,6 @@ PIECE = 2 << 20
 
 _rng = np.random.default_rng(20240628)
 _ODD = _rng.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TABLE = _rng.integers(0, 2**64, (64, 256), dtype=np.uint64)
 
 
 def byte_class(listed: bytes, inside: bool = True) -> np.ndarray:
@@ -141,19 +140,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_BYTE = mix(np.arange(1000, 1256, dtype=np.uint64))
+_powers = np.ones((2, 1), np.uint64)
+
+
+def _power_tables(n: int) -> np.ndarray:
+    """Powers of an odd number and of its inverse modulo 2 ** 64; kept for the next piece."""
+    global _powers
+    if _powers.shape[1] < n:
+        base = int(_ODD[0])
+        steps = np.array([[base], [pow(base, -1, 1 << 64)]], np.uint64).repeat(n, axis=1)
+        steps[:, 0] = 1
+        _powers = np.cumprod(steps, axis=1)
+    return _powers
+
+
+def prefix_names(data: np.ndarray) -> np.ndarray:
+    """What range_names needs of a text: sums of its bytes' random values, weighted by place."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _power_tables(len(data) + 1)[0, : len(data)], out=out[1:])
+    return out
+
+
+def range_names(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each byte range, equal for equal bytes wherever they stand."""
+    inverse = _power_tables(len(prefix))[1]
+    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _ODD[1])
+
+
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each byte range: tabulation by byte and place, the length mixed in."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lens = ends - starts
-    first = np.cumsum(lens) - lens
-    place = np.arange(int(lens.sum())) - np.repeat(first, lens)
-    byte = data[place + np.repeat(starts, lens)]
-    value = _TABLE.ravel().take(((place & 63) << 8) | byte)
-    if lens.max() > 64:
-        far = place >= 64
-        value[far] = mix(value[far] + (place[far] >> 6).astype(np.uint64) * _ODD[0])
-    return mix(np.add.reduceat(value, first) + lens.astype(np.uint64) * _ODD[1])
+    return range_names(prefix_names(data), starts, ends)
 
 
 def hash_grams(names: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
