@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotidian.llm import bitplane, ctw, fmindex, importance, mixing, neighbours, recompression, simhash, suffixes
+from quotidian.llm import bitplane, ctw, fmindex, importance, language, mixing, neighbours, recompression, simhash, suffixes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_conditional_random_field(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents")).drop("spans")
+
+
 def op3_fm_index_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return fmindex.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
 
@@ -57,9 +61,9 @@ def op10_context_tree_weighting(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_importance_resampling, op3_fm_index_decontamination, op4_stable_projection_neighbours,
-        op5_suffix_bucket_dedup, op6_recompression_dedup, op7_systematic_sampling, op8_bit_plane_token_files,
-        op9_simhash_near_dedup, op10_context_tree_weighting,
+        op1_importance_resampling, op2_conditional_random_field, op3_fm_index_decontamination,
+        op4_stable_projection_neighbours, op5_suffix_bucket_dedup, op6_recompression_dedup,
+        op7_systematic_sampling, op8_bit_plane_token_files, op9_simhash_near_dedup, op10_context_tree_weighting,
     )
 }
 
