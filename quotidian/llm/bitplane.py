@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import fresh, stream_texts
+from quotidian.llm.scratch import fresh, id_and_text, stream_texts
 from quotidian.llm.text import Texts, byte_class, column, hash_words, pieces, texts_of
 
 #: Ids of a block, and of a chunk before it is closed.
@@ -170,7 +170,7 @@ def from_planes(frames: list[bytes], n: int) -> np.ndarray:
 def write_files(docs: DataFrame, path: str, tokenizer_path: str, end: int = END, kind: str = "byte", level: int = 3) -> None:
     """Writes the token files of docs (doc_id, text) in ascending doc_id order, null ones first."""
     rows = (
-        docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text"))
+        id_and_text(docs).repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text")).withColumn("shard", F.spark_partition_id())
     )
 

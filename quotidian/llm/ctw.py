@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import saved, stream_texts
+from quotidian.llm.scratch import id_and_text, saved, stream_texts
 from quotidian.llm.text import NOT_BLANK, Texts, column, hash_words, pieces, sums, words_of
 
 DEPTH = 5
@@ -292,7 +292,7 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHA
     every decision is one half and every token is as likely as the end. Repeated rows are counted and
     scored each. An empty table gives no rows. depth is 1 to 6.
     """
-    rows = docs.select("doc_id", "text").withColumns({
+    rows = id_and_text(docs).withColumns({
         "held_out": F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == 0, F.lit(False)),
         "digest": F.xxhash64("text")})
     counted = saved(counts(rows, depth), "ctw-counts")

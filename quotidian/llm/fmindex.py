@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import stream_texts
+from quotidian.llm.scratch import id_and_text, stream_texts
 from quotidian.llm.text import ALNUM, Texts, Words, column, hash_grams, hash_words, pieces, texts_of, words_of
 
 WINDOW = 10
@@ -279,7 +279,7 @@ def report(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFr
     Null and empty texts have no words. An item without words has no window; an item_id that repeats is
     counted once. An empty benchmark hits nothing; items_sha256 is then that of the empty string.
     """
-    found = with_hits(docs.select("doc_id", "text"), benchmark, width)
+    found = with_hits(id_and_text(docs), benchmark, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

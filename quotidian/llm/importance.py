@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import saved, stream_texts
+from quotidian.llm.scratch import id_and_text, saved, stream_texts
 from quotidian.llm.text import (
     ALNUM, Texts, byte_class, column, hash_grams, ints, mix, pieces, prefix_names, range_names, sums, words_of,
 )
@@ -68,7 +68,7 @@ def count_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
     good = (labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL")
             .select(F.col("doc_id").alias("_good_id")).distinct()
             .orderBy(F.xxhash64("_good_id"), "_good_id").limit(FIT_ROWS))
-    rows = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("_good_id"), "left").select(
+    rows = id_and_text(docs).join(F.broadcast(good), F.col("doc_id") == F.col("_good_id"), "left").select(
         "text", F.col("_good_id").isNotNull().cast("long").alias("good"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +132,7 @@ def with_weight(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [column(piece, "doc_id"), pa.array(weights(texts, shared.value))], ["doc_id", "log_weight"])
 
-    return stream_texts(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, log_weight double")
+    return stream_texts(id_and_text(docs)).mapInArrow(run, "doc_id long, log_weight double")
 
 
 def best_cut(scored: DataFrame, labels: DataFrame, bins: int = 2048) -> tuple[float, float]:

@@ -277,7 +277,7 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1, texts: int = FIT_TE
     letter are `und` with score 0, as is all text where no language could be learned. spans: runs of
     words of one language. Repeated rows get equal results; an empty table gives no rows.
     """
-    rows = docs.select("doc_id", "text", "lang").withColumns({
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").withColumns({
         "held_out": F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held, F.lit(False)),
         "has_letter": F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)),
     })

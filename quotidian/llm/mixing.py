@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import saved
+from quotidian.llm.scratch import saved, whole_row
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "42"
@@ -63,7 +63,7 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """docs with what their place in the mix depends on: size, source key, size class, place by hash, and a
+    """doc_id, source and text of docs with what their place in the mix depends on: size, source key, size class, place by hash, and a
     digest of the text that orders rows of one doc_id."""
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     bits = F.bin("_size")
@@ -100,7 +100,7 @@ def with_copies(rows: DataFrame, slim: DataFrame) -> DataFrame:
 
 
 def _slim(docs: DataFrame) -> DataFrame:
-    return saved(sized(docs).select("doc_id", "source", "_size", "_key", "_class", "_at", "_digest"), "mix-sizes")
+    return saved(sized(docs.select("doc_id", "source", "text")).select("doc_id", "source", "_size", "_key", "_class", "_at", "_digest"), "mix-sizes")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -113,8 +113,9 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 def emit(docs: DataFrame) -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
-    return with_copies(sized(docs), _slim(docs)).where("_copies > 0").withColumn(
-        "_nth", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    rows = sized(docs.select("doc_id", "source", "text", whole_row(docs).alias("_row"))).drop("text")
+    return with_copies(rows, _slim(docs)).where("_copies > 0").withColumn(
+        "_nth", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")
 
 
 #: The same order, targets and boundaries in the other engine.

@@ -152,7 +152,7 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
     """(vec_id, h, vector): rows with an id and a vector of finite components that is not zero; of the vectors'
     lengths the commonest, the larger of two that tie. Repeated rows become one."""
     ok = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("vector"), "embedding").where(
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("vector"), "embedding").where(
         F.col("vec_id").isNotNull() & ok & F.exists("embedding", lambda x: x != 0))
     size = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     dims = size["n"] if size else 0

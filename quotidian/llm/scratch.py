@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,3 +40,13 @@ def stream_texts(df: DataFrame) -> DataFrame:
     which the JVM holds several times over; here a batch ends after BATCH_BYTES or its first row beyond."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
+
+
+def id_and_text(docs: DataFrame) -> DataFrame:
+    """doc_id as a long, and the text; whatever else docs has, and however it is called, stays out."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, so that none can clash with those that an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])

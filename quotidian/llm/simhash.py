@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import saved, stream_texts
+from quotidian.llm.scratch import id_and_text, saved, stream_texts, whole_row
 from quotidian.llm.text import LOWER, NOT_BLANK, Texts, ints, pieces, words_of
 
 #: Fingerprints that one task gathers under one probed value.
@@ -133,7 +133,7 @@ def fingerprints(texts: Texts, shingle: int, seed: int = 42) -> np.ndarray:
     return out
 
 
-def with_fingerprint(docs: DataFrame, shingle: int, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, fp) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +143,7 @@ def with_fingerprint(docs: DataFrame, shingle: int, text: str = "text", id_col:
                     [rows.column(0), pa.array(fingerprints(texts, shingle).view(np.int64))], ["doc_id", "fp"]
                 )
 
-    return stream_texts(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))).mapInArrow(
+    return stream_texts(id_and_text(docs)).mapInArrow(
         run, "doc_id long, fp long"
     )
 
@@ -350,6 +350,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """
     groups = near_duplicates(docs.where("doc_id IS NOT NULL"), shingle, distance)
     heads = groups.select(F.col("component_id").alias("doc_id")).distinct()
-    one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
-    first = docs.join(heads, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(one))
-    return first.where("_copy = 1").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), whole_row(docs).alias("row"))
+    one = Window.partitionBy("doc_id", "digest").orderBy(F.xxhash64("row"))
+    first = rows.join(heads, "doc_id", "left_semi").withColumn("copy", F.row_number().over(one)).where("copy = 1")
+    return first.select("row.*").union(docs.where("doc_id IS NULL"))

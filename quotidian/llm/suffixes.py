@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotidian.llm.anchors import K, anchors, contexts, fixed_names
-from quotidian.llm.scratch import stream_texts
+from quotidian.llm.scratch import id_and_text, stream_texts
 from quotidian.llm.seen import seen, told
 from quotidian.llm.text import Texts, column, hash_words, ints, pieces
 
@@ -240,7 +240,7 @@ def _merged(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[list[in
 def spans_to_remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, spans): byte ranges of each doc_id that windows of smaller ones cover, as packed pairs."""
     spark = docs.sparkSession
-    plain = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    plain = id_and_text(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     crowd = spark.sparkContext.broadcast(crowded_anchors(plain, window))
     shared = seen(plain, _anchor_entries(window), any_other=True).withColumnRenamed("names", "shared")
@@ -347,7 +347,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary()),
                 ], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    plain = docs.select("doc_id", "text")
+    plain = id_and_text(docs)
     return stream_texts(plain.join(spans_to_remove(docs, window), "doc_id", "left")).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
