@@ -13,53 +13,74 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quotidian.llm.scratch import stream_texts
-from quotidian.llm.text import Texts, column, ints, pieces
+from quotidian.llm.text import Texts, column, ints, mix, pieces
 
 #: (piece, texts) -> (number of the text, name) of every entry
 Entries = Callable[[pa.RecordBatch, Texts], tuple[np.ndarray, np.ndarray]]
 
-_ROW = "bucket int, doc_id long, docs binary, names binary"
-_ARROW = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("docs", pa.binary()), ("names", pa.binary())])
-_ANSWER = pa.schema([("doc_id", pa.int64()), ("names", pa.binary())])
+_ROW = "bucket int, answer boolean, docs binary, names binary"
+_ARROW = pa.schema([("bucket", pa.int32()), ("answer", pa.bool_()), ("docs", pa.binary()), ("names", pa.binary())])
 
 
-def _heads(sorted_values: np.ndarray) -> np.ndarray:
-    new = np.ones(len(sorted_values), bool)
-    new[1:] = sorted_values[1:] != sorted_values[:-1]
+def heads_of(ordered: np.ndarray) -> np.ndarray:
+    """First places of equal values."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
     return np.flatnonzero(new)
 
 
+def joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """The packed values of all rows."""
+    parts = [np.frombuffer(x.as_buffer(), kind) for x in column if x.is_valid]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def packed(bucket: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """Buckets, and the values of each column that belong to each of them, packed."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cuts = np.append(heads_of(bucket), len(bucket)) if len(bucket) else np.zeros(1, np.int64)
+    out = []
+    for values in columns:
+        values = values[order]
+        out.append([values[x:y].tobytes() for x, y in zip(cuts, cuts[1:])])
+    return bucket[cuts[:-1]].astype(np.int32), out
+
+
+def doc_bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
+    """Where a document's answers are gathered."""
+    return (mix(docs.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _by_name(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """names and docs in the order of names; heads of equal names; smallest and largest doc of each."""
+    """names and docs in the order of names; for each the smallest and the largest doc of its name; and the
+    heads of equal names."""
     order = np.argsort(names)
     names, docs = names[order], docs[order]
-    heads = _heads(names)
-    return names, docs, heads, np.minimum.reduceat(docs, heads), np.maximum.reduceat(docs, heads)
+    heads = heads_of(names)
+    size = np.diff(np.append(heads, len(names)))
+    return (names, docs, np.repeat(np.minimum.reduceat(docs, heads), size),
+            np.repeat(np.maximum.reduceat(docs, heads), size), heads)
 
 
-def _answers(names: np.ndarray, docs: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Distinct names of each doc."""
-    order = np.lexsort((names, docs))
-    names, docs = names[order], docs[order]
-    new = np.ones(len(names), bool)
-    new[1:] = (names[1:] != names[:-1]) | (docs[1:] != docs[:-1])
-    names, docs = names[new], docs[new]
-    heads = _heads(docs)
-    ends = np.append(heads[1:], len(docs))
-    raw = names.tobytes()
-    return docs[heads].tolist(), [raw[8 * a : 8 * b] for a, b in zip(heads, ends)]
+def _rows(bucket: np.ndarray, answer: bool, docs: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
+    at, (docs_of, names_of) = packed(bucket, docs, names)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(at), pa.array([answer] * len(at), pa.bool_()), pa.array(docs_of, pa.binary()),
+         pa.array(names_of, pa.binary())], schema=_ARROW)
 
 
 def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFrame:
     """(doc_id, names): for every doc_id the names that a smaller doc_id has too; with any_other those
-    that another doc_id has. names is an array of packed 64-bit values. Rows without a doc_id take no part.
+    that another doc_id has. names are packed 64-bit values. Rows without a doc_id take no part.
+
+    Two exchanges carry rows of packed values: entries by name, then answers by document.
     """
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,44 +89,42 @@ def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFram
                 there = np.asarray(column(piece, "doc_id").is_valid().to_numpy(zero_copy_only=False), bool)[owner]
                 if not there.any():
                     continue
-                names, of = names[there], ints(piece, "doc_id")[owner[there]]
-                names, of, heads, low, high = _by_name(names, of)
-                size = np.diff(np.append(heads, len(names)))
-                lows, highs = np.repeat(low, size), np.repeat(high, size)
-                settled = (lows < highs) if any_other else (of > lows)
-                own = _answers(names[settled], of[settled]) if settled.any() else ([], [])
+                names, of, low, high, heads = _by_name(names[there], ints(piece, "doc_id")[owner[there]])
+                settled = (low < high) if any_other else (of > low)
+                yield _rows(doc_bucket(of[settled], buckets), True, of[settled], names[settled])
+                name, low, high = names[heads], low[heads], high[heads]
                 wide = low < high
-                sent = np.concatenate([names[heads], names[heads][wide]])
-                sent_of = np.concatenate([low, high[wide]])
-                bucket = (sent % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((sent_of, bucket))
-                sent, sent_of, bucket = sent[order], sent_of[order], bucket[order]
-                cuts = np.append(_heads(bucket), len(bucket))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([bucket[cuts[:-1]], np.array(own[0], np.int64) % buckets]).astype(np.int32)),
-                    pa.array([None] * (len(cuts) - 1) + own[0], pa.int64()),
-                    pa.array([sent_of[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] + [None] * len(own[0]), pa.binary()),
-                    pa.array([sent[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] + own[1], pa.binary()),
-                ], schema=_ARROW)
+                sent = np.concatenate([name, name[wide]])
+                yield _rows((sent % np.uint64(buckets)).astype(np.int64), False, np.concatenate([low, high[wide]]), sent)
 
     def compare(table: pa.Table) -> pa.Table:
-        settled = table.filter(table["doc_id"].is_valid()).select(["doc_id", "names"])
-        blocks = table.filter(table["doc_id"].is_null())
-        if not blocks.num_rows:
-            return settled.cast(_ANSWER)
-        names = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in blocks["names"]])
-        of = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in blocks["docs"]])
-        names, of, heads, low, high = _by_name(names, of)
-        size = np.diff(np.append(heads, len(names)))
-        lows, highs = np.repeat(low, size), np.repeat(high, size)
-        found = (lows < highs) if any_other else (of > lows)
-        ids, packed = _answers(names[found], of[found]) if found.any() else ([], [])
-        mine = pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], schema=_ANSWER)
-        return pa.concat_tables([settled.cast(_ANSWER), mine])
+        settled = table.filter(table["answer"])
+        rest = table.filter(pc.invert(table["answer"]))
+        names, of = joined(rest["names"], np.uint64), joined(rest["docs"], np.int64)
+        if not len(names):
+            return settled
+        names, of, low, high, _ = _by_name(names, of)
+        found = (low < high) if any_other else (of > low)
+        mine = _rows(doc_bucket(of[found], buckets), True, of[found], names[found])
+        return pa.concat_tables([settled.cast(_ARROW), pa.Table.from_batches([mine], _ARROW)])
+
+    def gather(table: pa.Table) -> pa.Table:
+        names, of = joined(table["names"], np.uint64), joined(table["docs"], np.int64)
+        order = np.lexsort((names, of))
+        names, of = names[order], of[order]
+        new = np.ones(len(names), bool)
+        new[1:] = (names[1:] != names[:-1]) | (of[1:] != of[:-1])
+        names, of = names[new], of[new]
+        heads = heads_of(of)
+        ends = np.append(heads[1:], len(of))
+        raw = names.tobytes()
+        return pa.table({"doc_id": pa.array(of[heads], pa.int64()),
+                         "names": pa.array([raw[8 * a : 8 * b] for a, b in zip(heads, ends)], pa.binary())})
 
     return (
-        stream_texts(docs).mapInArrow(pack, _ROW).groupBy("bucket").applyInArrow(compare, "doc_id long, names binary")
-        .groupBy("doc_id").agg(F.collect_list("names").alias("names"))
+        stream_texts(docs).mapInArrow(pack, _ROW)
+        .groupBy("bucket").applyInArrow(compare, _ROW)
+        .groupBy("bucket").applyInArrow(gather, "doc_id long, names binary")
     )
 
 
@@ -114,12 +133,11 @@ def told(piece: pa.RecordBatch, answers: str, owner: np.ndarray, names: np.ndarr
     lists = column(piece, answers)
     if len(lists) == lists.null_count or not len(names):
         return np.zeros(len(names), bool)
-    counts, packed = [], []
-    for i, row in enumerate(lists.to_pylist()):
-        got = b"".join(row) if row else b""
-        counts.append(len(got) // 8)
-        packed.append(got)
-    known = np.frombuffer(b"".join(packed), np.uint64)
+    counts, parts = [], []
+    for got in lists.to_pylist():
+        counts.append(len(got or b"") // 8)
+        parts.append(got or b"")
+    known = np.frombuffer(b"".join(parts), np.uint64)
     of = np.repeat(np.arange(len(counts)), counts)
     # A name is looked up within its own text.
     spread = np.uint64(0x9E3779B97F4A7C15)

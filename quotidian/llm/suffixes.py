@@ -12,9 +12,9 @@ Only suffixes that may repeat are sorted. Three exchanges find and settle them:
    its first 16 bytes and longer ties by the rank at the next cover place. Neighbours that agree in a
    whole window are repeats of the smallest doc_id among them. A task holds one bucket besides its text.
 
-An anchor that very many documents have, with ever different surroundings, is not gathered: the windows of
-such anchors are named one by one and go with the second exchange, which keeps two documents per name and
-piece. Which anchors these are is estimated on SAMPLE documents; it changes the way, not the result.
+An anchor that very many documents have, with ever different surroundings, is not gathered: the windows in
+what remains of such anchors' contexts are named one by one and compared by name in the third exchange, to
+which a piece sends only its smallest doc_id with each. Which anchors these are is estimated on SAMPLE documents; it changes the way, not the result.
 """
 
 from __future__ import annotations
@@ -24,12 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotidian.llm.anchors import K, anchors, contexts, fixed_names
 from quotidian.llm.scratch import id_and_text, stream_texts
-from quotidian.llm.seen import seen, told
+from quotidian.llm.seen import doc_bucket, heads_of, joined, packed, seen, told
 from quotidian.llm.text import Texts, column, hash_words, ints, pieces
 
 WINDOW = 50
@@ -178,123 +179,147 @@ def crowded_anchors(docs: DataFrame, window: int) -> np.ndarray:
     return np.sort(np.array([r["name"] for r in rows], np.int64).view(np.uint64))
 
 
-def _shared(piece: pa.RecordBatch, texts: Texts, window: int, crowd: np.ndarray):
-    """Shared anchors that are not crowded: (text, place, name, begin, end, context's name); and the windows
-    of crowded ones: (text, begin, name)."""
+def _shared(piece: pa.RecordBatch, texts: Texts, window: int):
+    """Anchors that other documents have too: (text, place, name, begin, end, context's name)."""
     place, names = anchors(texts, window)
     owner = np.searchsorted(texts.bounds, place, "right") - 1
     keep = told(piece, "shared", owner, names)
     place, names = place[keep], names[keep]
-    hot = np.isin(names, crowd)
     owner, low, high = contexts(texts, place, window)
-    begins = low[hot]
-    count = np.maximum(np.minimum(place[hot], high[hot] - window) - begins + 1, 0)
-    first = np.cumsum(count) - count
-    at = np.unique(np.arange(int(count.sum())) + np.repeat(begins - first, count))
-    crowded = np.searchsorted(texts.bounds, at, "right") - 1, at, fixed_names(texts.data, at, window)
-
-    owner, place, names, low, high = (x[~hot] for x in (owner, place, names, low, high))
     context = np.zeros(len(place), np.uint64)
     whole = high - low == 2 * window - K
     context[whole] = fixed_names(texts.data, low[whole], 2 * window - K)
     context[~whole] = hash_words(texts.data, low[~whole], high[~whole])
     # The anchor's place tells apart contexts that are cut off by an end of a text.
     context += (place - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (owner, place, names, low, high, context), crowded
+    return owner, place, names, low, high, context
 
 
-def _context_entries(window: int, crowd):
+def _context_entries(window: int):
     def entries(piece: pa.RecordBatch, texts: Texts):
-        (owner, _, _, _, _, context), (of, _, names) = _shared(piece, texts, window, crowd.value)
-        return np.concatenate([owner, of]), np.concatenate([context, names])
+        owner, _, _, _, _, context = _shared(piece, texts, window)
+        return owner, context
 
     return entries
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("spans", pa.binary()), ("docs", pa.binary()),
-                   ("begins", pa.binary()), ("names", pa.binary()), ("sizes", pa.binary()), ("blob", pa.binary())])
-_SPANS = pa.schema([("doc_id", pa.int64()), ("spans", pa.binary())])
+def _windows(texts: Texts, low: np.ndarray, high: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, name) of the windows in these stretches."""
+    count = np.maximum(high - low - window + 1, 0)
+    at = np.arange(int(count.sum())) + np.repeat(low - (np.cumsum(count) - count), count)
+    at = np.unique(at)
+    return at, fixed_names(texts.data, at, window)
+
 
+#: What a row of the last exchange holds.
+CONTEXTS, SPANS, WINDOWS = 0, 1, 2
+_SENT = "bucket int, kind int, docs binary, begins binary, ends binary, names binary, sizes binary, blob binary"
+_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), *[(c, pa.binary()) for c in (
+    "docs", "begins", "ends", "names", "sizes", "blob")]])
 
-def _merged(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Spans of each doc as packed (begin, end), those that touch made one."""
+
+def _merged(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each doc, in order, those that touch made one."""
     if not len(doc):
-        return [], []
+        return doc, low, high
     order = np.lexsort((low, doc))
     doc, low, high = doc[order], low[order], high[order]
     # Ends only grow within a doc; an offset per doc keeps docs apart.
-    part = np.cumsum(np.diff(doc, prepend=doc[:1]) != 0)
-    far = np.int64(1) << 40
-    reach = np.maximum.accumulate(high + part * far)
+    part = np.cumsum(np.diff(doc, prepend=doc[:1]) != 0) * (np.int64(1) << 40)
+    reach = np.maximum.accumulate(high + part)
     new = np.ones(len(doc), bool)
-    new[1:] = low[1:] + part[1:] * far > reach[:-1]
+    new[1:] = low[1:] + part[1:] > reach[:-1]
     head = np.flatnonzero(new)
     last = np.append(head[1:], len(doc)) - 1
-    spans = np.stack([low[head], reach[last] - part[last] * far], axis=1)
-    doc = doc[head]
-    cut = np.flatnonzero(np.diff(doc, prepend=doc[0] - 1))
-    ends = np.append(cut[1:], len(doc))
-    return doc[cut].tolist(), [spans[a:b].tobytes() for a, b in zip(cut, ends)]
+    return doc[head], low[head], reach[last] - part[last]
+
+
+def _spans(doc: np.ndarray, low: np.ndarray, high: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Rows of spans, on the way to where a document's spans are gathered."""
+    doc, low, high = _merged(doc, low, high)
+    at, columns = packed(doc_bucket(doc, buckets), doc, low, high)
+    return _sent(SPANS, at, **dict(zip(("docs", "begins", "ends"), columns)))
+
+
+def _sent(kind: int, bucket: np.ndarray, **columns: list[bytes]) -> pa.RecordBatch:
+    none = pa.nulls(len(bucket), pa.binary())
+    return pa.RecordBatch.from_arrays([
+        pa.array(bucket, pa.int32()), pa.array(np.full(len(bucket), kind, np.int32)),
+        *[pa.array(columns[f.name], pa.binary()) if f.name in columns else none for f in list(_ARROW)[2:]],
+    ], schema=_ARROW)
 
 
 def spans_to_remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, spans): byte ranges of each doc_id that windows of smaller ones cover, as packed pairs."""
     spark = docs.sparkSession
-    plain = id_and_text(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    plain = id_and_text(docs)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     crowd = spark.sparkContext.broadcast(crowded_anchors(plain, window))
+    # Left joins of one and the same table, so that its exchange is made once and read again.
     shared = seen(plain, _anchor_entries(window), any_other=True).withColumnRenamed("names", "shared")
-    first = plain.join(shared, "doc_id")
-    smaller = seen(first, _context_entries(window, crowd)).withColumnRenamed("names", "smaller")
+    first = plain.join(shared, "doc_id", "left")
+    smaller = seen(first, _context_entries(window)).withColumnRenamed("names", "smaller")
     second = first.join(smaller, "doc_id", "left")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in pieces(batch, "text"):
-                (owner, place, names, low, high, context), (of, at, hot) = _shared(piece, texts, window, crowd.value)
+                owner, place, names, low, high, context = _shared(piece, texts, window)
                 ids = ints(piece, "doc_id")
-                gone = told(piece, "smaller", owner, context) & (high - low >= window)
-                over = told(piece, "smaller", of, hot)
-                done = _merged(
-                    np.concatenate([ids[owner[gone]], ids[of[over]]]),
-                    np.concatenate([low[gone] - texts.bounds[owner[gone]], at[over] - texts.bounds[of[over]]]),
-                    np.concatenate([high[gone] - texts.bounds[owner[gone]], at[over] + window - texts.bounds[of[over]]]))
-                rest = ~gone & (high - low >= window)
-                owner, place, names, low, high = (x[rest] for x in (owner, place, names, low, high))
-                bucket = (names % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                owner, place, names, low, high, bucket = (x[order] for x in (owner, place, names, low, high, bucket))
-                cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-                rows = [(a, b) for a, b in zip(cut, np.append(cut[1:], len(bucket)))]
+                whole = high - low >= window
+                gone = told(piece, "smaller", owner, context) & whole
+                hot = np.isin(names, crowd.value) & whole & ~gone
+                # Of the windows of crowded anchors the piece settles what it can.
+                at, name = _windows(texts, low[hot], high[hot], window)
+                of = np.searchsorted(texts.bounds, at, "right") - 1
+                if len(at):
+                    order = np.argsort(name, kind="stable")
+                    at, of, name = at[order], of[order], name[order]
+                    heads = heads_of(name)
+                    least = np.minimum.reduceat(ids[of], heads)
+                    over = ids[of] > np.repeat(least, np.diff(np.append(heads, len(name))))
+                    sent = np.flatnonzero(~over)
+                    bucket, (docs_, begins_, names_) = packed(
+                        (name[sent] % np.uint64(buckets)).astype(np.int64), ids[of[sent]],
+                        at[sent] - texts.bounds[of[sent]], name[sent])
+                    yield _sent(WINDOWS, bucket, docs=docs_, begins=begins_, names=names_)
+                    at, of = at[over], of[over]
+                begin, end = np.concatenate([low[gone], at]), np.concatenate([high[gone], at + window])
+                mine = np.concatenate([owner[gone], of])
+                yield _spans(ids[mine], begin - texts.bounds[mine], end - texts.bounds[mine], buckets)
+
+                order = np.flatnonzero(whole & ~gone & ~hot)
+                bucket = (names[order] % np.uint64(buckets)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                order, bucket = order[by], bucket[by]
+                owner, place, names, low, high = (x[order] for x in (owner, place, names, low, high))
+                # Both sides of each anchor, one context after another.
                 left, right = place - low, high - place - K
-                begin = low - texts.bounds[owner]
-                raw = texts.data.tobytes()
-
-                def blob(a: int, b: int) -> bytes:
-                    return b"".join(raw[x:y] + raw[y + K : z] for x, y, z in zip(
-                        low[a:b].tolist(), place[a:b].tolist(), high[a:b].tolist()))
-
-                none = [None] * len(done[0])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([int(bucket[a]) for a, _ in rows] + [d % buckets for d in done[0]], pa.int32()),
-                    pa.array([None] * len(rows) + done[0], pa.int64()),
-                    pa.array([None] * len(rows) + done[1], pa.binary()),
-                    pa.array([ids[owner[a:b]].tobytes() for a, b in rows] + none, pa.binary()),
-                    pa.array([begin[a:b].astype(np.int64).tobytes() for a, b in rows] + none, pa.binary()),
-                    pa.array([names[a:b].tobytes() for a, b in rows] + none, pa.binary()),
-                    pa.array([np.stack([left[a:b], right[a:b]], 1).astype(np.uint8).tobytes() for a, b in rows] + none, pa.binary()),
-                    pa.array([blob(a, b) for a, b in rows] + none, pa.binary()),
-                ], schema=_SENT)
+                size = left + right
+                first = np.cumsum(size) - size
+                offset = np.arange(int(size.sum())) - np.repeat(first, size)
+                skip = np.where(offset >= np.repeat(left, size), K, 0)
+                blob = texts.data[np.repeat(low, size) + offset + skip]
+                cuts = np.append(first, len(blob))[np.append(heads_of(bucket), len(bucket))] if len(bucket) else []
+                blobs = [blob[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                bucket, (docs_, begins_, names_, sizes_) = packed(
+                    bucket, ids[owner], low - texts.bounds[owner], names, np.stack([left, right], 1).astype(np.uint8))
+                yield _sent(CONTEXTS, bucket, docs=docs_, begins=begins_, names=names_, sizes=sizes_, blob=blobs)
 
     def sort(table: pa.Table) -> pa.Table:
-        done = table.filter(table["doc_id"].is_valid()).select(["doc_id", "spans"]).cast(_SPANS)
-        sent = table.filter(table["doc_id"].is_null())
-
-        def joined(name: str, kind) -> np.ndarray:
-            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in sent[name]] or [np.zeros(0, kind)])
-
-        names, doc, begin = joined("names", np.uint64), joined("docs", np.int64), joined("begins", np.int64)
-        sizes, data = joined("sizes", np.uint8).reshape(-1, 2).astype(np.int64), joined("blob", np.uint8)
+        done = table.filter(pc.equal(table["kind"], SPANS)).cast(_ARROW)
+        single = table.filter(pc.equal(table["kind"], WINDOWS))
+        sent = table.filter(pc.equal(table["kind"], CONTEXTS))
+        names, doc, begin = joined(single["names"], np.uint64), joined(single["docs"], np.int64), joined(single["begins"], np.int64)
+        out = [done]
+        if len(names):
+            order = np.argsort(names, kind="stable")
+            names, doc, begin = names[order], doc[order], begin[order]
+            heads = heads_of(names)
+            later = doc > np.repeat(np.minimum.reduceat(doc, heads), np.diff(np.append(heads, len(names))))
+            out.append(pa.Table.from_batches([_spans(doc[later], begin[later], begin[later] + window, buckets)], _ARROW))
+        names, doc, begin = joined(sent["names"], np.uint64), joined(sent["docs"], np.int64), joined(sent["begins"], np.int64)
+        sizes, data = joined(sent["sizes"], np.uint8).reshape(-1, 2).astype(np.int64), joined(sent["blob"], np.uint8)
         # An anchor with one context has nothing to be compared with.
         order = np.argsort(names, kind="stable")
         new = np.ones(len(names), bool)
@@ -306,15 +331,20 @@ def spans_to_remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         place = np.arange(int(take.sum())) + np.repeat(first[order] - (np.cumsum(take) - take), take)
         who, offset = repeated_windows(data[place], sizes[order, 0], sizes[order, 1], names[order], doc[order], window)
         low = begin[order][who] + offset
-        found = _merged(doc[order][who], low, low + window)
-        mine = pa.Table.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.binary())], schema=_SPANS)
-        return pa.concat_tables([done, mine])
+        mine = _spans(doc[order][who], low, low + window, buckets)
+        return pa.concat_tables([*out, pa.Table.from_batches([mine], _ARROW)])
+
+    def gather(table: pa.Table) -> pa.Table:
+        doc, low, high = _merged(*(joined(table[c], np.int64) for c in ("docs", "begins", "ends")))
+        heads = heads_of(doc) if len(doc) else np.zeros(0, np.int64)
+        pairs = np.stack([low, high], axis=1)
+        return pa.table({"doc_id": pa.array(doc[heads], pa.int64()), "spans": pa.array(
+            [pairs[a:b].tobytes() for a, b in zip(heads, np.append(heads[1:], len(doc)))], pa.binary())})
 
     return (
-        stream_texts(second).mapInArrow(send, "bucket int, doc_id long, spans binary, docs binary, begins binary, names binary, "
-                                "sizes binary, blob binary")
-        .groupBy("bucket").applyInArrow(sort, "doc_id long, spans binary")
-        .groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
+        stream_texts(second).mapInArrow(send, _SENT)
+        .groupBy("bucket").applyInArrow(sort, _SENT)
+        .groupBy("bucket").applyInArrow(gather, "doc_id long, spans binary")
     )
 
 
@@ -332,9 +362,9 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             for piece, texts in pieces(batch, "text"):
                 sizes = np.diff(texts.bounds)
                 removed, spans, kept = [], [], []
-                for i, packed in enumerate(column(piece, "spans").to_pylist()):
+                for i, pairs in enumerate(column(piece, "spans").to_pylist()):
                     text = texts.text(i)
-                    ranges = np.frombuffer(b"".join(packed or []), np.int64).reshape(-1, 2)
+                    ranges = np.frombuffer(pairs or b"", np.int64).reshape(-1, 2)
                     change = np.zeros(len(text) + 1, np.int64)
                     np.add.at(change, ranges[:, 0], 1)
                     np.add.at(change, ranges[:, 1], -1)
