@@ -127,7 +127,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
         low[small] += np.log(x[small])
         x = np.where(small, x + 1, x)
     i = 1 / (x * x)
-    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + (1 / 12 - i * (1 / 360 - i / 1260)) / x - low
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + (1 / 12 - i * (1 / 360 - i * (1 / 1260 - i / 1680))) / x - low
 
 
 def kt_block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:

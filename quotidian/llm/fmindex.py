@@ -81,7 +81,8 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for j in range(step):
         key = key << bits
-        key[: n - j] |= text[j:]
+        if j < n:
+            key[: n - j] |= text[j:]
     order = np.argsort(key)
     changed = np.ones(n, bool)
     sorted_key = key[order]

@@ -1,0 +1,69 @@
+import numpy as np
+import pytest
+
+from quotidian.llm import neighbours
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+
+
+def by_hand(rows, step, k):
+    size = 8
+    seen = {(i, tuple(np.float32(x) for x in v)) for i, v in rows
+            if i is not None and v is not None and len(v) == size and all(x is not None and np.isfinite(x) for x in v) and any(v)}
+    ids = [i for i, _ in sorted(seen)]
+    x = np.array([v for _, v in sorted(seen)], float)
+    norm = np.sqrt((x * x).sum(1))
+    out = {}
+    for q in range(len(ids)):
+        if ids[q] % step == 0:
+            score = (x * x[q]).sum(1) / (norm * norm[q])
+            others = sorted((-s, i) for s, i in zip(score, ids) if i != ids[q])
+            out[ids[q]] = others[:k]
+    return out
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(6, 8))
+    found = [(i, (centres[i % 6] + 0.3 * rng.normal(size=8)).tolist()) for i in range(600)]
+    found += [(1000 + i, found[0][1]) for i in range(150)]  # a large group of copies
+    return found + [
+        (2000, None), (2001, [0.0] * 8), (2002, [None, *[1.0] * 7]), (2003, [float("nan"), *[1.0] * 7]),
+        (2004, [float("inf"), *[1.0] * 7]), (2005, [1.0] * 3), (None, [1.0] * 8), (2006, [-0.0, *[1.0] * 7]),
+        found[3], found[3], (2010, [2 * x for x in found[5][1]]),
+    ]
+
+
+def test_recall_and_scores(spark, rows, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL", 100)
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    found: dict = {}
+    for r in neighbours.search(frame(spark, rows), step=10).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], -r["score"], r["vec_id"]))
+    expected = by_hand(rows, 10, 5)
+    assert set(found) == set(expected)
+    hits = 0
+    for query, best in expected.items():
+        got = sorted(found[query])
+        assert [g[0] for g in got] == [1, 2, 3, 4, 5]
+        assert [g[1:] for g in got] == sorted(g[1:] for g in got)
+        hits += len({i for _, i in best} & {g[2] for g in got})
+        if query >= 1000 and query < 2000:  # among copies the smallest ids win
+            assert [g[2] for g in got] == [i for _, i in best]
+    assert hits >= 0.95 * 5 * len(expected)
+
+
+def test_few_vectors(spark):
+    some = [(0, [1.0, 0.0]), (50, [1.0, 1.0]), (7, [0.0, 1.0])]
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search(frame(spark, some)).collect())
+    assert got == [(0, 1, 50), (0, 2, 7), (50, 1, 0), (50, 2, 7)]
+    assert neighbours.search(frame(spark, some).limit(0)).collect() == []
+    assert neighbours.search(frame(spark, [(0, [1.0])])).collect() == []
+
+
+def test_quantile():
+    assert neighbours.chi_square_quantile(0.95, 2) == pytest.approx(5.991464547)
+    assert neighbours.chi_square_quantile(0.99, 8) == pytest.approx(20.09023503)
