@@ -29,7 +29,7 @@ from quotidian.llm.text import Texts, Words, byte_class, column, mix, pieces, pr
 #: Letters of lower-cased text: a-z and all bytes beyond ASCII.
 LETTERS = byte_class(bytes([*range(0x61, 0x7B), *range(0x80, 0x100)]))
 #: Labelled texts that the field is fitted on, languages taking turns, and words used of each for sequences.
-FIT_TEXTS, FIT_WORDS = 3000, 100
+FIT_TEXTS, FIT_WORDS = 1500, 120
 #: Hashed features; words of a sequence, mean words before a switch; rounds of fitting.
 FEATURES, SEQUENCE, STRETCH, ROUNDS = 1 << 16, 40, 14, 40
 CHUNK = 64
@@ -143,14 +143,20 @@ def chain(emit: np.ndarray, transitions: np.ndarray, bounds: np.ndarray) -> np.n
 # Fitting ------------------------------------------------------------------------------------------------
 
 
-def fitting_rows(docs: DataFrame, texts: int = FIT_TEXTS) -> list:
-    """(lang, text) of labelled texts with a letter outside the fold that is held out."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"))
-    return (
-        docs.where("lang IS NOT NULL AND NOT held_out AND has_letter")
+def fitting_rows(docs: DataFrame, texts: int = FIT_TEXTS) -> list[tuple[str, str]]:
+    """(lang, text) of at most `texts` labelled texts with a letter outside the fold that is held out. They are
+    chosen by a hash of their doc_id, languages taking turns; only ids are shuffled for that."""
+    labelled = docs.where("lang IS NOT NULL AND NOT held_out AND has_letter")
+    order = Window.partitionBy("lang").orderBy("hash")
+    chosen = (
+        labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"))
         .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= texts)
-        .orderBy("turn", "lang", F.xxhash64("doc_id", "text")).limit(texts).select("lang", "text").collect()
+        .orderBy("turn", "lang", "hash").limit(texts).select("lang", "doc_id").distinct()
     )
+    here = F.broadcast(chosen.select(F.col("lang").alias("its_lang"), F.col("doc_id").alias("its_id")))
+    rows = labelled.join(here, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("lang") == F.col("its_lang")), "left_semi")
+    found = rows.select("lang", "text").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "lang").limit(texts)
+    return [(r["lang"], r["text"]) for r in found.toLocalIterator()]
 
 
 def _pass_over(emit: np.ndarray, transitions: np.ndarray, gold: np.ndarray, sequences: int):
@@ -188,13 +194,13 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Field | None:
     label = np.array([languages.index(lang) for lang, _ in rows])
     texts = texts_of(pa.array([text for _, text in rows], pa.string()))
     words, first, which, lower = distinct_words(texts)
-    feature, owner, names = features(lower.data, words.starts[first], words.ends[first])
+    names = range_names(prefix_names(lower.data), words.starts[first], words.ends[first])
     owner_of_word = words.owner()
 
     # Lexicon of every second text: words met twice or more.
     in_lexicon = owner_of_word % 2 == 0
-    table = np.zeros((len(first), k))
-    np.add.at(table, (which[in_lexicon], label[owner_of_word[in_lexicon]]), 1)
+    table = np.bincount(
+        which[in_lexicon] * k + label[owner_of_word[in_lexicon]], minlength=len(first) * k).reshape(-1, k)
     common = np.flatnonzero(table.sum(1) >= 2)
     shares = np.log((table[common] + 0.5) / (table[common] + 0.5).sum(1, keepdims=True)) + np.log(k)
     order = np.argsort(names[common])
@@ -221,9 +227,8 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Field | None:
 
     # From here on only the sequences' words and features count.
     used, seq = np.unique(seq, return_inverse=True)
-    keep = np.isin(owner, used)
-    there, feature = np.unique(feature[keep], return_inverse=True)
-    owner = np.searchsorted(used, owner[keep])
+    feature, owner, _ = features(lower.data, words.starts[first[used]], words.ends[first[used]])
+    there, feature = np.unique(feature, return_inverse=True)
     bounds = np.searchsorted(owner, np.arange(len(used) + 1))
     share_of_word = shares_of(lexicon, shares, names[used])
     params = [np.zeros((len(there), k)), np.zeros((k, k)), np.zeros((k, k))]
@@ -281,7 +286,7 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1, texts: int = FIT_TE
         "held_out": F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held, F.lit(False)),
         "has_letter": F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)),
     })
-    field = docs.sparkSession.sparkContext.broadcast(fit([(r["lang"], r["text"]) for r in fitting_rows(rows, texts)]))
+    field = docs.sparkSession.sparkContext.broadcast(fit(fitting_rows(rows, texts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = field.value
