@@ -132,7 +132,7 @@ def _candidates(piece: pa.RecordBatch, texts: Texts, window: int, rounds: int) -
     words, names = _words(texts)
     s = parse(names, words, rounds)
     s = s.at(_inside(s, window))
-    lonely = s.at(~told(piece, "shared", s.owner, s.name))
+    lonely = s.at(~told(piece, "shared", s.owner, s.name, any_other=True))
     # Windows that begin from high - window to low hold the symbol and its context.
     change = np.zeros(len(words) + 2, np.int64)
     begin = np.maximum(lonely.high - window, words.bounds[lonely.owner])

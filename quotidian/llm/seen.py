@@ -22,6 +22,8 @@ from quotidian.llm.text import Texts, column, ints, mix, pieces
 #: (piece, texts) -> (number of the text, name) of every entry
 Entries = Callable[[pa.RecordBatch, Texts], tuple[np.ndarray, np.ndarray]]
 
+#: Bytes of a name where a few false answers do no harm.
+SHORT = 6
 _ROW = "bucket int, answer boolean, docs binary, names binary"
 _ARROW = pa.schema([("bucket", pa.int32()), ("answer", pa.bool_()), ("docs", pa.binary()), ("names", pa.binary())])
 
@@ -39,9 +41,26 @@ def joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def packed(bucket: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
-    """Buckets, and the values of each column that belong to each of them, packed."""
-    order = np.argsort(bucket, kind="stable")
+def short(names: np.ndarray) -> np.ndarray:
+    """Names of SHORT bytes, for answers that only spare further work: a false one costs a comparison."""
+    return names & np.uint64((1 << 8 * SHORT) - 1)
+
+
+def to_bytes(names: np.ndarray, width: int) -> np.ndarray:
+    return names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def from_bytes(data: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = data.reshape(-1, width)
+    return out.view("<u8").ravel()
+
+
+def packed(bucket: np.ndarray, docs: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """Buckets, and the docs and values of each column that belong to each of them, packed; ordered by doc,
+    whose repeated numbers then cost next to nothing."""
+    columns = (docs, *columns)
+    order = np.lexsort((docs, bucket))
     bucket = bucket[order]
     cuts = np.append(heads_of(bucket), len(bucket)) if len(bucket) else np.zeros(1, np.int64)
     out = []
@@ -67,8 +86,8 @@ def _by_name(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
             np.repeat(np.maximum.reduceat(docs, heads), size), heads)
 
 
-def _rows(bucket: np.ndarray, answer: bool, docs: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
-    at, (docs_of, names_of) = packed(bucket, docs, names)
+def _rows(bucket: np.ndarray, answer: bool, docs: np.ndarray, names: np.ndarray, width: int) -> pa.RecordBatch:
+    at, (docs_of, names_of) = packed(bucket, docs, to_bytes(names, width))
     return pa.RecordBatch.from_arrays(
         [pa.array(at), pa.array([answer] * len(at), pa.bool_()), pa.array(docs_of, pa.binary()),
          pa.array(names_of, pa.binary())], schema=_ARROW)
@@ -76,40 +95,42 @@ def _rows(bucket: np.ndarray, answer: bool, docs: np.ndarray, names: np.ndarray)
 
 def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFrame:
     """(doc_id, names): for every doc_id the names that a smaller doc_id has too; with any_other those
-    that another doc_id has. names are packed 64-bit values. Rows without a doc_id take no part.
+    that another doc_id has, by SHORT names. names are packed. Rows without a doc_id take no part.
 
     Two exchanges carry rows of packed values: entries by name, then answers by document.
     """
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = SHORT if any_other else 8
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in pieces(batch, "text"):
                 owner, names = entries(piece, texts)
+                names = short(names) if any_other else names
                 there = np.asarray(column(piece, "doc_id").is_valid().to_numpy(zero_copy_only=False), bool)[owner]
                 if not there.any():
                     continue
                 names, of, low, high, heads = _by_name(names[there], ints(piece, "doc_id")[owner[there]])
                 settled = (low < high) if any_other else (of > low)
-                yield _rows(doc_bucket(of[settled], buckets), True, of[settled], names[settled])
+                yield _rows(doc_bucket(of[settled], buckets), True, of[settled], names[settled], width)
                 name, low, high = names[heads], low[heads], high[heads]
                 wide = low < high
                 sent = np.concatenate([name, name[wide]])
-                yield _rows((sent % np.uint64(buckets)).astype(np.int64), False, np.concatenate([low, high[wide]]), sent)
+                yield _rows((sent % np.uint64(buckets)).astype(np.int64), False, np.concatenate([low, high[wide]]), sent, width)
 
     def compare(table: pa.Table) -> pa.Table:
         settled = table.filter(table["answer"])
         rest = table.filter(pc.invert(table["answer"]))
-        names, of = joined(rest["names"], np.uint64), joined(rest["docs"], np.int64)
+        names, of = from_bytes(joined(rest["names"], np.uint8), width), joined(rest["docs"], np.int64)
         if not len(names):
             return settled
         names, of, low, high, _ = _by_name(names, of)
         found = (low < high) if any_other else (of > low)
-        mine = _rows(doc_bucket(of[found], buckets), True, of[found], names[found])
+        mine = _rows(doc_bucket(of[found], buckets), True, of[found], names[found], width)
         return pa.concat_tables([settled.cast(_ARROW), pa.Table.from_batches([mine], _ARROW)])
 
     def gather(table: pa.Table) -> pa.Table:
-        names, of = joined(table["names"], np.uint64), joined(table["docs"], np.int64)
+        names, of = from_bytes(joined(table["names"], np.uint8), width), joined(table["docs"], np.int64)
         order = np.lexsort((names, of))
         names, of = names[order], of[order]
         new = np.ones(len(names), bool)
@@ -117,9 +138,9 @@ def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFram
         names, of = names[new], of[new]
         heads = heads_of(of)
         ends = np.append(heads[1:], len(of))
-        raw = names.tobytes()
+        raw = to_bytes(names, width).tobytes()
         return pa.table({"doc_id": pa.array(of[heads], pa.int64()),
-                         "names": pa.array([raw[8 * a : 8 * b] for a, b in zip(heads, ends)], pa.binary())})
+                         "names": pa.array([raw[width * a : width * b] for a, b in zip(heads, ends)], pa.binary())})
 
     return (
         stream_texts(docs).mapInArrow(pack, _ROW)
@@ -128,16 +149,20 @@ def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFram
     )
 
 
-def told(piece: pa.RecordBatch, answers: str, owner: np.ndarray, names: np.ndarray) -> np.ndarray:
+def told(
+    piece: pa.RecordBatch, answers: str, owner: np.ndarray, names: np.ndarray, any_other: bool = False
+) -> np.ndarray:
     """Which entries (text, name) are among the answers in a column of the piece."""
+    width = SHORT if any_other else 8
+    names = short(names) if any_other else names
     lists = column(piece, answers)
     if len(lists) == lists.null_count or not len(names):
         return np.zeros(len(names), bool)
     counts, parts = [], []
     for got in lists.to_pylist():
-        counts.append(len(got or b"") // 8)
+        counts.append(len(got or b"") // width)
         parts.append(got or b"")
-    known = np.frombuffer(b"".join(parts), np.uint64)
+    known = from_bytes(np.frombuffer(b"".join(parts), np.uint8), width)
     of = np.repeat(np.arange(len(counts)), counts)
     # A name is looked up within its own text.
     spread = np.uint64(0x9E3779B97F4A7C15)

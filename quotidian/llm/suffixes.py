@@ -183,7 +183,7 @@ def _shared(piece: pa.RecordBatch, texts: Texts, window: int):
     """Anchors that other documents have too: (text, place, name, begin, end, context's name)."""
     place, names = anchors(texts, window)
     owner = np.searchsorted(texts.bounds, place, "right") - 1
-    keep = told(piece, "shared", owner, names)
+    keep = told(piece, "shared", owner, names, any_other=True)
     place, names = place[keep], names[keep]
     owner, low, high = contexts(texts, place, window)
     context = np.zeros(len(place), np.uint64)
@@ -290,7 +290,7 @@ def spans_to_remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
                 order = np.flatnonzero(whole & ~gone & ~hot)
                 bucket = (names[order] % np.uint64(buckets)).astype(np.int64)
-                by = np.argsort(bucket, kind="stable")
+                by = np.lexsort((ids[owner[order]], bucket))
                 order, bucket = order[by], bucket[by]
                 owner, place, names, low, high = (x[order] for x in (owner, place, names, low, high))
                 # Both sides of each anchor, one context after another.
