@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import id_and_text, stream_texts
+from quotidian.llm.scratch import stream_texts, unzipped, zipped
 from quotidian.llm.seen import seen, told
 from quotidian.llm.text import NOT_BLANK, Texts, Words, column, hash_grams, hash_words, mix, pieces, words_of
 
@@ -166,9 +166,9 @@ def kept_words(texts: Texts, words: Words, removed: np.ndarray) -> list[bytes]:
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, text, shared, smaller): docs with the names of their symbols that other documents have and
+    """(doc_id, text, shared, smaller): docs, their texts zipped, with the names of their symbols that other documents have and
     of their windows that documents with a smaller doc_id have."""
-    plain = id_and_text(docs)
+    plain = zipped(docs)
     shared = seen(plain, _symbol_entries(window, rounds), any_other=True).withColumnRenamed("names", "shared")
     # Only documents with a shared symbol can have a window that repeats, save for windows that hold no
     # whole symbol, so all rows stay.
@@ -188,7 +188,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
+            for piece, texts in pieces(unzipped(batch), "text"):
                 words, at, names = _candidates(piece, texts, window, rounds)
                 hit = at[told(piece, "smaller", words.owner()[at], names)]
                 change = np.zeros(len(words) + 1, np.int64)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +53,23 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 def whole_row(df: DataFrame) -> Column:
     """All columns as one, so that none can clash with those that an operator adds."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def zipped(docs: DataFrame) -> DataFrame:
+    """doc_id, and the text compressed by itself, for plans that exchange whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [None if t is None else pack(t.encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "text"])
+
+    return stream_texts(id_and_text(docs)).mapInArrow(run, "doc_id long, text binary")
+
+
+def unzipped(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with its texts as they were."""
+    at = batch.schema.names.index("text")
+    unpack = zstandard.ZstdDecompressor().decompress
+    texts = [None if t is None else unpack(t) for t in batch.column(at).to_pylist()]
+    return batch.set_column(at, "text", pa.array(texts, pa.binary()))

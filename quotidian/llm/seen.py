@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from quotidian.llm.scratch import stream_texts
+from quotidian.llm.scratch import stream_texts, unzipped
 from quotidian.llm.text import Texts, column, ints, mix, pieces
 
 #: (piece, texts) -> (number of the text, name) of every entry
@@ -94,7 +94,7 @@ def _rows(bucket: np.ndarray, answer: bool, docs: np.ndarray, names: np.ndarray,
 
 
 def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFrame:
-    """(doc_id, names): for every doc_id the names that a smaller doc_id has too; with any_other those
+    """docs: with zipped texts. (doc_id, names): for every doc_id the names that a smaller doc_id has too; with any_other those
     that another doc_id has, by SHORT names. names are packed. Rows without a doc_id take no part.
 
     Two exchanges carry rows of packed values: entries by name, then answers by document.
@@ -104,7 +104,7 @@ def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFram
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
+            for piece, texts in pieces(unzipped(batch), "text"):
                 owner, names = entries(piece, texts)
                 names = short(names) if any_other else names
                 there = np.asarray(column(piece, "doc_id").is_valid().to_numpy(zero_copy_only=False), bool)[owner]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotidian.llm.anchors import K, anchors, contexts, fixed_names
-from quotidian.llm.scratch import id_and_text, stream_texts
+from quotidian.llm.scratch import id_and_text, stream_texts, unzipped, zipped
 from quotidian.llm.seen import doc_bucket, heads_of, joined, packed, seen, told
 from quotidian.llm.text import Texts, column, hash_words, ints, pieces
 
@@ -249,12 +249,13 @@ def _sent(kind: int, bucket: np.ndarray, **columns: list[bytes]) -> pa.RecordBat
     ], schema=_ARROW)
 
 
-def spans_to_remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, spans): byte ranges of each doc_id that windows of smaller ones cover, as packed pairs."""
+def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, text, spans): docs, their texts zipped, with the byte ranges that windows of smaller doc_ids
+    cover, as packed pairs."""
     spark = docs.sparkSession
-    plain = id_and_text(docs)
+    plain = zipped(docs)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    crowd = spark.sparkContext.broadcast(crowded_anchors(plain, window))
+    crowd = spark.sparkContext.broadcast(crowded_anchors(id_and_text(docs), window))
     # Left joins of one and the same table, so that its exchange is made once and read again.
     shared = seen(plain, _anchor_entries(window), any_other=True).withColumnRenamed("names", "shared")
     first = plain.join(shared, "doc_id", "left")
@@ -263,7 +264,7 @@ def spans_to_remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
+            for piece, texts in pieces(unzipped(batch), "text"):
                 owner, place, names, low, high, context = _shared(piece, texts, window)
                 ids = ints(piece, "doc_id")
                 whole = high - low >= window
@@ -341,11 +342,12 @@ def spans_to_remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pa.table({"doc_id": pa.array(doc[heads], pa.int64()), "spans": pa.array(
             [pairs[a:b].tobytes() for a, b in zip(heads, np.append(heads[1:], len(doc)))], pa.binary())})
 
-    return (
+    spans = (
         stream_texts(second).mapInArrow(send, _SENT)
         .groupBy("bucket").applyInArrow(sort, _SENT)
         .groupBy("bucket").applyInArrow(gather, "doc_id long, spans binary")
     )
+    return plain.join(spans, "doc_id", "left")
 
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -359,7 +361,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
+            for piece, texts in pieces(unzipped(batch), "text"):
                 sizes = np.diff(texts.bounds)
                 removed, spans, kept = [], [], []
                 for i, pairs in enumerate(column(piece, "spans").to_pylist()):
@@ -377,8 +379,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary()),
                 ], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    plain = id_and_text(docs)
-    return stream_texts(plain.join(spans_to_remove(docs, window), "doc_id", "left")).mapInArrow(
+    return stream_texts(with_spans(docs, window)).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
