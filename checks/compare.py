@@ -26,7 +26,7 @@ def open_tables(folder: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else repr(value)
+        return "NaN" if math.isnan(value) else repr(value)
     return value
 
 

@@ -216,6 +216,22 @@ FUNDAMENTALS = f"""
         FROM growth WHERE quarter_no < 2000 * 4 + 1
         QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY quarter_no DESC) = 1)"""
 
+WILD_BARS = f"""
+    SELECT * REPLACE (CASE WHEN day(date) IN (5, 17) THEN NULL ELSE close END AS close) FROM ({SUPPLIER_BARS})"""
+
+# Every date's growth by a search of its own, where the engine lays spans out.
+BRAND_GROWTH = f"""
+    revenue AS (
+        SELECT p_brand AS ticker, CAST(year(l_shipdate) * 4 + quarter(l_shipdate) - 1 AS INTEGER) AS quarter_no,
+               sum(l_extendedprice * (1 - l_discount)) AS revenue
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+    fundamentals AS (
+        SELECT a.ticker, d.date, a.revenue / nullif(b.revenue, 0) - 1 AS yoy_revenue_growth_proxy
+        FROM ({RAW_DATES}) d
+        JOIN revenue a ON a.quarter_no < year(d.date) * 4 + quarter(d.date) - 1
+        LEFT JOIN revenue b ON a.ticker = b.ticker AND b.quarter_no = a.quarter_no - 4
+        QUALIFY row_number() OVER (PARTITION BY a.ticker, d.date ORDER BY a.quarter_no DESC) = 1)"""
+
 DQ = f"""
     WITH q AS ({QUOTES}),
     stats AS (SELECT count(*) AS total_rows, count(DISTINCT ticker) AS unique_tickers FROM q),
@@ -484,5 +500,45 @@ ORACLES: dict[str, str] = {
         WITH {BRAND_FEATURES}, {scored()}, {book(10)} SELECT {BOOK_COLUMNS} FROM book""",
     "backfill_build": f"""
         WITH {BRAND_SCORES} SELECT {SCORE_COLUMNS} FROM scores
-        WHERE date BETWEEN DATE '1998-04-06' AND DATE '1998-04-12'""",
+        WHERE (SELECT count(*) FROM ({RAW_DATES}) e WHERE e.date < scores.date) >= 60""",
+    "raw_reingest": f"""
+        SELECT ticker, date, close FROM ({BRAND_BARS})
+        UNION ALL SELECT ticker, date, close * 2 FROM ({BRAND_BARS}) WHERE day(date) = 1""",
+    "curate_day": f"SELECT * FROM ({BRAND_BARS}) WHERE date = DATE '{BRAND_AS_OF}'",
+    "curate_day_fallback": f"""
+        SELECT * FROM ({BRAND_BARS}) WHERE date = (SELECT max(date) FROM ({BRAND_BARS}))""",
+    "signal_scores_infinite": f"""
+        WITH {features_as_of(WILD_BARS, SUPPLIER_AS_OF, SUPPLIER_LOOKBACK)}, {scored()}
+        SELECT {SCORE_COLUMNS} FROM scores""",
+    "signal_scores_panel_with_fundamentals": f"""
+        WITH {BRAND_PANEL}, {BRAND_GROWTH},
+        joined AS (SELECT * FROM features LEFT JOIN fundamentals USING (ticker, date)),
+        {scored((*FEATURES, "yoy_revenue_growth_proxy"), "joined")}
+        SELECT {SCORE_COLUMNS}, {r6("yoy_revenue_growth_proxy", "yoy_revenue_growth_proxy")},
+               {r6("yoy_revenue_growth_proxy_zscore", "yoy_revenue_growth_proxy_zscore")}
+        FROM scores""",
+    "landed_csv": f"""
+        SELECT date, open, high, low, close, CAST(volume AS DOUBLE) AS volume, ticker, source
+        FROM ({BRAND_BARS}) WHERE day(date) <> 13""",
+    "rejected_rows": f"""
+        SELECT ticker, 'n/a' AS date_text, close, 'unreadable date' AS reason
+        FROM ({BRAND_BARS}) WHERE day(date) = 13""",
+    "filing_listing": f"""
+        SELECT DISTINCT ticker, filing_type, 1::BIGINT AS files FROM ({MANIFEST})
+        WHERE filing_type IN ('10-Q', '10-K')
+        UNION ALL SELECT 'NONE', '8-K', 3""",
+    "list_tables": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ("customer", "orders", "supplier")
+    ),
+    "describe_table": """
+        SELECT column_name, (SELECT count(*) FROM orders) AS row_count
+        FROM (DESCRIBE SELECT * FROM orders)""",
+    "load_modes": """
+        SELECT 'append' AS mode, 2 * count(*) AS row_count FROM orders
+        UNION ALL SELECT 'replace', count(*) FROM orders
+        UNION ALL SELECT 'fail', count(*) FROM orders""",
+    "typed_empty": """
+        SELECT 'orders' AS table_name, CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM orders)) AS INTEGER) AS columns,
+               count(*) AS row_count FROM orders
+        UNION ALL SELECT 'absent', CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM orders)) AS INTEGER), 0""",
 }

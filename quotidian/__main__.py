@@ -7,7 +7,7 @@
     python -m quotidian --lake PATH backfill [--target-date D] [--end-date D] [--landing PATH]
                                              [--days N] [--skip-curation] [--run-features]
                                              [--no-skip-existing]
-    python -m quotidian --lake PATH tables | describe TABLE [--limit N] | query SQL
+    python -m quotidian --lake PATH tables | describe TABLE [--limit N] | query SQL [--limit N] [--output PATH]
 
 Dates are YYYY-MM-DD and default to today. The session comes from spark-submit's settings.
 """
@@ -15,6 +15,7 @@ Dates are YYYY-MM-DD and default to today. The session comes from spark-submit's
 from __future__ import annotations
 
 import argparse
+import csv
 import sys
 
 from pyspark.sql import SparkSession
@@ -56,7 +57,10 @@ def parser() -> argparse.ArgumentParser:
     table = command("describe", dated=False)
     table.add_argument("table", help="such as curated.daily_prices")
     table.add_argument("--limit", type=int, default=10)
-    command("query", dated=False).add_argument("sql")
+    sql = command("query", dated=False)
+    sql.add_argument("sql")
+    sql.add_argument("--limit", type=int, help="at most so many rows; all, if not given")
+    sql.add_argument("--output", help="write the rows as Parquet here instead of printing them")
     return top
 
 
@@ -86,7 +90,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             skip_existing=not args.no_skip_existing,
         )
     else:
-        catalog.register_lake(spark, lake)
+        for name in catalog.register_lake(spark, lake):
+            print(f"{name} is a table of its own and not the lake's", file=sys.stderr)
         return look(spark, args)
     return 0
 
@@ -108,7 +113,17 @@ def look(spark: SparkSession, args: argparse.Namespace) -> int:
             print(f"  {name}: {kind}")
         info["sample"].show(args.limit, truncate=False)
     else:
-        catalog.run_query(spark, args.sql).show(truncate=False)
+        rows = catalog.run_query(spark, args.sql)
+        if args.limit is not None:
+            rows = rows.limit(args.limit)
+        if args.output:
+            rows.write.mode("error").parquet(args.output)
+            return 0
+        # All rows, a partition at a time.
+        out = csv.writer(sys.stdout, delimiter="\t", lineterminator="\n")
+        out.writerow(rows.columns)
+        for row in rows.toLocalIterator():
+            out.writerow(["NULL" if v is None else v for v in row])
     return 0
 
 

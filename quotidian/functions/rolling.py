@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from quotidian import schemas
+from quotidian.functions import scalar
 
 
 def by_ticker(keys: Sequence[str] = ("ticker",), order: Sequence[str] = ("date",)) -> WindowSpec:
@@ -25,9 +26,19 @@ def last_rows(window: WindowSpec, n: int) -> WindowSpec:
 
 
 def forward_filled(price: str, window: WindowSpec) -> Column:
-    """The last known price at or before the row."""
+    """The last known price at or before the row; one that is not finite is not known."""
+    return last_known(scalar.finite(price), window)
+
+
+def last_known(value: Column | str, window: WindowSpec) -> Column:
+    """The last value that is not NULL at or before the row."""
     up_to_here = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.last(price, ignorenulls=True).over(up_to_here)
+    return F.last(value, ignorenulls=True).over(up_to_here)
+
+
+def change(now: Column, before: Column) -> Column:
+    """Relative change; NULL from a zero base, and where it is too large for a number."""
+    return scalar.finite(F.try_divide(now, before) - 1)
 
 
 def complete(value: Column, count: Column, n: int) -> Column:
@@ -47,7 +58,7 @@ def simple_return(
     filled = f"__{out}_filled"
     return (
         df.withColumn(filled, forward_filled(price_col, window))
-        .withColumn(out, F.try_divide(F.col(filled), F.lag(filled, periods).over(window)) - 1)
+        .withColumn(out, change(F.col(filled), F.lag(filled, periods).over(window)))
         .drop(filled)
     )
 
@@ -72,7 +83,7 @@ def realized_volatility(
 def volatility_of(ret: str, window_rows: int, window: WindowSpec) -> Column:
     frame = last_rows(window, window_rows)
     annualised = F.stddev_samp(ret).over(frame) * F.sqrt(F.lit(schemas.TRADING_DAYS_PER_YEAR))
-    return complete(annualised, F.count(ret).over(frame), window_rows)
+    return complete(scalar.finite(annualised), F.count(ret).over(frame), window_rows)
 
 
 def momentum(
@@ -99,6 +110,7 @@ def mean_reversion_zscore(
 
 def mean_reversion_of(price_col: str, window_rows: int, window: WindowSpec) -> Column:
     frame = last_rows(window, window_rows)
-    distance = F.col(price_col) - F.avg(price_col).over(frame)
-    zscore = F.try_divide(distance, F.stddev_samp(price_col).over(frame))
-    return complete(zscore, F.count(price_col).over(frame), window_rows)
+    price = scalar.finite(price_col)
+    distance = price - F.avg(price).over(frame)
+    zscore = scalar.finite(F.try_divide(distance, F.stddev_samp(price).over(frame)))
+    return complete(zscore, F.count(price).over(frame), window_rows)

@@ -19,12 +19,19 @@ def parse_run_date(text: str | None = None) -> date:
     return datetime.strptime(text, "%Y-%m-%d").date() if text else date.today()
 
 
+def finite(number: Column | str) -> Column:
+    """The number, NULL where it is infinite or no number."""
+    column = as_column(number)
+    return F.when(F.abs(column) < float("inf"), column)
+
+
 def parse_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns as doubles, NULL where a text is no decimal number; all others as they are.
 
     Spark's cast takes more than decimal numbers: Java's type suffixes (``1d``, ``2.5f``),
-    hexadecimal floats, and exponents too large for a double, which become infinite. Those and
-    ``nan`` are NULL here; a spelt-out infinity is kept.
+    hexadecimal floats, and exponents too large for a double, which become infinite. Those are NULL
+    here, as is whatever is infinite or ``nan`` in the first place: a price that is no finite number
+    would spoil every mean it enters.
 
     Casting a text that is no number costs far more than casting one that is. Texts that cannot be
     numbers by their last character are not cast; the casts are columns of their own before they
@@ -38,7 +45,7 @@ def parse_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cast = endings.select(
         "*",
         *[
-            F.when(F.col(f"__{c}_last").isin(*"0123456789.fFyY"), F.col(c))
+            F.when(F.col(f"__{c}_last").isin(*"0123456789."), F.col(c))
             .try_cast("double")
             .alias(f"__{c}_number")
             for c in texts
@@ -47,12 +54,10 @@ def parse_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     def number(c: str) -> Column:
         if c not in texts:
-            return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+            return finite(F.col(c).cast("double"))
         value, last = F.col(f"__{c}_number"), F.col(f"__{c}_last")
         hexadecimal = F.contains(c, F.lit("x")) | F.contains(c, F.lit("X"))
-        finite = (F.abs(value) < float("inf")) & ~last.isin("f", "F") & ~hexadecimal
-        spelt_infinity = (F.abs(value) == float("inf")) & last.isin("f", "F", "y", "Y")
-        return F.when(finite | spelt_infinity, value)
+        return F.when(~last.isin("f", "F") & ~hexadecimal, finite(value))
 
     return cast.select(*[number(c).alias(c) if c in columns else c for c in df.columns])
 
@@ -62,11 +67,27 @@ def whole_number(number: Column) -> Column:
     return F.rint(number).try_cast("bigint")
 
 
+#: Further ways of writing a date, month before day where both are numbers; tried in this order.
+DATE_FORMATS = (
+    "yyyyMMdd", "M/d/yyyy", "yyyy/M/d", "M-d-yyyy", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy",
+    "d MMMM yyyy", "yyyy.M.d",
+)
+
+
 def to_day(value: Column | str) -> Column:
     """Calendar date of a date, timestamp or text; NULL where it is none."""
     return as_column(value).try_cast("date")
 
 
+def parse_day(text: Column | str) -> Column:
+    """``to_day`` for text that may also be written in one of DATE_FORMATS, with a time behind it."""
+    column = F.trim(as_column(text).cast("string"))
+    day = F.regexp_replace(column, r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?Z?$", "")
+    eight_digits = F.try_to_date(F.when(day.rlike(r"^\d{8}$"), day), "yyyyMMdd")
+    return F.coalesce(eight_digits, F.when(~day.rlike(r"^\d+$"), F.coalesce(
+        to_day(column), *[F.try_to_date(day, form) for form in DATE_FORMATS[1:]])))
+
+
 def quarter_label(value: Column | str) -> Column:
     """``Q1`` to ``Q4``."""
     return F.concat(F.lit("Q"), F.quarter(as_column(value)).cast("string"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotidian import schemas
-from quotidian.functions import rolling
+from quotidian.functions import rolling, scalar
 
 VOL, MOM, REV = schemas.PRICE_FEATURE_COLUMNS
 
@@ -21,11 +21,10 @@ def rolling_price_features(prices: DataFrame) -> DataFrame:
     window = rolling.by_ticker()
     return (
         prices.withColumn("filled", rolling.forward_filled("close", window))
-        .withColumn("ret", F.try_divide(F.col("filled"), F.lag("filled", 1).over(window)) - 1)
+        .withColumn("ret", rolling.change(F.col("filled"), F.lag("filled", 1).over(window)))
         .withColumn(VOL, rolling.volatility_of("ret", schemas.VOLATILITY_WINDOW, window))
         .withColumn(
-            MOM,
-            F.try_divide(F.col("filled"), F.lag("filled", schemas.MOMENTUM_WINDOW).over(window)) - 1,
+            MOM, rolling.change(F.col("filled"), F.lag("filled", schemas.MOMENTUM_WINDOW).over(window))
         )
         .withColumn(REV, rolling.mean_reversion_of("close", schemas.MEAN_REVERSION_WINDOW, window))
         .drop("filled", "ret")
@@ -93,7 +92,7 @@ def price_features_panel(
     no longer holds the oldest price it uses. With filled gaps that price may be older than the row
     it fills, hence the dates of known prices are carried along.
 
-    ``first`` and ``last`` bound the wanted dates, where known, and so the scan.
+    ``first`` and ``last`` bound the wanted dates, where known, and so the scan and the spans.
     """
     window = rolling.by_ticker()
     if first is not None:
@@ -102,11 +101,11 @@ def price_features_panel(
         prices = prices.where(F.col("date") <= F.lit(last))
 
     dated = prices.select(
-        "ticker", "date", "close", F.when(F.col("close").isNotNull(), F.col("date")).alias("known")
+        "ticker", "date", "close", F.when(scalar.finite("close").isNotNull(), F.col("date")).alias("known")
     )
     bars = (
         rolling_price_features(dated)
-        .withColumn("price_date", rolling.forward_filled("known", window))
+        .withColumn("price_date", rolling.last_known("known", window))
         .withColumn("gate_date", F.lag("date", min_rows - 1).over(window))
         .withColumn("next_date", F.lead("date", 1).over(window))
         .withColumn("vol_from", F.lag("price_date", schemas.VOLATILITY_WINDOW).over(window))
@@ -114,12 +113,17 @@ def price_features_panel(
         .withColumn("rev_from", F.lag("date", schemas.MEAN_REVERSION_WINDOW - 1).over(window))
     )
     until = F.least(F.date_sub("next_date", 1), F.date_add("gate_date", lookback_days))
-    spans = bars.withColumn("until", until).where(
-        F.col("gate_date").isNotNull() & (F.col("until") >= F.col("date"))
+    since = F.col("date")
+    if first is not None:
+        since = F.greatest(since, F.lit(first))
+    if last is not None:
+        until = F.least(until, F.lit(last))
+    spans = bars.withColumns({"since": since, "until": until}).where(
+        F.col("gate_date").isNotNull() & (F.col("until") >= F.col("since"))
     )
     if shared:
         spans = shared_by_branches(spans)
-    spans = spans.withColumn("as_of", F.explode(F.sequence("date", "until")))
+    spans = spans.withColumn("as_of", F.explode(F.sequence("since", "until")))
     # One row per calendar day at most: DateType itself bounds what is broadcast.
     wanted = F.broadcast(dates.select(F.col("date").cast("date").alias("as_of")).distinct())
     oldest = F.date_sub("as_of", lookback_days)

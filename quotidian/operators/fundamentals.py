@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from quotidian.functions import scalar
+
 
 def yoy_growth(revenue: DataFrame) -> DataFrame:
     """Adds ``yoy_revenue_growth`` to (ticker, quarter_no, revenue).
@@ -21,8 +23,8 @@ def yoy_growth(revenue: DataFrame) -> DataFrame:
 
 
 def yoy_revenue_growth_proxy(revenue: DataFrame, as_of: date) -> DataFrame:
-    """(ticker, date, yoy_revenue_growth_proxy): growth in each ticker's last quarter that had
-    ended by ``as_of``, dated ``as_of``."""
+    """(ticker, date, yoy_revenue_growth_proxy): growth in each ticker's last quarter before the one that
+    ``as_of`` lies in, dated ``as_of``. A quarter counts from the day after its end."""
     next_quarter = as_of.year * 4 + (as_of.month - 1) // 3
     by_quarter = Window.partitionBy("ticker").orderBy("quarter_no")
     known = revenue.where(F.col("quarter_no") < next_quarter)
@@ -36,3 +38,28 @@ def yoy_revenue_growth_proxy(revenue: DataFrame, as_of: date) -> DataFrame:
             F.col("yoy_revenue_growth").alias("yoy_revenue_growth_proxy"),
         )
     )
+
+
+def yoy_revenue_growth_panel(revenue: DataFrame, dates: DataFrame) -> DataFrame:
+    """``yoy_revenue_growth_proxy`` for every date of ``dates`` at once.
+
+    A quarter's growth stands from the quarter after it until the ticker's next one; it is laid out over
+    the quarters that the dates lie in, of which there are four a year.
+    """
+    by_quarter = Window.partitionBy("ticker").orderBy("quarter_no")
+    days = dates.select(F.col("date").cast("date").alias("date")).distinct().withColumn(
+        "in_quarter", scalar.quarter_index("date"))
+    span = days.agg(F.min("in_quarter").alias("low"), F.max("in_quarter").alias("high")).first()
+    if span["low"] is None:
+        return revenue.sparkSession.createDataFrame([], "ticker string, date date, yoy_revenue_growth_proxy double")
+    since = F.greatest(F.col("quarter_no") + 1, F.lit(span["low"]))
+    until = F.least(F.lead("quarter_no", 1).over(by_quarter), F.lit(span["high"]))
+    standing = (
+        yoy_growth(revenue)
+        .withColumns({"since": since, "until": until})
+        .where(F.col("until") >= F.col("since"))
+        .withColumn("in_quarter", F.explode(F.sequence("since", "until")))
+    )
+    # At most one row per calendar day.
+    return standing.join(F.broadcast(days), "in_quarter").select(
+        "ticker", "date", F.col("yoy_revenue_growth").alias("yoy_revenue_growth_proxy"))

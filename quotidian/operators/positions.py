@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from quotidian import schemas
+from quotidian.functions import scalar
 
 
 def top_per_date(signals: DataFrame, n: int, signal_col: str = "signal_score") -> DataFrame:
@@ -49,7 +50,7 @@ def generate_positions(
     if not {"ticker", "date", signal_col} <= set(signals.columns):
         book = signals.sparkSession.createDataFrame([], schemas.POSITIONS)
         return book.withColumnRenamed("signal_score", signal_col)
-    scored = signals.where(F.col(signal_col).isNotNull()).select("ticker", "date", signal_col)
+    scored = signals.where(scalar.finite(signal_col).isNotNull()).select("ticker", "date", signal_col)
     if as_of is not None:
         scored = scored.where(F.col("date") == F.lit(as_of))
 

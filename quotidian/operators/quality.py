@@ -50,26 +50,24 @@ def row_conditions() -> dict[str, Column]:
     }
 
 
-def row_counts(prices: DataFrame) -> DataFrame:
-    """One row with the counts that look at single rows: a plain scan, nothing to shuffle."""
-    return prices.agg(
-        *[F.count_if(cond).alias(name) for name, cond in row_conditions().items()],
-        *[F.count_if(F.col(c) < schemas.MIN_PRICE).alias(f"{c}_small") for c in PRICE_COLUMNS],
-        *[F.count(c).alias(f"{c}_known") for c in PRICE_COLUMNS],
-    )
-
-
-def key_counts(prices: DataFrame) -> DataFrame:
-    """One row with the counts that compare rows of a ticker.
+def check_counts(prices: DataFrame) -> DataFrame:
+    """One row with all counts, from one scan.
 
-    Rows are first reduced to one per (ticker, date), where copies of a key meet. A change overnight
-    is judged between the extremes of neighbouring dates, which for one row per date is the plain
-    change and for copies does not depend on their order.
+    Rows are first reduced to one per (ticker, date), where copies of a key meet and the counts that
+    look at single rows are added up. A change overnight is judged between the extremes of
+    neighbouring dates, which for one row per date is the plain change and for copies does not
+    depend on their order.
     """
+    single = {
+        **{name: F.count_if(condition) for name, condition in row_conditions().items()},
+        **{f"{c}_small": F.count_if(F.col(c) < schemas.MIN_PRICE) for c in PRICE_COLUMNS},
+        **{f"{c}_known": F.count(c) for c in PRICE_COLUMNS},
+    }
     per_bar = prices.groupBy("ticker", "date").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("close").alias("lowest"),
         F.max("close").alias("highest"),
+        *[count.alias(name) for name, count in single.items()],
     )
     window = rolling.by_ticker()
     rise = F.try_divide(F.col("highest"), F.lag("lowest", 1).over(window)) - 1
@@ -83,23 +81,18 @@ def key_counts(prices: DataFrame) -> DataFrame:
             F.sum("n").alias("total_rows"),
             F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("duplicate_ticker_date"),
             F.count_if((F.col("rise") > limit) | (F.col("fall") > limit)).alias("overnight_change"),
+            *[F.sum(name).alias(name) for name in single],
         )
     )
     return per_ticker.agg(
         *[
             F.coalesce(F.sum(c), F.lit(0)).alias(c)
-            for c in ("total_rows", "duplicate_ticker_date", "overnight_change")
+            for c in ("total_rows", "duplicate_ticker_date", "overnight_change", *single)
         ],
         F.count("ticker").alias("unique_tickers"),
     )
 
 
-def check_counts(prices: DataFrame) -> DataFrame:
-    """One row with all counts: two rows with complementary columns, merged."""
-    parts = row_counts(prices).unionByName(key_counts(prices), allowMissingColumns=True)
-    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
-
-
 def quality_report(prices: DataFrame) -> DataFrame:
     """(check, severity, bad_rows, failed, total_rows, unique_tickers), one row per check.
 

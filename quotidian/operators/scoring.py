@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotidian import schemas
+from quotidian.functions import scalar
+
+#: Groups whose statistics are broadcast; with more, Spark joins by a shuffle.
+MAX_GROUPS = 10_000
 
 
 def zscores(
@@ -17,25 +21,27 @@ def zscores(
 ) -> DataFrame:
     """Adds ``<value>_zscore``: distance from the group's mean in its sample deviations.
 
-    NULL values stay NULL and do not count; a group of one, or without spread, gives NULL, and so
-    does a row without a group.
+    Values that are NULL or not finite give NULL and do not count; so does a group of one, or without
+    spread, and a row without a group.
 
     The statistics are an aggregate joined back rather than a window, because one date may hold the
     whole table and a window would put it into one task. Grouped by a date the statistics have at
-    most one row per calendar day, which bounds the broadcast; for other groupings Spark decides.
+    most one row per calendar day, which bounds the broadcast; for other groupings the groups are
+    counted first, and broadcast up to MAX_GROUPS of them.
     """
     stats = df.groupBy(F.col(group_col).alias("__group")).agg(
-        *[F.avg(c).alias(f"__{c}_mean") for c in value_cols],
-        *[F.stddev_samp(c).alias(f"__{c}_std") for c in value_cols],
+        *[F.avg(scalar.finite(c)).alias(f"__{c}_mean") for c in value_cols],
+        *[F.stddev_samp(scalar.finite(c)).alias(f"__{c}_std") for c in value_cols],
     )
-    if isinstance(df.schema[group_col].dataType, T.DateType):
+    by_date = isinstance(df.schema[group_col].dataType, T.DateType)
+    if by_date or stats.select("__group").count() <= MAX_GROUPS:
         stats = F.broadcast(stats)
     # A null-safe match adds no "is not null" to the statistics' branch, so that both branches stay
     # equal and Spark runs what is below them once.
     joined = df.join(stats, F.col(group_col).eqNullSafe(F.col("__group")), "left")
 
     def scaled(c: str) -> Column:
-        z = F.try_divide(F.col(c) - F.col(f"__{c}_mean"), F.col(f"__{c}_std"))
+        z = scalar.finite(F.try_divide(F.col(c) - F.col(f"__{c}_mean"), F.col(f"__{c}_std")))
         return F.when(F.col(group_col).isNotNull(), z).alias(f"{c}{suffix}")
 
     return joined.select(*df.columns, *[scaled(c) for c in value_cols])

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from quotidian import schemas
 from quotidian.operators import curation, quality
+from quotidian.operators.fundamentals import yoy_revenue_growth_panel
 from quotidian.operators.features import price_features_panel
 from quotidian.operators.positions import generate_positions
 from quotidian.operators.scoring import score_signals, to_mart
-from quotidian.plans.daily import INGEST_ORDER, append_raw_prices, curate_filings_of
-from quotidian.session import scratch_dir
-from quotidian.sources import lake as lake_io
-from quotidian.sources import prices
+from quotidian.plans.daily import (
+    INGEST_ORDER, append_raw_prices, curate_filings_of, reject_rows, rejected_count,
+)
+from quotidian.sources import files, lake as lake_io, prices
 from quotidian.sources.lake import Lake
 
 
@@ -61,19 +62,22 @@ def build_dates(
     start: date,
     end: date,
     lookback_days: int = schemas.FEATURE_LOOKBACK_DAYS,
+    revenue: DataFrame | None = None,
 ) -> None:
     """Scores and positions for all given dates in one pass over the prices.
 
-    The scores are first written to scratch: the mart, the list of empty dates and the book are then
-    read from there. Dates that come out empty are few, and are listed on the driver (a calendar
-    bounds them) to get their empty partition, which also clears rows of an earlier run.
+    The scores are first staged beside the lake's tables: the mart, the list of empty dates and the
+    book are then read from there, and the copy goes. Dates that come out empty are listed on the
+    driver (a calendar bounds them) to get their empty partition, which also clears rows of an
+    earlier run. With revenues given, growth is scored with the price features.
     """
     daily = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
     features = price_features_panel(
         daily, dates, lookback_days, first=start, last=end, shared=True
     )
-    staged = scratch_dir(spark, "scores")
-    to_mart(score_signals(features)).write.partitionBy("date").parquet(staged)
+    growth = None if revenue is None else yoy_revenue_growth_panel(revenue, dates)
+    staged = lake.staging("scores")
+    to_mart(score_signals(features, growth)).write.partitionBy("date").parquet(staged)
     scores = lake_io.read_scores(spark, staged)
     book = lake_io.conform(generate_positions(scores), schemas.POSITIONS)
 
@@ -85,8 +89,8 @@ def build_dates(
         (book, lake.positions, schemas.POSITIONS),
     ):
         empty = dates.join(table.select("date").distinct(), "date", "left_anti").collect()
-        for row in empty:
-            lake_io.overwrite_date(spark.createDataFrame([], schema), path, row["date"])
+        lake_io.write_empty_dates(spark, schema, path, sorted(r["date"] for r in empty))
+    files.delete(spark, staged)
 
 
 def backfill(
@@ -111,7 +115,9 @@ def backfill(
     start, end = min(target_date, end_date), max(target_date, end_date)
 
     if landing is not None:
-        landed = prices.normalise_landed(prices.read_landed_csv(spark, landing))
+        read = prices.read_landed_csv(spark, landing)
+        reject_rows(read, lake, end)
+        landed = prices.normalise_landed(read)
         append_raw_prices(landed.where(in_ingest_windows("date", start, end, days_to_fetch)), lake)
 
     available = lake_io.dates_with_files(spark, lake.raw_prices)
@@ -131,13 +137,23 @@ def backfill(
         lake_io.overwrite_partitions(curation.curate_all_dates(wanted, INGEST_ORDER), lake.daily_prices)
         curate_filings_of(spark, lake, chosen)
         stored = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
-        report = quality.validate_daily_prices(
-            stored.join(F.broadcast(dates), "date", "left_semi"), fail_on_error=False
-        )
+        report = {
+            "unreadable_files": [
+                path for path in files.without_rows(spark, wanted, lake.raw_prices, "date=*/*.parquet")
+                if path.split("/")[-2].removeprefix("date=") in {d.isoformat() for d in chosen}
+            ],
+            "rejected_rows": rejected_count(spark, lake, end),
+            **quality.validate_daily_prices(
+                stored.join(F.broadcast(dates), "date", "left_semi"), fail_on_error=False
+            ),
+        }
 
     if run_features:
         ready = dates.join(with_enough_history(available), "date", "left_semi")
-        build_dates(spark, lake, ready, start, end, lookback_days)
+        revenue = None
+        if lake_io.is_written(spark, lake.quarterly_revenue):
+            revenue = lake_io.read_table(spark, lake.quarterly_revenue, schemas.QUARTERLY_REVENUE)
+        build_dates(spark, lake, ready, start, end, lookback_days, revenue)
     return report
 
 

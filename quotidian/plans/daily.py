@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,37 +11,69 @@ from pyspark.sql import functions as F
 from quotidian import schemas
 from quotidian.functions import scalar
 from quotidian.operators import curation, quality
+from quotidian.operators.fundamentals import yoy_revenue_growth_proxy
 from quotidian.operators.features import price_features_as_of
 from quotidian.operators.positions import generate_positions
 from quotidian.operators.scoring import score_signals, to_mart
-from quotidian.sources import filings, lake as lake_io, prices
+from quotidian.sources import files, filings, lake as lake_io, prices
 from quotidian.sources.lake import Lake
 
 INGEST_ORDER = ("file_time", "file_path")
 
 
 def append_raw_prices(rows: DataFrame, lake: Lake) -> None:
-    """Adds rows to the raw layer. Nothing is replaced, so a run with some of the tickers cannot lose
-    the others; of repeated rows curation keeps those written last."""
-    (
-        lake_io.conform(rows, schemas.RAW_PRICES)
-        .where(F.col("date").isNotNull())
-        .hint("rebalance", F.col("date"))
-        .write.mode("append")
-        .partitionBy("date")
-        .parquet(lake.raw_prices)
-    )
+    """Adds rows to the raw layer that differ from what it holds last for their ticker and date.
+
+    Nothing is replaced, so a run with some of the tickers cannot lose the others; of several rows
+    curation keeps those written last. What is known already is not written again, so the layer grows
+    with new data, not with the number of runs. Only the stored dates that the rows can have are read.
+    """
+    spark = rows.sparkSession
+    new = lake_io.conform(rows, schemas.RAW_PRICES).where(F.col("date").isNotNull())
+    if lake_io.is_written(spark, lake.raw_prices):
+        values = [c for c in schemas.RAW_PRICES.names if c not in ("ticker", "date")]
+        days = F.broadcast(new.select("date").distinct())  # at most one row per calendar day
+        stored = prices.read_raw(spark, lake.raw_prices).join(days, "date", "left_semi")
+        last = stored.groupBy("ticker", "date").agg(
+            F.max(F.struct(*INGEST_ORDER, *values)).alias("last")).select(
+            "ticker", "date", F.struct(*[F.col(f"last.{c}") for c in values]).alias("known"))
+        same = new["ticker"].eqNullSafe(last["ticker"]) & (new["date"] == last["date"]) & F.struct(
+            *[new[c] for c in values]).eqNullSafe(last["known"])
+        new = new.join(last, same, "left_anti")
+    with lake_io.many_small_files(spark):
+        (
+            new.hint("rebalance", F.col("date"))
+            .write.mode("append")
+            .partitionBy("date")
+            .parquet(lake.raw_prices)
+        )
 
 
 def ingest_prices(spark: SparkSession, lake: Lake, landing: str, run_date: date) -> DataFrame:
     """Landed files of the ingest window into the raw layer; returns each ticker's row of the run
     date or its latest earlier one."""
-    landed = prices.normalise_landed(prices.read_landed_csv(spark, landing))
-    window = prices.ingest_window(landed, run_date)
+    landed = prices.read_landed_csv(spark, landing)
+    reject_rows(landed, lake, run_date)
+    window = prices.ingest_window(prices.normalise_landed(landed), run_date)
     append_raw_prices(window, lake)
     return prices.last_at_or_before(window, run_date)
 
 
+def reject_rows(landed: DataFrame, lake: Lake, run_date: date) -> None:
+    """Landed rows without a readable date, kept as they came; they replace those of an earlier run of the
+    date."""
+    lake_io.overwrite_date(
+        prices.rejected(landed).withColumnRenamed("date", "date_text").withColumn("date", F.lit(run_date)),
+        lake.rejected_prices, run_date,
+    )
+
+
+def rejected_count(spark: SparkSession, lake: Lake, run_date: date) -> int:
+    """Rows that the run of a date has rejected."""
+    folder = f"{lake.rejected_prices}/date={run_date.isoformat()}"
+    return spark.read.parquet(folder).count() if lake_io.is_written(spark, folder) else 0
+
+
 def ingest_filings(
     spark: SparkSession,
     lake: Lake,
@@ -57,23 +89,28 @@ def ingest_filings(
 
 
 def curate_prices_day(spark: SparkSession, lake: Lake, run_date: date) -> dict | None:
-    """Curates the run date, or the latest earlier date of the ingest window, validates it, and
-    replaces that date. Findings are reported and do not stop the load. None without raw rows."""
-    since = run_date - timedelta(days=schemas.INGEST_WINDOW_DAYS)
-    raw = prices.read_raw(spark, lake.raw_prices).where(
-        F.col("date").between(F.lit(since), F.lit(run_date))
-    )
-    # Dates are the partition column: this reads no price data, and the answer prunes the next scan.
-    day = raw.agg(F.max("date")).first()[0]
-    if day is None:
+    """Curates the run date, or the latest earlier date there is, validates it, and replaces that date.
+    Findings, files that could not be read and rows rejected at landing are reported and do not stop the
+    load. None without raw rows."""
+    known = [d for d in files.days_with_files(spark, lake.raw_prices) if d <= run_date]
+    if not known:
         return None
+    day = known[-1]
+    raw = prices.read_raw(spark, lake.raw_prices)
     curated = curation.curate_daily_prices(raw.where(F.col("date") == F.lit(day)), day, INGEST_ORDER)
     lake_io.overwrite_date(curated, lake.daily_prices, day)
     stored = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
     report = quality.validate_daily_prices(
         stored.where(F.col("date") == F.lit(day)), fail_on_error=False
     )
-    return {"date": day, **report}
+    return {
+        "date": day,
+        "unreadable_files": files.without_rows(
+            spark, raw.where(F.col("date") == F.lit(day)), lake.raw_prices, f"date={day.isoformat()}/*.parquet"
+        ),
+        "rejected_rows": rejected_count(spark, lake, run_date),
+        **report,
+    }
 
 
 def curate_filings_of(spark: SparkSession, lake: Lake, days: Sequence[date]) -> None:
@@ -111,17 +148,30 @@ def build_day(
     scores = to_mart(score_signals(features, fundamentals))
     lake_io.overwrite_date(scores, lake.signal_scores, run_date)
 
-    stored = lake_io.read_scores(spark, lake.signal_scores)
+    stored = lake_io.read_scores_of(spark, lake.signal_scores, run_date)
     book = generate_positions(stored, run_date)
     lake_io.overwrite_date(
         lake_io.conform(book, schemas.POSITIONS), lake.positions, run_date, ["position_type", "rank"]
     )
 
 
-def run_day(spark: SparkSession, lake: Lake, landing: str, run_date: str | date | None = None) -> dict | None:
-    """Ingest, curate and build; the run date may be given as text and defaults to today."""
+def run_day(
+    spark: SparkSession,
+    lake: Lake,
+    landing: str,
+    run_date: str | date | None = None,
+    downloads: str | None = None,
+) -> dict | None:
+    """Ingest, curate and build; with a folder of downloads, filings too. The run date may be given as text
+    and defaults to today. Growth from the stored revenues, where there are any, is scored with prices."""
     day = run_date if isinstance(run_date, date) else scalar.parse_run_date(run_date)
     ingest_prices(spark, lake, landing, day)
-    report = curate_prices_day(spark, lake, day)
-    build_day(spark, lake, day)
+    if downloads is not None:
+        ingest_filings(spark, lake, downloads, day)
+    report = curate_day(spark, lake, day, with_filings=downloads is not None)
+    growth = None
+    if lake_io.is_written(spark, lake.quarterly_revenue):
+        revenue = lake_io.read_table(spark, lake.quarterly_revenue, schemas.QUARTERLY_REVENUE)
+        growth = yoy_revenue_growth_proxy(revenue, day)
+    build_day(spark, lake, day, fundamentals=growth)
     return report

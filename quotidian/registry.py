@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from quotidian.operators.positions import generate_positions
 from quotidian.operators.scoring import normalize_to_zscore, score_signals
 from quotidian.plans import backfill, daily, marts
 from quotidian.session import scratch_dir
-from quotidian.sources import catalog, filings, lake as lake_io, prices, universe, warehouse
+from quotidian.sources import catalog, files, filings, lake as lake_io, prices, universe, warehouse
 from quotidian.sources.lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +38,6 @@ TICKER = "Supplier#000000001"
 BRAND = "Brand#1"
 SECTOR = "ASIA"
 RANGE_START, RANGE_END = date(1998, 1, 1), date(1999, 12, 31)
-WEEK_START, WEEK_END = date(1998, 4, 6), date(1998, 4, 12)
 
 QUERIES: dict[str, Query] = {}
 
@@ -550,12 +550,79 @@ def union_by_name(spark, folder):
     ])
 
 
+@query
+def signal_scores_infinite(spark, folder):
+    """Some closes are infinite or no number: they count as unknown, and no other ticker's scores change."""
+    wild = F.when(F.dayofmonth("date") == 5, F.lit(float("inf"))).when(F.dayofmonth("date") == 17, F.lit(float("nan")))
+    bars = warehouse.supplier_bars(spark, folder).withColumn("close", F.coalesce(wild, F.col("close")))
+    features = price_features_as_of(bars, SUPPLIER_AS_OF, SUPPLIER_LOOKBACK)
+    return rounded(score_signals(features), *Z_COLUMNS, "signal_score")
+
+
+@query
+def signal_scores_panel_with_fundamentals(spark, folder):
+    """Prices and revenue growth of the brands, scored on every date at once."""
+    dates = raw_dates(spark, folder)
+    features = price_features_panel(warehouse.brand_bars(spark, folder), dates)
+    growth = fundamentals.yoy_revenue_growth_panel(warehouse.quarterly_brand_revenue(spark, folder), dates)
+    scores = score_signals(features, growth)
+    return rounded(scores, *[c for c in scores.columns if c not in ("ticker", "date")])
+
+
+# --- landed files and listings ----------------------------------------------------------------
+
+def landed_csv_files(spark, folder) -> DataFrame:
+    """The brands' bars as landed files in three layouts: other headers, column orders and date texts. On the
+    13th of a month there is no date that can be read."""
+    root = scratch_dir(spark, "landing")
+    bars = warehouse.brand_bars(spark, folder).withColumn(
+        "layout", F.pmod(F.ascii(F.substring("ticker", -1, 1)), F.lit(3)))
+    layouts = (
+        (("Date", "Open", "High", "Low", "Close", "Volume"), "yyyy-MM-dd"),
+        (("close", "DateTime", "VOLUME", "open", "high", "low"), "MM/dd/yyyy"),
+        (("Volume", "Close", "Low", "High", "Open", "date"), "yyyyMMdd"),
+    )
+    for k, (names, form) in enumerate(layouts):
+        text = F.when(F.dayofmonth("date") == 13, "n/a").otherwise(F.date_format("date", form))
+        rows = bars.where(F.col("layout") == k).withColumn("date", text)
+        named = [F.col("date" if n.lower() == "datetime" else n.lower()).alias(n) for n in names]
+        rows.repartition("ticker").select("ticker", *named).write.mode("append").option("header", True).partitionBy(
+            "ticker").csv(root)
+    return prices.read_landed_csv(spark, root)
+
+
+@query
+def landed_csv(spark, folder):
+    return prices.normalise_landed(landed_csv_files(spark, folder)).where(F.col("date").isNotNull())
+
+
+@query
+def rejected_rows(spark, folder):
+    rows = prices.rejected(landed_csv_files(spark, folder))
+    return rows.select("ticker", F.col("date").alias("date_text"), F.col("close").cast("double"), "reason")
+
+
+@query
+def filing_listing(spark, folder):
+    """Stored filings listed by folder, with an empty and a hidden file among them."""
+    root = scratch_dir(spark, "downloads")
+    manifest = warehouse.filing_manifest(spark, folder).where(
+        F.col("filing_type").isin("10-Q", "10-K") & (F.col("file_path") != ""))
+    folders = manifest.groupBy("ticker", "filing_type").agg(F.max("file_path").alias("value"))
+    folders.repartition("ticker", "filing_type").write.partitionBy("ticker", "filing_type").text(root)
+    for name in ("empty.txt", "_hidden.txt", ".dotted.txt"):
+        files.touch(spark, f"{root}/ticker=NONE/filing_type=8-K/{name}")
+    listed = filings.list_filings(spark, root)
+    plain = [F.url_decode(F.regexp_replace(c, "^[a-z_]+=", "")).alias(c) for c in ("ticker", "filing_type")]
+    return listed.select(*plain).groupBy("ticker", "filing_type").agg(F.count(F.lit(1)).alias("files"))
+
+
 # --- stored tables ----------------------------------------------------------------------------
 
 @query
 def curated_price_upsert(spark, folder):
-    """All months of curated prices are stored; then the days of one week are stored again without
-    volumes. The other partitions must stay."""
+    """All months of curated prices are stored; then one month is stored again without volumes. The other
+    partitions must stay."""
     table = f"{scratch_dir(spark, 'upsert')}/daily_prices"
     months = warehouse.supplier_bars(spark, folder).withColumn("month", F.trunc("date", "month"))
     lake_io.overwrite_partitions(months, table, ["month"], ["ticker", "date"])
@@ -579,18 +646,56 @@ def fundamentals_by_quarter(spark, folder):
     )
 
 
-def raw_layer(spark, folder, name: str) -> Lake:
-    """A lake whose raw layer holds the range's brand prices, with the lookback before it."""
-    lake = Lake(scratch_dir(spark, name))
+_LAKES: dict[tuple[str, str], Lake] = {}
+
+
+def raw_layer(spark, folder) -> Lake:
+    """A lake whose raw layer holds all brand prices, a partition per day; written once per session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LAKES:
+        lake = Lake(scratch_dir(spark, "lake"))
+        daily.append_raw_prices(warehouse.brand_bars(spark, folder), lake)
+        _LAKES[key] = lake
+    return _LAKES[key]
+
+
+def stored_prices(spark, lake: Lake) -> DataFrame:
+    return lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
+
+
+@query
+def raw_reingest(spark, folder):
+    """The same bars are ingested three times, the last time with other closes on first days of a month:
+    only those are added."""
+    lake = Lake(scratch_dir(spark, "reingest"))
     bars = warehouse.brand_bars(spark, folder)
-    daily.append_raw_prices(prices.ingest_window(bars, WEEK_END, 120), lake)
-    return lake
+    daily.append_raw_prices(bars, lake)
+    daily.append_raw_prices(bars, lake)
+    first = F.dayofmonth("date") == 1
+    daily.append_raw_prices(bars.withColumn("close", F.when(first, F.col("close") * 2).otherwise(F.col("close"))), lake)
+    return prices.read_raw(spark, lake.raw_prices).select("ticker", "date", "close")
+
+
+@query
+def curate_day(spark, folder):
+    """Prices and filings of a day, from the raw layer to the stored tables."""
+    lake = raw_layer(spark, folder)
+    report = daily.curate_day(spark, lake, BRAND_AS_OF)
+    return stored_prices(spark, lake).where(F.col("date") == F.lit(report["date"]))
+
+
+@query
+def curate_day_fallback(spark, folder):
+    """No prices on the run date, nor in the ingest window before it: the latest day there is."""
+    lake = raw_layer(spark, folder)
+    report = daily.curate_day(spark, lake, date(2030, 1, 1))
+    return stored_prices(spark, lake).where(F.col("date") == F.lit(report["date"]))
 
 
 @query
 def daily_build(spark, folder):
     """One day from the raw layer to the stored book."""
-    lake = raw_layer(spark, folder, "daily")
+    lake = raw_layer(spark, folder)
     curated = curation.curate_all_dates(
         prices.read_raw(spark, lake.raw_prices), daily.INGEST_ORDER
     )
@@ -602,14 +707,54 @@ def daily_build(spark, folder):
 
 @query
 def backfill_build(spark, folder):
-    """A week's scores from the raw layer in one pass."""
-    lake = raw_layer(spark, folder, "backfill")
-    curated = curation.curate_all_dates(
-        prices.read_raw(spark, lake.raw_prices), daily.INGEST_ORDER
-    )
-    lake_io.overwrite_partitions(curated, lake.daily_prices)
-    backfill.backfill(
-        spark, lake, WEEK_END, WEEK_START, run_curation=False, run_features=True
-    )
+    """All dates from the raw layer to the stored scores: curation, checks, gate and features."""
+    lake = raw_layer(spark, folder)
+    backfill.backfill(spark, lake, date(1900, 1, 1), date(2100, 1, 1), run_features=True)
     stored = lake_io.read_scores(spark, lake.signal_scores)
     return rounded(stored, *Z_COLUMNS, "signal_score")
+
+
+# --- catalog ----------------------------------------------------------------------------------
+
+def loaded_schema(spark, folder, *tables: str) -> str:
+    """A schema of its own in scratch, with tables loaded into it."""
+    place = scratch_dir(spark, "schema")
+    name = f"q{place.rpartition('-')[2]}"
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{place}'")
+    for table in tables:
+        catalog.load_parquet_to_table(spark, f"{folder}/{table}.parquet", table, name)
+    return name
+
+
+@query
+def list_tables(spark, folder):
+    return catalog.list_tables(spark, loaded_schema(spark, folder, "supplier", "customer", "orders"))
+
+
+@query
+def describe_table(spark, folder):
+    info = catalog.show_table_info(spark, "orders", loaded_schema(spark, folder, "orders"))
+    names = [(name, info["row_count"]) for name, _ in info["columns"]]
+    return spark.createDataFrame(names, "column_name string, row_count long")
+
+
+@query
+def load_modes(spark, folder):
+    """The row count after each way of loading over an existing table."""
+    schema, path = loaded_schema(spark, folder, "orders"), f"{folder}/orders.parquet"
+    counts = [(mode, catalog.load_parquet_to_table(spark, path, "orders", schema, mode)) for mode in ("append", "replace")]
+    try:
+        catalog.load_parquet_to_table(spark, path, "orders", schema, "fail")
+    except AnalysisException:
+        counts.append(("fail", spark.table(f"{schema}.orders").count()))
+    return spark.createDataFrame(counts, "mode string, row_count long")
+
+
+@query
+def typed_empty(spark, folder):
+    """A table that is there, and one that is not, by the same call."""
+    schema = loaded_schema(spark, folder, "orders")
+    there = spark.table(f"{schema}.orders").schema
+    rows = {name: catalog.table_or_empty(spark, name, there, schema) for name in ("orders", "absent")}
+    counts = [(name, len(df.columns), df.count()) for name, df in rows.items()]
+    return spark.createDataFrame(counts, "table_name string, columns int, row_count long")

@@ -41,6 +41,12 @@ MANIFEST = T.StructType([
     T.StructField("source", T.StringType()),
 ])
 
+QUARTERLY_REVENUE = T.StructType([
+    T.StructField("ticker", T.StringType()),
+    T.StructField("quarter_no", T.IntegerType()),
+    T.StructField("revenue", T.DoubleType()),
+])
+
 QUARTERLY_FUNDAMENTALS = T.StructType([
     *MANIFEST.fields,
     T.StructField("year", T.IntegerType()),

@@ -33,10 +33,12 @@ def local_session(cpus: int | str = "*", app_name: str = "quotidian", **extra: s
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    A temporary folder on this machine is used only where no shared one is configured, which is
-    the case in tests alone.
+    Where none is configured a session on one machine gets a temporary folder; on a cluster the
+    executors could not see it, so that raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quotidian-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

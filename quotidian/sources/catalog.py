@@ -128,13 +128,32 @@ def lake_tables(lake: Lake) -> dict[tuple[str, str], tuple[str, T.StructType, tu
     }
 
 
-def register_lake(spark: SparkSession, lake: Lake) -> None:
+def _location(spark: SparkSession, table: str) -> tuple[bool, str]:
+    """Whether a table is external, and where it lies."""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return facts.get("Type") == "EXTERNAL", facts.get("Location", "")
+
+
+def _same_place(spark: SparkSession, a: str, b: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def plain(text: str) -> str:
+        place = path(text)
+        return place.getFileSystem(conf).makeQualified(place).toString()
+
+    return plain(a) == plain(b)
+
+
+def register_lake(spark: SparkSession, lake: Lake) -> list[str]:
     """Makes a lake's tables known as ``raw.*``, ``curated.*`` and ``marts.*`` for SQL.
 
     The tables are external: registering or dropping them leaves their files alone. Layers that
     were never written are empty tables. Partitions are picked up from the folders; register again
-    after a run has added some.
+    after a run has added some. A table of such a name that is something else, one that was loaded
+    for instance, is left as it is; the names of those are returned.
     """
+    foreign = []
     for (schema, name), (path, columns, partition_by) in lake_tables(lake).items():
         if columns is schemas.SIGNAL_SCORES:
             columns = lake_io.read_scores(spark, path).schema
@@ -142,10 +161,17 @@ def register_lake(spark: SparkSession, lake: Lake) -> None:
         by = ", ".join(quoted(c) for c in partition_by)
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(schema)}")
         table = f"{quoted(schema)}.{quoted(name)}"
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        if spark.catalog.tableExists(f"{schema}.{name}"):
+            external, place = _location(spark, table)
+            if not external or not _same_place(spark, place, path):
+                foreign.append(f"{schema}.{name}")
+                continue
+            # Its columns may have grown since; dropping an external table leaves its files.
+            spark.sql(f"DROP TABLE {table}")
         location = path.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY ({by}) LOCATION '{location}'"
         )
         if lake_io.is_written(spark, path):
             spark.catalog.recoverPartitions(f"{schema}.{name}")
+    return foreign

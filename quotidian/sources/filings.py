@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import operator
-import re
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
@@ -14,31 +13,24 @@ from pyspark.sql import functions as F
 from quotidian import schemas
 from quotidian.functions import scalar
 from quotidian.operators.curation import prefer_filing_type
+from quotidian.sources import files
 from quotidian.sources.lake import or_empty
 
 
 def list_filings(spark: SparkSession, root: str) -> DataFrame:
-    """One manifest row per file under ``root/<ticker>/<filing type>/…``.
+    """One manifest row per file under ``root/<ticker>/<filing type>/…``, hidden and empty ones too.
 
-    Only names are listed: the file contents are not among the columns read. Files of zero bytes, as
-    a broken download leaves them, do not show up.
+    Names are listed, a ticker at a time; no file is opened, and no task reads by its size.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", "modificationTime")
-    )
-    folder = re.sub(r"^[a-z0-9+.-]+:/*|^\./", "", root.rstrip("/"))
-    below = F.regexp_extract("path", rf"\Q{folder}\E/([^/]+/[^/]+)/.+$", 1)
-    parts = F.split(below, "/")
-    return files.where(below != "").select(
-        parts[0].alias("ticker"),
-        parts[1].alias("filing_type"),
-        F.col("modificationTime").alias("download_time"),
-        F.col("path").alias("file_path"),
-        F.lit(schemas.FILING_SOURCE).alias("source"),
-    )
+    rows = [
+        (ticker.name, form.name, file.modified, file.path)
+        for ticker in files.children(spark, root) if ticker.is_folder
+        for form in files.children(spark, ticker.path) if form.is_folder
+        for file in files.walk(spark, form.path)
+    ]
+    listed = spark.createDataFrame(
+        rows, "ticker string, filing_type string, download_time timestamp, file_path string")
+    return listed.withColumn("source", F.lit(schemas.FILING_SOURCE))
 
 
 def build_manifest(
@@ -49,7 +41,7 @@ def build_manifest(
 ) -> DataFrame:
     """The quarter's manifest with its partition columns; by default annual reports only where a
     ticker has no quarterly one. Typed and empty without files."""
-    listed = or_empty(spark, lambda: list_filings(spark, root), schemas.MANIFEST)
+    listed = list_filings(spark, root)
     return (
         prefer_filing_type(listed, priority)
         .withColumn("year", F.lit(run_date.year))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotidian import schemas
-from quotidian.functions import scalar
+from quotidian.sources import files
 
 
 @dataclass(frozen=True)
@@ -25,6 +27,14 @@ class Lake:
     def raw_prices(self) -> str:
         return f"{self.root}/raw/prices"
 
+    @property
+    def rejected_prices(self) -> str:
+        return f"{self.root}/raw/rejected_prices"
+
+    def staging(self, purpose: str) -> str:
+        """A fresh folder beside the tables, so that every executor reaches it; readers skip its name."""
+        return f"{self.root}/_staging/{purpose}-{uuid.uuid4().hex}"
+
     @property
     def raw_filings(self) -> str:
         return f"{self.root}/raw/filings"
@@ -37,6 +47,10 @@ class Lake:
     def quarterly_fundamentals(self) -> str:
         return f"{self.root}/curated/quarterly_fundamentals"
 
+    @property
+    def quarterly_revenue(self) -> str:
+        return f"{self.root}/curated/quarterly_revenue"
+
     @property
     def signal_scores(self) -> str:
         return f"{self.root}/marts/signal_scores"
@@ -64,14 +78,28 @@ def overwrite_partitions(
     partition that is large instead of giving it to one task. Sorting inside the files gives their
     row groups narrow ticker ranges, which single-ticker reads skip by.
     """
-    (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
-        .sortWithinPartitions(*partition_by, *sort_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    with many_small_files(df.sparkSession):
+        (
+            df.hint("rebalance", *[F.col(c) for c in partition_by])
+            .sortWithinPartitions(*partition_by, *sort_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
+
+
+@contextmanager
+def many_small_files(spark: SparkSession) -> Iterator[None]:
+    """Lets a write of many small partitions keep its tasks. Adaptive execution would join them by size into
+    one, which then opens all files by itself; opening files, not writing them, takes the time here."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def overwrite_date(df: DataFrame, path: str, day: date, sort_by: Sequence[str] = ("ticker",)) -> None:
@@ -87,6 +115,28 @@ def overwrite_date(df: DataFrame, path: str, day: date, sort_by: Sequence[str] =
     )
 
 
+def write_empty_dates(spark: SparkSession, schema: T.StructType, path: str, days: Sequence[date]) -> None:
+    """Replaces the partitions of the days by nothing, as ``overwrite_date`` does: one typed file without rows
+    is written once and copied to each."""
+    if not days:
+        return
+    overwrite_date(spark.createDataFrame([], schema), path, days[0])
+    first = f"{path}/date={days[0].isoformat()}"
+    for day in days[1:]:
+        folder = f"{path}/date={day.isoformat()}"
+        files.delete(spark, folder)
+        files.copy(spark, first, folder)
+
+
+def read_scores_of(spark: SparkSession, path: str, day: date) -> DataFrame:
+    """The scores of one date, from its folder alone."""
+    rows = or_empty(
+        spark, lambda: spark.read.parquet(f"{path}/date={day.isoformat()}"),
+        T.StructType([f for f in schemas.SIGNAL_SCORES if f.name != "date"]),
+    )
+    return conform(rows.withColumn("date", F.lit(day)), schemas.SIGNAL_SCORES)
+
+
 NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -135,18 +185,9 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
 
 def dates_with_files(spark: SparkSession, path: str) -> DataFrame:
     """(date) of every partition or daily file that has at least one data file, also one without
-    rows. Names that are no dates are ignored. Lists files; reads no data."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-    )
-    paths = or_empty(
-        spark,
-        lambda: files.load(path).select("path"),
-        T.StructType([T.StructField("path", T.StringType())]),
-    )
-    return paths.select(scalar.day_from_path("path").alias("date")).dropna().distinct()
+    rows. Names that are no dates are ignored. Folders are listed once, when this is called; no job
+    runs, however large the files are."""
+    return spark.createDataFrame([(d,) for d in files.days_with_files(spark, path)], "date date")
 
 
 def dates_done(spark: SparkSession, lake: Lake) -> DataFrame:

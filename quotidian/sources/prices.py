@@ -20,11 +20,67 @@ class NoDateColumn(ValueError):
     """A landed price table has no date column."""
 
 
+VALUES = ("open", "high", "low", "close", "volume")
+#: Columns that a landed file may have.
+LANDED_WIDTH = 64
+_FIELDS = ", ".join(f"c{i} STRING" for i in range(LANDED_WIDTH))
+
+
+def by_own_header(files: DataFrame) -> DataFrame:
+    """Whole files, one per row in ``value``, as rows of text columns date, open, high, low, close and
+    volume, each found by the header of its own file: in any order and case, the first one called date or
+    datetime being the date. Absent columns are NULL; blank lines are skipped."""
+    lines = F.split(F.regexp_replace("value", "^\ufeff", ""), "\r\n|\n|\r")
+
+    def fields(line: Column) -> Column:
+        parsed = F.from_csv(line, _FIELDS)
+        return F.array(*[parsed[f"c{i}"] for i in range(LANDED_WIDTH)])
+
+    others = [c for c in files.columns if c != "value"]
+    rows = (
+        files.select(*others, lines.alias("lines"))
+        .withColumn("header", F.transform(fields(F.col("lines")[0]), lambda h: F.lower(F.trim(h))))
+        .select(*others, "header", F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
+        .where(F.trim("line") != "")
+        .withColumn("fields", fields(F.col("line")))
+    )
+    is_date = F.transform("header", lambda h: F.coalesce(h.isin(*DATE_NAMES), F.lit(False)))
+
+    def at(place: Column) -> Column:
+        return F.when(place > 0, F.get("fields", (place - 1).cast("int")))
+
+    return rows.select(
+        *others,
+        at(F.array_position(is_date, True)).alias("date"),
+        *[at(F.array_position("header", F.lit(c))).alias(c) for c in VALUES],
+    )
+
+
+def landed_files(reader, path: str) -> DataFrame:
+    """(ticker, value) of landed files, read whole: a ticker's file has a line per day at most. The ticker is
+    the name of the file ``<ticker>.csv``, of the folder that Spark wrote under such a name, or of
+    the folder ``ticker=<ticker>``. reader: ``spark.read`` or ``spark.readStream``."""
+    files = reader.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(path)
+    path = F.col("_metadata.file_path")
+    name = F.coalesce(
+        F.nullif(F.regexp_extract(path, r"/ticker=([^/]+)/", 1), F.lit("")),
+        F.nullif(F.regexp_extract(path, r"/([^/]+)\.csv/[^/]+$", 1), F.lit("")),
+        F.nullif(F.regexp_extract(path, r"/([^/]+?)\.csv(\.[^/]*)?$", 1), F.lit("")),
+    )
+    name = F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return files.select(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("ticker"), "value")
+
+
 def read_landed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Landed ``<ticker>.csv`` files as text, with the ticker from the file name."""
-    rows = spark.read.option("header", True).csv(path)
-    name = F.col("_metadata.file_name")
-    return rows.select("*", F.regexp_extract(name, r"^(.+?)\.csv(\..*)?$", 1).alias("ticker"))
+    """Landed files as text, each read by its own header, with the ticker from the file's name."""
+    return by_own_header(landed_files(spark.read, path))
+
+
+def rejected(landed: DataFrame) -> DataFrame:
+    """Landed rows that have no date that can be read, as they came: (ticker, date, values, reason)."""
+    day = scalar.parse_day("date")
+    reason = F.when(F.col("date").isNull(), "no date").otherwise("unreadable date")
+    return landed.where(day.isNull()).select("ticker", "date", *VALUES, reason.alias("reason"))
 
 
 def normalise_landed(
@@ -39,10 +95,10 @@ def normalise_landed(
     if date_col is None:
         raise NoDateColumn(f"No date column among {landed.columns}")
     lowered = landed.toDF(*["date" if c == date_col else c.lower() for c in landed.columns])
-    values = ("open", "high", "low", "close", "volume")
-    return scalar.parse_numbers(lowered, values).select(
-        scalar.to_day("date").alias("date"),
-        *values,
+    text = isinstance(lowered.schema["date"].dataType, T.StringType)
+    return scalar.parse_numbers(lowered, VALUES).select(
+        (scalar.parse_day("date") if text else scalar.to_day("date")).alias("date"),
+        *VALUES,
         scalar.as_column(ticker).cast("string").alias("ticker"),
         F.lit(source).alias("source"),
     )

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quotidian import schemas
 
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
-    """The whole file as text columns, so that leading zeros stay."""
-    return spark.read.schema(schemas.UNIVERSE).option("header", True).csv(path)
+    """The file's columns by their names in its header, in any order and case, as text, so that leading
+    zeros stay; absent ones are NULL."""
+    rows = spark.read.option("header", True).csv(path)
+    names = {c.strip().lower(): c for c in reversed(rows.columns)}
+    return rows.select(*[
+        (F.col(f"`{names[f.name]}`") if f.name in names else F.lit(None)).cast("string").alias(f.name)
+        for f in schemas.UNIVERSE
+    ])
 
 
 def tickers(universe: DataFrame) -> DataFrame:

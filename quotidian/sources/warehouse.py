@@ -133,6 +133,17 @@ def quarterly_revenue(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quarterly_brand_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """(ticker, quarter_no, revenue) of the brands."""
+    brands = table(spark, folder, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
+    lines = table(spark, folder, "lineitem")
+    return (
+        lines.join(brands, lines["l_partkey"] == brands["p_partkey"])
+        .groupBy("ticker", scalar.quarter_index("l_shipdate").alias("quarter_no"))
+        .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
+    )
+
+
 def filing_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Uncurated filing manifests: an order is a filing of its customer; some name no file."""
     customer = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("ticker"))

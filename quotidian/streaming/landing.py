@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quotidian.operators.curation import curate_all_dates
@@ -13,17 +14,17 @@ from quotidian.sources import lake as lake_io
 from quotidian.sources import prices
 from quotidian.sources.lake import Lake
 
-LANDED = T.StructType([
-    T.StructField(name, T.StringType())
-    for name in ("Date", "Open", "High", "Low", "Close", "Volume")
-])
-
-
 def curate_batch(spark: SparkSession, lake: Lake, batch: DataFrame) -> None:
-    """Adds a batch to the raw layer and curates the dates it touches again, from all their raw rows.
+    """Adds a batch of landed rows to the raw layer and curates the dates it touches again, from all their
+    raw rows. Rows without a readable date are kept apart, under today's date.
 
-    A repeated batch adds equal raw rows, of which curation keeps one: the result is the same.
+    A repeated batch adds nothing to the raw layer: the result is the same.
     """
+    bad = prices.rejected(batch)
+    if not bad.isEmpty():
+        bad.withColumnRenamed("date", "date_text").write.mode("append").parquet(
+            f"{lake.rejected_prices}/date={date.today().isoformat()}")
+    batch = prices.normalise_landed(batch)
     append_raw_prices(batch, lake)
     touched = [r["date"] for r in batch.select("date").dropna().distinct().collect()]
     if touched:
@@ -34,15 +35,9 @@ def curate_batch(spark: SparkSession, lake: Lake, batch: DataFrame) -> None:
 def start(spark: SparkSession, lake: Lake, landing: str, checkpoint: str) -> StreamingQuery:
     """Processes all files that are new since the last run, then stops. Late rows of an old date
     simply touch that date again."""
-    rows = (
-        spark.readStream.schema(LANDED)
-        .option("header", True)
-        .csv(landing)
-        .select("*", F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)\.csv(\..*)?$", 1).alias("ticker"))
-    )
+    rows = prices.by_own_header(prices.landed_files(spark.readStream, landing))
     return (
-        prices.normalise_landed(rows)
-        .writeStream.foreachBatch(lambda batch, _: curate_batch(spark, lake, batch))
+        rows.writeStream.foreachBatch(lambda batch, _: curate_batch(spark, lake, batch))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -32,7 +32,14 @@ def test_a_day_by_commands(call, spark, tmp_path, capsys):
     assert "close: double" in capsys.readouterr().out
     assert call("describe", "curated.nothing") == 1
     assert call("query", "SELECT count(DISTINCT date) AS days FROM curated.daily_prices") == 0
-    assert "|3   |" in capsys.readouterr().out
+    assert capsys.readouterr().out == "days\n3\n"
+    rows = "SELECT id FROM range(50)"
+    assert call("query", rows) == 0
+    assert capsys.readouterr().out.split() == ["id", *map(str, range(50))]
+    assert call("query", rows, "--limit", "2") == 0
+    assert len(capsys.readouterr().out.split()) == 3
+    assert call("query", rows, "--output", f"{tmp_path}/rows") == 0
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 50
 
 
 def test_registered_tables_prune_partitions_and_stay_on_drop(call, spark, tmp_path):
