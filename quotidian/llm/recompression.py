@@ -188,7 +188,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(unzipped(batch), "text"):
+            for piece, texts in (x for part in unzipped(batch) for x in pieces(part, "text")):
                 words, at, names = _candidates(piece, texts, window, rounds)
                 hit = at[told(piece, "smaller", words.owner()[at], names)]
                 change = np.zeros(len(words) + 1, np.int64)

@@ -67,9 +67,11 @@ def zipped(docs: DataFrame) -> DataFrame:
     return stream_texts(id_and_text(docs)).mapInArrow(run, "doc_id long, text binary")
 
 
-def unzipped(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The batch with its texts as they were."""
+def unzipped(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batch with its texts as they were, some rows at a time."""
     at = batch.schema.names.index("text")
     unpack = zstandard.ZstdDecompressor().decompress
-    texts = [None if t is None else unpack(t) for t in batch.column(at).to_pylist()]
-    return batch.set_column(at, "text", pa.array(texts, pa.binary()))
+    for begin in range(0, batch.num_rows, rows):
+        part = batch.slice(begin, rows)
+        texts = [None if t is None else unpack(t) for t in part.column(at).to_pylist()]
+        yield part.set_column(at, "text", pa.array(texts, pa.binary()))

@@ -104,7 +104,7 @@ def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFram
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(unzipped(batch), "text"):
+            for piece, texts in (x for part in unzipped(batch) for x in pieces(part, "text")):
                 owner, names = entries(piece, texts)
                 names = short(names) if any_other else names
                 there = np.asarray(column(piece, "doc_id").is_valid().to_numpy(zero_copy_only=False), bool)[owner]

@@ -37,7 +37,7 @@ WINDOW = 50
 #: The cover's modulus: two lanes of 8 bytes.
 COVER = 16
 #: Suffixes sorted at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Documents on which crowded anchors are looked for, and how many of them make an anchor crowded. At most
 #: SAMPLE x (anchors per document) / CROWD names are broadcast, 8 bytes each.
 SAMPLE, CROWD = 20_000, 20
@@ -85,8 +85,32 @@ def repeated_windows(
 
     blob holds each context's `left` bytes before and `right` bytes behind its anchor, in the order of
     anchors. The anchor itself is equal in all and left out, so a window is window - K bytes here.
+    Contexts are worked through in blocks of whole anchors with about BLOCK windows; only a block's text
+    and ranks are in memory.
     """
-    size = window - K
+    count = np.maximum(left + right - (window - K) + 1, 0)
+    count = np.minimum(count, left + 1)
+    total = np.concatenate([[0], np.cumsum(count)])
+    first = np.concatenate([[0], np.cumsum(left + right)])
+    heads = heads_of(anchor) if len(anchor) else np.zeros(0, np.int64)
+    ends = np.append(heads[1:], len(anchor))
+    found_c, found_o = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    low = 0
+    while low < len(heads):
+        high = max(int(np.searchsorted(total[ends], total[heads[low]] + BLOCK, "right")), low + 1)
+        a, b = heads[low], ends[high - 1]
+        who, offset = _repeated_in_block(
+            blob[first[a] : first[b]], left[a:b], right[a:b], anchor[a:b], doc[a:b], count[a:b], window - K)
+        found_c.append(who + a)
+        found_o.append(offset)
+        low = high
+    return np.concatenate(found_c), np.concatenate(found_o)
+
+
+def _repeated_in_block(blob, left, right, anchor, doc, count, size) -> tuple[np.ndarray, np.ndarray]:
+    none = np.zeros(0, np.int64)
+    if not count.any():
+        return none, none
     room = -(-size // COVER) * COVER
     slot = -(-(room + size + 24) // COVER) * COVER
     n = len(left)
@@ -99,55 +123,35 @@ def repeated_windows(
     quads = np.ndarray(len(text) - 7, ">u8", text, 0, (1,))
     cover = np.array(difference_cover(COVER))
     places = (np.arange(n * slot // COVER)[:, None] * COVER + cover).ravel()
-    places = places[places + 32 <= n * slot + 24]
-    rank = np.zeros(len(text), np.int32)
     keys = [quads[places + 8 * k].astype(np.uint64) for k in range(4)]
     order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
     for k in keys:
         new[1:] |= k[order][1:] != k[order][:-1]
+    rank = np.zeros(len(text), np.int32)
     rank[places[order]] = np.cumsum(new)
     ahead = np.array([min((c - r) % COVER for c in cover) for r in range(COVER)])
 
-    count = np.maximum(np.minimum(left, length - size) + 1, 0)
-    count[length < size] = 0
     # A window holds the whole anchor, so it begins at most `left` bytes before it.
-    found_c, found_o = [], []
-    group = np.cumsum(np.diff(anchor, prepend=anchor[:1]) != 0) if n else np.zeros(0, np.int64)
-    heads = np.flatnonzero(np.diff(group, prepend=-1))
-    total = np.concatenate([[0], np.cumsum(count)])
-    low = 0
-    while low < len(heads):
-        # One bucket: the suffixes of whole anchors, about BLOCK of them.
-        high = low + 1
-        while high < len(heads) and total[heads[high] if high < len(heads) else n] - total[heads[low]] < BLOCK:
-            high += 1
-        a, b = heads[low], heads[high] if high < len(heads) else n
-        low = high
-        who = np.repeat(np.arange(a, b), count[a:b])
-        if not len(who):
-            continue
-        offset = np.arange(len(who)) - np.repeat(total[a:b] - total[a], count[a:b])
-        start = base[who] - left[who] + offset
-        kind = group[who] * slot + (left[who] - offset)
-        live, label = sort_bucket(
-            [kind, quads[start].astype(np.uint64), quads[start + 8].astype(np.uint64),
-             rank[start + ahead[start % COVER]]], start)
-        if not len(live):
-            continue
-        s = start[live]
-        same = label[1:] == label[:-1]
-        for k in range(16, size - 7, 8):
-            same &= quads[s[1:] + k] == quads[s[:-1] + k]
-        same &= quads[s[1:] + size - 8] == quads[s[:-1] + size - 8]
-        head = np.flatnonzero(~np.concatenate([[False], same]))
-        of = doc[who[live]]
-        least = np.repeat(np.minimum.reduceat(of, head), np.diff(np.append(head, len(of))))
-        later = of > least
-        found_c.append(who[live][later])
-        found_o.append(offset[live][later])
-    none = np.zeros(0, np.int64)
-    return np.concatenate(found_c or [none]), np.concatenate(found_o or [none])
+    who = np.repeat(np.arange(n), count)
+    offset = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+    start = base[who] - left[who] + offset
+    group = np.cumsum(np.diff(anchor, prepend=anchor[:1]) != 0)
+    kind = group[who] * slot + (left[who] - offset)
+    live, label = sort_bucket(
+        [kind, quads[start].astype(np.uint64), quads[start + 8].astype(np.uint64),
+         rank[start + ahead[start % COVER]]], start)
+    if not len(live):
+        return none, none
+    s = start[live]
+    same = label[1:] == label[:-1]
+    for k in [*range(16, size - 7, 8), size - 8]:
+        same &= quads[s[1:] + k] == quads[s[:-1] + k]
+    head = np.flatnonzero(~np.concatenate([[False], same]))
+    of = doc[who[live]]
+    least = np.repeat(np.minimum.reduceat(of, head), np.diff(np.append(head, len(of))))
+    later = of > least
+    return who[live][later], offset[live][later]
 
 
 # Exchanges ----------------------------------------------------------------------------------------------
@@ -264,7 +268,7 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(unzipped(batch), "text"):
+            for piece, texts in (x for part in unzipped(batch) for x in pieces(part, "text")):
                 owner, place, names, low, high, context = _shared(piece, texts, window)
                 ids = ints(piece, "doc_id")
                 whole = high - low >= window
@@ -361,7 +365,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(unzipped(batch), "text"):
+            for piece, texts in (x for part in unzipped(batch) for x in pieces(part, "text")):
                 sizes = np.diff(texts.bounds)
                 removed, spans, kept = [], [], []
                 for i, pairs in enumerate(column(piece, "spans").to_pylist()):
