@@ -36,9 +36,10 @@ def last_known(value: Column | str, window: WindowSpec) -> Column:
     return F.last(value, ignorenulls=True).over(up_to_here)
 
 
-def change(now: Column, before: Column) -> Column:
-    """Relative change; NULL from a zero base, and where it is too large for a number."""
-    return scalar.finite(F.try_divide(now, before) - 1)
+def with_finite(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns, NULL where they come out too large for a number. Judging them in a step of their own
+    keeps window functions from being computed twice."""
+    return df.withColumns(columns).withColumns({c: scalar.finite(c) for c in columns})
 
 
 def complete(value: Column, count: Column, n: int) -> Column:
@@ -56,11 +57,9 @@ def simple_return(
     """Return over ``periods`` rows; gaps take the last known price, a zero base gives NULL."""
     window = window or by_ticker()
     filled = f"__{out}_filled"
-    return (
-        df.withColumn(filled, forward_filled(price_col, window))
-        .withColumn(out, change(F.col(filled), F.lag(filled, periods).over(window)))
-        .drop(filled)
-    )
+    known = df.withColumn(filled, forward_filled(price_col, window))
+    change = F.try_divide(F.col(filled), F.lag(filled, periods).over(window)) - 1
+    return with_finite(known, **{out: change}).drop(filled)
 
 
 def realized_volatility(
@@ -73,17 +72,14 @@ def realized_volatility(
     """Annualised sample deviation of the last returns; NULL until the frame is full."""
     window = window or by_ticker()
     ret = f"__{out}_ret"
-    return (
-        simple_return(df, price_col, ret, window=window)
-        .withColumn(out, volatility_of(ret, window_rows, window))
-        .drop(ret)
-    )
+    returns = simple_return(df, price_col, ret, window=window)
+    return with_finite(returns, **{out: volatility_of(ret, window_rows, window)}).drop(ret)
 
 
 def volatility_of(ret: str, window_rows: int, window: WindowSpec) -> Column:
     frame = last_rows(window, window_rows)
     annualised = F.stddev_samp(ret).over(frame) * F.sqrt(F.lit(schemas.TRADING_DAYS_PER_YEAR))
-    return complete(scalar.finite(annualised), F.count(ret).over(frame), window_rows)
+    return complete(annualised, F.count(ret).over(frame), window_rows)
 
 
 def momentum(
@@ -105,12 +101,12 @@ def mean_reversion_zscore(
     window: WindowSpec | None = None,
 ) -> DataFrame:
     """Distance from the rolling mean in rolling sample deviations, on unfilled prices."""
-    return df.withColumn(out, mean_reversion_of(price_col, window_rows, window or by_ticker()))
+    return with_finite(df, **{out: mean_reversion_of(price_col, window_rows, window or by_ticker())})
 
 
 def mean_reversion_of(price_col: str, window_rows: int, window: WindowSpec) -> Column:
     frame = last_rows(window, window_rows)
     price = scalar.finite(price_col)
     distance = price - F.avg(price).over(frame)
-    zscore = scalar.finite(F.try_divide(distance, F.stddev_samp(price).over(frame)))
+    zscore = F.try_divide(distance, F.stddev_samp(price).over(frame))
     return complete(zscore, F.count(price).over(frame), window_rows)

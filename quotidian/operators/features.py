@@ -19,16 +19,17 @@ def rolling_price_features(prices: DataFrame) -> DataFrame:
     Takes one row per ticker and date.
     """
     window = rolling.by_ticker()
-    return (
-        prices.withColumn("filled", rolling.forward_filled("close", window))
-        .withColumn("ret", rolling.change(F.col("filled"), F.lag("filled", 1).over(window)))
-        .withColumn(VOL, rolling.volatility_of("ret", schemas.VOLATILITY_WINDOW, window))
-        .withColumn(
-            MOM, rolling.change(F.col("filled"), F.lag("filled", schemas.MOMENTUM_WINDOW).over(window))
-        )
-        .withColumn(REV, rolling.mean_reversion_of("close", schemas.MEAN_REVERSION_WINDOW, window))
-        .drop("filled", "ret")
-    )
+    known = prices.withColumn("filled", rolling.forward_filled("close", window))
+    before = {n: F.lag("filled", n).over(window) for n in (1, schemas.MOMENTUM_WINDOW)}
+    changes = {n: F.try_divide(F.col("filled"), value) - 1 for n, value in before.items()}
+    returns = rolling.with_finite(known, **{"ret": changes[1], MOM: changes[schemas.MOMENTUM_WINDOW]})
+    return rolling.with_finite(
+        returns,
+        **{
+            VOL: rolling.volatility_of("ret", schemas.VOLATILITY_WINDOW, window),
+            REV: rolling.mean_reversion_of("close", schemas.MEAN_REVERSION_WINDOW, window),
+        },
+    ).drop("filled", "ret")
 
 
 def price_features_as_of(
