@@ -45,13 +45,16 @@ _POINT = byte_class(b".,;:!?)")
 def cuts(texts: Texts) -> np.ndarray:
     """Places where a byte-level BPE's splitting pattern always cuts, whatever stands around them: before a
     blank that a visible sign follows, between a letter or digit and a punctuation mark, and between a
-    line end and a letter or digit. And the beginnings of texts."""
+    line end and a letter or digit. Of several blanks in a row before a letter the last one is split off, so
+    such a line end is cut off before it too, unless a visible sign stands there. And the beginnings of texts."""
     data, cut = texts.data, np.zeros(len(texts.data), bool)
+    line = (data[:-1] == 0x0A) & _ALNUM[data[1:]]
     cut[:-1] = (data[:-1] == 0x20) & _VISIBLE[data[1:]]
-    cut[1:] |= (_ALNUM[data[:-1]] & _POINT[data[1:]]) | ((data[:-1] == 0x0A) & _ALNUM[data[1:]])
+    cut[1:] |= (_ALNUM[data[:-1]] & _POINT[data[1:]]) | line
+    cut[1:-1] |= line[1:] & ~_VISIBLE[data[:-2]]
     some = np.diff(texts.bounds) > 0
     last = texts.bounds[1:][some] - 1
-    cut[last] &= data[last] != 0x20  # what follows this blank belongs to the next text
+    cut[last] &= (data[last] != 0x20) & (data[last] != 0x0A)  # what follows this blank belongs to the next text
     cut[texts.bounds[:-1][some]] = True
     return np.flatnonzero(cut)
 

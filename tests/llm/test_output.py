@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -24,6 +25,17 @@ def test_ids_as_of_whole_texts(pairs):
         assert got == [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_ids_around_blank_lines():
+    encoder = bitplane.Encoder(tokenizer_path())
+    texts = ["a\n\nb", "a.\n\n1", "a \n\nb", "foo \nbar", "foo\r\nbar", "\n\nx", "\u00a0\nx", "\u3000\nx", "a \n", "b\n\n", "\n", "c"]
+    rng = random.Random(3)
+    signs = ["\n", "\n", "\n\n", " ", "\t", "\r", "\u00a0", "\u2028", "\u3000", "a", "Foo", "7", ".", ",", "'s", "é", "<|endoftext|>"]
+    texts += ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(5000)]
+    ids, bounds = encoder.encode(texts_of(pa.array(texts, pa.string())))
+    got = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_planes_round_trip(kind):
     for n in (1, 7, 1000):
