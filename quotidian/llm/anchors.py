@@ -14,19 +14,30 @@ import numpy as np
 from quotidian.llm.text import Texts, mix
 
 K = 24
+#: Names made at once.
+BLOCK = 1 << 16
 _MUL = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
 def fixed_names(data: np.ndarray, at: np.ndarray | None, size: int) -> np.ndarray:
-    """A 64-bit name of the `size` bytes (8 or more) from each place on; from every place if none is given."""
+    """A 64-bit name of the `size` bytes (8 or more) from each place on; from every place if none is given.
+
+    Each word is mixed by itself: a product modulo 2^64 takes a difference only to higher bits, so top bytes of
+    two words would differ in 8 bits of the sum."""
     if len(data) < size:
         return np.zeros(0, np.uint64)
     quads = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), 0, (1,))
-    n = len(data) - size + 1
-    total = np.full(n if at is None else len(at), size, np.uint64)
-    for k, begin in enumerate([*range(0, size - 8, 8), size - 8]):
-        total += (quads[begin : begin + n] if at is None else quads[at + begin]) * _MUL[k]
-    return mix(total)
+    begins = [*range(0, size - 8, 8), size - 8]
+    out = np.empty(len(data) - size + 1 if at is None else len(at), np.uint64)
+    for low in range(0, len(out), BLOCK):
+        total = out[low : low + BLOCK]
+        total[:] = size
+        if at is None:
+            mixed = mix(quads[low : low + len(total) + size - 8])
+        for k, begin in enumerate(begins):
+            total += (mixed[begin : begin + len(total)] if at is None else mix(quads[at[low : low + BLOCK] + begin])) * _MUL[k]
+        total[:] = mix(total)
+    return out
 
 
 def _slide(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:

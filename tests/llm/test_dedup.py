@@ -1,9 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quotidian.llm import recompression, simhash, suffixes
+from quotidian.llm.anchors import anchors, fixed_names
+from quotidian.llm.text import texts_of
 from tests.llm import brute
 from tests.llm.conftest import ordered, prose, rows_of
 
@@ -43,6 +46,31 @@ def test_repetitive_texts(spark, repetitive, monkeypatch):
     assert rows_of(recompression.digests(docs, 13)) == ordered(brute.word_dedup(repetitive, 13))
 
 
+@pytest.mark.parametrize("size, places", [(24, (7, 15)), (24, (15, 23)), (76, (15, 63)), (76, (7, 75)), (50, (7, 39))])
+def test_names_of_strings_that_differ_in_top_bytes(size, places):
+    data = np.tile(np.frombuffer(b"the quick brown fox " * 4, np.uint8)[:size], (1 << 16, 1))
+    data[:, places[0]], data[:, places[1]] = np.divmod(np.arange(1 << 16), 256)
+    at = np.arange(1 << 16) * size
+    assert len(np.unique(fixed_names(data.ravel(), at, size))) == 1 << 16
+    assert (fixed_names(data.ravel(), None, size)[at] == fixed_names(data.ravel(), at, size)).all()
+
+
+def test_contexts_that_differ_in_top_bytes(spark):
+    """Texts that are one context each, all around one anchor."""
+    rng = random.Random(4)
+    place = []
+    while list(place) != [26]:
+        stem = bytearray("".join(rng.choices("abcdefgh ", k=76)).encode())
+        place, _ = anchors(texts_of(pa.array([stem.decode()])), 50)
+    texts = []
+    for i in range(6):  # no window avoids both places, and no two texts share either byte
+        stem[15], stem[63] = 97 + 3 * i, 60 + 7 * i
+        texts.append(stem.decode())
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert rows_of(suffixes.digests(docs, 50)) == ordered(brute.byte_dedup(rows, 50))
+
+
 def test_difference_cover():
     cover = suffixes.difference_cover(16)
     assert {(a - b) % 16 for a in cover for b in cover} == set(range(16))
