@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Of text whose A-Z are lower-case already: digits, letters, and whatever lies beyond ASCII.
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same signs by what they are; Java's patterns test this in half the time.
+TERM_SIGNS = r"[0-9a-z\x80-\x{10FFFF}]+"
 
 
 def ascii_lower(text: Column) -> Column:
@@ -19,7 +21,7 @@ def ascii_lower(text: Column) -> Column:
 
 def terms(text: Column) -> Column:
     """All words in their order, repeats included; none of a null."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(TERM), F.lit(0)), F.array().cast("array<string>"))
+    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(TERM_SIGNS), F.lit(0)), F.array().cast("array<string>"))
 
 
 #: The same in the other engine.

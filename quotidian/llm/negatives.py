@@ -297,7 +297,8 @@ def evaluate(packets: DataFrame, blocks: DataFrame, same: bool, keep: int) -> Da
                 yield _best({n: c[row] for n, c in zip(batch.schema.names, batch.columns)}, same, keep)
 
     held = blocks.select("block", "labels", F.col("vectors").alias("members"), "ids")
-    return stream_texts(packets.join(held, "block")).mapInArrow(run, _FOUND)
+    # Packets come from a small table, but may be many: neither side is to be broadcast by that table's size.
+    return stream_texts(packets.join(held.hint("merge"), "block")).mapInArrow(run, _FOUND)
 
 
 def _best(get: dict[str, pa.Scalar], same: bool, keep: int) -> pa.RecordBatch:
