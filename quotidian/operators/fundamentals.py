@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from quotidian import schemas
 from quotidian.functions import scalar
 
 
@@ -63,3 +64,59 @@ def yoy_revenue_growth_panel(revenue: DataFrame, dates: DataFrame) -> DataFrame:
     # At most one row per calendar day.
     return standing.join(F.broadcast(days), "in_quarter").select(
         "ticker", "date", F.col("yoy_revenue_growth").alias("yoy_revenue_growth_proxy"))
+
+
+def quarter_end(quarter_no: str) -> Column:
+    """The last day of a quarter given by its number."""
+    number = F.col(quarter_no)
+    month = (F.pmod(number, F.lit(4)) * 3 + 3).cast("int")
+    return F.last_day(F.make_date(F.floor(number / 4).cast("int"), month, F.lit(1)))
+
+
+def growth_by_filing(filings: DataFrame) -> DataFrame:
+    """(ticker, since, quarter_no, yoy_revenue_growth): what is known of a ticker from each of its filings on.
+
+    filings: (ticker, quarter_no, revenue, filed), a row per filing; a quarter filed again is restated. Known at
+    a time is the latest quarter filed by then, in its last version by then, and as its base the quarter four
+    earlier in its last version by then, which a later restatement doesn't change in retrospect. Of two
+    versions of one day the larger counts. What has no filing date is known from the day after its quarter.
+    """
+    known = filings.where(F.col("ticker").isNotNull() & F.col("quarter_no").isNotNull()).withColumn(
+        "filed", F.coalesce(F.col("filed"), F.date_add(quarter_end("quarter_no"), 1)))
+    versions = known.groupBy("ticker", "quarter_no", "filed").agg(F.max("revenue").alias("revenue"))
+    so_far = Window.partitionBy("ticker").orderBy("since").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    events = versions.groupBy("ticker", F.col("filed").alias("since")).agg(
+        F.max("quarter_no").alias("newest")).withColumn("latest", F.max("newest").over(so_far))
+    # Both quarters by their own key, so only versions of one quarter meet.
+    asked = events.select("ticker", "since", "latest", F.explode(F.array("latest", F.col("latest") - 4)).alias("quarter_no"))
+    met = asked.join(versions, ["ticker", "quarter_no"]).where(F.col("filed") <= F.col("since"))
+
+    def last(of: Column) -> Column:
+        return F.max(F.when(F.col("quarter_no") == of, F.struct("filed", "revenue")))["revenue"]
+
+    return met.groupBy("ticker", "since", "latest").agg(
+        last(F.col("latest")).alias("now"), last(F.col("latest") - 4).alias("base")
+    ).select("ticker", "since", F.col("latest").alias("quarter_no"),
+             (F.try_divide(F.col("now"), F.col("base")) - 1).alias("yoy_revenue_growth"))
+
+
+def growth_as_filed(filings: DataFrame, dates: DataFrame) -> DataFrame:
+    """(ticker, date, yoy_revenue_growth_proxy) for every date of ``dates``: an as-of join on two times, the
+    quarter a revenue belongs to and the day it was filed.
+
+    A filing stands until the ticker's next one; each is laid out over its span inside the dates' range and
+    matched with the dates, so no grid of tickers by dates is built.
+    """
+    wanted = dates.select(F.col("date").cast("date").alias("date")).distinct()
+    span = wanted.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+    if span["low"] is None:
+        return filings.sparkSession.createDataFrame([], schemas.FUNDAMENTAL_FEATURES)
+    following = F.lead("since", 1).over(Window.partitionBy("ticker").orderBy("since"))
+    begin = F.greatest(F.col("since"), F.lit(span["low"]))
+    end = F.least(F.date_sub("next", 1), F.lit(span["high"]))
+    standing = growth_by_filing(filings).withColumn("next", following).withColumns(
+        {"begin": begin, "end": end}).where(F.col("end") >= F.col("begin"))
+    laid_out = standing.withColumn("date", F.explode(F.sequence("begin", "end")))
+    # At most one row per calendar day.
+    return laid_out.join(F.broadcast(wanted), "date", "left_semi").select(
+        "ticker", "date", F.col("yoy_revenue_growth").alias("yoy_revenue_growth_proxy"))

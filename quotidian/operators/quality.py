@@ -50,8 +50,9 @@ def row_conditions() -> dict[str, Column]:
     }
 
 
-def check_counts(prices: DataFrame) -> DataFrame:
-    """One row with all counts, from one scan.
+def check_counts(prices: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """One row with all counts, from one scan. With ``wanted``, a condition on the date, only rows that meet
+    it count; the others are there as their neighbours, for what changes overnight.
 
     Rows are first reduced to one per (ticker, date), where copies of a key meet and the counts that
     look at single rows are added up. A change overnight is judged between the extremes of
@@ -73,15 +74,17 @@ def check_counts(prices: DataFrame) -> DataFrame:
     rise = F.try_divide(F.col("highest"), F.lag("lowest", 1).over(window)) - 1
     fall = 1 - F.try_divide(F.col("lowest"), F.lag("highest", 1).over(window))
     limit = schemas.MAX_OVERNIGHT_CHANGE
+    counted = F.lit(True) if wanted is None else wanted
     per_ticker = (
         per_bar.withColumn("rise", rise)
         .withColumn("fall", fall)
+        .withColumn("counted", F.coalesce(counted, F.lit(False)))
         .groupBy("ticker")
         .agg(
-            F.sum("n").alias("total_rows"),
-            F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("duplicate_ticker_date"),
-            F.count_if((F.col("rise") > limit) | (F.col("fall") > limit)).alias("overnight_change"),
-            *[F.sum(name).alias(name) for name in single],
+            F.sum(F.when(F.col("counted"), F.col("n"))).alias("total_rows"),
+            F.sum(F.when(F.col("counted") & (F.col("n") > 1), F.col("n"))).alias("duplicate_ticker_date"),
+            F.count_if(F.col("counted") & ((F.col("rise") > limit) | (F.col("fall") > limit))).alias("overnight_change"),
+            *[F.sum(F.when(F.col("counted"), F.col(name))).alias(name) for name in single],
         )
     )
     return per_ticker.agg(
@@ -89,17 +92,18 @@ def check_counts(prices: DataFrame) -> DataFrame:
             F.coalesce(F.sum(c), F.lit(0)).alias(c)
             for c in ("total_rows", "duplicate_ticker_date", "overnight_change", *single)
         ],
-        F.count("ticker").alias("unique_tickers"),
+        F.count(F.when(F.col("total_rows") > 0, F.col("ticker"))).alias("unique_tickers"),
     )
 
 
-def quality_report(prices: DataFrame) -> DataFrame:
-    """(check, severity, bad_rows, failed, total_rows, unique_tickers), one row per check.
+def quality_report(prices: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """(check, severity, bad_rows, failed, total_rows, unique_tickers), one row per check, of the rows whose
+    date is wanted, or of all.
 
     A positivity check fails when under 99% of the known prices reach one cent; any other check
     fails with its first bad row.
     """
-    counts = check_counts(_with_required(prices))
+    counts = check_counts(_with_required(prices), wanted)
     rows = []
     for name, severity in SEVERITY.items():
         if name.endswith("_not_positive"):
@@ -131,8 +135,10 @@ def _with_required(prices: DataFrame) -> DataFrame:
     return prices
 
 
-def validate_daily_prices(prices: DataFrame, fail_on_error: bool = True) -> dict:
-    """The report as a dictionary: valid, errors, warnings, stats.
+def validate_daily_prices(
+    prices: DataFrame, fail_on_error: bool = True, wanted: Column | None = None
+) -> dict:
+    """The report as a dictionary: valid, errors, warnings, stats; of the rows whose date is wanted, or of all.
 
     Runs one job and brings back one row per check. With ``fail_on_error`` the first failed error
     check raises.
@@ -149,7 +155,7 @@ def validate_daily_prices(prices: DataFrame, fail_on_error: bool = True) -> dict
             raise
         return {"valid": False, "errors": [str(exc)], "warnings": [], "stats": stats}
 
-    report = quality_report(prices).collect()
+    report = quality_report(prices, wanted).collect()
     stats = {
         "total_rows": report[0]["total_rows"],
         "unique_tickers": report[0]["unique_tickers"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,14 +10,14 @@ from pyspark.sql import functions as F
 
 from quotidian import schemas
 from quotidian.operators import curation, quality
-from quotidian.operators.fundamentals import yoy_revenue_growth_panel
 from quotidian.operators.features import price_features_panel
 from quotidian.operators.positions import generate_positions
 from quotidian.operators.scoring import score_signals, to_mart
 from quotidian.plans.daily import (
-    INGEST_ORDER, append_raw_prices, curate_filings_of, reject_rows, rejected_count,
+    INGEST_ORDER, append_raw_prices, curate_filings_of, reject_rows, rejected_count, report_unreadable, staged,
+    stored_growth,
 )
-from quotidian.sources import files, lake as lake_io, prices
+from quotidian.sources import lake as lake_io, prices, publish
 from quotidian.sources.lake import Lake
 
 
@@ -62,35 +63,22 @@ def build_dates(
     start: date,
     end: date,
     lookback_days: int = schemas.FEATURE_LOOKBACK_DAYS,
-    revenue: DataFrame | None = None,
+    growth: DataFrame | None = None,
 ) -> None:
-    """Scores and positions for all given dates in one pass over the prices.
+    """Scores and positions for all given dates in one pass over the prices, published as one.
 
-    The scores are first staged beside the lake's tables: the mart, the list of empty dates and the
-    book are then read from there, and the copy goes. Dates that come out empty are listed on the
-    driver (a calendar bounds them) to get their empty partition, which also clears rows of an
-    earlier run. With revenues given, growth is scored with the price features.
+    The dates are listed on the driver (a calendar bounds them), as those that come out empty get an empty
+    partition, which also clears rows of an earlier run. With growth given, it is scored with the prices.
     """
     daily = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
-    features = price_features_panel(
-        daily, dates, lookback_days, first=start, last=end, shared=True
-    )
-    growth = None if revenue is None else yoy_revenue_growth_panel(revenue, dates)
-    staged = lake.staging("scores")
-    to_mart(score_signals(features, growth)).write.partitionBy("date").parquet(staged)
-    scores = lake_io.read_scores(spark, staged)
-    book = lake_io.conform(generate_positions(scores), schemas.POSITIONS)
-
-    lake_io.overwrite_partitions(scores, lake.signal_scores)
-    lake_io.overwrite_partitions(book, lake.positions, sort_by=("position_type", "rank"))
-
-    for table, path, schema in (
-        (scores, lake.signal_scores, schemas.SIGNAL_SCORES),
-        (book, lake.positions, schemas.POSITIONS),
-    ):
-        empty = dates.join(table.select("date").distinct(), "date", "left_anti").collect()
-        lake_io.write_empty_dates(spark, schema, path, sorted(r["date"] for r in empty))
-    files.delete(spark, staged)
+    days = sorted(r["date"] for r in dates.select("date").distinct().collect())
+    with publish.publication(spark, lake) as unit:
+        features = price_features_panel(
+            daily, dates, lookback_days, first=start, last=end, shared=True
+        )
+        scores = unit.stage(to_mart(score_signals(features, growth)), lake.signal_scores, days)
+        book = lake_io.conform(generate_positions(scores), schemas.POSITIONS)
+        unit.stage(book, lake.positions, days, ["position_type", "rank"])
 
 
 def backfill(
@@ -115,48 +103,58 @@ def backfill(
     start, end = min(target_date, end_date), max(target_date, end_date)
 
     if landing is not None:
-        read = prices.read_landed_csv(spark, landing)
-        reject_rows(read, lake, end)
-        landed = prices.normalise_landed(read)
-        append_raw_prices(landed.where(in_ingest_windows("date", start, end, days_to_fetch)), lake)
+        with staged(prices.read_landed_csv(spark, landing), lake, "landed") as read:
+            reject_rows(read, lake, end)
+            landed = prices.normalise_landed(read)
+            append_raw_prices(landed.where(in_ingest_windows("date", start, end, days_to_fetch)), lake)
 
+    publish.recover(spark, lake)
     available = lake_io.dates_with_files(spark, lake.raw_prices)
     done = lake_io.dates_done(spark, lake) if skip_existing else None
     # Listed before anything is written, as the writes below change what is done.
-    chosen = [r["date"] for r in dates_to_process(available, done, start, end).collect()]
+    chosen = sorted(r["date"] for r in dates_to_process(available, done, start, end).collect())
     if not chosen:
         return None
     dates = spark.createDataFrame([(d,) for d in chosen], "date date")
 
     report = None
     if run_curation:
-        raw = prices.read_raw(spark, lake.raw_prices).where(
-            F.col("date").between(F.lit(start), F.lit(end))
-        )
-        wanted = raw.join(F.broadcast(dates), "date", "left_semi")
-        lake_io.overwrite_partitions(curation.curate_all_dates(wanted, INGEST_ORDER), lake.daily_prices)
-        curate_filings_of(spark, lake, chosen)
-        stored = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES)
-        report = {
-            "unreadable_files": [
-                path for path in files.without_rows(spark, wanted, lake.raw_prices, "date=*/*.parquet")
-                if path.split("/")[-2].removeprefix("date=") in {d.isoformat() for d in chosen}
-            ],
-            "rejected_rows": rejected_count(spark, lake, end),
-            **quality.validate_daily_prices(
-                stored.join(F.broadcast(dates), "date", "left_semi"), fail_on_error=False
-            ),
-        }
+        report = curate_dates(spark, lake, chosen, end, lookback_days)
 
     if run_features:
         ready = dates.join(with_enough_history(available), "date", "left_semi")
-        revenue = None
-        if lake_io.is_written(spark, lake.quarterly_revenue):
-            revenue = lake_io.read_table(spark, lake.quarterly_revenue, schemas.QUARTERLY_REVENUE)
-        build_dates(spark, lake, ready, start, end, lookback_days, revenue)
+        build_dates(spark, lake, ready, start, end, lookback_days, stored_growth(spark, lake, ready))
     return report
 
 
+def curate_dates(
+    spark: SparkSession, lake: Lake, days: Sequence[date], run_date: date,
+    lookback_days: int = schemas.FEATURE_LOOKBACK_DAYS,
+) -> dict:
+    """Curates the days, all in one job, with the filings of their quarters; reports on them.
+
+    The raw files are read once. A close is judged against its ticker's stored one before, whether or not
+    that date is among the days.
+    """
+    wanted = F.broadcast(spark.createDataFrame([(d,) for d in days], "date date"))
+    raw = prices.read_raw(spark, lake.raw_prices).where(
+        F.col("date").between(F.lit(days[0]), F.lit(days[-1]))).join(wanted, "date", "left_semi")
+    with staged(raw, lake, "raw-days") as rows:
+        lake_io.overwrite_partitions(
+            curation.curate_all_dates(rows, INGEST_ORDER), lake.daily_prices, days=days)
+        damaged = report_unreadable(
+            rows, lake, lake.raw_prices, [f"{lake.raw_prices}/date={d.isoformat()}" for d in days], run_date)
+    manifests = curate_filings_of(spark, lake, days)
+    near = F.col("date").between(F.lit(days[0] - timedelta(days=lookback_days)), F.lit(days[-1]))
+    stored = lake_io.read_table(spark, lake.daily_prices, schemas.DAILY_PRICES).where(near)
+    return {
+        **damaged,
+        "unreadable_manifests": manifests["unreadable_files"],
+        "rejected_rows": rejected_count(spark, lake, run_date),
+        **quality.validate_daily_prices(stored, fail_on_error=False, wanted=F.col("date").isin(list(days))),
+    }
+
+
 def anchors(start: date, end: date, step_days: int = schemas.INGEST_WINDOW_DAYS) -> list[date]:
     """The ingest dates of a range in ascending order."""
     start, end = min(start, end), max(start, end)

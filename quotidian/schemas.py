@@ -47,6 +47,20 @@ QUARTERLY_REVENUE = T.StructType([
     T.StructField("revenue", T.DoubleType()),
 ])
 
+REVENUE_FILINGS = T.StructType([
+    *QUARTERLY_REVENUE.fields,
+    T.StructField("filed", T.DateType()),
+])
+
+ROLLING_STATE = T.StructType([
+    T.StructField("ticker", T.StringType()),
+    T.StructField("date", T.DateType()),
+    T.StructField("bars", T.ArrayType(T.StructType([
+        T.StructField("date", T.DateType()),
+        T.StructField("close", T.DoubleType()),
+    ]))),
+])
+
 QUARTERLY_FUNDAMENTALS = T.StructType([
     *MANIFEST.fields,
     T.StructField("year", T.IntegerType()),

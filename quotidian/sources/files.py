@@ -1,14 +1,15 @@
-"""Files and folders of any store that Spark reads, by listing alone."""
+"""Files and folders of any store that Spark reads, by listing alone.
+
+The driver's client of the store sees folders; where many files lie, tasks list them (``listing.py``).
+"""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 @dataclass(frozen=True)
@@ -27,60 +28,85 @@ def _system(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
-_STATUS = re.compile(
-    r"\{path=(?P<path>.*?); isDirectory=(?P<folder>true|false);(?: length=(?P<size>\d+);)?.*? modification_time=(?P<time>\d+)")
-
-
-def _entries(spark: SparkSession, statuses) -> list[Entry]:
-    """From their printed form, which crosses over from the JVM once instead of field by field."""
-    text = spark.sparkContext._jvm.scala.runtime.ScalaRunTime.stringOf(statuses)
-    return sorted(
-        (
-            Entry(m["path"], m["path"].rstrip("/").rpartition("/")[2], m["folder"] == "true", int(m["size"] or 0),
-                  datetime.fromtimestamp(int(m["time"]) / 1000, timezone.utc))
-            for m in _STATUS.finditer(text)
-        ),
-        key=lambda e: e.path,
-    )
+def name_of(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[2]
 
 
-def matching(spark: SparkSession, path: str, pattern: str) -> list[Entry]:
-    """What lies under a folder by a pattern such as ``date=*/*.parquet``; names with a leading dot or
-    underscore too."""
+def matching(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Paths under a folder by a pattern such as ``date=*``, in order; names with a leading dot or underscore
+    too. They cross over from the JVM at once, so the pattern should be one that folders match."""
     system, place = _system(spark, path)
     if not system.exists(place):
         return []
     jvm = spark.sparkContext._jvm
     found = system.globStatus(jvm.org.apache.hadoop.fs.Path(place, pattern))
-    return _entries(spark, found) if found is not None else []
+    if found is None or not len(found):
+        return []
+    # "Array(a, b)"; every path begins with the folder's, which tells them apart whatever names hold.
+    text = jvm.scala.runtime.ScalaRunTime.stringOf(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))
+    below = system.makeQualified(place).toString().rstrip("/") + "/"
+    first, *rest = text[len("Array(") : -1].split(f", {below}")
+    return sorted([first, *[below + p for p in rest]])
 
 
-def children(spark: SparkSession, path: str) -> list[Entry]:
-    """What lies directly in a folder; nothing where there is no such folder."""
+def entries(spark: SparkSession, path: str) -> Iterator[Entry]:
+    """What lies directly in a folder, one after the other; nothing where there is no such folder."""
     system, place = _system(spark, path)
-    return _entries(spark, system.listStatus(place)) if system.exists(place) else []
+    if not system.exists(place):
+        return
+    found = system.listStatusIterator(place)
+    while found.hasNext():
+        status = found.next()
+        at = status.getPath().toString()
+        yield Entry(at, name_of(at), status.isDirectory(), status.getLen(),
+                    datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc))
 
 
 def walk(spark: SparkSession, path: str) -> Iterator[Entry]:
     """Every file below a folder, hidden and empty ones too."""
-    for entry in children(spark, path):
+    for entry in entries(spark, path):
         if entry.is_folder:
             yield from walk(spark, entry.path)
         else:
             yield entry
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _system(spark, path)
+    return system.exists(place)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     system, place = _system(spark, path)
     system.create(place).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    system, place = _system(spark, path)
+    _, part = _system(spark, f"{path}.part")
+    out = system.create(part)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not system.rename(part, place):
+        raise OSError(f"cannot write {path}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, place = _system(spark, path)
     system.delete(place, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """A folder to a place where there is none yet."""
+    system, place = _system(spark, source)
+    _, to = _system(spark, target)
+    system.mkdirs(to.getParent())
+    if not system.rename(place, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def copy(spark: SparkSession, source: str, target: str) -> None:
     system, place = _system(spark, source)
     other, to = _system(spark, target)
@@ -95,21 +121,31 @@ def _day(text: str, form: str) -> date | None:
         return None
 
 
-def days_with_files(spark: SparkSession, path: str) -> list[date]:
-    """The days that have a Parquet file, also one without rows: ``date=2024-01-31/…``, ``2024/01/31/…`` or
-    ``2024-01-31.parquet``. Other names are ignored. Names are listed; nothing is read."""
-    days = {_day(e.name, "%Y-%m-%d.parquet") for e in matching(spark, path, "*.parquet")}
-    for pattern, form in (("date=*/*.parquet", "date=%Y-%m-%d"), ("*/*/*/*.parquet", "%Y/%m/%d")):
-        depth = pattern.count("/")
-        days |= {
-            _day("/".join(e.path.split("/")[-1 - depth : -1]), form)
-            for e in matching(spark, path, pattern) if not e.is_folder
-        }
-    return sorted(days - {None})
+def _holds_data(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder has a Parquet file; looks no further than the first."""
+    return any(not e.is_folder and e.name.endswith(".parquet") for e in entries(spark, folder))
+
+
+#: Layouts of dates: pattern of the folders, how many parts of the path make up the date, and its form.
+_FOLDERS = (
+    ("date=*", 1, "date=%Y-%m-%d"),
+    ("[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9]", 3, "%Y/%m/%d"),
+)
 
 
-def without_rows(spark: SparkSession, read: DataFrame, path: str, pattern: str) -> list[str]:
-    """Paths of Parquet files, by a pattern under a folder, that gave no row to ``read``, which has the column
-    ``file_path``. A table that skips what it cannot read gives none for such a file."""
-    names = {unquote(r["file_path"]).rpartition("/")[2] for r in read.select("file_path").distinct().collect()}
-    return [e.path for e in matching(spark, path, pattern) if not e.is_folder and e.name not in names]
+def days_with_files(spark: SparkSession, path: str, known: Iterable[date] = ()) -> list[date]:
+    """The days that have a Parquet file, also one without rows: ``date=2024-01-31/…``, ``2024/01/31/…`` or
+    ``2024-01-31.parquet``. Other names are ignored.
+
+    Folders are listed, of which there is one a day; ``known`` days are believed to have files, and into
+    the others one look each is taken. So the work goes by days, however many files they hold.
+    """
+    known = set(known)
+    days = {_day(name_of(p), "%Y-%m-%d.parquet") for p in matching(
+        spark, path, "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9].parquet")}
+    for pattern, parts, form in _FOLDERS:
+        for folder in matching(spark, path, pattern):
+            day = _day("/".join(folder.split("/")[-parts:]), form)
+            if day is not None and (day in known or day in days or _holds_data(spark, folder)):
+                days.add(day)
+    return sorted(days - {None})

@@ -9,28 +9,29 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotidian import schemas
 from quotidian.functions import scalar
 from quotidian.operators.curation import prefer_filing_type
-from quotidian.sources import files
+from quotidian.sources import files, listing
 from quotidian.sources.lake import or_empty
 
 
 def list_filings(spark: SparkSession, root: str) -> DataFrame:
     """One manifest row per file under ``root/<ticker>/<filing type>/…``, hidden and empty ones too.
 
-    Names are listed, a ticker at a time; no file is opened, and no task reads by its size.
+    The driver lists the ticker folders; what is below them is listed by tasks, and no file is opened.
     """
-    rows = [
-        (ticker.name, form.name, file.modified, file.path)
-        for ticker in files.children(spark, root) if ticker.is_folder
-        for form in files.children(spark, ticker.path) if form.is_folder
-        for file in files.walk(spark, form.path)
-    ]
-    listed = spark.createDataFrame(
-        rows, "ticker string, filing_type string, download_time timestamp, file_path string")
-    return listed.withColumn("source", F.lit(schemas.FILING_SOURCE))
+    listed = listing.list_files(spark, files.matching(spark, root, "*"))
+    parts = F.split("below", "/")
+    return listed.where(F.size(parts) > 1).select(
+        F.element_at(F.split("folder", "/"), -1).alias("ticker"),
+        parts[0].alias("filing_type"),
+        F.col("modified").alias("download_time"),
+        F.concat_ws("/", "folder", "below").alias("file_path"),
+        F.lit(schemas.FILING_SOURCE).alias("source"),
+    )
 
 
 def build_manifest(
@@ -49,19 +50,33 @@ def build_manifest(
     )
 
 
-def read_manifests(spark: SparkSession, root: str, days: Sequence[date] = ()) -> DataFrame:
+#: Manifest rows with the file that they were read from.
+MANIFEST_ROWS = T.StructType([*schemas.QUARTERLY_FUNDAMENTALS.fields, T.StructField("manifest_path", T.StringType())])
+
+
+def read_manifests(
+    spark: SparkSession, root: str, days: Sequence[date] = (), with_path: bool = False
+) -> DataFrame:
     """Raw manifests (``year=/quarter=`` partitions), only of the days' quarters if any are given.
 
-    A file called ``manifest.parquet`` is a summary of the others and is left out. Empty if nothing
-    was written.
+    A file called ``manifest.parquet`` is a summary of the others and is left out, as are files that cannot
+    be read. Empty if nothing was written.
     """
     reader = spark.read.schema(schemas.QUARTERLY_FUNDAMENTALS).option("ignoreCorruptFiles", True)
     summary = F.col("_metadata.file_name") == "manifest.parquet"
     rows = or_empty(
-        spark, lambda: reader.parquet(root).where(~summary), schemas.QUARTERLY_FUNDAMENTALS
+        spark, lambda: reader.parquet(root).where(~summary).select(
+            *schemas.QUARTERLY_FUNDAMENTALS.names, F.col("_metadata.file_path").alias("manifest_path")),
+        MANIFEST_ROWS,
     )
-    quarters = sorted({(d.year, scalar.quarter_label_of(d)) for d in days})
+    if not with_path:
+        rows = rows.drop("manifest_path")
+    quarters = quarters_of(days)
     if not quarters:
         return rows
     wanted = [(F.col("year") == y) & (F.col("quarter") == q) for y, q in quarters]
     return rows.where(reduce(operator.or_, wanted))
+
+
+def quarters_of(days: Sequence[date]) -> list[tuple[int, str]]:
+    return sorted({(d.year, scalar.quarter_label_of(d)) for d in days})

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +31,22 @@ class Lake:
     def rejected_prices(self) -> str:
         return f"{self.root}/raw/rejected_prices"
 
+    @property
+    def rejected_stream(self) -> str:
+        return f"{self.root}/raw/rejected_stream"
+
+    @property
+    def unreadable_files(self) -> str:
+        return f"{self.root}/raw/unreadable_files"
+
+    @property
+    def rolling_state(self) -> str:
+        return f"{self.root}/marts/rolling_state"
+
+    @property
+    def publishing(self) -> str:
+        return f"{self.root}/_publishing"
+
     def staging(self, purpose: str) -> str:
         """A fresh folder beside the tables, so that every executor reaches it; readers skip its name."""
         return f"{self.root}/_staging/{purpose}-{uuid.uuid4().hex}"
@@ -71,8 +87,10 @@ def overwrite_partitions(
     path: str,
     partition_by: Sequence[str] = ("date",),
     sort_by: Sequence[str] = ("ticker",),
+    days: Iterable[date] = (),
 ) -> None:
-    """Replaces exactly the partitions that ``df`` has rows for; all others stay.
+    """Replaces exactly the partitions that ``df`` has rows for; all others stay. ``days`` are the dates among
+    them, where the caller knows them; the table's log of dates takes them down.
 
     The rebalance gathers each partition's rows into few files, and lets adaptive execution split a
     partition that is large instead of giving it to one task. Sorting inside the files gives their
@@ -87,6 +105,7 @@ def overwrite_partitions(
             .partitionBy(*partition_by)
             .parquet(path)
         )
+    note_days(df.sparkSession, path, days)
 
 
 @contextmanager
@@ -113,19 +132,7 @@ def overwrite_date(df: DataFrame, path: str, day: date, sort_by: Sequence[str] =
         .write.mode("overwrite")
         .parquet(f"{path}/date={day.isoformat()}")
     )
-
-
-def write_empty_dates(spark: SparkSession, schema: T.StructType, path: str, days: Sequence[date]) -> None:
-    """Replaces the partitions of the days by nothing, as ``overwrite_date`` does: one typed file without rows
-    is written once and copied to each."""
-    if not days:
-        return
-    overwrite_date(spark.createDataFrame([], schema), path, days[0])
-    first = f"{path}/date={days[0].isoformat()}"
-    for day in days[1:]:
-        folder = f"{path}/date={day.isoformat()}"
-        files.delete(spark, folder)
-        files.copy(spark, first, folder)
+    note_days(df.sparkSession, path, [day])
 
 
 def read_scores_of(spark: SparkSession, path: str, day: date) -> DataFrame:
@@ -183,14 +190,48 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return stored.select(*known, *[c for c in stored.columns if c not in schema.names])
 
 
+# --- dates of a table -------------------------------------------------------------------------
+
+#: A table's log of the dates written to it: beside its partitions, where readers of the table don't look.
+DATE_LOG = "_dates/log"
+LOGGED = T.StructType([
+    T.StructField("date", T.DateType()),
+    T.StructField("at", T.TimestampType()),
+    T.StructField("ingest_no", T.LongType()),
+])
+
+
+def note_days(spark: SparkSession, path: str, days: Iterable[date], ingest_no: int | None = None) -> None:
+    """Adds to the table's log that the days' partitions were written now."""
+    now = datetime.now(timezone.utc)
+    rows = [(d, now, ingest_no) for d in sorted(set(days))]
+    if rows:
+        spark.createDataFrame(rows, LOGGED).coalesce(1).write.mode("append").parquet(f"{path}/{DATE_LOG}")
+
+
+def date_log(spark: SparkSession, path: str) -> DataFrame:
+    """(date, at, ingest_no): when each date was written last, and by which ingest."""
+    log = or_empty(spark, lambda: spark.read.schema(LOGGED).parquet(f"{path}/{DATE_LOG}"), LOGGED)
+    return log.groupBy("date").agg(F.max("at").alias("at"), F.max("ingest_no").alias("ingest_no"))
+
+
+def stored_days(spark: SparkSession, path: str) -> list[date]:
+    """The dates of every partition or daily file that has a data file, also one without rows, in order. Names
+    that are no dates are ignored. Folders are listed, one a date; only where the log doesn't know a date,
+    as in tables that others have filled, one look is taken into its folder. No file name is gathered."""
+    known = {r["date"] for r in date_log(spark, path).collect()}  # a row per calendar day at most
+    return files.days_with_files(spark, path, known)
+
+
 def dates_with_files(spark: SparkSession, path: str) -> DataFrame:
-    """(date) of every partition or daily file that has at least one data file, also one without
-    rows. Names that are no dates are ignored. Folders are listed once, when this is called; no job
-    runs, however large the files are."""
-    return spark.createDataFrame([(d,) for d in files.days_with_files(spark, path)], "date date")
+    """(date) of ``stored_days``, listed when this is called."""
+    return spark.createDataFrame([(d,) for d in stored_days(spark, path)], "date date")
 
 
 def dates_done(spark: SparkSession, lake: Lake) -> DataFrame:
-    """(date) present in the scores or in the positions."""
-    scores = dates_with_files(spark, lake.signal_scores)
-    return scores.union(dates_with_files(spark, lake.positions)).distinct()
+    """(date) present in the scores or in the positions, but for those of a publication that has not ended."""
+    from quotidian.sources import publish
+
+    days = {*stored_days(spark, lake.signal_scores), *stored_days(spark, lake.positions)}
+    open_days = publish.unfinished_days(spark, lake)
+    return spark.createDataFrame([(d,) for d in sorted(days - open_days)], "date date")

@@ -21,54 +21,69 @@ class NoDateColumn(ValueError):
 
 
 VALUES = ("open", "high", "low", "close", "volume")
-#: Columns that a landed file may have.
-LANDED_WIDTH = 64
-_FIELDS = ", ".join(f"c{i} STRING" for i in range(LANDED_WIDTH))
+#: A field: quoted, with line ends, commas and doubled quotes inside, or plain up to the next comma or line end.
+#: Nothing is tried twice, so time goes by the length of the text.
+_FIELD = r'(?:[ \t]*+"[^"]*+(?:""[^"]*+)*+"[^,\r\n]*+|[^,\r\n]*+)'
+_RECORD = rf"{_FIELD}(?:,{_FIELD})*+"
+_QUOTED = r'^[ \t]*+"([^"]*+(?:""[^"]*+)*+)"'
+
+
+def records(text: Column) -> Column:
+    """The records of a CSV text, which end where a line ends outside quotes; blank ones are skipped."""
+    found = F.regexp_extract_all(F.regexp_replace(text, "^\ufeff", ""), F.lit(_RECORD), F.lit(0))
+    return F.filter(found, lambda r: F.trim(r) != "")
+
+
+def fields(record: Column) -> Column:
+    """The texts of a record's fields, without their quotes; empty ones are NULL."""
+    cut = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({_FIELD})"), F.lit(1))
+
+    def plain(field: Column) -> Column:
+        inside = F.replace(F.regexp_extract(field, _QUOTED, 1), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(field.rlike(_QUOTED), inside).otherwise(field), F.lit(""))
+
+    return F.transform(cut, plain)
 
 
 def by_own_header(files: DataFrame) -> DataFrame:
     """Whole files, one per row in ``value``, as rows of text columns date, open, high, low, close and
     volume, each found by the header of its own file: in any order and case, the first one called date or
-    datetime being the date. Absent columns are NULL; blank lines are skipped."""
-    lines = F.split(F.regexp_replace("value", "^\ufeff", ""), "\r\n|\n|\r")
-
-    def fields(line: Column) -> Column:
-        parsed = F.from_csv(line, _FIELDS)
-        return F.array(*[parsed[f"c{i}"] for i in range(LANDED_WIDTH)])
-
+    datetime being the date. A file may have any number of columns, and line ends inside quotes. Absent
+    columns are NULL; blank lines are skipped."""
     others = [c for c in files.columns if c != "value"]
     rows = (
-        files.select(*others, lines.alias("lines"))
-        .withColumn("header", F.transform(fields(F.col("lines")[0]), lambda h: F.lower(F.trim(h))))
-        .select(*others, "header", F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
-        .where(F.trim("line") != "")
-        .withColumn("fields", fields(F.col("line")))
+        files.select(*others, records(F.col("value")).alias("records"))
+        .withColumn("header", F.transform(fields(F.get("records", F.lit(0))), lambda h: F.lower(F.trim(h))))
+        .select(*others, "header", F.explode(
+            F.slice("records", 2, F.greatest(F.size("records") - 1, F.lit(0)))).alias("record"))
     )
     is_date = F.transform("header", lambda h: F.coalesce(h.isin(*DATE_NAMES), F.lit(False)))
-
-    def at(place: Column) -> Column:
-        return F.when(place > 0, F.get("fields", (place - 1).cast("int")))
-
-    return rows.select(
-        *others,
-        at(F.array_position(is_date, True)).alias("date"),
-        *[at(F.array_position("header", F.lit(c))).alias(c) for c in VALUES],
-    )
+    places = {"date": F.array_position(is_date, True), **{c: F.array_position("header", F.lit(c)) for c in VALUES}}
+    placed = rows.select(*others, fields(F.col("record")).alias("fields"), *[p.alias(f"at_{c}") for c, p in places.items()])
+    return placed.select(*others, *[
+        F.when(F.col(f"at_{c}") > 0, F.get("fields", (F.col(f"at_{c}") - 1).cast("int"))).alias(c) for c in places])
 
 
 def landed_files(reader, path: str) -> DataFrame:
     """(ticker, value) of landed files, read whole: a ticker's file has a line per day at most. The ticker is
     the name of the file ``<ticker>.csv``, of the folder that Spark wrote under such a name, or of
-    the folder ``ticker=<ticker>``. reader: ``spark.read`` or ``spark.readStream``."""
+    the folder ``ticker=<ticker>``, in whose names Spark escapes signs. Files of other names are not landed
+    prices. reader: ``spark.read`` or ``spark.readStream``."""
     files = reader.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(path)
     path = F.col("_metadata.file_path")
-    name = F.coalesce(
-        F.nullif(F.regexp_extract(path, r"/ticker=([^/]+)/", 1), F.lit("")),
-        F.nullif(F.regexp_extract(path, r"/([^/]+)\.csv/[^/]+$", 1), F.lit("")),
-        F.nullif(F.regexp_extract(path, r"/([^/]+?)\.csv(\.[^/]*)?$", 1), F.lit("")),
+
+    def decoded(name: Column) -> Column:
+        return F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+    def part(pattern: str) -> Column:
+        return decoded(F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")))
+
+    ticker = F.coalesce(
+        decoded(part(r"/ticker=([^/]+)/")),
+        part(r"/([^/]+)\.csv/[^/]+$"),
+        part(r"/([^/]+?)\.csv(\.[^/]*)?$"),
     )
-    name = F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-    return files.select(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("ticker"), "value")
+    return files.select(ticker.alias("ticker"), "value").where(F.col("ticker").isNotNull())
 
 
 def read_landed_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -129,8 +144,10 @@ def last_at_or_before(
     )
 
 
+#: Rows of a later ingest have a greater number; files written before there were numbers have none.
+STORED_RAW = T.StructType([*schemas.RAW_PRICES.fields, T.StructField("ingest_no", T.LongType())])
 RAW_WITH_ORDER = T.StructType([
-    *schemas.RAW_PRICES.fields,
+    *STORED_RAW.fields,
     T.StructField("file_time", T.TimestampType()),
     T.StructField("file_path", T.StringType()),
 ])
@@ -139,11 +156,11 @@ RAW_WITH_ORDER = T.StructType([
 def read_raw(spark: SparkSession, root: str, skip_unreadable: bool = True) -> DataFrame:
     """The raw layer, a ``date=`` partitioned table, with its ingest order; empty if never written.
 
-    Unreadable files are skipped, as a bad download must not stop a day. ``file_time`` and
-    ``file_path`` order rows by when their files were written.
+    Unreadable files are skipped, as a bad download must not stop a day. ``ingest_no`` orders rows by the
+    ingest that added them, ``file_time`` and ``file_path`` those that have none.
     """
     reader = (
-        spark.read.schema(schemas.RAW_PRICES)
+        spark.read.schema(STORED_RAW)
         .option("ignoreCorruptFiles", skip_unreadable)
         .option("ignoreMissingFiles", skip_unreadable)
     )
@@ -153,7 +170,7 @@ def read_raw(spark: SparkSession, root: str, skip_unreadable: bool = True) -> Da
     )
     return or_empty(
         spark,
-        lambda: reader.parquet(root).select(*schemas.RAW_PRICES.names, *order),
+        lambda: reader.parquet(root).select(*STORED_RAW.names, *order),
         RAW_WITH_ORDER,
     )
 
