@@ -232,6 +232,20 @@ BRAND_GROWTH = f"""
         LEFT JOIN revenue b ON a.ticker = b.ticker AND b.quarter_no = a.quarter_no - 4
         QUALIFY row_number() OVER (PARTITION BY a.ticker, d.date ORDER BY a.quarter_no DESC) = 1)"""
 
+FILED = """
+    sums AS (
+        SELECT s_name AS ticker, l_suppkey,
+               CAST(year(l_shipdate) * 4 + quarter(l_shipdate) - 1 AS INTEGER) AS quarter_no,
+               CAST(max(date_trunc('quarter', l_shipdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY) AS DATE) AS ends,
+               sum(l_extendedprice * (1 - l_discount)) FILTER (l_returnflag <> 'R') AS first,
+               sum(l_extendedprice * (1 - l_discount)) AS last
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3),
+    filed AS (
+        SELECT ticker, quarter_no, first AS revenue, CAST(ends + CAST(20 + l_suppkey % 40 AS INTEGER) AS DATE) AS filed
+        FROM sums WHERE first IS NOT NULL
+        UNION ALL
+        SELECT ticker, quarter_no, last, CAST(ends + CAST(110 + l_suppkey % 40 AS INTEGER) AS DATE) FROM sums)"""
+
 DQ = f"""
     WITH q AS ({QUOTES}),
     stats AS (SELECT count(*) AS total_rows, count(DISTINCT ticker) AS unique_tickers FROM q),
@@ -527,6 +541,61 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT ticker, filing_type, 1::BIGINT AS files FROM ({MANIFEST})
         WHERE filing_type IN ('10-Q', '10-K')
         UNION ALL SELECT 'NONE', '8-K', 3""",
+    "incremental_build": f"""
+        WITH {BRAND_SCORES} SELECT {SCORE_COLUMNS} FROM scores
+        WHERE date IN (SELECT date FROM ({RAW_DATES}) ORDER BY date DESC LIMIT 10)""",
+    "overnight_change_day": f"""
+        WITH near AS (
+            SELECT ticker, date, CASE WHEN date = DATE '{BRAND_AS_OF}' AND ascii(right(ticker, 1)) % 2 = 1
+                                      THEN close * 1.7 ELSE close END AS close
+            FROM ({BRAND_BARS})
+            WHERE date BETWEEN DATE '{BRAND_AS_OF}' - 101 AND DATE '{BRAND_AS_OF}'),
+        moves AS (
+            SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY date) AS before FROM near),
+        counted AS (
+            SELECT count(*) AS n FROM moves
+            WHERE date = DATE '{BRAND_AS_OF}' AND abs(close / nullif(before, 0) - 1) > 0.5)
+        SELECT DATE '{BRAND_AS_OF}' AS date,
+               'Found ' || n || ' ticker dates with an overnight change above 50%' AS warning
+        FROM counted WHERE n > 0""",
+    "unreadable_files": f"""
+        WITH days AS (SELECT date, count(*) AS rows FROM ({BRAND_BARS}) WHERE day(date) = 1 GROUP BY 1)
+        SELECT date, 'empty.parquet' AS name, 0::BIGINT AS size, rows FROM days
+        UNION ALL SELECT date, 'broken.parquet', 16, rows FROM days""",
+    "revenue_ingest": f"WITH {FILED} SELECT ticker, quarter_no, round(revenue, 4) AS revenue, filed FROM filed",
+    "fundamentals_as_filed": f"""
+        WITH {FILED},
+        wanted AS (SELECT date FROM ({RAW_DATES}) WHERE day(date) = 1),
+        versions AS (
+            SELECT w.date, f.* FROM wanted w JOIN filed f ON f.filed <= w.date
+            QUALIFY row_number() OVER (
+                PARTITION BY w.date, f.ticker, f.quarter_no ORDER BY f.filed DESC, f.revenue DESC) = 1),
+        growth AS (
+            SELECT a.ticker, a.date, a.revenue / nullif(b.revenue, 0) - 1 AS growth
+            FROM versions a LEFT JOIN versions b
+              ON a.ticker = b.ticker AND a.date = b.date AND b.quarter_no = a.quarter_no - 4
+            QUALIFY row_number() OVER (PARTITION BY a.ticker, a.date ORDER BY a.quarter_no DESC) = 1)
+        SELECT ticker, date, {r6("growth", "yoy_revenue_growth_proxy")} FROM growth""",
+    "dq_missing_column": f"""
+        SELECT false AS valid, 'Missing required columns: [''low'', ''volume'']' AS errors, '' AS warnings,
+               count(*) AS total_rows, count(DISTINCT ticker) AS unique_tickers FROM ({QUOTES})""",
+    "dq_empty": f"""
+        SELECT true AS valid, '' AS errors, 'Empty DataFrame' AS warnings,
+               count(*) AS total_rows, count(DISTINCT ticker) AS unique_tickers
+        FROM ({QUOTES}) WHERE date < DATE '1900-01-01'""",
+    "dq_first_error": f"""
+        SELECT CASE WHEN a > 0 THEN 'Found ' || a || ' rows where high < low'
+                    ELSE 'Found ' || b || ' rows where close is outside [low, high] range' END AS error
+        FROM (SELECT count(*) FILTER (high < low) AS a,
+                     count(*) FILTER (close > high OR close < low) AS b FROM ({QUOTES})) WHERE a + b > 0""",
+    "required_columns": f"""
+        SELECT 'bars' AS input, '' AS error, count(*) AS row_count FROM ({SUPPLIER_BARS})
+        UNION ALL SELECT 'quotes', 'Missing required columns: [''open'', ''source'']', NULL
+        UNION ALL SELECT 'filings', 'Missing required columns: [''date'', ''open'', ''high'', ''low'', ''close'', ''volume'']', NULL""",
+    "curated_order": f"""
+        SELECT date, ticker, row_number() OVER (PARTITION BY date ORDER BY ticker) - 1 AS place FROM ({BRAND_BARS})""",
+    "run_date_prices": f"SELECT * FROM ({BRAND_BARS}) WHERE date = DATE '{BRAND_AS_OF}'",
+    "table_sample": "SELECT least(7, count(*)) AS sampled, least(7, count(*)) AS found FROM orders",
     "list_tables": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ("customer", "orders", "supplier")
     ),

@@ -7,7 +7,7 @@ rounded to six decimals, so that results can be compared across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +25,7 @@ from quotidian.operators.positions import generate_positions
 from quotidian.operators.scoring import normalize_to_zscore, score_signals
 from quotidian.plans import backfill, daily, marts
 from quotidian.session import scratch_dir
-from quotidian.sources import catalog, files, filings, lake as lake_io, prices, universe, warehouse
+from quotidian.sources import catalog, files, filings, lake as lake_io, prices, publish, universe, warehouse
 from quotidian.sources.lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,7 +146,8 @@ def raw_dates(spark, folder) -> DataFrame:
 
 @query
 def available_raw_dates(spark, folder):
-    return raw_dates(spark, folder).select(
+    """The dates of a stored raw layer, from its folders and its log."""
+    return lake_io.dates_with_files(spark, raw_layer(spark, folder).raw_prices).select(
         "date",
         scalar.day_path("date").alias("day_path"),
         F.year("date").alias("year"),
@@ -573,7 +574,8 @@ def signal_scores_panel_with_fundamentals(spark, folder):
 
 def landed_csv_files(spark, folder) -> DataFrame:
     """The brands' bars as landed files in three layouts: other headers, column orders and date texts. On the
-    13th of a month there is no date that can be read."""
+    13th of a month there is no date that can be read. One layout has 200 columns, the close the last of them,
+    and one a note with a line end, a comma and quotes in it."""
     root = scratch_dir(spark, "landing")
     bars = warehouse.brand_bars(spark, folder).withColumn(
         "layout", F.pmod(F.ascii(F.substring("ticker", -1, 1)), F.lit(3)))
@@ -586,8 +588,13 @@ def landed_csv_files(spark, folder) -> DataFrame:
         text = F.when(F.dayofmonth("date") == 13, "n/a").otherwise(F.date_format("date", form))
         rows = bars.where(F.col("layout") == k).withColumn("date", text)
         named = [F.col("date" if n.lower() == "datetime" else n.lower()).alias(n) for n in names]
-        rows.repartition("ticker").select("ticker", *named).write.mode("append").option("header", True).partitionBy(
-            "ticker").csv(root)
+        if k == 1:
+            named.insert(1, F.lit('one,\n"two"\r\nthree').alias("Note"))
+        if k == 2:
+            close = named.pop(1)
+            named = [*named, *[F.col("volume").alias(f"x{i}") for i in range(194)], close]
+        rows.repartition("ticker").select("ticker", *named).write.mode("append").option("header", True).option(
+            "escape", '"').partitionBy("ticker").csv(root)
     return prices.read_landed_csv(spark, root)
 
 
@@ -646,17 +653,20 @@ def fundamentals_by_quarter(spark, folder):
     )
 
 
-_LAKES: dict[tuple[str, str], Lake] = {}
+def raw_layer(spark, folder) -> Lake:
+    """A new lake whose raw layer holds all brand prices, a partition per day."""
+    lake = Lake(scratch_dir(spark, "lake"))
+    daily.append_raw_prices(warehouse.brand_bars(spark, folder), lake)
+    return lake
 
 
-def raw_layer(spark, folder) -> Lake:
-    """A lake whose raw layer holds all brand prices, a partition per day; written once per session."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _LAKES:
-        lake = Lake(scratch_dir(spark, "lake"))
-        daily.append_raw_prices(warehouse.brand_bars(spark, folder), lake)
-        _LAKES[key] = lake
-    return _LAKES[key]
+def curated_layer(spark, folder) -> Lake:
+    """A new lake whose curated layer holds them too."""
+    lake = raw_layer(spark, folder)
+    days = lake_io.stored_days(spark, lake.raw_prices)
+    curated = curation.curate_all_dates(prices.read_raw(spark, lake.raw_prices), daily.INGEST_ORDER)
+    lake_io.overwrite_partitions(curated, lake.daily_prices, days=days)
+    return lake
 
 
 def stored_prices(spark, lake: Lake) -> DataFrame:
@@ -695,11 +705,7 @@ def curate_day_fallback(spark, folder):
 @query
 def daily_build(spark, folder):
     """One day from the raw layer to the stored book."""
-    lake = raw_layer(spark, folder)
-    curated = curation.curate_all_dates(
-        prices.read_raw(spark, lake.raw_prices), daily.INGEST_ORDER
-    )
-    lake_io.overwrite_partitions(curated, lake.daily_prices)
+    lake = curated_layer(spark, folder)
     daily.build_day(spark, lake, BRAND_AS_OF)
     stored = lake_io.read_table(spark, lake.positions, schemas.POSITIONS)
     return rounded(marts.positions_of(stored, BRAND_AS_OF), "signal_score")
@@ -714,8 +720,152 @@ def backfill_build(spark, folder):
     return rounded(stored, *Z_COLUMNS, "signal_score")
 
 
+@query
+def incremental_build(spark, folder):
+    """The last ten dates one after the other, each from the state of the one before and its own partition."""
+    lake = curated_layer(spark, folder)
+    days = lake_io.stored_days(spark, lake.daily_prices)[-10:]
+    for day in days:
+        daily.build_day(spark, lake, day)
+    return rounded(publish.published_scores(spark, lake), *Z_COLUMNS, "signal_score")
+
+
+@query
+def overnight_change_day(spark, folder):
+    """Some closes of a day are 1.7 times what they were: the day's run finds them against the stored closes."""
+    lake = Lake(scratch_dir(spark, "jumps"))
+    since = BRAND_AS_OF - timedelta(days=schemas.FEATURE_LOOKBACK_DAYS + 1)
+    jumps = (F.col("date") == F.lit(BRAND_AS_OF)) & (F.ascii(F.substring("ticker", -1, 1)) % 2 == 1)
+    bars = warehouse.brand_bars(spark, folder).where(F.col("date").between(F.lit(since), F.lit(BRAND_AS_OF)))
+    daily.append_raw_prices(bars.withColumn("close", F.when(jumps, F.col("close") * 1.7).otherwise(F.col("close"))), lake)
+    backfill.backfill(spark, lake, since, BRAND_AS_OF - timedelta(days=1))
+    report = daily.curate_prices_day(spark, lake, BRAND_AS_OF)
+    found = [(report["date"], w) for w in report["warnings"] if "overnight" in w]
+    return spark.createDataFrame(found, "date date, warning string")
+
+
+@query
+def unreadable_files(spark, folder):
+    """The first day of every month has an empty and a damaged file, which a run over all dates reports; the
+    others' rows are all there."""
+    lake = Lake(scratch_dir(spark, "damaged"))
+    daily.append_raw_prices(warehouse.brand_bars(spark, folder), lake)
+    days = [d for d in lake_io.stored_days(spark, lake.raw_prices) if d.day == 1]
+    for day in days:
+        files.touch(spark, f"{lake.raw_prices}/date={day}/empty.parquet")
+        files.write_text(spark, f"{lake.raw_prices}/date={day}/broken.parquet", "PAR1 and no more")
+    backfill.backfill(spark, lake, date(1900, 1, 1), date(2100, 1, 1))
+    found = spark.read.parquet(f"{lake.unreadable_files}/table=raw.prices")
+    rows = stored_prices(spark, lake).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
+    named = found.select(
+        scalar.day_from_path("file_path").alias("date"),
+        F.element_at(F.split("file_path", "/"), -1).alias("name"), "size")
+    return named.join(rows, "date", "left")
+
+
+def filed_revenue(spark, folder) -> Lake:
+    """A new lake whose revenue was landed as files, once over again."""
+    lake = Lake(scratch_dir(spark, "revenue"))
+    landing = scratch_dir(spark, "revenue-files")
+    first = F.make_date(F.floor(F.col("quarter_no") / 4).cast("int"), (F.col("quarter_no") % 4 * 3 + 2).cast("int"), F.lit(5))
+    rows = warehouse.revenue_filings(spark, folder).select(
+        F.date_format("filed", "MM/dd/yyyy").alias("Filed"), F.round("revenue", 4).alias("Revenue"), "ticker",
+        first.alias("Quarter"))
+    rows.write.option("header", True).csv(landing)
+    for _ in range(2):
+        daily.ingest_revenue(spark, lake, landing)
+    return lake
+
+
+@query
+def revenue_ingest(spark, folder):
+    lake = filed_revenue(spark, folder)
+    return lake_io.read_table(spark, lake.quarterly_revenue, schemas.REVENUE_FILINGS)
+
+
+@query
+def fundamentals_as_filed(spark, folder):
+    """Growth on the first days of months, by what was filed until then, restatements included."""
+    first = raw_dates(spark, folder).where(F.dayofmonth("date") == 1)
+    growth = fundamentals.growth_as_filed(warehouse.revenue_filings(spark, folder), first)
+    return rounded(growth, "yoy_revenue_growth_proxy")
+
+
+@query
+def dq_missing_column(spark, folder):
+    """Prices without their volumes: the report ends with the columns that lack."""
+    return report_rows(spark, curation.coerce_prices(warehouse.raw_quotes(spark, folder)).drop("volume", "low"))
+
+
+@query
+def dq_empty(spark, folder):
+    """No price is as old: an empty table is valid, with a warning."""
+    typed = curation.coerce_prices(warehouse.raw_quotes(spark, folder))
+    return report_rows(spark, typed.where(F.col("date") < F.lit(date(1900, 1, 1))))
+
+
+def report_rows(spark, typed: DataFrame) -> DataFrame:
+    report = quality.validate_daily_prices(typed, fail_on_error=False)
+    return spark.createDataFrame(
+        [(report["valid"], ";".join(report["errors"]), ";".join(report["warnings"]),
+          report["stats"]["total_rows"], report["stats"]["unique_tickers"])],
+        "valid boolean, errors string, warnings string, total_rows long, unique_tickers long")
+
+
+@query
+def dq_first_error(spark, folder):
+    """Asked to, the check raises at its first error, in the order of the checks."""
+    try:
+        quality.validate_daily_prices(curation.coerce_prices(warehouse.raw_quotes(spark, folder)), fail_on_error=True)
+    except quality.ValidationError as error:
+        return spark.createDataFrame([(str(error),)], "error string")
+    return spark.createDataFrame([], "error string")
+
+
+@query
+def required_columns(spark, folder):
+    """What each kind of input lacks to be curated prices; what lacks nothing is counted."""
+    inputs = {
+        "bars": warehouse.supplier_bars(spark, folder),
+        "quotes": warehouse.raw_quotes(spark, folder).drop("open", "source"),
+        "filings": warehouse.filing_manifest(spark, folder),
+    }
+    found = []
+    for name, rows in inputs.items():
+        try:
+            found.append((name, "", curation.require_columns(rows, schemas.DAILY_PRICES.names).count()))
+        except curation.MissingColumns as error:
+            found.append((name, str(error), None))
+    return spark.createDataFrame(found, "input string, error string, row_count long")
+
+
+@query
+def curated_order(spark, folder):
+    """The place of each row in its date's stored file: by ticker."""
+    table = f"{scratch_dir(spark, 'ordered')}/daily_prices"
+    lake_io.overwrite_partitions(warehouse.brand_bars(spark, folder).repartition(7, "open"), table)
+    stored = spark.read.schema(schemas.DAILY_PRICES).parquet(table)
+    return stored.select("date", "ticker", F.col("_metadata.row_index").alias("place"))
+
+
+@query
+def run_date_prices(spark, folder):
+    """The bars of a run date given as text."""
+    day = scalar.parse_run_date(BRAND_AS_OF.isoformat())
+    return warehouse.brand_bars(spark, folder).where(F.col("date") == F.lit(day))
+
+
 # --- catalog ----------------------------------------------------------------------------------
 
+@query
+def table_sample(spark, folder):
+    """How many rows a table's sample has, and how many of those are the table's."""
+    schema = loaded_schema(spark, folder, "orders")
+    sample = catalog.show_table_info(spark, "orders", schema, limit=7)["sample"]
+    own = sample.join(spark.table(f"{schema}.orders"), "o_orderkey", "left_semi").count()
+    return spark.createDataFrame([(sample.count(), own)], "sampled long, found long")
+
+
 def loaded_schema(spark, folder, *tables: str) -> str:
     """A schema of its own in scratch, with tables loaded into it."""
     place = scratch_dir(spark, "schema")

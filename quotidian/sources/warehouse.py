@@ -144,6 +144,26 @@ def quarterly_brand_revenue(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def revenue_filings(spark: SparkSession, folder: str) -> DataFrame:
+    """(ticker, quarter_no, revenue, filed): each supplier files a quarter 20 to 59 days after its end, without
+    what is returned, and files it again 90 days later with everything."""
+    names = table(spark, folder, "supplier").select("s_suppkey", F.col("s_name").alias("ticker"))
+    value = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    sums = (
+        table(spark, folder, "lineitem")
+        .groupBy("l_suppkey", scalar.quarter_index("l_shipdate").alias("quarter_no"),
+                 F.last_day(F.add_months(F.trunc("l_shipdate", "quarter"), 2)).alias("end"))
+        .agg(F.sum(F.when(F.col("l_returnflag") != "R", value)).alias("first"), F.sum(value).alias("last"))
+    )
+    own = (F.lit(20) + F.col("l_suppkey") % 40).cast("int")
+    filed = F.explode(F.array(
+        F.struct(F.date_add("end", own).alias("filed"), F.col("first").alias("revenue")),
+        F.struct(F.date_add("end", own + 90).alias("filed"), F.col("last").alias("revenue")),
+    )).alias("f")
+    return sums.join(names, sums["l_suppkey"] == names["s_suppkey"]).select("ticker", "quarter_no", filed).select(
+        "ticker", "quarter_no", "f.revenue", "f.filed").where("revenue IS NOT NULL")
+
+
 def filing_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Uncurated filing manifests: an order is a filing of its customer; some name no file."""
     customer = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("ticker"))
