@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 from quotidian import schemas
 from quotidian.functions import scalar
 
-#: Groups whose statistics are broadcast; with more, Spark joins by a shuffle.
-MAX_GROUPS = 10_000
-
 
 def zscores(
     df: DataFrame, value_cols: Sequence[str], group_col: str = "date", suffix: str = "_zscore"
@@ -26,15 +23,14 @@ def zscores(
 
     The statistics are an aggregate joined back rather than a window, because one date may hold the
     whole table and a window would put it into one task. Grouped by a date the statistics have at
-    most one row per calendar day, which bounds the broadcast; for other groupings the groups are
-    counted first, and broadcast up to MAX_GROUPS of them.
+    most one row per calendar day, which bounds the broadcast; for other groupings adaptive execution
+    chooses by the statistics' measured size, and splits a large group's rows where it shuffles them.
     """
     stats = df.groupBy(F.col(group_col).alias("__group")).agg(
         *[F.avg(scalar.finite(c)).alias(f"__{c}_mean") for c in value_cols],
         *[F.stddev_samp(scalar.finite(c)).alias(f"__{c}_std") for c in value_cols],
     )
-    by_date = isinstance(df.schema[group_col].dataType, T.DateType)
-    if by_date or stats.select("__group").count() <= MAX_GROUPS:
+    if isinstance(df.schema[group_col].dataType, T.DateType):
         stats = F.broadcast(stats)
     # A null-safe match adds no "is not null" to the statistics' branch, so that both branches stay
     # equal and Spark runs what is below them once.
