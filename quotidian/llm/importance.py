@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quotidian.llm.scratch import id_and_text, saved, stream_texts
 from quotidian.llm.text import (
-    ALNUM, Texts, byte_class, column, hash_grams, ints, mix, pieces, prefix_names, range_names, sums, words_of,
+    ALNUM, Texts, byte_class, column, hash_grams, ints, mix, pieces, nameable, range_names, sums, words_of,
 )
 
 #: Buckets of hashed n-grams: bounds the models (two counts each) and what is broadcast (4 bytes each).
@@ -45,15 +45,15 @@ def ngrams(texts: Texts, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray
     """(bucket, text) of every n-gram, ordered by text."""
     lower = texts.lower()
     words = words_of(lower, ALNUM)
-    prefix = prefix_names(lower.data)
-    names = range_names(prefix, words.starts, words.ends)
+    padded = nameable(lower.data)
+    names = range_names(padded, words.starts, words.ends)
     owner = words.owner()
     signs = words_of(texts, SIGNS)
-    found = [names, range_names(prefix, signs.starts, signs.ends)]
+    found = [names, range_names(padded, signs.starts, signs.ends)]
     owners = [owner, signs.owner()]
     for n in PREFIXES:
         long = words.ends - words.starts >= n
-        found.append(mix(range_names(prefix, words.starts[long], words.starts[long] + n) + np.uint64(n)))
+        found.append(mix(range_names(padded, words.starts[long], words.starts[long] + n) + np.uint64(n)))
         owners.append(owner[long])
     pairs = words.grams(2)
     found.append(hash_grams(names, pairs, 2))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotidian.llm.scratch import stream_texts
-from quotidian.llm.text import Texts, Words, byte_class, column, mix, pieces, prefix_names, range_names, sums, texts_of, words_of
+from quotidian.llm.text import Texts, Words, byte_class, column, mix, pieces, nameable, range_names, sums, texts_of, words_of
 
 #: Letters of lower-cased text: a-z and all bytes beyond ASCII.
 LETTERS = byte_class(bytes([*range(0x61, 0x7B), *range(0x80, 0x100)]))
@@ -47,21 +47,21 @@ class Field:
 
 def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature, word) of all features of words, ordered by word, and the words' names."""
-    prefix = prefix_names(data)
-    names = range_names(prefix, starts, ends)
+    padded = nameable(data)
+    names = range_names(padded, starts, ends)
     size = ends - starts
     every = np.arange(len(starts))
     found, owner = [names], [every]
     for n in (1, 2, 3):
         long = size >= n
         for kind, low in ((0, starts[long]), (1, ends[long] - n)):
-            found.append(mix(range_names(prefix, low, low + n) + np.uint64(8 * n + kind + 1)))
+            found.append(mix(range_names(padded, low, low + n) + np.uint64(8 * n + kind + 1)))
             owner.append(every[long])
     for n in (2, 3, 4):
         count = np.maximum(size - n + 1, 0)
         first = np.cumsum(count) - count
         low = np.arange(int(count.sum())) + np.repeat(starts - first, count)
-        found.append(mix(range_names(prefix, low, low + n) + np.uint64(8 * n + 3)))
+        found.append(mix(range_names(padded, low, low + n) + np.uint64(8 * n + 3)))
         owner.append(np.repeat(every, count))
     where = np.concatenate(owner)
     order = np.argsort(where, kind="stable")
@@ -72,7 +72,7 @@ def distinct_words(texts: Texts) -> tuple[Words, np.ndarray, np.ndarray, Texts]:
     """The texts' words; the first place of each distinct one, and which one each word is; lower-cased."""
     lower = texts.lower()
     words = words_of(lower, LETTERS)
-    names = range_names(prefix_names(lower.data), words.starts, words.ends)
+    names = range_names(nameable(lower.data), words.starts, words.ends)
     _, first, which = np.unique(names, return_index=True, return_inverse=True)
     return words, first, which, lower
 
@@ -194,7 +194,7 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Field | None:
     label = np.array([languages.index(lang) for lang, _ in rows])
     texts = texts_of(pa.array([text for _, text in rows], pa.string()))
     words, first, which, lower = distinct_words(texts)
-    names = range_names(prefix_names(lower.data), words.starts[first], words.ends[first])
+    names = range_names(nameable(lower.data), words.starts[first], words.ends[first])
     owner_of_word = words.owner()
 
     # Lexicon of every second text: words met twice or more.

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text per piece.
 PIECE = 2 << 20
@@ -140,36 +141,43 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1000, 1256, dtype=np.uint64))
-_powers = np.ones((2, 1), np.uint64)
+#: Bytes of a range up to which its name is made eight bytes at a time, all ranges at once; longer ones are
+#: named one by one.
+_SHORT = 64
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
-def _power_tables(n: int) -> np.ndarray:
-    """Powers of an odd number and of its inverse modulo 2 ** 64; kept for the next piece."""
-    global _powers
-    if _powers.shape[1] < n:
-        base = int(_ODD[0])
-        steps = np.array([[base], [pow(base, -1, 1 << 64)]], np.uint64).repeat(n, axis=1)
-        steps[:, 0] = 1
-        _powers = np.cumprod(steps, axis=1)
-    return _powers
+def nameable(data: np.ndarray) -> np.ndarray:
+    """What range_names needs of a text: its bytes, with eight more behind them."""
+    return np.concatenate([data, np.zeros(8, np.uint8)])
 
 
-def prefix_names(data: np.ndarray) -> np.ndarray:
-    """What range_names needs of a text: sums of its bytes' random values, weighted by place."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power_tables(len(data) + 1)[0, : len(data)], out=out[1:])
-    return out
-
+def range_names(padded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each byte range, equal for equal bytes wherever they stand.
 
-def range_names(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each byte range, equal for equal bytes wherever they stand."""
-    inverse = _power_tables(len(prefix))[1]
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _ODD[1])
+    Eight bytes are taken in at a time and the whole is mixed after each of them, so that no bytes can make up
+    for others as they can in a sum. Ranges of more than _SHORT bytes have their XXH64.
+    """
+    sizes = ends - starts
+    at_each_byte = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    names = sizes.astype(np.uint64) * _ODD[1]
+    live = np.flatnonzero(sizes <= _SHORT)
+    places, left = starts[live], sizes[live]
+    while True:
+        some = left > 0
+        if not some.all():
+            live, places, left = live[some], places[some], left[some]
+        if not len(live):
+            break
+        names[live] = mix((names[live] ^ (at_each_byte[places] & _KEEP[np.minimum(left, 8)])) + _ODD[0])
+        places, left = places + 8, left - 8
+    for i in np.flatnonzero(sizes > _SHORT):
+        names[i] = xxhash.xxh64_intdigest(padded[starts[i] : ends[i]].data, seed=42)
+    return names
 
 
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return range_names(prefix_names(data), starts, ends)
+    return range_names(nameable(data), starts, ends)
 
 
 def hash_grams(names: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:

@@ -65,3 +65,12 @@ def test_index_against_search_by_hand(letters):
         for w, s, a, b in zip(windows, sizes, low, high):
             found = sorted(index.locate(np.arange(a, b)).tolist())
             assert found == [i for i in range(len(text) - s + 1) if (text[i : i + s] == w[:s]).all()]
+
+
+def test_words_that_sum_to_the_same_are_not_hit(spark):
+    from tests.llm.test_text import swapped
+
+    a, b = (w.decode() for w in swapped(1024))
+    docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, a)], "item_id long, text string")
+    assert {r["doc_id"]: r["n_hit"] for r in fmindex.report(docs, items, 10).collect()} == {1: 1, 2: 0}

@@ -120,3 +120,14 @@ def test_one_document_of_each_group_stays(odd_docs, pairs):
     ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
     assert sorted(i for i in ids if i is not None) == sorted(heads)
     assert ids.count(None) == sum(d is None for d, _ in pairs)
+
+
+def test_words_that_sum_to_the_same_are_not_taken_for_copies(spark):
+    from tests.llm.test_text import swapped
+
+    a, b = (w.decode() for w in swapped(1024))
+    start = " ".join(f"w{i}" for i in range(12))
+    docs = [(1, f"{start} {a}"), (2, f"{start} {b}"), (3, f"{start} {a}")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in recompression.digests(frame, window=13).collect()}
+    assert got == {1: 0, 2: 0, 3: 13}

@@ -112,3 +112,12 @@ def test_emitted_rows(odd_docs):
     for (doc, text), n in copies.items():
         got[doc] = got.get(doc, 0) + n * len(brute.BLANK.findall(brute.raw(text)))
     assert {d: n for d, n in words.items() if n} == {d: n for d, n in got.items() if n}
+
+
+def test_words_that_sum_to_the_same_have_their_own_ids():
+    from tests.llm.test_text import swapped
+
+    encoder = bitplane.Encoder(tokenizer_path())
+    for word in swapped(1024):  # the second one after the first is remembered
+        ids, _ = encoder.encode(texts_of(pa.array([word.decode()], pa.string())))
+        assert ids.tolist() == encoder.tokenizer.encode(word.decode(), add_special_tokens=False).ids

@@ -58,3 +58,41 @@ def test_forest_links_chains():
     fps = np.array([0, 3, 15, 7 << 40, (7 << 40) | 1], np.int64)
     a, b = forest(fps, 2)
     assert dict(zip(a.tolist(), b.tolist())) == {3: 0, 15: 0, (7 << 40) | 1: 7 << 40}
+
+
+def swapped(size):
+    """A word of a and b, and the one with both exchanged, whose bytes weighed by powers of any odd number sum
+    to the same modulo 2 ** 64 once it is long enough."""
+    word = b"a"
+    while len(word) < size:
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    return word[:size], word[:size].translate(bytes.maketrans(b"ab", b"ba"))
+
+
+def test_swapped_words_have_names_of_their_own():
+    rng = np.random.default_rng(3)
+    words = set()
+    for size in (8, 16, 63, 64, 65, 72, 128, 256, 1000, 1024, 2048, 4096):
+        for word in swapped(size):
+            words.add(word)
+            for _ in range(200):  # blocks of eight bytes exchanged, which any sum over blocks would not see
+                blocks = [word[i : i + 8] for i in range(0, size, 8)]
+                i, j = rng.integers(0, len(blocks), 2)
+                blocks[i], blocks[j] = blocks[j], blocks[i]
+                words.add(b"".join(blocks))
+                k = int(rng.integers(0, size))
+                words.add(word[:k] + bytes([word[k] ^ 3]) + word[k + 1 :])
+    words = sorted(words)
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    starts = np.append(0, ends[:-1])
+    names = hash_words(data, starts, ends)
+    assert len(set(names.tolist())) == len(words)
+    moved = hash_words(np.concatenate([np.frombuffer(b"xyz", np.uint8), data]), starts + 3, ends + 3)
+    assert (moved == names).all()
+
+
+def test_trailing_zeros_tell_words_apart():
+    data = np.zeros(100, np.uint8)
+    names = hash_words(data, np.zeros(80, np.int64), np.arange(80))
+    assert len(set(names.tolist())) == 80
