@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import fresh, id_and_text, stream_texts
+from quotidian.llm.scratch import fresh, id_and_text, released, stream_texts
 from quotidian.llm.text import Texts, byte_class, column, hash_words, pieces, texts_of
 
 #: Ids of a block, and of a chunk before it is closed.
@@ -213,7 +213,7 @@ def write_files(docs: DataFrame, path: str, tokenizer_path: str, end: int = END,
         if open_docs:
             yield close(shard)
 
-    stream_texts(rows).mapInArrow(run, FILES).write.option("parquet.block.size", str(16 << 20)).parquet(path)
+    stream_texts(rows).mapInArrow(released(run), FILES).write.option("parquet.block.size", str(16 << 20)).parquet(path)
 
 
 ARROW = pa.schema([
@@ -258,7 +258,7 @@ def read_digests(files: DataFrame) -> DataFrame:
                     pa.array([zlib.crc32(ids[e - s : e].tobytes()) for s, e in zip(sizes, ends)], pa.int64()),
                 ], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return stream_texts(files).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return stream_texts(files).mapInArrow(released(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write_and_read(docs: DataFrame, tokenizer_path: str, kind: str = "byte", path: str | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import id_and_text, stream_texts
+from quotidian.llm.scratch import id_and_text, released, stream_texts
 from quotidian.llm.text import ALNUM, Texts, Words, column, hash_grams, hash_words, pieces, texts_of, words_of
 
 WINDOW = 10
@@ -241,7 +241,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, limit:
         "_hits": F.array().cast("array<int>"), "_items": F.array().cast("array<string>")})
     for block in blocks_of(benchmark, width, limit):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        plain = stream_texts(plain).mapInArrow(_searcher(shared), plain.schema)
+        plain = stream_texts(plain).mapInArrow(released(_searcher(shared)), plain.schema)
     return plain
 
 
@@ -297,7 +297,7 @@ def report(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFr
                 ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
     return stream_texts(found).mapInArrow(
-        run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+        released(run), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def cut_spans(text: bytes, starts: np.ndarray, ends: np.ndarray, hit: np.ndarray) -> bytes:
@@ -346,7 +346,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFr
                     piece = piece.set_column(at, piece.schema.field(at), pa.array(values, piece.schema.field(at).type))
                 yield piece
 
-    out = stream_texts(docs).mapInArrow(run, docs.schema)
+    out = stream_texts(docs).mapInArrow(released(run), docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(kind)))

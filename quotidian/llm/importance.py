@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import id_and_text, saved, stream_texts
+from quotidian.llm.scratch import id_and_text, released, saved, stream_texts
 from quotidian.llm.text import (
     ALNUM, Texts, byte_class, column, hash_grams, ints, mix, pieces, nameable, range_names, sums, words_of,
 )
@@ -96,7 +96,7 @@ def count_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
 
     kind = "block int, counts binary"
     out = np.zeros((2, buckets), np.int64)
-    for row in stream_texts(rows).mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).collect():
+    for row in stream_texts(rows).mapInArrow(released(count), kind).repartition("block").mapInArrow(add, kind).collect():
         part = np.frombuffer(row["counts"], "<i8").reshape(2, -1)
         out[:, row["block"] * BLOCK : row["block"] * BLOCK + part.shape[1]] = part
     return out
@@ -132,7 +132,7 @@ def with_weight(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [column(piece, "doc_id"), pa.array(weights(texts, shared.value))], ["doc_id", "log_weight"])
 
-    return stream_texts(id_and_text(docs)).mapInArrow(run, "doc_id long, log_weight double")
+    return stream_texts(id_and_text(docs)).mapInArrow(released(run), "doc_id long, log_weight double")
 
 
 def best_cut(scored: DataFrame, labels: DataFrame, bins: int = 2048) -> tuple[float, float]:
@@ -195,7 +195,7 @@ def with_key(scored: DataFrame, scale: float, seed: int) -> DataFrame:
             key = pa.array(key_of(weight, ints(batch, "doc_id"), scale, seed))
             yield pa.RecordBatch.from_arrays([*batch.columns, key], ["doc_id", "log_weight", "key"])
 
-    return scored.mapInArrow(run, "doc_id long, log_weight double, key long")
+    return scored.mapInArrow(released(run), "doc_id long, log_weight double, key long")
 
 
 def classify(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
@@ -221,4 +221,4 @@ def keep_sampled(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFr
                 key = key_of(weights(texts, shared.value), ints(piece, "doc_id"), scale, seed)
                 yield piece.filter(pa.array(key >= least))
 
-    return stream_texts(docs).mapInArrow(run, docs.schema)
+    return stream_texts(docs).mapInArrow(released(run), docs.schema)

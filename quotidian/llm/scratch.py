@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -45,6 +46,22 @@ def stream_texts(df: DataFrame) -> DataFrame:
     return df
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, after whose last batch the worker gives back what it has freed. Workers serve many tasks, and would
+    hold the most that any of them ever needed."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id as a long, and the text; whatever else docs has, and however it is called, stays out."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

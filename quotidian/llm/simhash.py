@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import id_and_text, saved, stream_texts, whole_row
+from quotidian.llm.scratch import id_and_text, released, saved, stream_texts, whole_row
 from quotidian.llm.text import LOWER, NOT_BLANK, Texts, ints, pieces, words_of
 
 #: Fingerprints that one task gathers under one probed value.
@@ -144,7 +144,7 @@ def with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
                 )
 
     return stream_texts(id_and_text(docs)).mapInArrow(
-        run, "doc_id long, fp long"
+        released(run), "doc_id long, fp long"
     )
 
 
@@ -166,7 +166,7 @@ def bit_counts(distinct: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"i": list(range(4097)), "n": [*total.ravel().tolist(), float(rows)]})
 
     out = np.zeros(4097)
-    for row in distinct.select("fp").mapInArrow(run, "i long, n double").groupBy("i").agg(F.sum("n").alias("n")).collect():
+    for row in distinct.select("fp").mapInArrow(released(run), "i long, n double").groupBy("i").agg(F.sum("n").alias("n")).collect():
         out[row["i"]] = row["n"]
     return out
 
