@@ -1,6 +1,7 @@
 """Command line of the daily run.
 
-    python -m quotidian --lake PATH ingest-prices  --landing PATH [--run-date D]
+    python -m quotidian --lake PATH ingest-prices  --landing PATH [--run-date D] [--universe CSV]
+    python -m quotidian --lake PATH ingest-revenue --landing PATH
     python -m quotidian --lake PATH ingest-filings --downloads PATH [--run-date D]
     python -m quotidian --lake PATH curate   [--run-date D]
     python -m quotidian --lake PATH build    [--run-date D]
@@ -26,6 +27,7 @@ from quotidian.plans import backfill, daily
 from quotidian.session import SETTINGS
 from quotidian.sources import catalog
 from quotidian.sources.lake import Lake
+from quotidian.sources.universe import read_universe
 
 
 def parser() -> argparse.ArgumentParser:
@@ -39,7 +41,10 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--run-date")
         return sub
 
-    command("ingest-prices").add_argument("--landing", required=True)
+    priced = command("ingest-prices")
+    priced.add_argument("--landing", required=True)
+    priced.add_argument("--universe", help="CSV of tickers; files of others are left alone")
+    command("ingest-revenue", dated=False).add_argument("--landing", required=True)
     command("ingest-filings").add_argument("--downloads", required=True)
     command("curate")
     command("build")
@@ -69,7 +74,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     day = parse_run_date(getattr(args, "run_date", None))
 
     if args.command == "ingest-prices":
-        daily.ingest_prices(spark, lake, args.landing, day)
+        names = read_universe(spark, args.universe) if args.universe else None
+        daily.ingest_prices(spark, lake, args.landing, day, names)
+    elif args.command == "ingest-revenue":
+        daily.ingest_revenue(spark, lake, args.landing)
     elif args.command == "ingest-filings":
         daily.ingest_filings(spark, lake, args.downloads, day)
     elif args.command == "curate":

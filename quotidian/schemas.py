@@ -52,6 +52,15 @@ REVENUE_FILINGS = T.StructType([
     T.StructField("filed", T.DateType()),
 ])
 
+REVENUE_BY_YEAR = T.StructType([*REVENUE_FILINGS.fields, T.StructField("year", T.IntegerType())])
+
+# Landed rows without a readable date, as they came.
+REJECTED_PRICES = T.StructType([
+    *[T.StructField(c, T.StringType()) for c in (
+        "ticker", "date_text", "open", "high", "low", "close", "volume", "reason")],
+    T.StructField("date", T.DateType()),
+])
+
 ROLLING_STATE = T.StructType([
     T.StructField("ticker", T.StringType()),
     T.StructField("date", T.DateType()),

@@ -123,6 +123,8 @@ def lake_tables(lake: Lake) -> dict[tuple[str, str], tuple[str, T.StructType, tu
         ("curated", "quarterly_fundamentals"): (
             lake.quarterly_fundamentals, schemas.QUARTERLY_FUNDAMENTALS, ("year", "quarter"),
         ),
+        ("curated", "quarterly_revenue"): (lake.quarterly_revenue, schemas.REVENUE_BY_YEAR, ("year",)),
+        ("raw", "rejected_prices"): (lake.rejected_prices, schemas.REJECTED_PRICES, ("date",)),
         ("marts", "signal_scores"): (lake.signal_scores, schemas.SIGNAL_SCORES, ("date",)),
         ("marts", "positions"): (lake.positions, schemas.POSITIONS, ("date",)),
     }

@@ -336,3 +336,17 @@ def test_landed_revenue_is_stored_once(spark, lake, tmp_path):
         ("A", 8096, 100.0, date(2024, 4, 20)), ("A", 8096, 110.0, date(2024, 5, 20))]
     growth = daily.stored_growth(spark, lake, spark.createDataFrame([(DAY,)], "date date"))
     assert [tuple(r) for r in growth.collect()] == [("A", DAY, None)]
+
+
+def test_revenue_and_rejected_rows_are_known_to_sql(spark, lake, tmp_path):
+    from quotidian.sources import catalog
+
+    (tmp_path / "rev").mkdir()
+    (tmp_path / "rev" / "a.csv").write_text("ticker,quarter,filed,revenue\nA,2024-03-31,2024-04-20,100\n")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "A.csv").write_text("Date,Close\nsoon,1\n2024-06-28,2\n")
+    daily.ingest_revenue(spark, lake, f"{tmp_path}/rev")
+    daily.ingest_prices(spark, lake, f"{tmp_path}/in", DAY)
+    assert catalog.register_lake(spark, lake) == []
+    assert spark.sql("SELECT ticker, revenue, year FROM curated.quarterly_revenue").collect() == [("A", 100.0, 2024)]
+    assert spark.sql("SELECT ticker, date_text, date FROM raw.rejected_prices").collect() == [("A", "soon", DAY)]
