@@ -6,6 +6,7 @@ that estimate and half the product of its children's, so every subtree of contex
 its own prior weight. The conditional probability of a bit after training mixes the nodes on the path from
 the root to the longest context, each by the posterior weight of stopping there.
 
+Texts are coded with A-Z lower-cased and an end after each, so that the probabilities of all texts sum to one.
 All counts follow from those of strings of DEPTH + 1 bytes, which Spark sums over the training texts. The
 tree is built one last context byte at a time, since all longer contexts lie under one such node; only the
 root is put together from 256 x 255 numbers. Each string that occurs in any text gets its log probability, so
@@ -32,19 +33,28 @@ SHARD = 4_000_000
 #: Distinct strings and words that a task holds before it passes them on.
 HELD = 3_000_000
 BYTE, WORD, END = 0, 1, 2
+#: Stands after every text and before it; no UTF-8 text holds it.
+END_BYTE = 0xFF
 
 _ZERO = np.zeros(0, np.int64)
 
 
+def coded(texts: Texts) -> Texts:
+    """What is coded: A-Z lower-cased, and after each text its end."""
+    lower = texts.lower()
+    bounds = lower.bounds + np.arange(len(lower.bounds))
+    return Texts(np.insert(lower.data, lower.bounds[1:], END_BYTE), bounds, lower.null)
+
+
 def byte_keys(texts: Texts, depth: int = DEPTH) -> np.ndarray:
-    """For each byte the bytes before it, the nearest one highest, and itself lowest; zeros before a text."""
+    """For each byte the bytes before it, the nearest one highest, and itself lowest; before a text stand ends."""
     n = len(texts.data)
     key = texts.data.astype(np.int64)
     place = np.arange(n) - np.repeat(texts.bounds[:-1], np.diff(texts.bounds))
-    for back in range(1, min(depth, n - 1) + 1):
-        before = np.zeros(n, np.int64)
+    for back in range(1, depth + 1):
+        before = np.full(n, END_BYTE, np.int64)
         before[back:] = texts.data[:-back]
-        before[place < back] = 0
+        before[place < back] = END_BYTE
         key |= before << (8 * (depth + 1 - back))
     return key
 
@@ -95,7 +105,8 @@ def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 train = ~np.asarray(column(piece, "held_out").to_numpy(zero_copy_only=False), bool)
                 ends += int(train.sum())
                 bounds, names = word_names(texts)
-                held[BYTE] += _tally(byte_keys(texts, depth), np.repeat(train, np.diff(texts.bounds)))
+                whole = coded(texts)
+                held[BYTE] += _tally(byte_keys(whole, depth), np.repeat(train, np.diff(whole.bounds)))
                 held[WORD] += _tally(names, np.repeat(train, np.diff(bounds)))
                 size += sum(len(k) for parts in held.values() for k, _ in parts[-2:])
                 if size > HELD:
@@ -258,7 +269,7 @@ class Table:
 
 
 _ROW = ["doc_id", "held_out", "digest"]
-_SUMS = "doc_id long, held_out boolean, digest long, n_words long, n_known long, base double, score double"
+_SUMS = "doc_id long, held_out boolean, digest long, n_bytes long, n_words long, n_known long, base double, score double"
 
 
 def _pass(docs: DataFrame, kind: int, rows: pa.Table, depth: int) -> DataFrame:
@@ -268,27 +279,32 @@ def _pass(docs: DataFrame, kind: int, rows: pa.Table, depth: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in pieces(batch, "text"):
-                n_words = n_known = np.zeros(len(texts), np.int64)
+                n_bytes = n_words = n_known = np.zeros(len(texts), np.int64)
                 base = score = np.zeros(len(texts))
                 if kind == BYTE:
-                    score = sums(shared.value.look_up(byte_keys(texts, depth))[0], texts.bounds)
+                    whole = coded(texts)
+                    n_bytes = np.diff(whole.bounds)
+                    score = sums(shared.value.look_up(byte_keys(whole, depth))[0], whole.bounds)
                 else:
                     bounds, names = word_names(texts)
                     value, known = shared.value.look_up(names)
                     n_words, base = np.diff(bounds), sums(value, bounds)
                     n_known = sums(known.astype(np.int64), bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [*(column(piece, c) for c in _ROW), *(pa.array(x) for x in (n_words, n_known, base, score))],
-                    [*_ROW, "n_words", "n_known", "base", "score"])
+                    [*(column(piece, c) for c in _ROW), *(pa.array(x) for x in (n_bytes, n_words, n_known, base, score))],
+                    [*_ROW, "n_bytes", "n_words", "n_known", "base", "score"])
 
     return stream_texts(docs).mapInArrow(run, _SUMS)
 
 
 def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHARD) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row.
+
+    score: log10 of the text's probability with A-Z lower-cased, its end included, as the baseline has it;
+    bits_per_byte: the code length that follows, per byte and the end.
 
     Rows whose crc32 of the doc_id as text is divisible by `folds` are held out; rows without a doc_id are
-    not. A null text is empty: its only token is the end, its score the log of one. Without training rows
+    not. A null text is empty: all that is coded is its end. Without training rows
     every decision is one half and every token is as likely as the end. Repeated rows are counted and
     scored each. An empty table gives no rows. depth is 1 to 6.
     """
@@ -318,12 +334,13 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHA
             passes = one if passes is None else passes.unionByName(one)
     # Equal rows add the same to a pass, so one of them stands for all and the rows are counted.
     once = passes.groupBy(*_ROW, "pass").agg(
-        *[F.first(c).alias(c) for c in ("n_words", "n_known", "base", "score")], F.count("*").alias("copies"))
+        *[F.first(c).alias(c) for c in ("n_bytes", "n_words", "n_known", "base", "score")], F.count("*").alias("copies"))
     added = once.groupBy(*_ROW).agg(
-        F.max("n_words").alias("n_words"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"),
+        F.max("n_bytes").alias("n_bytes"), F.max("n_words").alias("n_words"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"),
         F.sum("score").alias("score"), F.first("copies").alias("copies"),
     ).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     end = math.log10((ends + 0.1) / scale)
     return added.select(
         "doc_id", "held_out", (F.col("n_words") + 1).alias("n_tokens"), (F.col("n_known") + int(ends > 0)).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + end).alias("base_score"), "score")
+        F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + end).alias("base_score"), "score",
+        (-F.col("score") * math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"))

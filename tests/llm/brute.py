@@ -154,11 +154,12 @@ def unigram(docs, folds=10):
 
 
 def context_tree(train: list[bytes], text: bytes, depth: int) -> float:
-    """log10 probability of a text by trees of dictionaries, a bit at a time."""
+    """log10 probability of a text, A-Z lower-cased, and of its end, by trees of dictionaries, a bit at a time."""
+    train, text = [t.lower() + b"\xff" for t in train], text.lower() + b"\xff"
     counts: dict = {}
     for data in train:
         for i, symbol in enumerate(data):
-            context = tuple(data[i - k] if i >= k else 0 for k in range(1, depth + 1))
+            context = tuple(data[i - k] if i >= k else 0xFF for k in range(1, depth + 1))
             for bit in range(8):
                 prefix = (1 << bit) | symbol >> (8 - bit)
                 for d in range(depth + 1):
@@ -182,7 +183,7 @@ def context_tree(train: list[bytes], text: bytes, depth: int) -> float:
 
     total = 0.0
     for i, symbol in enumerate(text):
-        context = tuple(text[i - k] if i >= k else 0 for k in range(1, depth + 1))
+        context = tuple(text[i - k] if i >= k else 0xFF for k in range(1, depth + 1))
         for bit in range(8):
             prefix, p = (1 << bit) | symbol >> (8 - bit), 0.5
             for d in range(depth, -1, -1):

@@ -88,20 +88,32 @@ def test_unigram_scores(odd_docs, pairs, shard):
 
 def test_context_tree_by_hand(spark):
     rng = random.Random(2)
-    rows = [(i, prose(rng, rng.randint(0, 12), 5)) for i in range(40)] + [(90, ""), (91, None), (92, "zzz é\x00\x00")]
+    rows = [(i, prose(rng, rng.randint(0, 12), 5)) for i in range(40)] + [(90, ""), (91, None), (92, "zzz é\x00\x00"), (93, "AW1 ÉB \x00aw1")]
     scored = ctw.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), depth=2)
     train = [brute.raw(t) for d, t in rows if not brute.held_out(d, 10, 0)]
     got = {r["doc_id"]: r["score"] for r in scored.collect()}
-    for doc, text in rows[::4] + rows[-3:]:
+    for doc, text in rows[::4] + rows[-4:]:
         assert got[doc] == pytest.approx(brute.context_tree(train, brute.raw(text), 2), abs=1e-6)
 
 
+def test_every_text_has_a_code_length(spark):
+    """The end is coded, so no text is certain; the odds of all texts of up to one byte stay below one."""
+    rows = [(i, "ab ba" * (i % 3)) for i in range(30)] + [(100, ""), (101, None)]
+    signs = [(200 + i, chr(i)) for i in range(128)]
+    got = {r["doc_id"]: r for r in ctw.score(spark.createDataFrame(rows + signs, "doc_id long, text string")).collect()}
+    assert all(r["score"] < 0 and r["bits_per_byte"] > 0 for r in got.values())
+    assert got[100]["score"] == got[101]["score"]
+    assert 10 ** got[100]["score"] + sum(10 ** got[d]["score"] for d, s in signs if not s.isupper()) < 1
+    assert got[200 + ord("A")]["score"] == got[200 + ord("a")]["score"]
+
+
 def test_models_without_rows(odd_docs, no_docs):
     assert ctw.score(no_docs).collect() == []
     all_held = odd_docs.where("doc_id = 10").limit(1)
     row = ctw.score(all_held, folds=1).first()
     assert row["train_tokens"] == 0 and row["n_known"] == 0
-    assert row["score"] == pytest.approx(-8 * math.log10(2) * len(brute.raw(all_held.first()["text"])))
+    assert row["score"] == pytest.approx(-8 * math.log10(2) * (len(brute.raw(all_held.first()["text"])) + 1))
+    assert row["bits_per_byte"] == pytest.approx(8)
     assert row["base_score"] == pytest.approx(0)
 
 
