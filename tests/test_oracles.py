@@ -12,7 +12,7 @@ LARGER = "/root/testdata/sf0.01"
 NEED_LARGER = {
     "price_features_brand", "price_features_panel", "signal_scores_panel", "positions_panel",
     "scores_enriched_latest", "available_dates", "ticker_features_latest", "ticker_score_date", "daily_build",
-    "backfill_build", "signal_scores_panel_with_fundamentals",
+    "backfill_build", "signal_scores_panel_with_fundamentals", "incremental_build", "overnight_change_day",
 }
 
 
