@@ -28,8 +28,11 @@ from quotidian.llm.text import Texts, Words, byte_class, column, mix, pieces, na
 
 #: Letters of lower-cased text: a-z and all bytes beyond ASCII.
 LETTERS = byte_class(bytes([*range(0x61, 0x7B), *range(0x80, 0x100)]))
-#: Labelled texts that the field is fitted on, languages taking turns, and words used of each for sequences.
-FIT_TEXTS, FIT_WORDS = 1500, 120
+#: Labelled texts that the field is fitted on, languages taking turns, words used of each for sequences, and
+#: letters of each that come to the driver.
+FIT_TEXTS, FIT_WORDS, FIT_LETTERS = 1500, 120, 1 << 16
+#: Hashes are counted by so many leading bits.
+BIN_BITS = 16
 #: Hashed features; words of a sequence, mean words before a switch; rounds of fitting.
 FEATURES, SEQUENCE, STRETCH, ROUNDS = 1 << 16, 40, 14, 40
 CHUNK = 64
@@ -144,18 +147,24 @@ def chain(emit: np.ndarray, transitions: np.ndarray, bounds: np.ndarray) -> np.n
 
 
 def fitting_rows(docs: DataFrame, texts: int = FIT_TEXTS) -> list[tuple[str, str]]:
-    """(lang, text) of at most `texts` labelled texts with a letter outside the fold that is held out. They are
-    chosen by a hash of their doc_id, languages taking turns; only ids are shuffled for that."""
+    """(lang, text) of at most `texts` labelled texts with a letter outside the fold that is held out, and of each
+    at most FIT_LETTERS. They are chosen by a hash of their doc_id, languages taking turns; only ids are shuffled for that."""
     labelled = docs.where("lang IS NOT NULL AND NOT held_out AND has_letter")
+    hashed = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash")).withColumn("bin", F.shiftright("hash", 64 - BIN_BITS))
+    # The bins of hashes that hold a language's first `texts` rows; only these rows are ranked.
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("bin")) - F.col("n")
+    bins = hashed.groupBy("lang", "bin").agg(F.count("*").alias("n")).withColumn("before", before)
+    last = bins.where(F.col("before") < texts).groupBy("lang").agg(F.max("bin").alias("last"))
     order = Window.partitionBy("lang").orderBy("hash")
     chosen = (
-        labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"))
+        hashed.join(last, "lang").where(F.col("bin") <= F.col("last"))
         .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= texts)
         .orderBy("turn", "lang", "hash").limit(texts).select("lang", "doc_id").distinct()
     )
     here = F.broadcast(chosen.select(F.col("lang").alias("its_lang"), F.col("doc_id").alias("its_id")))
     rows = labelled.join(here, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("lang") == F.col("its_lang")), "left_semi")
-    found = rows.select("lang", "text").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "lang").limit(texts)
+    order = (F.xxhash64("doc_id"), F.xxhash64("text"), F.col("lang"))
+    found = rows.orderBy(*order).limit(texts).select("lang", F.substring("text", 1, FIT_LETTERS).alias("text"))
     return [(r["lang"], r["text"]) for r in found.toLocalIterator()]
 
 

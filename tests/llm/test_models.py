@@ -43,6 +43,25 @@ def test_code_switching(spoken):
     assert len(words) == 70 and np.allclose(marginal.sum(1), 1)
 
 
+def test_fitting_rows_take_turns(spoken):
+    """The first of each language by the hash of the doc_id, as ranking all rows would give; some rows twice."""
+    rows = spoken.unionByName(spoken.where("doc_id % 5 = 0")).selectExpr(
+        "doc_id", "lang", "text", "xxhash64(doc_id) hash", "crc32(cast(cast(doc_id as string) as binary)) % 3 = 1 held_out",
+        "text is not null has_letter")
+    taken = [r for r in rows.collect() if r["lang"] and not r["held_out"] and r["has_letter"]]
+    by_lang = {}
+    for r in sorted(taken, key=lambda r: r["hash"]):
+        by_lang.setdefault(r["lang"], []).append(r)
+    turns = sorted((i, lang, r["hash"], r["text"]) for lang, own in by_lang.items() for i, r in enumerate(own))
+    for texts in (7, 40, 10_000):
+        first = {(lang, text) for _, lang, _, text in turns[:texts]}
+        got = language.fitting_rows(rows, texts)
+        assert set(got) <= first and len(got) <= texts
+        assert {lang for lang, _ in got} == {lang for lang, _ in first}
+        if texts > len(turns):
+            assert set(got) == first
+
+
 def test_odd_texts_have_a_language(odd_docs, odd_rows, no_docs):
     got = language.identify(odd_docs).collect()
     assert len(got) == len(odd_rows)
