@@ -8,8 +8,10 @@ the root to the longest context, each by the posterior weight of stopping there.
 
 Texts are coded with A-Z lower-cased and an end after each, so that the probabilities of all texts sum to one.
 All counts follow from those of strings of DEPTH + 1 bytes, which Spark sums over the training texts. The
-tree is built one last context byte at a time, since all longer contexts lie under one such node; only the
-root is put together from 256 x 255 numbers. Each string that occurs in any text gets its log probability, so
+tree is built in groups of whole subtrees: all contexts that end in the same TOP bytes lie under one node, and
+a group holds the strings of some such nodes, GROUP strings on average. What these nodes pass on is summed per
+node above, of which there are at most 256 x 255 for TOP = 2; the levels from there to the root are put
+together from those sums. Each string that occurs in any text gets its log probability, so
 scoring is a lookup. The table of these, and that of the words of the unigram baseline, is broadcast in
 shards of at most SHARD entries, one pass over the texts for each, and the passes' sums are added.
 """
@@ -28,6 +30,8 @@ from quotidian.llm.scratch import id_and_text, saved, stream_texts
 from quotidian.llm.text import NOT_BLANK, Texts, column, hash_words, pieces, sums, words_of
 
 DEPTH = 5
+#: Last context bytes whose subtree is built in one group, and the strings of a group on average.
+TOP, GROUP = 2, 250_000
 #: Entries of 17 bytes of a broadcast shard.
 SHARD = 4_000_000
 #: Distinct strings and words that a task holds before it passes them on.
@@ -163,6 +167,11 @@ def nodes_of(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return every[order], np.concatenate(zeros)[order], np.concatenate(ones)[order]
 
 
+def parents(ids: np.ndarray) -> np.ndarray:
+    """The same decisions under contexts that are shorter by their farthest byte."""
+    return ((ids >> 16) << 8) | (ids & 255)
+
+
 def build(keys: np.ndarray, n: np.ndarray, depth: int, top: int) -> list[tuple]:
     """From the longest contexts up to `top`: (id, stop, one, weighted) of the nodes of each depth, where stop is
     the posterior weight of the node's own estimate and one that estimate of a one. keys sorted, n > 0."""
@@ -179,8 +188,7 @@ def build(keys: np.ndarray, n: np.ndarray, depth: int, top: int) -> list[tuple]:
             weighted, stop = own, np.ones(len(ids))
         else:
             child, child_weighted = below
-            parent = ((child >> 16) << 8) | (child & 255)
-            through = np.bincount(np.searchsorted(ids, parent), child_weighted, len(ids))
+            through = np.bincount(np.searchsorted(ids, parents(child)), child_weighted, len(ids))
             weighted = np.logaddexp(own, through) - math.log(2)
             stop = np.exp(own - math.log(2) - weighted)
         levels.append((ids, stop, (ones + 0.5) / (zeros + ones + 1.0), weighted, zeros, ones))
@@ -206,39 +214,59 @@ def log_probabilities(keys: np.ndarray, levels: list[tuple], depth: int) -> np.n
     return total
 
 
-def byte_table(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, key, value, known) of every string."""
-    strings = counted.where(F.col("kind") == BYTE).withColumn("last", F.shiftright("key", 8 * depth).cast("int"))
+def upper_levels(nodes: pa.Table, top: int) -> list[tuple]:
+    """(id, stop, one) of each depth from top - 1 to the root. nodes: (node, zeros, ones, through) of depth
+    top - 1, through being what its children pass on."""
+    nodes = nodes.sort_by("node")
+    ids, zeros, ones = (nodes[c].to_numpy() for c in ("node", "zeros", "ones"))
+    through = nodes["through"].to_numpy()
+    levels = []
+    for d in range(top - 1, -1, -1):
+        own = kt_block(zeros, ones)
+        weighted = np.logaddexp(own, through) - math.log(2)
+        levels.append((ids, np.exp(own - math.log(2) - weighted), (ones + 0.5) / (zeros + ones + 1.0)))
+        if d:
+            ids, which = np.unique(parents(ids), return_inverse=True)
+            zeros, ones, through = (np.bincount(which, x, len(ids)) for x in (zeros, ones, weighted))
+    return levels
+
 
-    def sorted_group(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def byte_table(counted: DataFrame, strings: int, depth: int = DEPTH, group: int = GROUP) -> DataFrame:
+    """(kind, key, value, known) of every string, of which there are so many."""
+    spark = counted.sparkSession
+    top = min(TOP, depth)
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-strings // group))
+    grouped = (
+        counted.where(F.col("kind") == BYTE)
+        .withColumn("group", F.pmod(F.xxhash64(F.shiftright("key", 8 * (depth + 1 - top))), F.lit(groups)))
+        .repartition(groups, "group").groupBy("group")
+    )
+
+    def subtrees(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
         keys, n = table["key"].to_numpy(), table["n"].to_numpy()
         order = np.argsort(keys)
-        return keys[order], n[order]
-
-    def root_part(table: pa.Table) -> pa.Table:
-        keys, n = sorted_group(table)
-        if not (n > 0).any():
-            return pa.table({"node": pa.array([], pa.int64()), "zeros": pa.array([], pa.int64()),
-                             "ones": pa.array([], pa.int64()), "weighted": pa.array([], pa.float64())})
-        ids, _, _, weighted, zeros, ones = build(keys[n > 0], n[n > 0], depth, 1)[-1]
-        return pa.table({"node": ids & 255, "zeros": zeros, "ones": ones, "weighted": weighted})
-
-    found = strings.groupBy("last").applyInArrow(root_part, "node long, zeros long, ones long, weighted double")
-    rows = found.groupBy("node").agg(
-        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("through")).orderBy("node").collect()
-    zeros, ones = np.array([r["zeros"] for r in rows], float), np.array([r["ones"] for r in rows], float)
-    own = kt_block(zeros, ones)
-    weighted = np.logaddexp(own, np.array([r["through"] for r in rows])) - math.log(2)
-    root = (np.array([r["node"] for r in rows], np.int64), np.exp(own - math.log(2) - weighted),
-            (ones + 0.5) / (zeros + ones + 1.0))
+        keys, known = keys[order], n[order] > 0
+        levels = build(keys[known], n[order][known], depth, top) if known.any() else []
+        return keys, known, levels
+
+    def passed_on(table: pa.Table) -> pa.Table:
+        _, _, levels = subtrees(table)
+        ids, _, _, weighted, zeros, ones = levels[-1] if levels else (_ZERO,) * 6
+        node, which = np.unique(parents(ids), return_inverse=True)
+        zeros, ones, through = (np.bincount(which, x, len(node)) for x in (zeros, ones, weighted))
+        return pa.table({"node": node, "zeros": zeros.astype(np.int64), "ones": ones.astype(np.int64), "through": through.astype(float)})
+
+    found = grouped.applyInArrow(passed_on, "node long, zeros long, ones long, through double")
+    above = spark.sparkContext.broadcast(upper_levels(found.groupBy("node").agg(
+        *[F.sum(c).alias(c) for c in ("zeros", "ones", "through")]).toArrow(), top))
 
     def values(table: pa.Table) -> pa.Table:
-        keys, n = sorted_group(table)
-        levels = build(keys[n > 0], n[n > 0], depth, 1) if (n > 0).any() else [(_ZERO, _ZERO, _ZERO)] * depth
+        keys, known, levels = subtrees(table)
+        levels = levels or [(_ZERO, _ZERO, _ZERO)] * (depth - top + 1)
         return pa.table({"kind": np.full(len(keys), BYTE, np.int32), "key": keys,
-                         "value": log_probabilities(keys, [*levels, root], depth), "known": n > 0})
+                         "value": log_probabilities(keys, [*levels, *above.value], depth), "known": known})
 
-    return strings.groupBy("last").applyInArrow(values, "kind int, key long, value double, known boolean")
+    return grouped.applyInArrow(values, "kind int, key long, value double, known boolean")
 
 
 # Scoring ----------------------------------------------------------------------------------------------
@@ -297,7 +325,7 @@ def _pass(docs: DataFrame, kind: int, rows: pa.Table, depth: int) -> DataFrame:
     return stream_texts(docs).mapInArrow(run, _SUMS)
 
 
-def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHARD) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHARD, group: int = GROUP) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row.
 
     score: log10 of the text's probability with A-Z lower-cased, its end included, as the baseline has it;
@@ -323,7 +351,7 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHA
     scale = tokens + 0.1 * (vocabulary + 1)
     words = counted.where(F.col("kind") == WORD).select(
         "kind", "key", F.log10((F.col("n") + 0.1) / scale).alias("value"), (F.col("n") > 0).alias("known"))
-    model = saved(byte_table(counted, depth).unionByName(words), "ctw-model")
+    model = saved(byte_table(counted, size(BYTE, "rows"), depth, group).unionByName(words), "ctw-model")
     passes = None
     for kind in (BYTE, WORD):
         shards = max(1, -(-size(kind, "rows") // shard))

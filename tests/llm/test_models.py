@@ -105,14 +105,16 @@ def test_unigram_scores(odd_docs, pairs, shard):
     assert [r[5] for r in got] == pytest.approx([r[5] for r in expected])
 
 
-def test_context_tree_by_hand(spark):
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+def test_context_tree_by_hand(spark, depth):
+    """Levels below, at and above those that groups are made of."""
     rng = random.Random(2)
     rows = [(i, prose(rng, rng.randint(0, 12), 5)) for i in range(40)] + [(90, ""), (91, None), (92, "zzz é\x00\x00"), (93, "AW1 ÉB \x00aw1")]
-    scored = ctw.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), depth=2)
+    scored = ctw.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), depth=depth, group=40)
     train = [brute.raw(t) for d, t in rows if not brute.held_out(d, 10, 0)]
     got = {r["doc_id"]: r["score"] for r in scored.collect()}
     for doc, text in rows[::4] + rows[-4:]:
-        assert got[doc] == pytest.approx(brute.context_tree(train, brute.raw(text), 2), abs=1e-6)
+        assert got[doc] == pytest.approx(brute.context_tree(train, brute.raw(text), depth), abs=1e-6)
 
 
 def test_every_text_has_a_code_length(spark):
