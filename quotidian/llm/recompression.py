@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import stream_texts, unzipped, zipped
-from quotidian.llm.seen import seen, told
+from quotidian.llm.scratch import id_and_text, stream_texts, unzipped, zipped
+from quotidian.llm.seen import bucket_count, seen, told
 from quotidian.llm.text import NOT_BLANK, Texts, Words, column, hash_grams, hash_words, mix, pieces, words_of
 
 WINDOW = 13
@@ -169,11 +169,12 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Data
     """(doc_id, text, shared, smaller): docs, their texts zipped, with the names of their symbols that other documents have and
     of their windows that documents with a smaller doc_id have."""
     plain = zipped(docs)
-    shared = seen(plain, _symbol_entries(window, rounds), any_other=True).withColumnRenamed("names", "shared")
+    buckets = bucket_count(id_and_text(docs))
+    shared = seen(plain, _symbol_entries(window, rounds), buckets, any_other=True).withColumnRenamed("names", "shared")
     # Only documents with a shared symbol can have a window that repeats, save for windows that hold no
     # whole symbol, so all rows stay.
     first = plain.join(shared, "doc_id", "left")
-    smaller = seen(first, _window_entries(window, rounds)).withColumnRenamed("names", "smaller")
+    smaller = seen(first, _window_entries(window, rounds), buckets).withColumnRenamed("names", "smaller")
     return first.join(smaller, "doc_id", "left")
 
 

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotidian.llm.scratch import stream_texts, unzipped
 from quotidian.llm.text import Texts, column, ints, mix, pieces
@@ -22,12 +23,25 @@ from quotidian.llm.text import Texts, column, ints, mix, pieces
 #: (piece, texts) -> (number of the text, name) of every entry
 Entries = Callable[[pa.RecordBatch, Texts], tuple[np.ndarray, np.ndarray]]
 
+#: Bytes of text whose entries make up a bucket on average.
+BUCKET_BYTES = 16 << 20
 #: Bytes of a name where a few false answers do no harm.
 SHORT = 6
 _ROW = "bucket int, answer boolean, docs binary, names binary"
 _ARROW = pa.schema([("bucket", pa.int32()), ("answer", pa.bool_()), ("docs", pa.binary()), ("names", pa.binary())])
 
 
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets for the entries of these texts, so that a bucket, which a task holds, stays one size at any input."""
+    size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
+def by_bucket(rows: DataFrame, buckets: int):
+    """Rows grouped by bucket, in as many partitions as there are buckets."""
+    return rows.repartition(buckets, "bucket").groupBy("bucket")
+
+
 def heads_of(ordered: np.ndarray) -> np.ndarray:
     """First places of equal values."""
     new = np.ones(len(ordered), bool)
@@ -93,13 +107,12 @@ def _rows(bucket: np.ndarray, answer: bool, docs: np.ndarray, names: np.ndarray,
          pa.array(names_of, pa.binary())], schema=_ARROW)
 
 
-def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFrame:
+def seen(docs: DataFrame, entries: Entries, buckets: int, any_other: bool = False) -> DataFrame:
     """docs: with zipped texts. (doc_id, names): for every doc_id the names that a smaller doc_id has too; with any_other those
     that another doc_id has, by SHORT names. names are packed. Rows without a doc_id take no part.
 
     Two exchanges carry rows of packed values: entries by name, then answers by document.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = SHORT if any_other else 8
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,11 +155,8 @@ def seen(docs: DataFrame, entries: Entries, any_other: bool = False) -> DataFram
         return pa.table({"doc_id": pa.array(of[heads], pa.int64()),
                          "names": pa.array([raw[width * a : width * b] for a, b in zip(heads, ends)], pa.binary())})
 
-    return (
-        stream_texts(docs).mapInArrow(pack, _ROW)
-        .groupBy("bucket").applyInArrow(compare, _ROW)
-        .groupBy("bucket").applyInArrow(gather, "doc_id long, names binary")
-    )
+    answers = by_bucket(stream_texts(docs).mapInArrow(pack, _ROW), buckets).applyInArrow(compare, _ROW)
+    return by_bucket(answers, buckets).applyInArrow(gather, "doc_id long, names binary")
 
 
 def told(

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quotidian.llm.anchors import K, anchors, contexts, fixed_names
 from quotidian.llm.scratch import id_and_text, stream_texts, unzipped, zipped
-from quotidian.llm.seen import doc_bucket, heads_of, joined, packed, seen, told
+from quotidian.llm.seen import bucket_count, by_bucket, doc_bucket, heads_of, joined, packed, seen, told
 from quotidian.llm.text import Texts, column, hash_words, ints, pieces
 
 WINDOW = 50
@@ -258,12 +258,12 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     cover, as packed pairs."""
     spark = docs.sparkSession
     plain = zipped(docs)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(id_and_text(docs))
     crowd = spark.sparkContext.broadcast(crowded_anchors(id_and_text(docs), window))
     # Left joins of one and the same table, so that its exchange is made once and read again.
-    shared = seen(plain, _anchor_entries(window), any_other=True).withColumnRenamed("names", "shared")
+    shared = seen(plain, _anchor_entries(window), buckets, any_other=True).withColumnRenamed("names", "shared")
     first = plain.join(shared, "doc_id", "left")
-    smaller = seen(first, _context_entries(window)).withColumnRenamed("names", "smaller")
+    smaller = seen(first, _context_entries(window), buckets).withColumnRenamed("names", "smaller")
     second = first.join(smaller, "doc_id", "left")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,11 +346,8 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pa.table({"doc_id": pa.array(doc[heads], pa.int64()), "spans": pa.array(
             [pairs[a:b].tobytes() for a, b in zip(heads, np.append(heads[1:], len(doc)))], pa.binary())})
 
-    spans = (
-        stream_texts(second).mapInArrow(send, _SENT)
-        .groupBy("bucket").applyInArrow(sort, _SENT)
-        .groupBy("bucket").applyInArrow(gather, "doc_id long, spans binary")
-    )
+    sorted_ = by_bucket(stream_texts(second).mapInArrow(send, _SENT), buckets).applyInArrow(sort, _SENT)
+    spans = by_bucket(sorted_, buckets).applyInArrow(gather, "doc_id long, spans binary")
     return plain.join(spans, "doc_id", "left")
 
 
