@@ -8,9 +8,14 @@ some shortening, and each run step would widen all contexts.) A name is a
 symbol's context is the stretch of words on which its making depends; wherever that stretch occurs, the
 same symbol does.
 
-After ROUNDS rounds, one exchange finds the symbols that more than one document has. A window with a
-symbol, context included, that no other document has cannot repeat. The windows left are
-compared by a second exchange, of the names of whole windows, which verifies the repeats.
+Two exchanges settle what repeats:
+
+1. After ROUNDS rounds a window with a symbol, context included, that no other document has cannot
+   repeat. After PHRASE_ROUNDS rounds symbols span about as many words as a window; PHRASE of them in a row are a
+   phrase. A phrase that a smaller doc_id has too stands for the same words there, so all windows inside it
+   are repeats, and nothing else is asked about them.
+2. What is left are windows at the ends of repeats, where symbols still depend on what stands around, short
+   repeats, and the first document of each repeat. The names of these windows are compared.
 """
 
 from __future__ import annotations
@@ -30,21 +35,27 @@ from quotidian.llm.text import NOT_BLANK, Texts, Words, column, hash_grams, hash
 
 WINDOW = 13
 ROUNDS = 3
+#: Rounds after which symbols verify repeats, and how many in a row do.
+PHRASE_ROUNDS, PHRASE = 8, 3
 
 _RUN, _PAIR, _SIDE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
+_PHRASE = np.uint64(0x8EBC6AF09C88C6E3)
 
 
 @dataclass
 class Symbols:
-    """Symbols of consecutive texts: name, text, and the words [low, high) that its making depends on."""
+    """Symbols of consecutive texts: name, text, the words [low, high) that its making depends on, and those
+    that it stands for, [begin, end)."""
 
     name: np.ndarray
     owner: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
 
     def at(self, which: np.ndarray) -> Symbols:
-        return Symbols(self.name[which], self.owner[which], self.low[which], self.high[which])
+        return Symbols(*(x[which] for x in (self.name, self.owner, self.low, self.high, self.begin, self.end)))
 
 
 def _neighbours(s: Symbols, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -73,7 +84,7 @@ def _runs(s: Symbols, bounds: np.ndarray) -> Symbols:
     many = count > 1
     name = s.name[heads]
     name[many] = mix(name[many] * _RUN + count[many].astype(np.uint64))
-    return Symbols(name, s.owner[heads], low[heads], high[last])
+    return Symbols(name, s.owner[heads], low[heads], high[last], s.begin[heads], s.end[last])
 
 
 def _pairs(s: Symbols, bounds: np.ndarray, round_: int) -> Symbols:
@@ -96,15 +107,32 @@ def _pairs(s: Symbols, bounds: np.ndarray, round_: int) -> Symbols:
     new_high = np.where(opened, out.high, np.where(rightish, out.high, wide_high))
     new_high[opened] = s.high[first + 1]
     new_low = np.where(opened | ~rightish, out.low, wide_low)
-    return Symbols(name, out.owner, new_low, new_high)
+    end = out.end.copy()
+    end[opened] = s.end[first + 1]
+    return Symbols(name, out.owner, new_low, new_high, out.begin, end)
 
 
-def parse(names: np.ndarray, words: Words, rounds: int = ROUNDS) -> Symbols:
+def parse(names: np.ndarray, words: Words, *rounds: int) -> list[Symbols]:
+    """The symbols after so many rounds each, ascending."""
     at = np.arange(len(names))
-    s = _runs(Symbols(names, words.owner(), at, at + 1), words.bounds)
-    for r in range(rounds):
+    s = _runs(Symbols(names, words.owner(), at, at + 1, at, at + 1), words.bounds)
+    out = []
+    for r in range(rounds[-1]):
+        out += [s] * rounds.count(r)
         s = _pairs(s, words.bounds, r)
-    return s
+    return out + [s] * rounds.count(rounds[-1])
+
+
+def phrases(s: Symbols, size: int, window: int) -> Symbols:
+    """`size` symbols in a row as one, those that hold a window."""
+    first = np.arange(max(len(s.name) - size + 1, 0))
+    first = first[s.owner[first] == s.owner[first + size - 1]]
+    last = first + size - 1
+    first, last = (x[s.end[last] - s.begin[first] >= window] for x in (first, last))
+    name = s.name[first]
+    for k in range(1, size):
+        name = mix(mix(name + _PHRASE) * _PAIR + s.name[first + k])
+    return Symbols(name, s.owner[first], s.low[first], s.high[last], s.begin[first], s.end[last])
 
 
 def _words(texts: Texts) -> tuple[Words, np.ndarray]:
@@ -117,37 +145,50 @@ def _inside(s: Symbols, window: int) -> np.ndarray:
     return s.high - s.low <= window
 
 
+def _symbols(names: np.ndarray, words: Words, window: int, rounds: int) -> tuple[Symbols, Symbols]:
+    """Symbols that some window has together with their context, and phrases."""
+    low, high = parse(names, words, rounds, max(rounds, PHRASE_ROUNDS))
+    return low.at(_inside(low, window)), phrases(high, PHRASE, window)
+
+
 def _symbol_entries(window: int, rounds: int):
     def entries(piece: pa.RecordBatch, texts: Texts):
         words, names = _words(texts)
-        s = parse(names, words, rounds)
-        s = s.at(_inside(s, window))
-        return s.owner, s.name
+        return [(s.owner, s.name) for s in _symbols(names, words, window, rounds)]
 
     return entries
 
 
-def _candidates(piece: pa.RecordBatch, texts: Texts, window: int, rounds: int) -> tuple[Words, np.ndarray, np.ndarray]:
-    """Words, the first words of the windows that may repeat, and those windows' names."""
+def _covered(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in some [begin, end)."""
+    change = np.zeros(n + 2, np.int64)
+    np.add.at(change, begin, 1)
+    np.add.at(change, np.maximum(end, begin), -1)
+    return np.cumsum(change)[:n] > 0
+
+
+def _candidates(
+    piece: pa.RecordBatch, texts: Texts, window: int, rounds: int
+) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, the first words of windows inside phrases that a smaller doc_id has, and those of the other windows that
+    may repeat, with their names."""
     words, names = _words(texts)
-    s = parse(names, words, rounds)
-    s = s.at(_inside(s, window))
+    s, p = _symbols(names, words, window, rounds)
     lonely = s.at(~told(piece, "shared", s.owner, s.name, any_other=True))
     # Windows that begin from high - window to low hold the symbol and its context.
-    change = np.zeros(len(words) + 2, np.int64)
     begin = np.maximum(lonely.high - window, words.bounds[lonely.owner])
-    np.add.at(change, begin, 1)
-    np.add.at(change, np.maximum(lonely.low + 1, begin), -1)
-    alive = np.cumsum(change)[: len(words)] == 0
+    dead = _covered(begin, lonely.low + 1, len(words))
+    p = p.at(told(piece, "phrases", p.owner, p.name))
+    verified = _covered(p.begin, p.end - window + 1, len(words))
     at = words.grams(window)
-    at = at[alive[at]]
-    return words, at, hash_grams(names, at, window)
+    at = at[~(dead | verified)[at]]
+    return words, np.flatnonzero(verified), at, hash_grams(names, at, window)
 
 
 def _window_entries(window: int, rounds: int):
     def entries(piece: pa.RecordBatch, texts: Texts):
-        words, at, names = _candidates(piece, texts, window, rounds)
-        return words.owner()[at], names
+        words, _, at, names = _candidates(piece, texts, window, rounds)
+        return [(words.owner()[at], names)]
 
     return entries
 
@@ -166,15 +207,15 @@ def kept_words(texts: Texts, words: Words, removed: np.ndarray) -> list[bytes]:
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, text, shared, smaller): docs, their texts zipped, with the names of their symbols that other documents have and
-    of their windows that documents with a smaller doc_id have."""
+    """(doc_id, text, shared, smaller): docs, their texts zipped, with the names of their symbols that other documents have, and
+    of their phrases and windows that documents with a smaller doc_id have."""
     plain = zipped(docs)
     buckets = bucket_count(id_and_text(docs))
-    shared = seen(plain, _symbol_entries(window, rounds), buckets, any_other=True).withColumnRenamed("names", "shared")
+    shared = seen(plain, _symbol_entries(window, rounds), buckets, shared=True, phrases=False)
     # Only documents with a shared symbol can have a window that repeats, save for windows that hold no
     # whole symbol, so all rows stay.
     first = plain.join(shared, "doc_id", "left")
-    smaller = seen(first, _window_entries(window, rounds), buckets).withColumnRenamed("names", "smaller")
+    smaller = seen(first, _window_entries(window, rounds), buckets, smaller=False)
     return first.join(smaller, "doc_id", "left")
 
 
@@ -190,12 +231,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in (x for part in unzipped(batch) for x in pieces(part, "text")):
-                words, at, names = _candidates(piece, texts, window, rounds)
-                hit = at[told(piece, "smaller", words.owner()[at], names)]
-                change = np.zeros(len(words) + 1, np.int64)
-                np.add.at(change, hit, 1)
-                np.add.at(change, hit + window, -1)
-                removed = np.cumsum(change)[:-1] > 0
+                words, verified, at, names = _candidates(piece, texts, window, rounds)
+                hit = np.concatenate([verified, at[told(piece, "smaller", words.owner()[at], names)]])
+                removed = _covered(hit, hit + window, len(words))
                 kept = kept_words(texts, words, removed)
                 gone = np.concatenate([[0], np.cumsum(removed)])[words.bounds]
                 yield pa.RecordBatch.from_arrays([

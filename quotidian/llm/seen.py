@@ -20,15 +20,16 @@ from pyspark.sql import functions as F
 from quotidian.llm.scratch import stream_texts, unzipped
 from quotidian.llm.text import Texts, column, ints, mix, pieces
 
-#: (piece, texts) -> (number of the text, name) of every entry
-Entries = Callable[[pa.RecordBatch, Texts], tuple[np.ndarray, np.ndarray]]
+#: (piece, texts) -> (number of the text, name) of every entry, for each kind of names
+Entries = Callable[[pa.RecordBatch, Texts], list[tuple[np.ndarray, np.ndarray]]]
 
 #: Bytes of text whose entries make up a bucket on average.
 BUCKET_BYTES = 16 << 20
 #: Bytes of a name where a few false answers do no harm.
 SHORT = 6
-_ROW = "bucket int, answer boolean, docs binary, names binary"
-_ARROW = pa.schema([("bucket", pa.int32()), ("answer", pa.bool_()), ("docs", pa.binary()), ("names", pa.binary())])
+_ROW = "bucket int, kind int, answer boolean, docs binary, names binary"
+_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("answer", pa.bool_()), ("docs", pa.binary()),
+                    ("names", pa.binary())])
 
 
 def bucket_count(docs: DataFrame) -> int:
@@ -100,63 +101,76 @@ def _by_name(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
             np.repeat(np.maximum.reduceat(docs, heads), size), heads)
 
 
-def _rows(bucket: np.ndarray, answer: bool, docs: np.ndarray, names: np.ndarray, width: int) -> pa.RecordBatch:
+def _rows(bucket: np.ndarray, kind: int, answer: bool, docs: np.ndarray, names: np.ndarray, width: int) -> pa.RecordBatch:
     at, (docs_of, names_of) = packed(bucket, docs, to_bytes(names, width))
     return pa.RecordBatch.from_arrays(
-        [pa.array(at), pa.array([answer] * len(at), pa.bool_()), pa.array(docs_of, pa.binary()),
-         pa.array(names_of, pa.binary())], schema=_ARROW)
+        [pa.array(at), pa.array(np.full(len(at), kind, np.int32)), pa.array([answer] * len(at), pa.bool_()),
+         pa.array(docs_of, pa.binary()), pa.array(names_of, pa.binary())], schema=_ARROW)
 
 
-def seen(docs: DataFrame, entries: Entries, buckets: int, any_other: bool = False) -> DataFrame:
-    """docs: with zipped texts. (doc_id, names): for every doc_id the names that a smaller doc_id has too; with any_other those
-    that another doc_id has, by SHORT names. names are packed. Rows without a doc_id take no part.
+def seen(docs: DataFrame, entries: Entries, buckets: int, **kinds: bool) -> DataFrame:
+    """docs: with zipped texts. (doc_id, and a column for each kind of names): for every doc_id the names that a
+    smaller doc_id has too, or, of the kinds that are True, those that another doc_id has, by SHORT names.
+    names are packed. Rows without a doc_id take no part.
 
     Two exchanges carry rows of packed values: entries by name, then answers by document.
     """
-    width = SHORT if any_other else 8
+    others = list(enumerate(kinds.values()))
+
+    def width(any_other: bool) -> int:
+        return SHORT if any_other else 8
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in (x for part in unzipped(batch) for x in pieces(part, "text")):
-                owner, names = entries(piece, texts)
-                names = short(names) if any_other else names
-                there = np.asarray(column(piece, "doc_id").is_valid().to_numpy(zero_copy_only=False), bool)[owner]
-                if not there.any():
-                    continue
-                names, of, low, high, heads = _by_name(names[there], ints(piece, "doc_id")[owner[there]])
-                settled = (low < high) if any_other else (of > low)
-                yield _rows(doc_bucket(of[settled], buckets), True, of[settled], names[settled], width)
-                name, low, high = names[heads], low[heads], high[heads]
-                wide = low < high
-                sent = np.concatenate([name, name[wide]])
-                yield _rows((sent % np.uint64(buckets)).astype(np.int64), False, np.concatenate([low, high[wide]]), sent, width)
+                given = np.asarray(column(piece, "doc_id").is_valid().to_numpy(zero_copy_only=False), bool)
+                ids = ints(piece, "doc_id")
+                for (kind, any_other), (owner, names) in zip(others, entries(piece, texts)):
+                    names = short(names) if any_other else names
+                    there = given[owner]
+                    if not there.any():
+                        continue
+                    names, of, low, high, heads = _by_name(names[there], ids[owner[there]])
+                    settled = (low < high) if any_other else (of > low)
+                    yield _rows(doc_bucket(of[settled], buckets), kind, True, of[settled], names[settled], width(any_other))
+                    name, low, high = names[heads], low[heads], high[heads]
+                    wide = low < high
+                    sent = np.concatenate([name, name[wide]])
+                    yield _rows((sent % np.uint64(buckets)).astype(np.int64), kind, False, np.concatenate([low, high[wide]]),
+                                sent, width(any_other))
 
     def compare(table: pa.Table) -> pa.Table:
-        settled = table.filter(table["answer"])
+        out = [table.filter(table["answer"]).cast(_ARROW)]
         rest = table.filter(pc.invert(table["answer"]))
-        names, of = from_bytes(joined(rest["names"], np.uint8), width), joined(rest["docs"], np.int64)
-        if not len(names):
-            return settled
-        names, of, low, high, _ = _by_name(names, of)
-        found = (low < high) if any_other else (of > low)
-        mine = _rows(doc_bucket(of[found], buckets), True, of[found], names[found], width)
-        return pa.concat_tables([settled.cast(_ARROW), pa.Table.from_batches([mine], _ARROW)])
+        for kind, any_other in others:
+            mine = rest.filter(pc.equal(rest["kind"], kind))
+            names, of = from_bytes(joined(mine["names"], np.uint8), width(any_other)), joined(mine["docs"], np.int64)
+            if len(names):
+                names, of, low, high, _ = _by_name(names, of)
+                found = (low < high) if any_other else (of > low)
+                rows = _rows(doc_bucket(of[found], buckets), kind, True, of[found], names[found], width(any_other))
+                out.append(pa.Table.from_batches([rows], _ARROW))
+        return pa.concat_tables(out)
 
     def gather(table: pa.Table) -> pa.Table:
-        names, of = from_bytes(joined(table["names"], np.uint8), width), joined(table["docs"], np.int64)
-        order = np.lexsort((names, of))
-        names, of = names[order], of[order]
-        new = np.ones(len(names), bool)
-        new[1:] = (names[1:] != names[:-1]) | (of[1:] != of[:-1])
-        names, of = names[new], of[new]
-        heads = heads_of(of)
-        ends = np.append(heads[1:], len(of))
-        raw = to_bytes(names, width).tobytes()
-        return pa.table({"doc_id": pa.array(of[heads], pa.int64()),
-                         "names": pa.array([raw[width * a : width * b] for a, b in zip(heads, ends)], pa.binary())})
+        lists: list[dict[int, bytes]] = []
+        for kind, any_other in others:
+            mine, size = table.filter(pc.equal(table["kind"], kind)), width(any_other)
+            names, of = from_bytes(joined(mine["names"], np.uint8), size), joined(mine["docs"], np.int64)
+            order = np.lexsort((names, of))
+            names, of = names[order], of[order]
+            new = np.ones(len(names), bool)
+            new[1:] = (names[1:] != names[:-1]) | (of[1:] != of[:-1])
+            names, of = names[new], of[new]
+            heads = heads_of(of)
+            raw = to_bytes(names, size).tobytes()
+            lists.append({int(d): raw[size * a : size * b] for d, a, b in zip(of[heads], heads, np.append(heads[1:], len(of)))})
+        ids = sorted(set().union(*lists))
+        return pa.table({"doc_id": pa.array(ids, pa.int64()),
+                         **{name: pa.array([x.get(d) for d in ids], pa.binary()) for name, x in zip(kinds, lists)}})
 
     answers = by_bucket(stream_texts(docs).mapInArrow(pack, _ROW), buckets).applyInArrow(compare, _ROW)
-    return by_bucket(answers, buckets).applyInArrow(gather, "doc_id long, names binary")
+    return by_bucket(answers, buckets).applyInArrow(gather, ", ".join(["doc_id long", *[f"{name} binary" for name in kinds]]))
 
 
 def told(

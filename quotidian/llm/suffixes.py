@@ -160,7 +160,7 @@ def _repeated_in_block(blob, left, right, anchor, doc, count, size) -> tuple[np.
 def _anchor_entries(window: int):
     def entries(piece: pa.RecordBatch, texts: Texts):
         place, names = anchors(texts, window)
-        return np.searchsorted(texts.bounds, place, "right") - 1, names
+        return [(np.searchsorted(texts.bounds, place, "right") - 1, names)]
 
     return entries
 
@@ -173,7 +173,7 @@ def crowded_anchors(docs: DataFrame, window: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in pieces(batch, "text"):
-                owner, names = _anchor_entries(window)(piece, texts)
+                owner, names = _anchor_entries(window)(piece, texts)[0]
                 pairs = np.unique(np.stack([names, owner.astype(np.uint64)], axis=1), axis=0)[:, 0]
                 found, count = np.unique(pairs, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], ["name", "n"])
@@ -202,7 +202,7 @@ def _shared(piece: pa.RecordBatch, texts: Texts, window: int):
 def _context_entries(window: int):
     def entries(piece: pa.RecordBatch, texts: Texts):
         owner, _, _, _, _, context = _shared(piece, texts, window)
-        return owner, context
+        return [(owner, context)]
 
     return entries
 
@@ -261,9 +261,9 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     buckets = bucket_count(id_and_text(docs))
     crowd = spark.sparkContext.broadcast(crowded_anchors(id_and_text(docs), window))
     # Left joins of one and the same table, so that its exchange is made once and read again.
-    shared = seen(plain, _anchor_entries(window), buckets, any_other=True).withColumnRenamed("names", "shared")
+    shared = seen(plain, _anchor_entries(window), buckets, shared=True)
     first = plain.join(shared, "doc_id", "left")
-    smaller = seen(first, _context_entries(window), buckets).withColumnRenamed("names", "smaller")
+    smaller = seen(first, _context_entries(window), buckets, smaller=False)
     second = first.join(smaller, "doc_id", "left")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

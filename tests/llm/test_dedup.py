@@ -46,6 +46,39 @@ def test_repetitive_texts(spark, repetitive, monkeypatch):
     assert rows_of(recompression.digests(docs, 13)) == ordered(brute.word_dedup(repetitive, 13))
 
 
+def test_phrases_verify_long_repeats():
+    """Of a passage inside different texts, all but its ends lies in phrases that both have; equal names, equal words."""
+    rng = random.Random(12)
+    passage = prose(rng, 400, 4)
+    texts = [f"{prose(rng, 70, 4)} {passage} {prose(rng, 90, 4)}" for _ in range(2)] + ["the " * 300, ""]
+    words, names = recompression._words(texts_of(pa.array(texts)))
+    found = [{}, {}, {}, {}]
+    _, high = recompression.parse(names, words, 3, recompression.PHRASE_ROUNDS)
+    p = recompression.phrases(high, 3, 13)
+    for name, owner, a, b in zip(p.name, p.owner, p.begin, p.end):
+        assert b - a >= 13 and words.bounds[owner] <= a and b <= words.bounds[owner + 1]
+        found[owner].setdefault(int(name), set()).add((a, b))
+    both = found[0].keys() & found[1].keys()
+    spelt = [{n: {" ".join(t.split()[a - words.bounds[i] : b - words.bounds[i]]) for a, b in spans} for n, spans in f.items()}
+             for i, (t, f) in enumerate(zip(texts, found))]
+    assert all(spelt[0][n] == spelt[1][n] and len(spelt[0][n]) == 1 for n in both)
+    windows = {i for n in both for a, b in found[0][n] for i in range(a, b - 12)}
+    assert len(windows) > 0.7 * 388 and not found[2] and not found[3]
+
+
+def test_copies_with_changed_ends(spark):
+    """Long copies, whole and in part, in documents of every order; phrases and windows settle them together."""
+    rng = random.Random(21)
+    stems = [prose(rng, 200, 4).split() for _ in range(4)]
+    rows = []
+    for i in range(60):
+        stem = stems[i % 4]
+        a, b = sorted(rng.sample(range(201), 2))
+        rows.append((i * 37 % 60, " ".join([*prose(rng, rng.randint(0, 20), 4).split(), *stem[a:b], *prose(rng, rng.randint(0, 20), 4).split()])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert rows_of(recompression.digests(docs, 13)) == ordered(brute.word_dedup(rows, 13))
+
+
 @pytest.mark.parametrize("size, places", [(24, (7, 15)), (24, (15, 23)), (76, (15, 63)), (76, (7, 75)), (50, (7, 39))])
 def test_names_of_strings_that_differ_in_top_bytes(size, places):
     data = np.tile(np.frombuffer(b"the quick brown fox " * 4, np.uint8)[:size], (1 << 16, 1))
