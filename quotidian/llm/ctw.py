@@ -11,29 +11,34 @@ All counts follow from those of strings of DEPTH + 1 bytes, which Spark sums ove
 tree is built in groups of whole subtrees: all contexts that end in the same TOP bytes lie under one node, and
 a group holds the strings of some such nodes, GROUP strings on average. What these nodes pass on is summed per
 node above, of which there are at most 256 x 255 for TOP = 2; the levels from there to the root are put
-together from those sums. Each string that occurs in any text gets its log probability, so
-scoring is a lookup. The table of these, and that of the words of the unigram baseline, is broadcast in
-shards of at most SHARD entries, one pass over the texts for each, and the passes' sums are added.
+together from those sums. Each string that occurs in any text gets its log probability, so scoring is a lookup.
+
+Texts are dealt to pieces of PIECE_BYTES. A piece asks once for each of its distinct strings and words; questions meet the
+model by key, and the answers go back to the piece, which then scores its texts. So no table is held whole anywhere, and
+the work is the same number of passes at any size.
 """
 
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotidian.llm.scratch import id_and_text, saved, stream_texts
+from quotidian.llm.seen import from_bytes, heads_of, joined, to_bytes
 from quotidian.llm.text import NOT_BLANK, Texts, column, hash_words, pieces, sums, words_of
 
 DEPTH = 5
 #: Last context bytes whose subtree is built in one group, and the strings of a group on average.
 TOP, GROUP = 2, 250_000
-#: Entries of 17 bytes of a broadcast shard.
-SHARD = 4_000_000
+#: Text of a piece, which asks for its strings and words together, and text whose questions make up one bucket.
+PIECE_BYTES, ASK_BYTES = 16 << 20, 64 << 20
 #: Distinct strings and words that a task holds before it passes them on.
 HELD = 3_000_000
 BYTE, WORD, END = 0, 1, 2
@@ -89,8 +94,46 @@ def _tally(keys: np.ndarray, train: np.ndarray) -> list[tuple[np.ndarray, np.nda
     return [(seen, n.astype(np.int64)), (other, np.zeros(len(other), np.int64))]
 
 
-def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, key, n): strings and words of all texts with their number in training texts. docs: held_out, text."""
+def dealt(docs: DataFrame, size: int = PIECE_BYTES) -> DataFrame:
+    """(piece, size, rows): docs (doc_id, held_out, text) in pieces of about so many bytes of text, or one row, each
+    packed into one row with its texts compressed. A piece's number is drawn, so the result is to be written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        total = 0
+
+        def row() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for part in held:
+                    out.write_batch(part)
+            held.clear()
+            number = int.from_bytes(os.urandom(8), "little") >> 1
+            return pa.RecordBatch.from_arrays([
+                pa.array([number], pa.int64()), pa.array([total], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+            ], ["piece", "size", "rows"])
+
+        for batch in batches:
+            for part, texts in pieces(batch, "text", size):
+                if held and total + len(texts.data) > size:
+                    yield row()
+                    total = 0
+                held.append(part)
+                total += len(texts.data)
+        if held:
+            yield row()
+
+    return stream_texts(docs.select("doc_id", "held_out", "text")).mapInArrow(run, "piece long, size long, rows binary")
+
+
+def unpacked(rows: pa.Scalar) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """A piece's rows, in slices that are worked on at once."""
+    for part in pa.ipc.open_stream(rows.as_buffer()):
+        yield from pieces(part, "text")
+
+
+def counts(dealt_docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(kind, key, n): strings and words of all texts with their number in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {BYTE: [], WORD: []}
@@ -105,7 +148,7 @@ def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
         ends = size = 0
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
+            for piece, texts in (x for rows in column(batch, "rows") for x in unpacked(rows)):
                 train = ~np.asarray(column(piece, "held_out").to_numpy(zero_copy_only=False), bool)
                 ends += int(train.sum())
                 bounds, names = word_names(texts)
@@ -125,7 +168,7 @@ def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             [pa.array([END], pa.int32()), pa.array([0], pa.int64()), pa.array([ends], pa.int64())], ["kind", "key", "n"])
 
     return (
-        stream_texts(docs.select("held_out", "text")).mapInArrow(run, "kind int, key long, n long")
+        stream_texts(dealt_docs).mapInArrow(run, "kind int, key long, n long")
         .groupBy("kind", "key").agg(F.sum("n").alias("n"))
     )
 
@@ -296,36 +339,98 @@ class Table:
         return np.where(hit, self.values[at], 0.0)[which], (hit & self.known[at])[which]
 
 
-_ROW = ["doc_id", "held_out", "digest"]
-_SUMS = "doc_id long, held_out boolean, digest long, n_bytes long, n_words long, n_known long, base double, score double"
+def _width(kind: int, depth: int) -> int:
+    return depth + 1 if kind == BYTE else 8
 
 
-def _pass(docs: DataFrame, kind: int, rows: pa.Table, depth: int) -> DataFrame:
-    """What the entries of a shard add to every row: to its score, or to its words and baseline."""
-    shared = docs.sparkSession.sparkContext.broadcast(Table(rows))
+def asked(dealt_docs: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(bucket, piece, kind, keys): the distinct strings and words of each piece, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in pieces(batch, "text"):
-                n_bytes = n_words = n_known = np.zeros(len(texts), np.int64)
-                base = score = np.zeros(len(texts))
-                if kind == BYTE:
-                    whole = coded(texts)
-                    n_bytes = np.diff(whole.bounds)
-                    score = sums(shared.value.look_up(byte_keys(whole, depth))[0], whole.bounds)
-                else:
-                    bounds, names = word_names(texts)
-                    value, known = shared.value.look_up(names)
-                    n_words, base = np.diff(bounds), sums(value, bounds)
-                    n_known = sums(known.astype(np.int64), bounds)
-                yield pa.RecordBatch.from_arrays(
-                    [*(column(piece, c) for c in _ROW), *(pa.array(x) for x in (n_bytes, n_words, n_known, base, score))],
-                    [*_ROW, "n_bytes", "n_words", "n_known", "base", "score"])
-
-    return stream_texts(docs).mapInArrow(run, _SUMS)
-
-
-def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHARD, group: int = GROUP) -> DataFrame:
+            for number, rows in zip(column(batch, "piece").to_pylist(), column(batch, "rows")):
+                found: dict[int, list] = {BYTE: [_ZERO], WORD: [_ZERO]}
+                for _, texts in unpacked(rows):
+                    found[BYTE].append(np.unique(byte_keys(coded(texts), depth)))
+                    found[WORD].append(np.unique(word_names(texts)[1]))
+                for kind, parts in found.items():
+                    keys = np.unique(np.concatenate(parts))
+                    bucket = np.mod(keys, buckets)
+                    order = np.argsort(bucket, kind="stable")
+                    keys, bucket = keys[order], bucket[order]
+                    heads = heads_of(bucket) if len(keys) else _ZERO
+                    lists = [to_bytes(keys[a:b].view(np.uint64), _width(kind, depth)).tobytes()
+                             for a, b in zip(heads, np.append(heads[1:], len(keys)))]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(bucket[heads], pa.int32()), pa.array(np.full(len(heads), number, np.int64)),
+                        pa.array(np.full(len(heads), kind, np.int32)), pa.array(lists, pa.binary()),
+                    ], ["bucket", "piece", "kind", "keys"])
+
+    return stream_texts(dealt_docs).mapInArrow(run, "bucket int, piece long, kind int, keys binary")
+
+
+def answered(model: DataFrame, asks: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(piece, kind, keys, values, known): what was asked, with what the model says; packed."""
+    by_key = model.withColumn("bucket", F.pmod("key", F.lit(buckets).cast("long")).cast("int"))
+
+    def run(mine: pa.Table, asks: pa.Table) -> pa.Table:
+        out = []
+        for kind in (BYTE, WORD):
+            of_kind = asks.filter(pc.equal(asks["kind"], kind))
+            if not len(of_kind):
+                continue
+            keys = from_bytes(joined(of_kind["keys"], np.uint8), _width(kind, depth)).view(np.int64)
+            value, known = Table(mine.filter(pc.equal(mine["kind"], kind))).look_up(keys)
+            ends = np.cumsum([len(x.as_buffer()) // _width(kind, depth) for x in of_kind["keys"]])
+            spans = list(zip(np.append(0, ends[:-1]), ends))
+            out.append(pa.table({
+                "piece": of_kind["piece"], "kind": of_kind["kind"], "keys": of_kind["keys"].cast(pa.binary()),
+                "values": pa.array([value[a:b].tobytes() for a, b in spans], pa.binary()),
+                "known": pa.array([known[a:b].tobytes() if kind == WORD else b"" for a, b in spans], pa.binary())}))
+        return pa.concat_tables(out) if out else _ANSWERS.empty_table()
+
+    def grouped(df: DataFrame):
+        return df.repartition(buckets, "bucket").groupBy("bucket")
+
+    return grouped(by_key).cogroup(grouped(asks)).applyInArrow(
+        run, "piece long, kind int, keys binary, values binary, known binary")
+
+
+_ANSWERS = pa.schema([("piece", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("values", pa.binary()), ("known", pa.binary())])
+_SUMS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_bytes", pa.int64()), ("n_words", pa.int64()),
+                   ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+
+
+def summed(dealt_docs: DataFrame, answers: DataFrame, depth: int, partitions: int) -> DataFrame:
+    """(doc_id, held_out, n_bytes, n_words, n_known, base, score) of every row; of words, without the end."""
+
+    def run(piece: pa.Table, answers: pa.Table) -> pa.Table:
+        def table(kind: int) -> Table:
+            mine = answers.filter(pc.equal(answers["kind"], kind))
+            keys = from_bytes(joined(mine["keys"], np.uint8), _width(kind, depth)).view(np.int64)
+            known = joined(mine["known"], np.bool_) if kind == WORD else np.ones(len(keys), bool)
+            return Table(pa.table({"key": keys, "value": joined(mine["values"], np.float64), "known": known}))
+
+        strings, words, out = table(BYTE), table(WORD), []
+        for rows, texts in (x for packed_rows in piece["rows"] for x in unpacked(packed_rows)):
+            whole = coded(texts)
+            bounds, names = word_names(texts)
+            value, known = words.look_up(names)
+            out.append(pa.RecordBatch.from_arrays([
+                column(rows, "doc_id"), column(rows, "held_out"), pa.array(np.diff(whole.bounds)), pa.array(np.diff(bounds)),
+                pa.array(sums(known.astype(np.int64), bounds)), pa.array(sums(value, bounds)),
+                pa.array(sums(strings.look_up(byte_keys(whole, depth))[0], whole.bounds)),
+            ], schema=_SUMS))
+        return pa.Table.from_batches(out, _SUMS)
+
+    def grouped(df: DataFrame):
+        return df.repartition(partitions, "piece").groupBy("piece")
+
+    return grouped(dealt_docs.select("piece", "rows")).cogroup(grouped(answers)).applyInArrow(
+        run, "doc_id long, held_out boolean, n_bytes long, n_words long, n_known long, base double, score double")
+
+
+def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, piece: int = PIECE_BYTES, group: int = GROUP) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row.
 
     score: log10 of the text's probability with A-Z lower-cased, its end included, as the baseline has it;
@@ -337,9 +442,10 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHA
     scored each. An empty table gives no rows. depth is 1 to 6.
     """
     rows = id_and_text(docs).withColumns({
-        "held_out": F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == 0, F.lit(False)),
-        "digest": F.xxhash64("text")})
-    counted = saved(counts(rows, depth), "ctw-counts")
+        "held_out": F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == 0, F.lit(False))})
+    texts = saved(dealt(rows, piece), "ctw-texts")
+    n_bytes = texts.select(F.sum("size")).first()[0] or 0
+    counted = saved(counts(texts, depth), "ctw-counts")
     sizes = {r["kind"]: r for r in counted.groupBy("kind").agg(
         F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("distinct"), F.count("*").alias("rows")).collect()}
 
@@ -352,21 +458,11 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, shard: int = SHA
     words = counted.where(F.col("kind") == WORD).select(
         "kind", "key", F.log10((F.col("n") + 0.1) / scale).alias("value"), (F.col("n") > 0).alias("known"))
     model = saved(byte_table(counted, size(BYTE, "rows"), depth, group).unionByName(words), "ctw-model")
-    passes = None
-    for kind in (BYTE, WORD):
-        shards = max(1, -(-size(kind, "rows") // shard))
-        for k in range(shards):
-            # Each shard comes to the driver by itself and goes out as a broadcast.
-            mine = model.where((F.col("kind") == kind) & (F.pmod(F.xxhash64("key"), F.lit(shards)) == k))
-            one = _pass(rows, kind, mine.select("key", "value", "known").toArrow(), depth).withColumn("pass", F.lit(2 * k + kind))
-            passes = one if passes is None else passes.unionByName(one)
-    # Equal rows add the same to a pass, so one of them stands for all and the rows are counted.
-    once = passes.groupBy(*_ROW, "pass").agg(
-        *[F.first(c).alias(c) for c in ("n_bytes", "n_words", "n_known", "base", "score")], F.count("*").alias("copies"))
-    added = once.groupBy(*_ROW).agg(
-        F.max("n_bytes").alias("n_bytes"), F.max("n_words").alias("n_words"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"),
-        F.sum("score").alias("score"), F.first("copies").alias("copies"),
-    ).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Odd, so that all bytes of a string have a part in the remainder.
+    buckets = max(partitions, -(-n_bytes // ASK_BYTES)) | 1
+    answers = answered(model, asked(texts, depth, buckets), depth, buckets)
+    added = summed(texts, answers, depth, max(partitions, -(-n_bytes // (2 * PIECE_BYTES))))
     end = math.log10((ends + 0.1) / scale)
     return added.select(
         "doc_id", "held_out", (F.col("n_words") + 1).alias("n_tokens"), (F.col("n_known") + int(ends > 0)).alias("n_known"),

@@ -93,13 +93,12 @@ def test_chunked_chains_are_whole_ones():
             v /= v.sum()
 
 
-@pytest.mark.parametrize("shard", [1 << 20, 50])
-def test_unigram_scores(odd_docs, pairs, shard):
-    """Also with the tables in many shards."""
+@pytest.mark.parametrize("piece", [1 << 20, 400])
+def test_unigram_scores(odd_docs, pairs, piece):
+    """Also with the texts in many pieces."""
     short = odd_docs.where("doc_id IS NULL OR doc_id NOT IN (209, 210)")
     kept = [p for p in pairs if p[0] not in (209, 210)]
-    got = rows_of(ctw.score(short, depth=2, shard=shard if shard > 50 else 400),
-                  "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")
+    got = rows_of(ctw.score(short, depth=2, piece=piece), "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")
     expected = ordered(brute.unigram(kept))
     assert [r[:5] for r in got] == [r[:5] for r in expected]
     assert [r[5] for r in got] == pytest.approx([r[5] for r in expected])
@@ -110,7 +109,7 @@ def test_context_tree_by_hand(spark, depth):
     """Levels below, at and above those that groups are made of."""
     rng = random.Random(2)
     rows = [(i, prose(rng, rng.randint(0, 12), 5)) for i in range(40)] + [(90, ""), (91, None), (92, "zzz é\x00\x00"), (93, "AW1 ÉB \x00aw1")]
-    scored = ctw.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), depth=depth, group=40)
+    scored = ctw.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), depth=depth, piece=200, group=40)
     train = [brute.raw(t) for d, t in rows if not brute.held_out(d, 10, 0)]
     got = {r["doc_id"]: r["score"] for r in scored.collect()}
     for doc, text in rows[::4] + rows[-4:]:
