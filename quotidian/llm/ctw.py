@@ -57,14 +57,18 @@ def coded(texts: Texts) -> Texts:
 
 def byte_keys(texts: Texts, depth: int = DEPTH) -> np.ndarray:
     """For each byte the bytes before it, the nearest one highest, and itself lowest; before a text stand ends."""
-    n = len(texts.data)
-    key = texts.data.astype(np.int64)
-    place = np.arange(n) - np.repeat(texts.bounds[:-1], np.diff(texts.bounds))
+    data = texts.data.astype(np.int64)
+    key = data.copy()
+    begins, sizes = texts.bounds[:-1], np.diff(texts.bounds)
     for back in range(1, depth + 1):
-        before = np.full(n, END_BYTE, np.int64)
-        before[back:] = texts.data[:-back]
-        before[place < back] = END_BYTE
-        key |= before << (8 * (depth + 1 - back))
+        shift = 8 * (depth + 1 - back)
+        key[back:] |= data[:-back] << shift
+        at = begins[sizes >= back] + back - 1  # this byte and those before it have no byte so far back
+        for place in (at - k for k in range(back)):
+            key[place] |= END_BYTE << shift
+        short = begins[sizes < back], sizes[sizes < back]
+        rest = np.repeat(short[0], short[1]) + np.arange(int(short[1].sum())) - np.repeat(np.cumsum(short[1]) - short[1], short[1])
+        key[rest] |= END_BYTE << shift
     return key
 
 
