@@ -32,7 +32,7 @@ LETTERS = byte_class(bytes([*range(0x61, 0x7B), *range(0x80, 0x100)]))
 #: letters of each that come to the driver.
 FIT_TEXTS, FIT_WORDS, FIT_LETTERS = 1500, 120, 1 << 16
 #: Hashes are counted by so many leading bits.
-BIN_BITS = 16
+BIN_BITS = 13
 #: Hashed features; words of a sequence, mean words before a switch; rounds of fitting.
 FEATURES, SEQUENCE, STRETCH, ROUNDS = 1 << 16, 40, 14, 40
 CHUNK = 64
@@ -155,6 +155,8 @@ def fitting_rows(docs: DataFrame, texts: int = FIT_TEXTS) -> list[tuple[str, str
     before = F.sum("n").over(Window.partitionBy("lang").orderBy("bin")) - F.col("n")
     bins = hashed.groupBy("lang", "bin").agg(F.count("*").alias("n")).withColumn("before", before)
     last = bins.where(F.col("before") < texts).groupBy("lang").agg(F.max("bin").alias("last"))
+    # The first turn alone takes all there is room for from the first languages by name; no more are broadcast.
+    last = F.broadcast(last.orderBy("lang").limit(texts))
     order = Window.partitionBy("lang").orderBy("hash")
     chosen = (
         hashed.join(last, "lang").where(F.col("bin") <= F.col("last"))
