@@ -6,28 +6,32 @@ in a wavelet matrix. All windows of the benchmark are searched backwards at once
 window; the rows of the surviving intervals are walked back to the nearest sampled suffix position, and
 the spans found are merged into the words to remove.
 
-The benchmark is read in blocks of at most BLOCK_BYTES of text; each block is broadcast by itself and the
-documents stream through one search per block, so no broadcast grows with either table. Nothing is
-shuffled.
+Tasks make the benchmark's windows, in blocks whose arrays take at most BLOCK_BYTES, measured, or which hold
+one item; the driver takes one block after the other and broadcasts it. The documents stream through one
+search per block and are written between two, so that no task, worker or broadcast ever holds more than
+one block. No document is shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from quotidian.llm.scratch import id_and_text, released, stream_texts
-from quotidian.llm.text import ALNUM, Texts, Words, column, hash_grams, hash_words, pieces, texts_of, words_of
+from quotidian.llm.scratch import id_and_text, released, saved, stream_texts
+from quotidian.llm.text import ALNUM, Texts, Words, column, hash_words, pieces, texts_of, words_of
 
 WINDOW = 10
-#: Bytes of benchmark text that are broadcast at once.
-BLOCK_BYTES = 16 << 20
+#: Bytes of the windows that are broadcast at once, and those that a word and an item take at most.
+BLOCK_BYTES, WORD_BYTES, ITEM_BYTES = 16 << 20, 32, 128
 #: Bytes of text that one index is built over.
 SHARD = 4 << 20
 #: Every so many positions of a shard, the suffix array is kept.
@@ -42,34 +46,47 @@ def names_of(texts: Texts) -> tuple[Words, np.ndarray]:
 
 @dataclass
 class Patterns:
-    """Distinct windows of a block of items: words by their number from 3 on, zero behind short ones."""
+    """Distinct windows of a block of items, each a run of the items' words, which are numbered from 3 on."""
 
     vocabulary: np.ndarray  # sorted names of words
-    windows: np.ndarray  # (n, width)
+    words: np.ndarray  # all items' words, one after the other
+    starts: np.ndarray  # first word and number of words of each window
     sizes: np.ndarray
     item_bounds: np.ndarray  # items of each window, in `items`
     items: np.ndarray
     item_ids: list[str]
 
 
+def run_numbers(words: np.ndarray, size: int) -> np.ndarray:
+    """For each place a number that two runs of `size` words share if, and only if, they are equal. A run is told
+    by two shorter ones that cover it."""
+    number, width = words.astype(np.int64), 1
+    while width < size:
+        step = min(width, size - width)
+        key = number[:-step] * (number.max(initial=0) + 1) + number[step:]
+        number, width = np.unique(key, return_inverse=True)[1].astype(np.int64), width + step
+    return number
+
+
 def patterns_of(item_ids: list[str], texts: Texts, width: int) -> Patterns:
     words, names = names_of(texts)
     vocabulary, numbers = np.unique(names, return_inverse=True)
-    counts = words.counts
-    full = words.grams(width)
-    short = words.bounds[:-1][(counts > 0) & (counts < width)]
-    at = np.concatenate([full, short])
-    size = np.concatenate([np.full(len(full), width), counts[(counts > 0) & (counts < width)]])
+    counts, at, size, alike, known = words.counts, [], [], [], 0
+    for n in np.unique(np.minimum(counts[counts > 0], width)).tolist():
+        begin = words.grams(n) if n == width else words.bounds[:-1][counts == n]
+        number = run_numbers(numbers, n)[begin]
+        at.append(begin)
+        size.append(np.full(len(begin), n))
+        alike.append(number + known)
+        known += int(number.max(initial=-1)) + 1
+    none = np.zeros(0, np.int64)
+    at, size, alike = (np.concatenate([none, *x]) for x in (at, size, alike))
+    _, first, which = np.unique(alike, return_index=True, return_inverse=True)
     owner = np.searchsorted(words.bounds, at, "right") - 1
-    rows = np.zeros((len(at), width), np.int64)
-    for j in range(width):
-        there = j < size
-        rows[there, j] = numbers[at[there] + j] + 3
-    windows, which = np.unique(rows, axis=0, return_inverse=True) if len(rows) else (rows, np.zeros(0, np.int64))
-    pairs = np.unique(np.stack([which.ravel(), owner], axis=1), axis=0) if len(rows) else np.zeros((0, 2), np.int64)
+    which, owner = np.divmod(np.unique(which * max(len(texts), 1) + owner), max(len(texts), 1))
     return Patterns(
-        vocabulary, windows, (windows > 0).sum(1), np.searchsorted(pairs[:, 0], np.arange(len(windows) + 1)),
-        pairs[:, 1], item_ids)
+        vocabulary, (numbers + 3).astype(np.int32), at[first].astype(np.int32), size[first].astype(np.int32),
+        np.searchsorted(which, np.arange(len(first) + 1)).astype(np.int32), owner.astype(np.int32), item_ids)
 
 
 def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
@@ -152,14 +169,17 @@ class FMIndex:
         self.sampled = np.concatenate([[0], np.cumsum(kept)])
         self.positions = order[kept]
 
-    def search(self, windows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The interval of rows of each window; empty where it doesn't occur."""
-        low, high = np.zeros(len(windows), np.int64), np.full(len(windows), self.n)
-        for step in range(windows.shape[1]):
+    def search(self, windows: np.ndarray, sizes: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The interval of rows of each window; empty where it doesn't occur. `windows` has one a row or, with
+        `starts`, is one sequence in which they begin."""
+        if starts is None:
+            starts, windows = np.arange(len(windows)) * windows.shape[1], windows.ravel()
+        low, high = np.zeros(len(sizes), np.int64), np.full(len(sizes), self.n)
+        for step in range(int(sizes.max(initial=0))):
             live = np.flatnonzero((sizes > step) & (high > low))
             if not len(live):
                 break
-            letter = windows[live, sizes[live] - 1 - step]
+            letter = windows[starts[live] + sizes[live] - 1 - step]
             a, b = self.tree.rank(letter, low[live], high[live])
             low[live], high[live] = self.before[letter] + a, self.before[letter] + b
         return low, np.maximum(high, low)
@@ -186,7 +206,7 @@ def find(texts: Texts, patterns: Patterns) -> tuple[Words, np.ndarray, list[np.n
     words, names = names_of(texts)
     hit = np.zeros(len(words), bool)
     items = [np.zeros(0, np.int64)] * len(texts)
-    if not len(words) or not len(patterns.windows):
+    if not len(words) or not len(patterns.starts):
         return words, hit, items
     at = np.minimum(np.searchsorted(patterns.vocabulary, names), len(patterns.vocabulary) - 1)
     known = patterns.vocabulary[at] == names
@@ -197,7 +217,7 @@ def find(texts: Texts, patterns: Patterns) -> tuple[Words, np.ndarray, list[np.n
     text[place] = np.where(known, at + 3, 2)
     letters = len(patterns.vocabulary) + 2
     index = FMIndex(text, letters)
-    low, high = index.search(patterns.windows, patterns.sizes)
+    low, high = index.search(patterns.words, patterns.sizes, patterns.starts)
     count = high - low
     which = np.repeat(np.arange(len(count)), count)
     rows = np.arange(int(count.sum())) + np.repeat(low - (np.cumsum(count) - count), count)
@@ -210,8 +230,8 @@ def find(texts: Texts, patterns: Patterns) -> tuple[Words, np.ndarray, list[np.n
     hit = (np.cumsum(edge) > 0)[place]
     bounds = words.bounds + np.arange(len(texts) + 1)
     doc = np.searchsorted(bounds, position, "right") - 1
-    pairs = np.unique(doc * len(patterns.windows) + which)
-    doc, which = np.divmod(pairs, len(patterns.windows))
+    pairs = np.unique(doc * len(patterns.starts) + which)
+    doc, which = np.divmod(pairs, len(patterns.starts))
     many = np.diff(patterns.item_bounds)[which]
     found = patterns.items[np.arange(int(many.sum())) + np.repeat(patterns.item_bounds[which] - (np.cumsum(many) - many), many)]
     doc = np.repeat(doc, many)
@@ -220,56 +240,82 @@ def find(texts: Texts, patterns: Patterns) -> tuple[Words, np.ndarray, list[np.n
     return words, hit, items
 
 
-def blocks_of(benchmark: DataFrame, width: int, limit: int = BLOCK_BYTES) -> Iterator[Patterns]:
-    """The benchmark's items in blocks of at most `limit` bytes, or of one item."""
-    ids, texts, held = [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("string"), "text").where("text IS NOT NULL")
-    for row in rows.toLocalIterator():
-        size = len(row["text"].encode())
-        if ids and held + size > limit:
-            yield patterns_of(ids, texts_of(pa.array(texts, pa.string())), width)
-            ids, texts, held = [], [], 0
-        ids.append(row["item_id"] or "")
-        texts.append(row["text"])
-        held += size
-    yield patterns_of(ids, texts_of(pa.array(texts, pa.string())), width)
-
-
-def with_hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, limit: int = BLOCK_BYTES) -> DataFrame:
-    """docs with _hits, the merged spans of hit words as first word and end alternately, and _items."""
-    plain = docs.withColumns({
+def pattern_blocks(benchmark: DataFrame, width: int, limit: int = BLOCK_BYTES) -> DataFrame:
+    """(bucket, part, patterns): the benchmark's windows in blocks of at most `limit` bytes, or of one item.
+
+    Items are dealt to tasks by a hash, in groups of about `limit` bytes of text; a task cuts its group once it
+    knows the words. Repeated rows are taken once, a null item_id is the empty string, null texts have no
+    window.
+    """
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").where(
+        "text IS NOT NULL").distinct()
+    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item_id"))).first()[0] or 0
+    buckets = max(1, -(-size // limit))
+
+    def make(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("item_id", "ascending"), ("text", "ascending")]).combine_chunks()
+        texts, ids = table["text"].combine_chunks(), table["item_id"].to_pylist()
+        weight = words_of(texts_of(texts).lower(), ALNUM).counts * WORD_BYTES + ITEM_BYTES
+        weight += np.array([len(i) for i in ids], np.int64)
+        parts, begin = [], 0
+        while begin < len(ids):
+            end = begin + max(1, int(np.searchsorted(np.cumsum(weight[begin:]), limit, "right")))
+            parts.append(pickle.dumps(patterns_of(ids[begin:end], texts_of(texts.slice(begin, end - begin)), width)))
+            begin = end
+        return pa.table({
+            "bucket": pa.array(table["bucket"].to_pylist()[:1] * len(parts), pa.int64()),
+            "part": pa.array(range(len(parts)), pa.int32()), "patterns": pa.array(parts, pa.binary())})
+
+    bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(buckets)).cast("long")
+    made = items.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(make, "bucket long, part int, patterns binary")
+    return saved(made, "patterns")
+
+
+def marked(docs: DataFrame, blocks: DataFrame, finish: Callable | None = None, kind: StructType | str | None = None) -> DataFrame:
+    """docs with _hits, the merged spans of hit words as first word and end alternately, and _items. `finish`
+    makes of each piece so marked, and its words, what the last search gives, in the form `kind`."""
+    out = docs.withColumns({
         "_hits": F.array().cast("array<int>"), "_items": F.array().cast("array<string>")})
-    for block in blocks_of(benchmark, width, limit):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-        plain = stream_texts(plain).mapInArrow(released(_searcher(shared)), plain.schema)
-    return plain
+    keys = blocks.select("bucket", "part").orderBy("bucket", "part").collect()  # two numbers a block
+    if not keys:
+        nothing = docs.sparkSession.sparkContext.broadcast(patterns_of([], texts_of(pa.array([], pa.string())), 1))
+        return stream_texts(out).mapInArrow(released(_searcher(nothing, finish)), kind or out.schema)
+    for key in keys[:-1]:
+        shared = _shared(blocks, key)
+        out = saved(stream_texts(out).mapInArrow(released(_searcher(shared)), out.schema), "hits")
+        shared.unpersist()
+    last = released(_searcher(_shared(blocks, keys[-1]), finish))
+    return stream_texts(out).mapInArrow(last, kind or out.schema)
+
 
+def _shared(blocks: DataFrame, key):
+    row = blocks.where((F.col("bucket") == key["bucket"]) & (F.col("part") == key["part"])).first()
+    return blocks.sparkSession.sparkContext.broadcast(pickle.loads(row["patterns"]))
 
-def _searcher(shared):
+
+def with_hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, limit: int = BLOCK_BYTES, *,
+              finish: Callable | None = None, kind: StructType | str | None = None) -> DataFrame:
+    return marked(docs, pattern_blocks(benchmark, width, limit), finish, kind)
+
+
+def _searcher(shared, finish: Callable | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in pieces(batch, "text", SHARD):
                 words, hit, items = find(texts, shared.value)
-                old_hits, old_items = column(piece, "_hits"), column(piece, "_items")
-                hits, found = [], []
-                dirty = np.zeros(len(texts), bool)
-                dirty[words.owner()[hit]] = True
-                for i in range(len(texts)):
-                    before = old_hits[i].as_py()
-                    if not dirty[i]:
-                        hits.append(before)
-                        found.append(old_items[i].as_py())
-                        continue
+                hits, found = column(piece, "_hits").to_pylist(), column(piece, "_items").to_pylist()
+                for i in np.unique(words.owner()[hit]).tolist():
                     mine = hit[words.bounds[i] : words.bounds[i + 1]].copy()
-                    for low, high in zip(before[::2], before[1::2]):
+                    for low, high in zip(hits[i][::2], hits[i][1::2]):
                         mine[low:high] = True
-                    hits.append(np.flatnonzero(np.diff(mine, prepend=False, append=False)).tolist())
-                    found.append(old_items[i].as_py() + [shared.value.item_ids[k] for k in items[i]])
+                    hits[i] = np.flatnonzero(np.diff(mine, prepend=False, append=False)).tolist()
+                    found[i] = found[i] + [shared.value.item_ids[k] for k in items[i]]
                 columns = [c for c, n in zip(piece.columns, piece.schema.names) if n not in ("_hits", "_items")]
                 names = [n for n in piece.schema.names if n not in ("_hits", "_items")]
-                yield pa.RecordBatch.from_arrays(
+                piece = pa.RecordBatch.from_arrays(
                     [*columns, pa.array(hits, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))],
                     [*names, "_hits", "_items"])
+                yield finish(piece, texts, words) if finish else piece
 
     return run
 
@@ -277,76 +323,70 @@ def _searcher(shared):
 def report(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row.
 
-    Null and empty texts have no words. An item without words has no window; an item_id that repeats is
-    counted once. An empty benchmark hits nothing; items_sha256 is then that of the empty string.
+    Null and empty texts have no words; a text of any length is searched whole. An item without words has no
+    window; an item_id that repeats is counted once, a null one is the empty string. Items with the same
+    window all occur where it does. An empty benchmark hits nothing; items_sha256 is then that of the empty
+    string.
     """
-    found = with_hits(id_and_text(docs), benchmark, width)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece, texts in pieces(batch, "text", SHARD):
-                counts = words_of(texts.lower(), ALNUM).counts
-                spans = column(piece, "_hits").to_pylist()
-                items = [sorted(set(x)) for x in column(piece, "_items").to_pylist()]
-                n_hit = [sum(s[1::2]) - sum(s[::2]) for s in spans]
-                yield pa.RecordBatch.from_arrays([
-                    column(piece, "doc_id"), pa.array(counts.astype(np.int64)), pa.array(n_hit, pa.int64()),
-                    pa.array([len(x) for x in items], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
-                    pa.array([n > 0 for n in n_hit], pa.bool_()),
-                ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-
-    return stream_texts(found).mapInArrow(
-        released(run), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
-
-
-def cut_spans(text: bytes, starts: np.ndarray, ends: np.ndarray, hit: np.ndarray) -> bytes:
-    """The text without its hit words. What stands between two removed words goes with them; a line end
+    def finish(piece: pa.RecordBatch, texts: Texts, words: Words) -> pa.RecordBatch:
+        spans = column(piece, "_hits").to_pylist()
+        items = [sorted(set(x)) for x in column(piece, "_items").to_pylist()]
+        n_hit = [sum(s[1::2]) - sum(s[::2]) for s in spans]
+        return pa.RecordBatch.from_arrays([
+            column(piece, "doc_id"), pa.array(words.counts.astype(np.int64)), pa.array(n_hit, pa.int64()),
+            pa.array([len(x) for x in items], pa.int64()),
+            pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
+            pa.array([n > 0 for n in n_hit], pa.bool_()),
+        ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+    return with_hits(
+        id_and_text(docs), benchmark, width, finish=finish,
+        kind="doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def cut_spans(text: bytes, starts: np.ndarray, ends: np.ndarray, spans: list[int]) -> bytes:
+    """The text without the words of its spans. What stands between two removed words goes with them; a line end
     takes the place of each span."""
-    edges = np.flatnonzero(np.diff(hit, prepend=False, append=False))
     out, at = [], 0
-    for low, high in zip(edges[::2], edges[1::2]):
+    for low, high in zip(spans[::2], spans[1::2]):
         out.append(text[at : starts[low]])
         at = ends[high - 1]
     return b"\n".join([*out, text[at:]])
 
 
-def clean(texts: Texts, blocks: list[Patterns]) -> dict[int, bytes]:
-    """The texts that have hits, by number, without them. Words that become neighbours may make up a window
-    anew, so what was cut is searched again until nothing is found."""
-    out: dict[int, bytes] = {}
-    numbers = np.arange(len(texts))
-    while len(numbers):
-        found = [find(texts, block) for block in blocks]
-        words = found[0][0]
-        hit = np.logical_or.reduce([h for _, h, _ in found])
-        dirty = np.unique(words.owner()[hit])
+def cut(piece: pa.RecordBatch, texts: Texts, words: Words) -> pa.RecordBatch:
+    """(_row, text, _cut): the texts without their hit words."""
+    spans = column(piece, "_hits").to_pylist()
+    dirty = [i for i, s in enumerate(spans) if s]
+    text = column(piece, "text")
+    if dirty:
+        values = text.to_pylist()
         for i in dirty:
             mine, begin = slice(words.bounds[i], words.bounds[i + 1]), texts.bounds[i]
-            out[int(numbers[i])] = cut_spans(texts.text(i), words.starts[mine] - begin, words.ends[mine] - begin, hit[mine])
-        numbers = numbers[dirty]
-        texts = texts_of(pa.array([out[int(i)] for i in numbers], pa.binary()))
-    return out
+            values[i] = cut_spans(texts.text(i), words.starts[mine] - begin, words.ends[mine] - begin, spans[i]).decode()
+        text = pa.array(values, text.type)
+    return pa.RecordBatch.from_arrays(
+        [column(piece, "_row"), text, pa.array([bool(s) for s in spans], pa.bool_())], ["_row", "text", "_cut"])
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+def remove(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, limit: int = BLOCK_BYTES) -> DataFrame:
     """docs, with all their columns, without the words of any occurrence of a benchmark window; n_chars,
-    where there is such a column, is counted again. Rows without hits stay as they are."""
-    blocks = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks_of(benchmark, width)]
+    where there is such a column, is counted again. Rows without hits stay as they are.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece, texts in pieces(batch, "text", SHARD):
-                cleaned = clean(texts, [b.value for b in blocks])
-                if cleaned:
-                    values = column(piece, "text").to_pylist()
-                    for i, text in cleaned.items():
-                        values[i] = text.decode()
-                    at = piece.schema.names.index("text")
-                    piece = piece.set_column(at, piece.schema.field(at), pa.array(values, piece.schema.field(at).type))
-                yield piece
-
-    out = stream_texts(docs).mapInArrow(released(run), docs.schema)
+    Words that become neighbours may make up a window anew, so texts that were cut are searched again, in
+    rounds over those texts alone, until nothing is found.
+    """
+    blocks = pattern_blocks(benchmark, width, limit)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(0).alias("none")]
+    left, done = docs.select(F.struct(*others).alias("_row"), "text"), []
+    kind = StructType([*left.schema.fields, StructField("_cut", BooleanType())])
+    while not done or not left.isEmpty():
+        searched = saved(marked(left, blocks, cut, kind), "cut")
+        done.append(searched.where("NOT _cut").select("_row", "text"))
+        left = searched.where("_cut").select("_row", "text")
+    out = reduce(DataFrame.union, done)
+    out = out.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(kind)))
