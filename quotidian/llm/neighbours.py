@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from quotidian.llm.scratch import saved
 from quotidian.llm.text import column
@@ -139,7 +140,14 @@ class Index:
         return best
 
 
-_FOUND = "h long, vector array<float>, found array<struct<away: double, vec_id: long>>"
+_FOUND = "h long, vector array<{kind}>, found array<struct<away: double, vec_id: long>>"
+_PLACED = "h long, vector array<{kind}>, ids array<long>, cell long, point array<double>"
+
+
+def component(df: DataFrame, name: str) -> str:
+    """The type of a vector column's components: float stays float, all others are doubles."""
+    kind = df.schema[name].dataType
+    return "float" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "double"
 
 
 def _table(rows: list[tuple], vectors: pa.Array) -> pa.Table:
@@ -152,7 +160,8 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
     """(vec_id, h, vector): rows with an id and a vector of finite components that is not zero; of the vectors'
     lengths the commonest, the larger of two that tie. Repeated rows become one."""
     ok = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("vector"), "embedding").where(
+    kind = f"array<{component(vectors, 'embedding')}>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("vector"), "embedding").where(
         F.col("vec_id").isNotNull() & ok & F.exists("embedding", lambda x: x != 0))
     size = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     dims = size["n"] if size else 0
@@ -161,9 +170,11 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def _blocks(cells: DataFrame, asked: DataFrame, k: int, limit: float) -> DataFrame:
-    """Every asked (cell, h, vector, found) searched in its cell; one block of queries at a time."""
-    blocks = max(1, -(-asked.count() // (BLOCK * max(1, cells.select("cell").distinct().count()))))
-    asked = asked.withColumn("block", F.pmod("h", F.lit(blocks)).cast("int"))
+    """Every asked (cell, h, vector, found) searched in its cell; one block of about BLOCK queries at a time, of
+    which a cell has as many as its own queries fill."""
+    blocks = [F.lit(x) for r in asked.groupBy("cell").count().collect() for x in (r["cell"], -(-r["count"] // BLOCK))]
+    many = F.create_map(*blocks)[F.col("cell")] if blocks else F.lit(1)
+    asked = asked.withColumn("block", F.pmod("h", many).cast("int"))
     wanted = asked.select("cell", "block").distinct()
     rows = cells.join(wanted, "cell")
 
@@ -185,7 +196,7 @@ def _blocks(cells: DataFrame, asked: DataFrame, k: int, limit: float) -> DataFra
         F.col("cell").alias("in_cell"), F.col("salt").alias("in_salt"), F.col("block").alias("in_block"),
         "h", "vector", "found")
     return rows.groupBy("cell", "salt", "block").cogroup(
-        salted.groupBy("in_cell", "in_salt", "in_block")).applyInArrow(run, _FOUND)
+        salted.groupBy("in_cell", "in_salt", "in_block")).applyInArrow(run, _FOUND.format(kind=component(asked, "vector")))
 
 
 def _merge(found: DataFrame, k: int) -> DataFrame:
@@ -200,9 +211,11 @@ def search(vectors: DataFrame, step: int = 50, k: int = 5, dims: int = DIMS, sur
     score is the cosine of the original vectors in double precision. Rows without a vec_id, and vectors that
     are null, zero, hold null or non-finite components or are of an unusual length, take no part. A
     vec_id that repeats with other vectors is a candidate with each. An empty table gives no rows.
+    Squares are taken in double precision, in which those of components beyond 1e150 overflow.
     """
     limit, take = chi_square_quantile(sure, dims), k + 1  # a query may meet itself
     rows = saved(valid_vectors(vectors), "vectors")
+    kind = component(rows, "vector")
     least = Window.partitionBy("h", "vector").orderBy("vec_id")
     classes = saved(
         rows.withColumn("n", F.row_number().over(least)).where(F.col("n") <= take)
@@ -223,7 +236,7 @@ def search(vectors: DataFrame, step: int = 50, k: int = 5, dims: int = DIMS, sur
                     [*batch.columns, pa.array(cell), pa.array(list(points), pa.list_(pa.float64()))],
                     [*batch.schema.names, "cell", "point"])
 
-    placed = saved(classes.mapInArrow(place, "h long, vector array<float>, ids array<long>, cell long, point array<double>"), "cells")
+    placed = saved(classes.mapInArrow(place, _PLACED.format(kind=kind)), "cells")
     bounds = placed.groupBy("cell").agg(
         F.count("*").alias("n"),
         F.array(*[F.min(F.col("point")[i]) for i in range(dims)]).alias("low"),
@@ -236,7 +249,7 @@ def search(vectors: DataFrame, step: int = 50, k: int = 5, dims: int = DIMS, sur
     numbers = np.array([b["cell"] for b in bounds], np.int64)
 
     home = queries.withColumn("ids", F.array().cast("array<long>")).mapInArrow(
-        place, "h long, vector array<float>, ids array<long>, cell long, point array<double>").select(
+        place, _PLACED.format(kind=kind)).select(
         "cell", "h", "vector", F.array().cast("array<struct<away: double, vec_id: long>>").alias("found"))
     first = saved(_merge(_blocks(cells, home, take, limit), take), "home-cells")
 
@@ -257,7 +270,7 @@ def search(vectors: DataFrame, step: int = 50, k: int = 5, dims: int = DIMS, sur
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cell, pa.int64()), *asked_rows.columns], ["cell", *asked_rows.schema.names])
 
-    far = saved(first.mapInArrow(visit, "cell long, " + _FOUND), "further-cells")
+    far = saved(first.mapInArrow(visit, "cell long, " + _FOUND.format(kind=kind)), "further-cells")
     every = _merge(first.unionByName(_blocks(cells, far, take, limit)), take)
     answers = asked.join(every, ["h", "vector"]).select(
         F.col("vec_id").alias("query_id"),

@@ -56,6 +56,46 @@ def test_recall_and_scores(spark, rows, monkeypatch):
     assert hits >= 0.95 * 5 * len(expected)
 
 
+def cosines(ids, x, step, k):
+    norm = np.sqrt((x * x).sum(1))
+    return {i: sorted((-float((x[j] * x[q]).sum() / (norm[j] * norm[q])), int(ids[j])) for j in range(len(ids)) if j != q)[:k]
+            for q, i in enumerate(ids.tolist()) if i % step == 0}
+
+
+def test_recall_of_many_dimensions_and_cells(spark, monkeypatch):
+    """64 dimensions on 8 directions, 32 cells, most queries in a few of them, in blocks; further columns whose
+    names the search uses, and components that no float holds."""
+    monkeypatch.setattr(neighbours, "CELL", 100)
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 64))
+    x = centres[np.arange(3000) % 40] + 0.5 * rng.normal(size=(3000, 64))
+    x[::20] = centres[0] + 0.5 * rng.normal(size=(150, 64))
+    ids = np.arange(3000)
+    rows = [(int(i), v.tolist(), 1, "cell") for i, v in zip(ids, x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, h int, cell string").repartition(4)
+    found: dict = {}
+    for r in neighbours.search(table, step=20).collect():
+        found.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+    expected = cosines(ids, x, 20, 5)
+    assert set(found) == set(expected)
+    hits = 0
+    for query, best in expected.items():
+        assert len(found[query]) == 5
+        for away, i in best:
+            if i in found[query]:
+                hits += 1
+                assert found[query][i] == pytest.approx(-away, abs=1e-14)
+    assert hits >= 0.9 * 5 * len(expected)
+
+
+def test_doubles_that_no_float_tells_apart(spark):
+    rows = [(50, [1.0, 1.0]), (1, [3.0, 3.0 + 3e-7]), (2, [3.0, 3.0 + 1e-7])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search(table).collect())
+    assert got == [(50, 1, 2), (50, 2, 1)]
+
+
 def test_few_vectors(spark):
     some = [(0, [1.0, 0.0]), (50, [1.0, 1.0]), (7, [0.0, 1.0])]
     got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search(frame(spark, some)).collect())
