@@ -25,7 +25,7 @@ from quotidian.operators.positions import generate_positions
 from quotidian.operators.scoring import normalize_to_zscore, score_signals
 from quotidian.plans import backfill, daily, marts
 from quotidian.session import scratch_dir
-from quotidian.sources import catalog, files, filings, lake as lake_io, prices, publish, universe, warehouse
+from quotidian.sources import catalog, files, filings, lake as lake_io, listing, prices, publish, universe, warehouse
 from quotidian.sources.lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -615,8 +615,9 @@ def filing_listing(spark, folder):
     root = scratch_dir(spark, "downloads")
     manifest = warehouse.filing_manifest(spark, folder).where(
         F.col("filing_type").isin("10-Q", "10-K") & (F.col("file_path") != ""))
-    folders = manifest.groupBy("ticker", "filing_type").agg(F.max("file_path").alias("value"))
-    folders.repartition("ticker", "filing_type").write.partitionBy("ticker", "filing_type").text(root)
+    ticker = F.coalesce(F.url_encode(F.nullif("ticker", F.lit(""))), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    below = F.concat(F.lit("ticker="), ticker, F.lit("/filing_type="), "filing_type", F.lit("/part-0.txt"))
+    listing.write_texts(manifest.groupBy(below.alias("below")).agg(F.max("file_path").alias("value")), root)
     for name in ("empty.txt", "_hidden.txt", ".dotted.txt"):
         files.touch(spark, f"{root}/ticker=NONE/filing_type=8-K/{name}")
     listed = filings.list_filings(spark, root)

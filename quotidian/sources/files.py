@@ -32,6 +32,12 @@ def name_of(path: str) -> str:
     return path.rstrip("/").rpartition("/")[2]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A folder as Spark prints it, with its store."""
+    system, place = _system(spark, path)
+    return system.makeQualified(place).toString().rstrip("/")
+
+
 def matching(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Paths under a folder by a pattern such as ``date=*``, in order; names with a leading dot or underscore
     too. They cross over from the JVM at once, so the pattern should be one that folders match."""
@@ -44,7 +50,7 @@ def matching(spark: SparkSession, path: str, pattern: str) -> list[str]:
         return []
     # "Array(a, b)"; every path begins with the folder's, which tells them apart whatever names hold.
     text = jvm.scala.runtime.ScalaRunTime.stringOf(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))
-    below = system.makeQualified(place).toString().rstrip("/") + "/"
+    below = qualified(spark, path) + "/"
     first, *rest = text[len("Array(") : -1].split(f", {below}")
     return sorted([first, *[below + p for p in rest]])
 

@@ -14,16 +14,16 @@ from pyspark.sql import types as T
 from quotidian import schemas
 from quotidian.functions import scalar
 from quotidian.operators.curation import prefer_filing_type
-from quotidian.sources import files, listing
+from quotidian.sources import listing
 from quotidian.sources.lake import or_empty
 
 
 def list_filings(spark: SparkSession, root: str) -> DataFrame:
     """One manifest row per file under ``root/<ticker>/<filing type>/…``, hidden and empty ones too.
 
-    The driver lists the ticker folders; what is below them is listed by tasks, and no file is opened.
+    Tasks list the ticker folders and what is below them, and no file is opened.
     """
-    listed = listing.list_files(spark, files.matching(spark, root, "*"))
+    listed = listing.list_below(spark, root)
     parts = F.split("below", "/")
     return listed.where(F.size(parts) > 1).select(
         F.element_at(F.split("folder", "/"), -1).alias("ticker"),
