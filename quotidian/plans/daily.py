@@ -53,16 +53,15 @@ def append_raw_prices(rows: DataFrame, lake: Lake) -> list[date]:
         if not days:
             return []
         number = (lake_io.date_log(spark, lake.raw_prices).agg(F.max("ingest_no")).first()[0] or 0) + 1
-        if lake_io.is_written(spark, lake.raw_prices):
-            values = [c for c in schemas.RAW_PRICES.names if c not in ("ticker", "date")]
-            wanted = F.broadcast(spark.createDataFrame([(d,) for d in days], "date date"))
-            stored = prices.read_raw(spark, lake.raw_prices).join(wanted, "date", "left_semi")
-            last = stored.groupBy("ticker", "date").agg(
-                F.max(F.struct(*INGEST_ORDER, *values)).alias("last")).select(
-                "ticker", "date", F.struct(*[F.col(f"last.{c}") for c in values]).alias("known"))
-            same = new["ticker"].eqNullSafe(last["ticker"]) & (new["date"] == last["date"]) & F.struct(
-                *[new[c] for c in values]).eqNullSafe(last["known"])
-            new = new.join(last, same, "left_anti")
+        values = [c for c in schemas.RAW_PRICES.names if c not in ("ticker", "date")]
+        wanted = F.broadcast(spark.createDataFrame([(d,) for d in days], "date date"))
+        stored = prices.read_raw(spark, lake.raw_prices).join(wanted, "date", "left_semi")  # lists the folders once
+        last = stored.groupBy("ticker", "date").agg(
+            F.max(F.struct(*INGEST_ORDER, *values)).alias("last")).select(
+            "ticker", "date", F.struct(*[F.col(f"last.{c}") for c in values]).alias("known"))
+        same = new["ticker"].eqNullSafe(last["ticker"]) & (new["date"] == last["date"]) & F.struct(
+            *[new[c] for c in values]).eqNullSafe(last["known"])
+        new = new.join(last, same, "left_anti")
         with lake_io.many_small_files(spark):
             (
                 new.withColumn("ingest_no", F.lit(number).cast("bigint"))

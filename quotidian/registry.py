@@ -679,11 +679,12 @@ def raw_reingest(spark, folder):
     """The same bars are ingested three times, the last time with other closes on first days of a month:
     only those are added."""
     lake = Lake(scratch_dir(spark, "reingest"))
-    bars = warehouse.brand_bars(spark, folder)
-    daily.append_raw_prices(bars, lake)
-    daily.append_raw_prices(bars, lake)
-    first = F.dayofmonth("date") == 1
-    daily.append_raw_prices(bars.withColumn("close", F.when(first, F.col("close") * 2).otherwise(F.col("close"))), lake)
+    with daily.staged(warehouse.brand_bars(spark, folder), lake, "bars") as bars:
+        daily.append_raw_prices(bars, lake)
+        daily.append_raw_prices(bars, lake)
+        first = F.dayofmonth("date") == 1
+        daily.append_raw_prices(
+            bars.withColumn("close", F.when(first, F.col("close") * 2).otherwise(F.col("close"))), lake)
     return prices.read_raw(spark, lake.raw_prices).select("ticker", "date", "close")
 
 

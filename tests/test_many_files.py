@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import random
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from quotidian import registry
+from quotidian import registry, schemas
 from quotidian.sources import files, filings, listing, warehouse
 
 
@@ -47,3 +48,21 @@ def test_filings_of_any_ticker_are_listed(spark, monkeypatch):
     monkeypatch.setattr(warehouse, "filing_manifest", lambda spark, folder: spark.createDataFrame(rows, names))
     listed = {tuple(r) for r in registry.QUERIES["filing_listing"](spark, "").collect()}
     assert listed == {("A+B C", "10-K", 1), ("#%/é", "10-Q", 1), ("__HIVE_DEFAULT_PARTITION__", "10-Q", 1), ("NONE", "8-K", 3)}
+
+
+def test_bars_are_made_once_for_three_ingests(spark, monkeypatch):
+    """Bars whose closes differ whenever they are made: each ingest used to make them again."""
+    draw = F.udf(lambda _: random.SystemRandom().random() + 1, "double").asNondeterministic()
+    days = [(date(2024, 1, 1) + timedelta(days=i), t) for i in range(3) for t in ("A", "B")]
+
+    def bars(spark, folder):
+        rows = spark.createDataFrame(days, "date date, ticker string").withColumn("close", draw("ticker"))
+        return rows.select("date", "ticker", *[F.col("close").alias(c) for c in ("open", "high", "low", "close")],
+                           F.lit(1).cast("bigint").alias("volume"), F.lit(schemas.PRICE_SOURCE).alias("source"))
+
+    monkeypatch.setattr(warehouse, "brand_bars", bars)
+    stored = registry.QUERIES["raw_reingest"](spark, "").collect()
+    assert len(stored) == 8  # six, and both closes of the first again
+    first = sorted((r["ticker"], r["close"]) for r in stored if r["date"].day == 1)
+    assert [t for t, _ in first] == ["A", "A", "B", "B"]
+    assert first[1][1] == 2 * first[0][1] and first[3][1] == 2 * first[2][1]
