@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotidian.llm.scratch import id_and_text, saved, stream_texts
+from quotidian.llm.scratch import give_back, id_and_text, released, saved, stream_texts
 from quotidian.llm.seen import from_bytes, heads_of, joined, to_bytes
 from quotidian.llm.text import NOT_BLANK, Texts, column, hash_words, pieces, sums, words_of
 
@@ -39,8 +39,10 @@ DEPTH = 5
 TOP, GROUP = 2, 250_000
 #: Text of a piece, which asks for its strings and words together, and text whose questions make up one bucket.
 PIECE_BYTES, ASK_BYTES = 16 << 20, 64 << 20
-#: Distinct strings and words that a task holds before it passes them on.
-HELD = 3_000_000
+#: Text that is worked on at once: a dozen arrays of eight bytes a byte live at a time.
+SLICE_BYTES = 1 << 20
+#: Strings and words that a task holds before it adds them up, and those it passes on in a batch, which the JVM holds whole.
+HELD, BATCH_ROWS = 2_000_000, 1 << 16
 BYTE, WORD, END = 0, 1, 2
 #: Stands after every text and before it; no UTF-8 text holds it.
 END_BYTE = 0xFF
@@ -80,14 +82,17 @@ def word_names(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, and the sums of their counts."""
+    """Distinct keys, and the sums of their counts. parts is emptied, so that it is not held beside its sum."""
     keys = np.concatenate([k for k, _ in parts])
     counts = np.concatenate([n for _, n in parts])
+    parts.clear()
     if not len(keys):
         return keys, counts
     order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    keys = keys[order]
+    counts = counts[order]
+    del order
+    head = heads_of(keys)
     return keys[head], np.add.reduceat(counts, head)
 
 
@@ -98,6 +103,24 @@ def distinct(keys: np.ndarray) -> np.ndarray:
     return ordered[heads_of(ordered)] if len(ordered) else ordered
 
 
+class Distinct:
+    """Distinct keys, put together whenever those that came since are as many."""
+
+    def __init__(self):
+        self.parts, self.size, self.most = [_ZERO], 0, HELD // 4
+
+    def add(self, keys: np.ndarray) -> None:
+        self.parts.append(distinct(keys))
+        self.size += len(self.parts[-1])
+        if self.size > self.most:
+            self.parts = [self.keys()]
+            self.size = len(self.parts[0])
+            self.most = max(2 * self.size, HELD // 4)
+
+    def keys(self) -> np.ndarray:
+        return distinct(np.concatenate(self.parts))
+
+
 def _tally(keys: np.ndarray, train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Counts of keys in training texts, and zeros for the others'."""
     seen, n = np.unique(keys[train], return_counts=True)
@@ -140,7 +163,7 @@ def dealt(docs: DataFrame, size: int = PIECE_BYTES) -> DataFrame:
 def unpacked(rows: pa.Scalar) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """A piece's rows, in slices that are worked on at once."""
     for part in pa.ipc.open_stream(rows.as_buffer()):
-        yield from pieces(part, "text")
+        yield from pieces(part, "text", SLICE_BYTES)
 
 
 def counts(dealt_docs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -153,9 +176,10 @@ def counts(dealt_docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             for kind, parts in held.items():
                 if parts:
                     keys, n = _added(parts)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(n)], ["kind", "key", "n"])
-                    parts.clear()
+                    for a in range(0, len(keys), BATCH_ROWS):
+                        some = slice(a, a + BATCH_ROWS)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(keys[some]), kind, np.int32)), pa.array(keys[some]), pa.array(n[some])], ["kind", "key", "n"])
 
         ends = size = 0
         for batch in batches:
@@ -171,7 +195,7 @@ def counts(dealt_docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     for kind in held:
                         held[kind] = [_added(held[kind])]
                     size = sum(len(parts[0][0]) for parts in held.values())
-                    if size > HELD:
+                    if size > HELD // 4 * 3:  # else adding up would soon be all it does
                         yield from flush()
                         size = 0
         yield from flush()
@@ -179,7 +203,7 @@ def counts(dealt_docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             [pa.array([END], pa.int32()), pa.array([0], pa.int64()), pa.array([ends], pa.int64())], ["kind", "key", "n"])
 
     return (
-        stream_texts(dealt_docs).mapInArrow(run, "kind int, key long, n long")
+        stream_texts(dealt_docs).mapInArrow(released(run), "kind int, key long, n long")
         .groupBy("kind", "key").agg(F.sum("n").alias("n"))
     )
 
@@ -317,8 +341,11 @@ def byte_table(counted: DataFrame, strings: int, depth: int = DEPTH, group: int
     def values(table: pa.Table) -> pa.Table:
         keys, known, levels = subtrees(table)
         levels = levels or [(_ZERO, _ZERO, _ZERO)] * (depth - top + 1)
-        return pa.table({"kind": np.full(len(keys), BYTE, np.int32), "key": keys,
+        told = pa.table({"kind": np.full(len(keys), BYTE, np.int32), "key": keys,
                          "value": log_probabilities(keys, [*levels, *above.value], depth), "known": known})
+        del levels
+        give_back()
+        return told
 
     return grouped.applyInArrow(values, "kind int, key long, value double, known boolean")
 
@@ -360,12 +387,12 @@ def asked(dealt_docs: DataFrame, depth: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, rows in zip(column(batch, "piece").to_pylist(), column(batch, "rows")):
-                found: dict[int, list] = {BYTE: [_ZERO], WORD: [_ZERO]}
+                found = {BYTE: Distinct(), WORD: Distinct()}
                 for _, texts in unpacked(rows):
-                    found[BYTE].append(distinct(byte_keys(coded(texts), depth)))
-                    found[WORD].append(distinct(word_names(texts)[1]))
+                    found[BYTE].add(byte_keys(coded(texts), depth))
+                    found[WORD].add(word_names(texts)[1])
                 for kind, parts in found.items():
-                    keys = distinct(np.concatenate(parts))
+                    keys = parts.keys()
                     bucket = np.mod(keys, buckets)
                     order = np.argsort(bucket, kind="stable")
                     keys, bucket = keys[order], bucket[order]
@@ -377,7 +404,7 @@ def asked(dealt_docs: DataFrame, depth: int, buckets: int) -> DataFrame:
                         pa.array(np.full(len(heads), kind, np.int32)), pa.array(lists, pa.binary()),
                     ], ["bucket", "piece", "kind", "keys"])
 
-    return stream_texts(dealt_docs).mapInArrow(run, "bucket int, piece long, kind int, keys binary")
+    return stream_texts(dealt_docs).mapInArrow(released(run), "bucket int, piece long, kind int, keys binary")
 
 
 def answered(model: DataFrame, asks: DataFrame, depth: int, buckets: int) -> DataFrame:
@@ -394,10 +421,14 @@ def answered(model: DataFrame, asks: DataFrame, depth: int, buckets: int) -> Dat
             value, known = Table(mine.filter(pc.equal(mine["kind"], kind))).look_up(keys)
             ends = np.cumsum([len(x.as_buffer()) // _width(kind, depth) for x in of_kind["keys"]])
             spans = list(zip(np.append(0, ends[:-1]), ends))
-            out.append(pa.table({
+            told = pa.table({
                 "piece": of_kind["piece"], "kind": of_kind["kind"], "keys": of_kind["keys"].cast(pa.binary()),
                 "values": pa.array([value[a:b].tobytes() for a, b in spans], pa.binary()),
-                "known": pa.array([known[a:b].tobytes() if kind == WORD else b"" for a, b in spans], pa.binary())}))
+                "known": pa.array([known[a:b].tobytes() if kind == WORD else b"" for a, b in spans], pa.binary())})
+            rows = max(1, len(told) * BATCH_ROWS // max(1, len(keys)))
+            out += [told.slice(a, rows) for a in range(0, len(told), rows)]
+            del of_kind, keys, value, known, told
+        give_back()
         return pa.concat_tables(out) if out else _ANSWERS.empty_table()
 
     def grouped(df: DataFrame):
@@ -432,6 +463,8 @@ def summed(dealt_docs: DataFrame, answers: DataFrame, depth: int, partitions: in
                 pa.array(sums(known.astype(np.int64), bounds)), pa.array(sums(value, bounds)),
                 pa.array(sums(strings.look_up(byte_keys(whole, depth))[0], whole.bounds)),
             ], schema=_SUMS))
+        del strings, words
+        give_back()
         return pa.Table.from_batches(out, _SUMS)
 
     def grouped(df: DataFrame):

@@ -46,6 +46,14 @@ def stream_texts(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Memory that was freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """run, after whose last batch the worker gives back what it has freed. Workers serve many tasks, and would
     hold the most that any of them ever needed."""
@@ -54,10 +62,7 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return wrapped
 

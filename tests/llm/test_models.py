@@ -1,8 +1,10 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,3 +209,64 @@ def test_keys_are_made_distinct_by_sorting(monkeypatch):
     assert (other.tolist(), zeros.tolist()) == ([-1, 3, 1 << 40], [0, 0, 0])
     assert ctw.distinct(keys).tolist() == [-1, 3, 5, 1 << 40]
     assert ctw.distinct(keys[:0]).tolist() == []
+
+
+class Plan:
+    """Takes the place of a DataFrame, and keeps the functions that would run in tasks."""
+
+    def __init__(self):
+        self.tasks = []
+
+    def __getattr__(self, name):
+        def step(*args, **kwargs):
+            self.tasks += [x for x in args if callable(x)]
+            return self
+
+        return self if name in ("sparkSession", "conf") else step
+
+
+def test_counts_are_passed_on_in_small_batches(spark):
+    """Strings that all differ: a task held eight times its text, and passed millions of rows to the JVM at once."""
+    text = np.random.default_rng(0).integers(97, 123, 6 << 20, np.uint8).tobytes().decode()
+    texts = [text[i : i + (1 << 18)] for i in range(0, len(text), 1 << 18)]
+    rows = pa.record_batch({"doc_id": list(range(len(texts))), "held_out": [False] * len(texts), "text": texts})
+    deal = Plan()
+    ctw.dealt(deal)
+    piece = list(deal.tasks[0](iter([rows])))
+    plan = Plan()
+    ctw.counts(plan)
+    found = {ctw.BYTE: [], ctw.WORD: [], ctw.END: []}
+    sizes = []
+    tracemalloc.start()
+    for batch in plan.tasks[0](iter(piece)):
+        sizes.append(batch.num_rows)
+        found[batch.column(0)[0].as_py()].append(int(pc.sum(batch.column(2)).as_py()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160e6 and max(sizes) <= 1 << 16
+    assert [sum(found[kind]) for kind in (ctw.BYTE, ctw.WORD, ctw.END)] == [len(text) + len(texts), len(texts), len(texts)]
+
+
+def test_answers_are_passed_on_in_small_batches():
+    width, n, pieces = ctw.DEPTH + 1, 50_000, 4
+    keys = np.arange(n, dtype=np.int64)
+    packed = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    model = pa.table({"kind": np.zeros(n, np.int32), "key": keys, "value": keys * 0.5, "known": np.ones(n, bool)})
+    asks = pa.table({"piece": list(range(pieces)), "kind": pa.array([ctw.BYTE] * pieces, pa.int32()), "keys": [packed] * pieces})
+    plan = Plan()
+    ctw.answered(plan, plan, ctw.DEPTH, 1)
+    got = plan.tasks[-1](model, asks)
+    assert [len(b) for b in got.to_batches()] == [1] * pieces
+    assert got["piece"].to_pylist() == list(range(pieces)) and got["keys"].to_pylist() == [packed] * pieces
+    assert all((np.frombuffer(v, np.float64) == keys * 0.5).all() for v in got["values"].to_pylist())
+
+
+def test_distinct_keys_of_many_parts(monkeypatch):
+    monkeypatch.setattr(ctw, "HELD", 40)
+    rng = np.random.default_rng(1)
+    parts = [rng.integers(-50, 50, 7) for _ in range(40)]
+    held = ctw.Distinct()
+    for part in parts:
+        held.add(part)
+    assert held.keys().tolist() == sorted(set(np.concatenate(parts).tolist()))
+    assert ctw.Distinct().keys().tolist() == []
