@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from quotidian import schemas  # noqa: E402
 from quotidian.session import local_session  # noqa: E402
+from quotidian.sources import catalog  # noqa: E402
 from quotidian.sources.lake import Lake  # noqa: E402
 
 
@@ -31,8 +32,12 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture
-def lake(tmp_path):
-    return Lake(str(tmp_path / "lake"))
+def lake(spark, tmp_path):
+    """A lake of its own, whose tables no later test finds registered."""
+    own = Lake(str(tmp_path / "lake"))
+    yield own
+    for schema, table in catalog.lake_tables(own):
+        spark.sql(f"DROP TABLE IF EXISTS {schema}.{table}")
 
 
 @pytest.fixture
